@@ -294,3 +294,228 @@ def reconcile(spark, sf):
     published = ev.select(F.concat(F.lit("evt-"), F.col("event_id").cast("string")).alias("event_id"))
     ld = derived.landed(spark, sf).select("event_id")
     return published.join(ld, "event_id", "left_anti")
+
+
+# ---------------------------------------------------------------- metrics
+
+from spindle.functions.labels import series_key  # noqa: E402
+from spindle.operators import alerts as al  # noqa: E402
+from spindle.operators import audit  # noqa: E402
+from spindle.operators import metrics as mx  # noqa: E402
+from spindle.operators import runs as rn  # noqa: E402
+
+HOUR = 3600
+PS = (0.5, 0.95, 0.99)
+SCAN_START = "2024-01-10 00:00:00"
+SCAN_END = "2024-01-12 00:00:00"
+# Label values whose stats are requested; the last one has no points (mean 0.0).
+REQUESTED_TYPES = ("click", "error", "purchase", "signup", "view", "refund")
+
+
+def _points(spark, sf):
+    return mx.outcome_points(derived.outcomes(spark, sf), derived.DEFAULT_LABELS)
+
+
+def _latency(spark, sf):
+    return derived.metrics(spark, sf)
+
+
+def _r6(c):
+    return F.round(c, 6)
+
+
+@register
+def metrics_points(spark, sf):
+    """Counter and latency points from per-message outcomes."""
+    p = _points(spark, sf)
+    return p.select("metric_type", "metric_kind", "value_type", _r6(F.col("value")).alias("value"),
+                    series_key(F.col("labels")).alias("series"), to_naive(F.col("end_time")).alias("end_time"))
+
+
+@register
+def metric_scan(spark, sf):
+    """Exact type and resource type within an inclusive interval, all series."""
+    s = mx.scan(_latency(spark, sf), derived.LATENCY_METRIC, SCAN_START, SCAN_END, "generic_task")
+    return s.select(series_key(F.col("labels")).alias("series"), "value",
+                    to_naive(F.col("end_time")).alias("end_time"))
+
+
+@register
+def metric_stats(spark, sf):
+    """D3: count and mean per requested series in an interval; 0.0 when empty."""
+    s = mx.scan(_latency(spark, sf), derived.LATENCY_METRIC, SCAN_START, SCAN_END)
+    st = mx.stats(s.withColumn("event_type", F.col("labels")["event_type"]), ["event_type"])
+    req = spark.createDataFrame([(t,) for t in REQUESTED_TYPES], "event_type string")
+    return (req.join(st, "event_type", "left")
+            .select("event_type", F.coalesce("n", F.lit(0)).cast("long").alias("n"),
+                    _r6(F.coalesce("mean", F.lit(0.0))).alias("mean")))
+
+
+@register
+def metric_percentiles(spark, sf):
+    """Exact floor-index p50/p95/p99 per series."""
+    x = mx.with_series(_latency(spark, sf))
+    return mx.percentiles(x, ["series"], PS)
+
+
+@register
+def aligned_mean(spark, sf):
+    """Per-series mean per one-hour alignment period."""
+    x = mx.with_series(_latency(spark, sf))
+    a = mx.aligned(x, HOUR, "mean", ["series"])
+    return a.select("series", to_naive(F.col("bucket")).alias("bucket"), _r6(F.col("value")).alias("mean"), "n")
+
+
+@register
+def outcome_counts(spark, sf):
+    """Received / processed / failed per hour."""
+    c = mx.outcome_counts(derived.outcomes(spark, sf), HOUR)
+    return c.select(to_naive(F.col("bucket")).alias("bucket"), "received", "processed", "failed")
+
+
+@register
+def errors_by_stage(spark, sf):
+    """Rejects counted by error stage."""
+    return mx.errors_by_stage(envelope.rejects(derived.outcomes(spark, sf)))
+
+
+@register
+def batch_stats(spark, sf):
+    """Batch size and time span per batch id."""
+    b = mx.batch_stats(derived.outcomes(spark, sf))
+    return b.select("batch_id", "batch_size", _r6(F.col("span_s")).alias("span_s"))
+
+
+@register
+def dashboard_rollup(spark, sf):
+    """Hourly panel values, one column per panel (explicit pivot values)."""
+    pts = _points(spark, sf).unionByName(_latency(spark, sf))
+    d = mx.dashboard(pts, HOUR, {
+        "received": (mx.RECEIVED, "sum"),
+        "processed": (mx.PROCESSED, "sum"),
+        "failed": (mx.FAILED, "sum"),
+        "mean_latency": (derived.LATENCY_METRIC, "mean"),
+        "mean_e2e_latency": (mx.E2E_LATENCY, "mean"),
+    })
+    return d.select(to_naive(F.col("bucket")).alias("bucket"),
+                    *[_r6(F.col(c)).alias(c) for c in
+                      ("received", "processed", "failed", "mean_latency", "mean_e2e_latency")])
+
+
+@register
+def reject_log_rows(spark, sf):
+    """One structured log row per rejected message."""
+    return audit.log_rows(envelope.rejects(derived.outcomes(spark, sf)))
+
+
+# ---------------------------------------------------------------- alerts
+
+
+def _alert_out(df):
+    return df.select("rule", "series", to_naive(F.col("start_time")).alias("start_time"),
+                     to_naive(F.col("end_time")).alias("end_time"), "buckets")
+
+
+@register
+def alerts_latency(spark, sf):
+    """H5/H6: mean latency above 30 for 5 h, hourly alignment, per series."""
+    rules = al.rules_frame(spark, [al.rule("processing_latency", derived.LATENCY_METRIC, "GT", 30.0,
+                                           5 * HOUR, HOUR)])
+    return _alert_out(al.evaluate(_latency(spark, sf), rules))
+
+
+@register
+def alerts_error_rate(spark, sf):
+    """H7: failed / (processed + failed) above 0.4 for 3 h."""
+    pts = mx.error_rate_points(_points(spark, sf), HOUR)
+    rules = al.rules_frame(spark, [al.rule("error_rate", mx.ERROR_RATE, "GT", 0.4, 3 * HOUR, HOUR)])
+    return _alert_out(al.evaluate(pts, rules))
+
+
+@register
+def alerts_low_throughput(spark, sf):
+    """H8: processed per hour below 8 for 3 h; hours without points count 0."""
+    rules = al.rules_frame(spark, [al.rule("low_throughput", mx.PROCESSED, "LT", 8.0, 3 * HOUR, HOUR,
+                                           aligner="sum")])
+    return _alert_out(al.evaluate(_points(spark, sf), rules))
+
+
+@register
+def alerts_multi_rule(spark, sf):
+    """Several rules, different metrics, one evaluation; a rule without
+    data (CPU) yields nothing."""
+    pts = _points(spark, sf)
+    allp = pts.unionByName(_latency(spark, sf)).unionByName(mx.error_rate_points(pts, HOUR))
+    rules = al.rules_frame(spark, [
+        al.rule("processing_latency", derived.LATENCY_METRIC, "GT", 50.0, 3 * HOUR, HOUR),
+        al.rule("end_to_end_latency", mx.E2E_LATENCY, "GT", 18.0, 2 * HOUR, HOUR, wired=False),
+        al.rule("error_rate", mx.ERROR_RATE, "GT", 0.45, 2 * HOUR, HOUR),
+        al.rule("low_throughput", mx.PROCESSED, "LT", 7.0, 2 * HOUR, HOUR, aligner="sum"),
+        al.rule("high_cpu_usage", "gauge/cpu_usage", "GT", 80.0, 2 * HOUR, HOUR, wired=False),
+    ])
+    return _alert_out(al.evaluate(allp, rules))
+
+
+# ---------------------------------------------------------------- runs
+
+
+def _runs(spark, sf):
+    return rn.run_summary(derived.hourly_runs(spark, sf), derived.outcomes(spark, sf),
+                          _latency(spark, sf))
+
+
+@register
+def run_summary(spark, sf):
+    """One 11-field record per hourly run."""
+    r = _runs(spark, sf)
+    return r.select(
+        "test_name", to_naive(F.col("start_time")).alias("start_time"),
+        to_naive(F.col("end_time")).alias("end_time"), "messages_sent", "messages_processed",
+        _r6(F.col("avg_latency")).alias("avg_latency"), "p50_latency", "p95_latency", "p99_latency",
+        "errors", F.round("throughput", 9).alias("throughput"))
+
+
+@register
+def run_analysis(spark, sf):
+    """Totals, throughput stability, efficiency over all runs."""
+    a = rn.run_analysis(_runs(spark, sf)).drop("latency_throughput_correlation")
+    return a.select(*[_r6(F.col(c)).alias(c) if c.startswith(("avg", "max", "processing", "throughput"))
+                      else F.col(c) for c in a.columns])
+
+
+@register
+def run_correlation(spark, sf):
+    """Pearson correlation of throughput and mean latency across runs."""
+    a = rn.run_analysis(_runs(spark, sf))
+    return a.select(_r6(F.col("latency_throughput_correlation")).alias("correlation"))
+
+
+@register
+def high_error_runs(spark, sf):
+    """Runs with errors."""
+    return rn.high_error_runs(_runs(spark, sf))
+
+
+@register
+def high_latency_runs(spark, sf):
+    """Runs above mean + 1 population stddev of mean latency."""
+    return rn.high_latency_runs(_runs(spark, sf))
+
+
+@register
+def latency_long(spark, sf):
+    """G1: percentiles unpivoted."""
+    return rn.latency_long(_runs(spark, sf))
+
+
+@register
+def efficiency_long(spark, sf):
+    """Sent / processed unpivoted."""
+    return rn.efficiency_long(_runs(spark, sf))
+
+
+@register
+def throughput_errors(spark, sf):
+    """Throughput and errors per run."""
+    t = rn.throughput_errors(_runs(spark, sf))
+    return t.select("test_name", F.round("throughput", 9).alias("throughput"), "errors")

@@ -124,3 +124,250 @@ FROM landed GROUP BY 1, 2""")
 ORACLE["duplicate_ids"] = w("SELECT eid AS event_id, 2 AS n FROM landed")
 
 ORACLE["reconcile"] = w("SELECT eid AS event_id FROM cls WHERE reject_reason IS NOT NULL")
+
+
+# ---------------------------------------------------------------- metrics
+
+BASE_SERIES = "'{\"environment\":\"test\",\"service\":\"spindle\"}'"
+X_SERIES = "'{\"environment\":\"test\",\"event_type\":\"' || event_type || '\",\"service\":\"spindle\"}'"
+
+
+def bucket(t: str, p: int) -> str:
+    return f"make_timestamp((epoch_us({t}) // {p * 1000000}) * {p * 1000000})"
+
+
+PTS = """
+pts AS (
+  SELECT 'counter/messages_received' AS metric_type, 'CUMULATIVE' AS metric_kind, 'INT64' AS value_type,
+         1.0 AS value, {base} AS series, publish_time AS end_time FROM cls
+  UNION ALL
+  SELECT 'counter/messages_processed', 'CUMULATIVE', 'INT64', 1.0, {base}, publish_time FROM cls
+  WHERE reject_reason IS NULL
+  UNION ALL
+  SELECT 'latency/end_to_end_latency', 'GAUGE', 'DOUBLE', CAST(event_id % 30 AS DOUBLE), {base}, publish_time
+  FROM cls WHERE reject_reason IS NULL
+  UNION ALL
+  SELECT 'counter/messages_failed', 'CUMULATIVE', 'INT64', 1.0, {base}, publish_time FROM cls
+  WHERE reject_reason IS NOT NULL
+  UNION ALL
+  SELECT 'counter/errors/' || reject_reason, 'CUMULATIVE', 'INT64', 1.0,
+         '{{"environment":"test","reason":"' || reject_reason || '","service":"spindle"}}', publish_time
+  FROM cls WHERE reject_reason IS NOT NULL
+)""".format(base=BASE_SERIES)
+
+XP = f"xp AS (SELECT {X_SERIES} AS series, event_type, value, ts AS end_time FROM events)"
+
+
+def wm(body: str, ctes: str = "") -> str:
+    extra = ",\n" + ctes.strip() if ctes else ""
+    return "WITH " + EV.strip() + ",\n" + PTS.strip() + ",\n" + XP + extra + "\n" + body
+
+
+ORACLE["metrics_points"] = wm("""
+SELECT metric_type, metric_kind, value_type, round(value, 6) AS value, series, end_time FROM pts""")
+
+ORACLE["metric_scan"] = wm("""
+SELECT series, value, end_time FROM xp
+WHERE end_time BETWEEN TIMESTAMP '2024-01-10 00:00:00' AND TIMESTAMP '2024-01-12 00:00:00'""")
+
+ORACLE["metric_stats"] = "WITH " + EV.strip() + ",\n" + XP + """,
+req AS (SELECT unnest(['click','error','purchase','signup','view','refund']) AS event_type),
+st AS (SELECT event_type, count(value) AS n, avg(value) AS mean FROM xp
+       WHERE end_time BETWEEN TIMESTAMP '2024-01-10 00:00:00' AND TIMESTAMP '2024-01-12 00:00:00'
+       GROUP BY event_type)
+SELECT req.event_type, coalesce(n, 0) AS n, round(coalesce(mean, 0.0), 6) AS mean
+FROM req LEFT JOIN st USING (event_type)"""
+
+_PCT = """
+, r AS (SELECT series, value, row_number() OVER (PARTITION BY series ORDER BY value) AS rn,
+               count(*) OVER (PARTITION BY series) AS n FROM xp),
+ps AS (SELECT unnest([0.5, 0.95, 0.99]::DOUBLE[]) AS p)
+SELECT series, p, value FROM r, ps WHERE rn = floor(n * p) + 1"""
+ORACLE["metric_percentiles"] = "WITH " + XP + _PCT.replace("\n, r AS", ",\nr AS", 1)
+
+ORACLE["aligned_mean"] = "WITH " + XP + f"""
+SELECT series, {bucket('end_time', 3600)} AS bucket, round(avg(value), 6) AS mean, count(*) AS n
+FROM xp GROUP BY 1, 2"""
+
+ORACLE["outcome_counts"] = w(f"""
+SELECT {bucket('publish_time', 3600)} AS bucket, count(*) AS received,
+       count(*) FILTER (WHERE reject_reason IS NULL) AS processed,
+       count(*) FILTER (WHERE reject_reason IS NOT NULL) AS failed
+FROM cls GROUP BY 1""")
+
+ORACLE["errors_by_stage"] = w("""
+SELECT CASE WHEN reject_reason IN ('invalid_utf8', 'json_syntax', 'not_object') THEN 'parsing'
+            WHEN reject_reason = 'required_null' THEN 'storage'
+            ELSE 'validation' END AS stage, count(*) AS n
+FROM cls WHERE reject_reason IS NOT NULL GROUP BY 1""")
+
+ORACLE["batch_stats"] = w("""
+SELECT batch_id, count(*) AS batch_size,
+       round((epoch_us(max(publish_time)) - epoch_us(min(publish_time))) / 1e6, 6) AS span_s
+FROM cls GROUP BY batch_id""")
+
+ORACLE["dashboard_rollup"] = wm(f"""
+SELECT {bucket('end_time', 3600)} AS bucket,
+  round(coalesce(sum(value) FILTER (WHERE metric_type = 'counter/messages_received'), 0.0), 6) AS received,
+  round(coalesce(sum(value) FILTER (WHERE metric_type = 'counter/messages_processed'), 0.0), 6) AS processed,
+  round(coalesce(sum(value) FILTER (WHERE metric_type = 'counter/messages_failed'), 0.0), 6) AS failed,
+  round(avg(value) FILTER (WHERE metric_type = 'latency/processing_latency'), 6) AS mean_latency,
+  round(avg(value) FILTER (WHERE metric_type = 'latency/end_to_end_latency'), 6) AS mean_e2e_latency
+FROM allp
+WHERE metric_type IN ('counter/messages_received', 'counter/messages_processed', 'counter/messages_failed',
+                      'latency/processing_latency', 'latency/end_to_end_latency')
+GROUP BY 1""", ctes="""
+allp AS (SELECT metric_type, value, end_time FROM pts
+         UNION ALL SELECT 'latency/processing_latency', value, end_time FROM xp)""")
+
+_MSG = {
+    "invalid_utf8": "Error processing message",
+    "json_syntax": "Failed to parse JSON message",
+    "not_object": "Error processing message",
+    "missing_fields": "Message missing required fields",
+    "bad_timestamp": "Invalid timestamp format",
+    "metadata_not_object": "Metadata must be a dictionary",
+    "metadata_missing_fields": "Metadata missing required fields: source, version",
+    "required_null": "Required field is null",
+}
+_MSG_CASE = "CASE " + " ".join(f"WHEN reject_reason = '{k}' THEN '{v}'" for k, v in _MSG.items()) + " END"
+
+ORACLE["reject_log_rows"] = w(f"""
+SELECT 'ERROR' AS severity, 'error' AS level, {_MSG_CASE} AS message, 'spindle.ingest' AS logger,
+       reject_reason AS reason, message_id,
+       '{{"message":"' || {_MSG_CASE} || '","severity":"ERROR","timestamp":"'
+         || strftime(publish_time, '%Y-%m-%dT%H:%M:%S.%fZ') || '","logger":"spindle.ingest","reason":"'
+         || reject_reason || '","message_id":"' || message_id || '"}}' AS log
+FROM cls WHERE reject_reason IS NOT NULL""")
+
+
+# ---------------------------------------------------------------- alerts
+
+
+def islands(name: str, rule: str, bucketed: str, op: str, th: float, dur: int, period: int,
+            fill: bool = False) -> tuple[str, str]:
+    """CTEs + final SELECT of sustained breaches for one rule (gaps and islands)."""
+    ctes = f"{name}_b AS ({bucketed})"
+    src = f"{name}_b"
+    if fill:
+        ctes += f""",
+{name}_span AS (SELECT min(bucket) AS lo, max(bucket) AS hi FROM {name}_b),
+{name}_grid AS (SELECT s.series, unnest(generate_series(lo, hi, INTERVAL {period} SECOND)) AS bucket
+                FROM (SELECT DISTINCT series FROM {name}_b) s, {name}_span),
+{name}_f AS (SELECT g.series, g.bucket, coalesce(b.value, 0.0) AS value
+             FROM {name}_grid g LEFT JOIN {name}_b b USING (series, bucket))"""
+        src = f"{name}_f"
+    ctes += f""",
+{name}_br AS (SELECT series, bucket,
+                epoch(bucket) - {period} * row_number() OVER (PARTITION BY series ORDER BY bucket) AS g
+              FROM {src} WHERE value {op} {th}),
+{name}_rr AS (SELECT series, min(bucket) AS start_time, max(bucket) + INTERVAL {period} SECOND AS end_time,
+                count(*) AS buckets FROM {name}_br GROUP BY series, g)"""
+    sel = (f"SELECT '{rule}' AS rule, series, start_time, end_time, buckets FROM {name}_rr "
+           f"WHERE buckets * {period} >= {dur}")
+    return ctes, sel
+
+
+def alert_sql(parts: list[tuple[str, str]]) -> str:
+    ctes = ",\n".join(c for c, _ in parts)
+    sels = "\nUNION ALL\n".join(s for _, s in parts)
+    return "WITH " + EV.strip() + ",\n" + PTS.strip() + ",\n" + XP + ",\n" + ctes + "\n" + sels
+
+
+def _lat_b(p=3600):
+    return f"SELECT series, {bucket('end_time', p)} AS bucket, avg(value) AS value FROM xp GROUP BY 1, 2"
+
+
+def _pts_b(mtype, agg, p=3600):
+    return (f"SELECT series, {bucket('end_time', p)} AS bucket, {agg}(value) AS value FROM pts "
+            f"WHERE metric_type = '{mtype}' GROUP BY 1, 2")
+
+
+_ERR_B = (f"SELECT {BASE_SERIES} AS series, {bucket('publish_time', 3600)} AS bucket, "
+          "avg(CASE WHEN reject_reason IS NOT NULL THEN 1.0 ELSE 0.0 END) AS value FROM cls GROUP BY 1, 2")
+
+ORACLE["alerts_latency"] = alert_sql([islands("lat", "processing_latency", _lat_b(), ">", 30.0, 18000, 3600)])
+ORACLE["alerts_error_rate"] = alert_sql([islands("er", "error_rate", _ERR_B, ">", 0.4, 10800, 3600)])
+ORACLE["alerts_low_throughput"] = alert_sql([
+    islands("lt", "low_throughput", _pts_b("counter/messages_processed", "sum"), "<", 8.0, 10800, 3600,
+            fill=True)])
+ORACLE["alerts_multi_rule"] = alert_sql([
+    islands("lat", "processing_latency", _lat_b(), ">", 50.0, 10800, 3600),
+    islands("e2e", "end_to_end_latency", _pts_b("latency/end_to_end_latency", "avg"), ">", 18.0, 7200, 3600),
+    islands("er", "error_rate", _ERR_B, ">", 0.45, 7200, 3600),
+    islands("lt", "low_throughput", _pts_b("counter/messages_processed", "sum"), "<", 7.0, 7200, 3600,
+            fill=True),
+])
+
+# ---------------------------------------------------------------- runs
+
+RUNS = """
+hours AS (SELECT unnest(generate_series(date_trunc('hour', min(ts)), date_trunc('hour', max(ts)),
+                                        INTERVAL 1 HOUR)) AS start_time FROM events),
+runs AS (SELECT 'run-' || strftime(start_time, '%Y%m%d%H') AS test_name, start_time,
+                start_time + INTERVAL 1 HOUR AS end_time FROM hours),
+rmsg AS (SELECT r.test_name, count(*) AS sent, count(*) FILTER (WHERE c.reject_reason IS NULL) AS processed,
+                count(*) FILTER (WHERE c.reject_reason IS NOT NULL) AS errors
+         FROM runs r JOIN cls c ON c.publish_time >= r.start_time AND c.publish_time < r.end_time
+         GROUP BY 1),
+rlat AS (SELECT r.test_name, e.value,
+                row_number() OVER (PARTITION BY r.test_name ORDER BY e.value) AS rn,
+                count(*) OVER (PARTITION BY r.test_name) AS n
+         FROM runs r JOIN events e ON e.ts >= r.start_time AND e.ts < r.end_time),
+rpct AS (SELECT test_name, avg(value) AS avg_latency,
+                max(CASE WHEN rn = floor(n * 0.5::DOUBLE) + 1 THEN value END) AS p50,
+                max(CASE WHEN rn = floor(n * 0.95::DOUBLE) + 1 THEN value END) AS p95,
+                max(CASE WHEN rn = floor(n * 0.99::DOUBLE) + 1 THEN value END) AS p99
+         FROM rlat GROUP BY 1),
+rs AS (SELECT r.test_name, r.start_time, r.end_time,
+              CAST(coalesce(m.sent, 0) AS BIGINT) AS messages_sent,
+              CAST(coalesce(m.processed, 0) AS BIGINT) AS messages_processed,
+              coalesce(p.avg_latency, 0.0) AS avg_latency,
+              coalesce(p.p50, 0.0) AS p50_latency, coalesce(p.p95, 0.0) AS p95_latency,
+              coalesce(p.p99, 0.0) AS p99_latency,
+              CAST(coalesce(m.errors, 0) AS BIGINT) AS errors,
+              coalesce(m.processed, 0) / 3600.0 AS throughput
+       FROM runs r LEFT JOIN rmsg m USING (test_name) LEFT JOIN rpct p USING (test_name))"""
+
+
+def wr(body: str) -> str:
+    return "WITH " + EV.strip() + ",\n" + RUNS.strip() + "\n" + body
+
+
+ORACLE["run_summary"] = wr("""
+SELECT test_name, start_time, end_time, messages_sent, messages_processed, round(avg_latency, 6) AS avg_latency,
+       p50_latency, p95_latency, p99_latency, errors, round(throughput, 9) AS throughput FROM rs""")
+
+ORACLE["run_analysis"] = wr("""
+SELECT count(*) AS total_tests, CAST(sum(messages_sent) AS BIGINT) AS total_messages_sent,
+       CAST(sum(messages_processed) AS BIGINT) AS total_messages_processed,
+       CAST(sum(errors) AS BIGINT) AS total_errors,
+       round(avg(throughput), 6) AS avg_throughput, round(max(throughput), 6) AS max_throughput,
+       round(avg(avg_latency), 6) AS avg_latency,
+       round(CASE WHEN sum(messages_sent) > 0 THEN sum(messages_processed) / sum(messages_sent) * 100
+                  ELSE 0.0 END, 6) AS processing_efficiency,
+       round(stddev_pop(throughput), 6) AS throughput_std,
+       round(CASE WHEN avg(throughput) > 0 THEN stddev_pop(throughput) / avg(throughput) ELSE 0.0 END, 6)
+         AS throughput_cv
+FROM rs""")
+
+ORACLE["run_correlation"] = wr("""
+SELECT round(covar_pop(throughput, avg_latency)
+             / nullif(stddev_pop(throughput) * stddev_pop(avg_latency), 0), 6) AS correlation FROM rs""")
+
+ORACLE["high_error_runs"] = wr("SELECT test_name FROM rs WHERE errors > 0")
+
+ORACLE["high_latency_runs"] = wr("""
+SELECT test_name FROM rs
+WHERE avg_latency > (SELECT avg(avg_latency) + stddev_pop(avg_latency) FROM rs)""")
+
+ORACLE["latency_long"] = wr("""
+SELECT test_name, 'P50' AS percentile, p50_latency AS latency FROM rs
+UNION ALL SELECT test_name, 'P95', p95_latency FROM rs
+UNION ALL SELECT test_name, 'P99', p99_latency FROM rs""")
+
+ORACLE["efficiency_long"] = wr("""
+SELECT test_name, 'Sent' AS kind, messages_sent AS count FROM rs
+UNION ALL SELECT test_name, 'Processed', messages_processed FROM rs""")
+
+ORACLE["throughput_errors"] = wr("SELECT test_name, round(throughput, 9) AS throughput, errors FROM rs")
