@@ -34,8 +34,19 @@ def unwrap(wrapped: Column) -> Column:
 
     Keep step 1 in its own column so the parse runs once per row.
     """
-    closed = F.try_variant_get(wrapped, _path(_CLOSE_KEY), "int").isNotNull()
-    return F.when(closed, F.try_variant_get(wrapped, _path(_OPEN_KEY), "variant"))
+    return F.when(wrapped_ok(wrapped), F.try_variant_get(wrapped, _path(_OPEN_KEY), "variant"))
+
+
+def wrapped_ok(wrapped: Column) -> Column:
+    """True when the wrapper parsed and closed after the value (text was one JSON value)."""
+    return F.try_variant_get(wrapped, _path(_CLOSE_KEY), "int").isNotNull()
+
+
+def in_wrapper(wrapped: Column, keys: tuple[str, ...] | str, type_: str) -> Column:
+    """Read a path of the wrapped value without first copying the value out."""
+    if isinstance(keys, str):
+        keys = (keys,)
+    return F.try_variant_get(wrapped, _path(_OPEN_KEY, *keys), type_)
 
 
 def strict_parse_json(text: Column) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spindle.functions.jsonfn import get, has_key, is_object_text, unwrap, wrap_parse
+from spindle.functions.jsonfn import get, in_wrapper, is_object_text, wrap_parse, wrapped_ok
 from spindle.functions.timefmt import strict_iso_timestamp
 
 # Required envelope keys and metadata keys.
@@ -46,11 +46,29 @@ REASON_STAGE = {
     "required_null": "storage",
 }
 
-_TEXT, _UTF8, _WRAP, _DOC, _TS, _META = "_text", "_utf8_ok", "_wrap", "_doc", "_ts", "_meta"
-INTERNAL = (_TEXT, _UTF8, _DOC, _TS, _META)
+_TEXT, _UTF8, _OK, _DOC, _TS, _META = "_text", "_utf8_ok", "_parsed", "_doc", "_ts", "_meta"
+INTERNAL = (_TEXT, _UTF8, _OK, _DOC, _TS, _META)
 _observe_ids = itertools.count()
 
 
+def doc_get(keys: tuple[str, ...] | str, type_: str) -> Column:
+    """Field of the parsed message (after ``parse``), e.g. for extra rules.
+
+    NULL unless the whole text parsed as one JSON value.
+    """
+    return F.when(F.col(_OK), in_wrapper(F.col(_DOC), keys, type_))
+
+
+def has(*keys: str) -> Column:
+    """Key presence in the parsed message; a JSON null value counts as present."""
+    return doc_get(tuple(keys), "variant").isNotNull()
+
+
+def parsed_object() -> Column:
+    """The message is valid UTF-8, one JSON value, and that value is an object."""
+    return F.col(_UTF8) & F.col(_OK) & is_object_text(F.col(_TEXT))
+
+
 def parse(messages: DataFrame, value_col: str = "value",
           time_col: str = "publish_time") -> DataFrame:
     """Decode UTF-8, parse strict JSON once, stamp ``processing_timestamp``.
@@ -64,9 +82,10 @@ def parse(messages: DataFrame, value_col: str = "value",
         messages
         .withColumn(_TEXT, text)
         .withColumn(_UTF8, F.is_valid_utf8(F.col(_TEXT)))
-        .withColumn(_WRAP, F.when(F.col(_UTF8), wrap_parse(F.col(_TEXT))))
-        .withColumn(_DOC, unwrap(F.col(_WRAP)))
-        .drop(_WRAP)
+        # _doc is the value inside the strict-parse wrapper, read in place
+        # through the wrapper key (copying it out would cost a second parse).
+        .withColumn(_DOC, F.when(F.col(_UTF8), wrap_parse(F.col(_TEXT))))
+        .withColumn(_OK, F.coalesce(wrapped_ok(F.col(_DOC)), F.lit(False)))
         .withColumn("processing_timestamp", F.col(time_col).cast("timestamp"))
     )
     # Barrier + parse counters: filters on the parsed columns stay above it.
@@ -74,7 +93,7 @@ def parse(messages: DataFrame, value_col: str = "value",
         f"parse_{next(_observe_ids)}",
         F.count(F.lit(1)).alias("received"),
         F.count_if(~F.col(_UTF8)).alias("invalid_utf8"),
-        F.count_if(F.col(_DOC).isNull()).alias("unparsed"),
+        F.count_if(~F.col(_OK)).alias("unparsed"),
     )
 
 
@@ -84,16 +103,15 @@ def validation_reason(extra_rules: Sequence[tuple[str, Column]] = ()) -> Column:
     ``extra_rules`` are (reason, failing-condition) pairs appended after the
     built-in checks, the hook for user validation rules.
     """
-    doc = F.col(_DOC)
     all_keys = F.lit(True)
     for k in REQUIRED_FIELDS:
-        all_keys = all_keys & has_key(doc, k)
+        all_keys = all_keys & has(k)
     meta_keys = F.lit(True)
     for k in METADATA_FIELDS:
-        meta_keys = meta_keys & has_key(doc, "metadata", k)
+        meta_keys = meta_keys & has("metadata", k)
     chain = (
         F.when(~F.col(_UTF8), F.lit("invalid_utf8"))
-        .when(doc.isNull(), F.lit("json_syntax"))
+        .when(~F.col(_OK), F.lit("json_syntax"))
         .when(~is_object_text(F.col(_TEXT)), F.lit("not_object"))
         .when(~all_keys, F.lit("missing_fields"))
         .when(F.col(_TS).isNull(), F.lit("bad_timestamp"))
@@ -114,12 +132,11 @@ def classify(parsed: DataFrame, extra_rules: Sequence[tuple[str, Column]] = (),
     a streaming query), and, as Catalyst does not push filters through it,
     a later ``reject_reason`` filter cannot inline and re-run the JSON parse.
     """
-    doc = F.col(_DOC)
     classified = (
         parsed
-        .withColumn(_TS, strict_iso_timestamp(get(doc, "timestamp", "string")))
+        .withColumn(_TS, strict_iso_timestamp(doc_get("timestamp", "string")))
         # NULL unless metadata is a JSON object; the copy is of metadata only.
-        .withColumn(_META, get(doc, "metadata", "map<string,variant>"))
+        .withColumn(_META, doc_get("metadata", "map<string,variant>"))
         .withColumn("reject_reason", validation_reason(extra_rules))
     )
     name = observe_as or f"envelope_{next(_observe_ids)}"
@@ -134,15 +151,14 @@ def classify(parsed: DataFrame, extra_rules: Sequence[tuple[str, Column]] = (),
 
 def conform(classified: DataFrame) -> DataFrame:
     """Project the typed envelope columns of the landed table."""
-    doc = F.col(_DOC)
     return (
         classified
-        .withColumn("event_id", get(doc, "event_id", "string"))
+        .withColumn("event_id", doc_get("event_id", "string"))
         .withColumn("timestamp", F.col(_TS))
-        .withColumn("data", get(doc, "data", "variant"))
+        .withColumn("data", doc_get("data", "variant"))
         .withColumn("metadata", F.struct(
-            get(doc, ("metadata", "source"), "string").alias("source"),
-            get(doc, ("metadata", "version"), "string").alias("version"),
+            doc_get(("metadata", "source"), "string").alias("source"),
+            doc_get(("metadata", "version"), "string").alias("version"),
         ))
     )
 

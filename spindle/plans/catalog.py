@@ -87,7 +87,7 @@ def publish_envelope(spark, sf):
 
 
 def _parsed_ok():
-    return F.col("_utf8_ok") & F.col("_doc").isNotNull() & envelope.is_object_text(F.col("_text"))
+    return envelope.parsed_object()
 
 
 @register
@@ -108,7 +108,7 @@ def validate_required(spark, sf):
     """The four top-level keys must be present (JSON null counts as present)."""
     has = F.lit(True)
     for k in envelope.REQUIRED_FIELDS:
-        has = has & envelope.has_key(F.col("_doc"), k)
+        has = has & envelope.has(k)
     return _parsed(spark, sf).where(_parsed_ok()).select("message_id", has.alias("has_required"))
 
 

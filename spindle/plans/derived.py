@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spindle.operators import envelope
+from spindle.sources.files import read_parquet
 from spindle.sources.publish import publish_bytes
 from spindle.session import configure
 
@@ -41,7 +42,7 @@ DEFAULT_LABELS = {"environment": "test", "service": "spindle"}
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:

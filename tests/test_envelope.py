@@ -159,7 +159,7 @@ def test_recovery_case_follows_validator(spark):
 
 def test_extra_rule_hook(spark):
     df = messages_df(spark, [B, with_(event_id="blocked")])
-    rule = ("blocked_id", F.try_variant_get(F.col("_doc"), "$.event_id", "string") == "blocked")
+    rule = ("blocked_id", envelope.doc_get("event_id", "string") == "blocked")
     got = [r.reject_reason for r in envelope.outcomes(df, [rule]).orderBy("message_id").collect()]
     assert got == [None, "blocked_id"]
 
