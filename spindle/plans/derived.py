@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from spindle.operators import envelope
 from spindle.sources.files import read_parquet
 from spindle.sources.publish import publish_bytes
-from spindle.session import configure
+from spindle.session import configure, materialize
 
 # Fault kinds by event_id % 20 (8..19 stay valid; 8..12 vary
 # the valid shape).
@@ -156,8 +156,11 @@ def hourly_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     hours = span.select(
         F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 HOUR"))).alias("start_time")
     )
-    return hours.select(
+    runs = hours.select(
         F.concat(F.lit("run-"), F.date_format("start_time", "yyyyMMddHH")).alias("test_name"),
         "start_time",
         (F.col("start_time") + F.expr("INTERVAL 1 HOUR")).alias("end_time"),
     )
+    # One row per hour of the span; several branches of a run query read it,
+    # so it is computed once and read back from the checkpoint folder.
+    return materialize(runs)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # SQL settings every operator assumes. They are session scoped, so callers
 # that receive a session from elsewhere apply them with ``configure``.
@@ -33,6 +33,7 @@ def local_session(app: str = "spindle", cores: str = "*", partitions: int = 8,
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
@@ -47,16 +48,24 @@ def local_session(app: str = "spindle", cores: str = "*", partitions: int = 8,
 def checkpoint_root(spark: SparkSession, fallback: str | None = None) -> str:
     """Shared folder for checkpoints and materialised intermediates.
 
-    The cluster names it in ``spark.checkpoint.dir``; a fallback is only
-    installed when the setting is absent (local tests).
+    The cluster names it in ``spark.checkpoint.dir``; only when the session
+    has none is a fallback installed: the given folder (tests), else a
+    folder under the session's warehouse location (shared storage on a
+    cluster, never a machine-local temp folder).
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        if fallback is None:
-            raise RuntimeError("spark.checkpoint.dir is not set and no fallback was given")
-        spark.conf.set("spark.checkpoint.dir", fallback)
-        spark.sparkContext.setCheckpointDir(fallback)
-        root = fallback
+        root = fallback or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+        spark.conf.set("spark.checkpoint.dir", root)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint: write ``df`` once to the shared checkpoint folder and
+    read it back with its lineage cut. Used for intermediates that several
+    branches of a plan read (so the source is not scanned again per branch)
+    and that survive executor loss (never ``localCheckpoint``)."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
