@@ -90,28 +90,61 @@ def fill_gaps(aligned: DataFrame, rules: DataFrame) -> DataFrame:
     return rest.unionByName(filled)
 
 
-def breach_runs(aligned: DataFrame, rules: DataFrame, min_duration: bool = True) -> DataFrame:
-    """Consecutive breaching buckets per (rule, series) -> runs.
-
-    Output: rule, series, start_time, end_time (end of last bucket), buckets.
-    """
-    r = F.broadcast(rules.select("rule", "comparison", "threshold", "duration_s", "period_s"))
-    a = aligned.join(r, "rule")
+def _islands(a: DataFrame) -> DataFrame:
+    """Runs of consecutive breaching buckets (present rows only)."""
     breach = F.when(F.col("comparison") == "GT", F.col("value") > F.col("threshold")) \
         .otherwise(F.col("value") < F.col("threshold"))
     b = a.where(breach)
     order = Window.partitionBy("rule", "series").orderBy("bucket")
     b = b.withColumn("_island", F.unix_seconds("bucket") - F.col("period_s") * F.row_number().over(order))
-    runs = (b.groupBy("rule", "series", "_island", F.col("period_s").alias("_p"),
-                      F.col("duration_s").alias("_d"))
+    return (b.groupBy("rule", "series", "_island", "period_s", "duration_s")
             .agg(F.min("bucket").alias("start_time"), F.max("bucket").alias("_last"),
                  F.count(F.lit(1)).alias("buckets"))
-            .withColumn("end_time", F.timestamp_seconds(F.unix_seconds("_last") + F.col("_p"))))
+            .withColumn("end_time", F.timestamp_seconds(F.unix_seconds("_last") + F.col("period_s"))))
+
+
+def _gaps(a: DataFrame) -> DataFrame:
+    """LT rules where a missing bucket (0) breaches: runs are the gaps between
+    non-breaching buckets, within the rule's [first, last] bucket span.
+
+    Two sentinels per series (one period outside the span) close the ends.
+    One window over non-breaching rows; no grid of every bucket is built.
+    """
+    span = F.broadcast(a.groupBy("rule").agg(F.min("bucket").alias("_lo"), F.max("bucket").alias("_hi")))
+    keys = a.select("rule", "series", "period_s", "duration_s").distinct().join(span, "rule")
+    p = F.col("period_s")
+    sentinels = keys.select(
+        "rule", "series", "period_s", "duration_s",
+        F.explode(F.array(F.unix_seconds("_lo") - p, F.unix_seconds("_hi") + p)).alias("_s"))
+    ok = a.where(F.col("value") >= F.col("threshold")).select(
+        "rule", "series", "period_s", "duration_s", F.unix_seconds("bucket").alias("_s"))
+    marks = ok.unionByName(sentinels)
+    order = Window.partitionBy("rule", "series").orderBy("_s")
+    gaps = marks.withColumn("_prev", F.lag("_s").over(order)).where(F.col("_prev").isNotNull())
+    gaps = gaps.withColumn("buckets", ((F.col("_s") - F.col("_prev")) / p).cast("long") - 1)
+    return gaps.where(F.col("buckets") >= 1).select(
+        "rule", "series", "period_s", "duration_s",
+        F.timestamp_seconds(F.col("_prev") + p).alias("start_time"),
+        F.timestamp_seconds(F.col("_s")).alias("end_time"), "buckets")
+
+
+def breach_runs(aligned: DataFrame, rules: DataFrame, min_duration: bool = True,
+                fill_lt: bool = True) -> DataFrame:
+    """Consecutive breaching buckets per (rule, series) -> runs.
+
+    Output: rule, series, start_time, end_time (end of last bucket), buckets.
+    With ``fill_lt`` an LT rule with a positive threshold treats a missing
+    bucket as 0, i.e. as breaching.
+    """
+    r = F.broadcast(rules.select("rule", "comparison", "threshold", "duration_s", "period_s"))
+    a = aligned.join(r, "rule")
+    filled = (F.col("comparison") == "LT") & (F.col("threshold") > 0) if fill_lt else F.lit(False)
+    runs = _islands(a.where(~filled)).drop("_island", "_last").unionByName(_gaps(a.where(filled)))
     if min_duration:
-        runs = runs.where(F.col("buckets") * F.col("_p") >= F.col("_d"))
+        runs = runs.where(F.col("buckets") * F.col("period_s") >= F.col("duration_s"))
     return runs.select("rule", "series", "start_time", "end_time", "buckets")
 
 
 def evaluate(points: DataFrame, rules: DataFrame) -> DataFrame:
-    """Full rule evaluation: align, fill LT gaps, find sustained breaches."""
-    return breach_runs(fill_gaps(aligned_by_rule(points, rules), rules), rules)
+    """Full rule evaluation: align per rule, then sustained breaches (LT gaps count 0)."""
+    return breach_runs(aligned_by_rule(points, rules), rules)

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def read_parquet(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
     """Read parquet; spread an input with fewer splits than the cluster has
-    cores over all cores (round-robin).
+    cores over all cores.
 
     A large table already has far more splits than cores and is returned
     as read, with no shuffle. A small file with one row group would
@@ -19,4 +20,8 @@ def read_parquet(spark: SparkSession, path: str, min_partitions: int | None = No
         current = df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect): keep the scan as is
         return df
-    return df.repartition(target) if current < target else df
+    if current >= target:
+        return df
+    # Hash of the whole row: balanced and deterministic on retry without the
+    # per-partition sort a round-robin repartition performs for determinism.
+    return df.repartition(target, F.xxhash64(*[F.col(c) for c in df.columns]))

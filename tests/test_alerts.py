@@ -60,3 +60,25 @@ def test_rules_with_different_periods(spark):
 def test_config_rules_are_valid(spark):
     df = al.rules_frame(spark, al.CONFIG_RULES)
     assert df.where("wired").count() == 3
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(series=st.lists(st.lists(st.tuples(st.integers(0, 30), st.integers(0, 300)), max_size=25),
+                       min_size=1, max_size=3),
+       th=st.sampled_from([50.0, 150.0]), dur=st.sampled_from([60, 180]))
+def test_gap_method_equals_grid_fill(spark, series, th, dur):
+    rows = [(f"s{i}", m, v) for i, pts in enumerate(series) for m, v in pts]
+    if not rows:
+        return
+    p = points(spark, "counter/messages_processed", rows)
+    r = al.rules_frame(spark, [al.rule("low", "counter/messages_processed", "LT", th, duration_s=dur,
+                                       period_s=60, aligner="sum")])
+    aligned = al.aligned_by_rule(p, r)
+    fast = al.breach_runs(aligned, r)
+    grid = al.breach_runs(al.fill_gaps(aligned, r), r, fill_lt=False)
+    key = lambda df: sorted((x.series, x.start_time, x.end_time, x.buckets) for x in df.collect())
+    assert key(fast) == key(grid)
