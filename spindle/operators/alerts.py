@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from spindle.functions.labels import series_key
 from spindle.functions.timefmt import bucket_start
 from spindle.schemas import ALERT_RULES
+from spindle.session import materialize
 
 # Alert rules of the monitoring configuration
 # (rule, metric_type, aligner, comparison, threshold, duration_s, period_s, wired).
@@ -145,6 +146,15 @@ def breach_runs(aligned: DataFrame, rules: DataFrame, min_duration: bool = True,
     return runs.select("rule", "series", "start_time", "end_time", "buckets")
 
 
-def evaluate(points: DataFrame, rules: DataFrame) -> DataFrame:
-    """Full rule evaluation: align per rule, then sustained breaches (LT gaps count 0)."""
-    return breach_runs(aligned_by_rule(points, rules), rules)
+def evaluate(points: DataFrame, rules: DataFrame, checkpoint: bool = True) -> DataFrame:
+    """Full rule evaluation: align per rule, then sustained breaches (LT gaps count 0).
+
+    The aligned table (one row per rule, series and bucket: far smaller than
+    the points) is read by several branches of the run detection, so it is
+    written once to the checkpoint folder instead of being re-derived from
+    the points per branch.
+    """
+    aligned = aligned_by_rule(points, rules)
+    if checkpoint:
+        aligned = materialize(aligned)
+    return breach_runs(aligned, rules)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def read_parquet(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
@@ -22,6 +21,8 @@ def read_parquet(spark: SparkSession, path: str, min_partitions: int | None = No
         return df
     if current >= target:
         return df
-    # Hash of the whole row: balanced and deterministic on retry without the
-    # per-partition sort a round-robin repartition performs for determinism.
-    return df.repartition(target, F.xxhash64(*[F.col(c) for c in df.columns]))
+    # Round-robin: its partitioning references no column, so column pruning
+    # still reaches the scan (a hash of the row would force reading every
+    # column). Spark sorts each input partition first, so a retried task
+    # sends every row to the same place.
+    return df.repartition(target)

@@ -87,3 +87,13 @@ def query(spark: SparkSession, sql: str, params: dict | None = None) -> DataFram
 
 def errors_stage_map() -> dict[str, str]:
     return dict(REASON_STAGE)
+
+
+def write_landed(landed_df: DataFrame, path: str, mode: str = "append") -> None:
+    """Store landed rows as parquet partitioned by event date (UTC).
+
+    Readers then prune partitions on ``date`` and push ``event_id`` /
+    ``timestamp`` predicates into the parquet scan.
+    """
+    (landed_df.withColumn("date", F.to_date(F.col("timestamp")))
+     .write.mode(mode).partitionBy("date").parquet(path))

@@ -61,7 +61,8 @@ def _sink_writer(landed_path: str, rejects_path: str, raw_path: str | None
     def write(batch: DataFrame, batch_id: int) -> None:
         out = envelope.outcomes(batch).persist()
         try:
-            envelope.landed(out).write.mode("overwrite").parquet(f"{landed_path}/batch_id={batch_id}")
+            landed = envelope.landed(out).withColumn("date", F.to_date("timestamp"))
+            landed.write.mode("overwrite").partitionBy("date").parquet(f"{landed_path}/batch_id={batch_id}")
             envelope.rejects(out).write.mode("overwrite").parquet(f"{rejects_path}/batch_id={batch_id}")
             if raw_path:
                 (batch.withColumn("date", F.to_date("publish_time"))

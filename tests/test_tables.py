@@ -61,3 +61,17 @@ def test_publish_round_trip_and_kafka_frame(spark):
     assert r.v == '{"id":"e1","n":5}' and r.ordering_key == "k" and r.attributes == {"a": "b"}
     k = to_kafka_frame(m).collect()[0]
     assert k.key == bytearray(b"k") and k.headers[0].key == "a"
+
+
+def test_landed_table_prunes_and_pushes_down(spark, scratch):
+    from spindle.plans import derived
+    from tests.conftest import SF_SMALL
+
+    tables.write_landed(derived.landed(spark, SF_SMALL), f"{scratch}/landed", mode="overwrite")
+    t = spark.read.parquet(f"{scratch}/landed")
+    q = t.where((F.col("date") == "2024-01-05") & (F.col("event_id") == "evt-150")).select("event_id", "timestamp")
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan
+    assert "EqualTo(event_id,evt-150)" in plan
+    assert "ReadSchema: struct<event_id:string,timestamp:timestamp>" in plan
+    assert q.count() <= 1
