@@ -57,6 +57,12 @@ def main() -> None:
     print("adaptive plan: a reused shuffle counts once. The driver tables are single small files, so every")
     print("scan is spread over the cores by one hash exchange, counted under shuffles. A large table skips")
     print("that exchange.\n")
+    print("Queries over messages, outcomes or landed rows read all `events` columns. Every field goes")
+    print("into the message JSON, and the landed fields come out of parsing it, so no predicate can")
+    print("reach the `events` scan. A stored landed table (`sources.tables.write_landed`, partitioned")
+    print("by date) prunes partitions and pushes `event_id`/`timestamp` predicates into the scan; see")
+    print("`tests/test_tables.py::test_landed_table_prunes_and_pushes_down`. Metric queries read only")
+    print("`ts`, `event_type`, `value`, with time ranges pushed down.\n")
     print("| query | scans (columns read, pushed filters) | shuffles | reused | BHJ | SMJ | BNLJ | windows | python |")
     print("|---|---|---|---|---|---|---|---|---|")
     for name, fn in queries().items():
