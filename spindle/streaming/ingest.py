@@ -10,6 +10,7 @@ with an at-least-once source).
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,9 +57,38 @@ def kafka_messages(spark: SparkSession, servers: str, topic: str) -> DataFrame:
     )
 
 
-def _sink_writer(landed_path: str, rejects_path: str, raw_path: str | None
-                 ) -> Callable[[DataFrame, int], None]:
+def batch_points(out: DataFrame, batch_id: int, started: float, finished: float,
+                 default_labels: dict[str, str] | None = None) -> DataFrame:
+    """Metric points of one micro-batch: counters aggregated per batch (one row
+    per metric and label set, value = count), batch size and batch time gauges.
+    The end time of every point is the batch's latest publish time."""
+    from spindle.operators import metrics as mx
+
+    pts = mx.outcome_points(out, default_labels)
+    counters = (pts.where(F.col("metric_kind") == "CUMULATIVE")
+                .groupBy("metric_type", "metric_kind", "value_type", "labels", "resource")
+                .agg(F.sum("value").alias("value"), F.max("end_time").alias("end_time")))
+    base = pts.where(F.col("metric_type") == mx.RECEIVED).agg(
+        F.count(F.lit(1)).cast("double").alias("n"), F.max("end_time").alias("end_time"))
+    labels = F.create_map(*[F.lit(x) for kv in (default_labels or {}).items() for x in kv]) \
+        if default_labels else F.create_map().cast("map<string,string>")
+    gauges = base.select(F.explode(F.array(
+        F.struct(F.lit("batch_size/batch_size").alias("metric_type"), F.lit("INT64").alias("value_type"),
+                 F.col("n").alias("value")),
+        F.struct(F.lit("latency/batch_processing_time").alias("metric_type"),
+                 F.lit("DOUBLE").alias("value_type"), F.lit(float(finished - started)).alias("value")),
+    )).alias("g"), "end_time").select(
+        F.col("g.metric_type").alias("metric_type"), F.lit("GAUGE").alias("metric_kind"),
+        F.col("g.value_type").alias("value_type"), labels.alias("labels"),
+        F.create_map(F.lit("type"), F.lit("generic_task")).alias("resource"),
+        F.col("g.value").alias("value"), "end_time")
+    return counters.unionByName(gauges).withColumn("batch_id", F.lit(batch_id))
+
+
+def _sink_writer(landed_path: str, rejects_path: str, raw_path: str | None,
+                 metrics_path: str | None = None) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, batch_id: int) -> None:
+        started = time.time()
         out = envelope.outcomes(batch).persist()
         try:
             landed = envelope.landed(out).withColumn("date", F.to_date("timestamp"))
@@ -68,6 +98,9 @@ def _sink_writer(landed_path: str, rejects_path: str, raw_path: str | None
                 (batch.withColumn("date", F.to_date("publish_time"))
                  .write.mode("overwrite").partitionBy("date")
                  .parquet(f"{raw_path}/batch_id={batch_id}"))
+            if metrics_path:
+                pts = batch_points(out, batch_id, started, time.time())
+                pts.drop("batch_id").write.mode("overwrite").parquet(f"{metrics_path}/batch_id={batch_id}")
         finally:
             out.unpersist()
     return write
@@ -75,12 +108,15 @@ def _sink_writer(landed_path: str, rejects_path: str, raw_path: str | None
 
 def start_ingest(messages: DataFrame, landed_path: str, rejects_path: str,
                  checkpoint: str | None = None, raw_path: str | None = None,
+                 metrics_path: str | None = None,
                  available_now: bool = False, processing_time: str | None = None,
                  name: str | None = None) -> StreamingQuery:
-    """Start the two-sink ingest stream (optionally a third raw lake copy, A15)."""
+    """Start the two-sink ingest stream; optionally a raw lake copy (A15) and
+    per-batch metric points (counters, batch size and time: D16, D18)."""
     spark = messages.sparkSession
     ckpt = checkpoint or f"{checkpoint_root(spark)}/ingest"
-    writer = messages.writeStream.foreachBatch(_sink_writer(landed_path, rejects_path, raw_path)) \
+    writer = messages.writeStream.foreachBatch(
+        _sink_writer(landed_path, rejects_path, raw_path, metrics_path)) \
         .option("checkpointLocation", ckpt)
     if name:
         writer = writer.queryName(name)

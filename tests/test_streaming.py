@@ -90,8 +90,13 @@ def test_raw_copy_and_observed_counts(spark, scratch):
     messages_df(spark, [_msg("a", 10), "bad"]).write.parquet(src)
     q = ingest.start_ingest(ingest.read_messages(spark, src), f"{scratch}/l", f"{scratch}/r",
                             checkpoint=f"{scratch}/raw_ckpt", raw_path=f"{scratch}/raw",
-                            available_now=True)
+                            metrics_path=f"{scratch}/m", available_now=True)
     q.awaitTermination(300)
+    m = {(r.metric_type, r.value) for r in spark.read.parquet(f"{scratch}/m").collect()
+         if r.metric_type != "latency/batch_processing_time"}
+    assert m == {("counter/messages_received", 2.0), ("counter/messages_processed", 1.0),
+                 ("counter/messages_failed", 1.0), ("counter/errors/json_syntax", 1.0),
+                 ("batch_size/batch_size", 2.0)}
     raw = spark.read.parquet(f"{scratch}/raw")
     assert raw.count() == 2 and "date" in raw.columns
     assert spark.read.parquet(f"{scratch}/r").collect()[0].reject_reason == "json_syntax"
