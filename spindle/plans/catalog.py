@@ -521,3 +521,14 @@ def throughput_errors(spark, sf):
     """Throughput and errors per run."""
     t = rn.throughput_errors(_runs(spark, sf))
     return t.select("test_name", F.round("throughput", 9).alias("throughput"), "errors")
+
+
+@register
+def alerts_config_rules(spark, sf):
+    """H9: the wired rules of the monitoring configuration as configured
+    (60 s alignment, 300 s duration) over latency, error-rate and throughput points."""
+    pts = _points(spark, sf)
+    period = al.DEFAULT_PERIOD_S
+    allp = pts.unionByName(_latency(spark, sf)).unionByName(mx.error_rate_points(pts, period))
+    wired = [r for r in al.CONFIG_RULES if r[7]]
+    return _alert_out(al.evaluate(allp, al.rules_frame(spark, wired)))

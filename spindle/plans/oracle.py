@@ -371,3 +371,13 @@ SELECT test_name, 'Sent' AS kind, messages_sent AS count FROM rs
 UNION ALL SELECT test_name, 'Processed', messages_processed FROM rs""")
 
 ORACLE["throughput_errors"] = wr("SELECT test_name, round(throughput, 9) AS throughput, errors FROM rs")
+
+_ERR_B60 = (f"SELECT {BASE_SERIES} AS series, {bucket('publish_time', 60)} AS bucket, "
+            "avg(CASE WHEN reject_reason IS NOT NULL THEN 1.0 ELSE 0.0 END) AS value FROM cls GROUP BY 1, 2")
+
+ORACLE["alerts_config_rules"] = alert_sql([
+    islands("lat", "processing_latency", _lat_b(60), ">", 5.0, 300, 60),
+    islands("er", "error_rate", _ERR_B60, ">", 0.01, 300, 60),
+    islands("lt", "low_throughput", _pts_b("counter/messages_processed", "sum", 60), "<", 100.0, 300, 60,
+            fill=True),
+])

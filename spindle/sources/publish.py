@@ -59,5 +59,15 @@ def ordered_by_key(messages: DataFrame, partitions: int | None = None) -> DataFr
     return parts.sortWithinPartitions("ordering_key", "publish_time")
 
 
+def write_messages(messages: DataFrame, path: str, max_records_per_file: int | None = None,
+                   mode: str = "append") -> None:
+    """Batch publish to a file-based topic; ``max_records_per_file`` bounds a
+    publish batch by count (a streaming writer bounds it by trigger interval)."""
+    writer = messages.write.mode(mode)
+    if max_records_per_file:
+        writer = writer.option("maxRecordsPerFile", str(max_records_per_file))
+    writer.parquet(path)
+
+
 def message_schema():
     return MESSAGE

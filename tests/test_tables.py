@@ -75,3 +75,14 @@ def test_landed_table_prunes_and_pushes_down(spark, scratch):
     assert "EqualTo(event_id,evt-150)" in plan
     assert "ReadSchema: struct<event_id:string,timestamp:timestamp>" in plan
     assert q.count() <= 1
+
+
+def test_write_messages_bounds_batch_size(spark, scratch):
+    import os
+
+    from spindle.sources.publish import write_messages
+    df = spark.createDataFrame([(str(i),) for i in range(10)], "id string").coalesce(1)
+    m = publish(df, F.struct("id"), F.col("id"), F.lit(T0))
+    write_messages(m, f"{scratch}/topic", max_records_per_file=3)
+    files = [f for f in os.listdir(f"{scratch}/topic") if f.endswith(".parquet")]
+    assert len(files) == 4 and spark.read.parquet(f"{scratch}/topic").count() == 10
