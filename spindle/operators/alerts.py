@@ -46,6 +46,10 @@ def rule(name: str, metric_type: str, comparison: str, threshold: float,
          aligner: str = "mean", wired: bool = True) -> tuple:
     if comparison not in ("GT", "LT"):
         raise ValueError("comparison must be GT or LT")
+    if int(period_s) <= 0 or int(duration_s) < 0:
+        raise ValueError("period_s must be positive and duration_s non-negative")
+    if aligner not in ("mean", "sum", "count", "rate", "max", "min"):
+        raise ValueError(f"unknown aligner {aligner}")
     return (name, metric_type, aligner, comparison, float(threshold), int(duration_s),
             int(period_s), wired)
 

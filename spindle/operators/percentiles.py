@@ -23,15 +23,27 @@ from pyspark.sql import functions as F
 
 
 def coarse_bucket(v: Column) -> Column:
-    """Monotone non-decreasing integer key of a double (0 for 0.0)."""
+    """Monotone non-decreasing integer key of a double (0 for 0.0).
+
+    Sign, decade and three significant digits. The divisor's exponent is
+    clamped so subnormal values cannot divide by an underflowed 0; -Inf, +Inf
+    and NaN get the outermost keys (Spark orders NaN above +Inf).
+    """
     a = F.abs(v)
     e = F.floor(F.log10(a))
-    m = F.floor(a / F.pow(F.lit(10.0), e) * F.lit(1000.0))
+    m = F.floor(a / F.pow(F.lit(10.0), F.greatest(e, F.lit(-300))) * F.lit(1000.0))
     mag = (e + F.lit(400)) * F.lit(10001) + m
+    big = F.lit(10_000_000)
+    key = (
+        F.when(F.isnan(v), big + 2)
+        .when(v == F.lit(float("inf")), big + 1)
+        .when(v == F.lit(float("-inf")), -big - 1)
+        .when(v > 0, mag).when(v < 0, -mag).otherwise(F.lit(0))
+    )
     # coalesce makes the key non-nullable, so joins on it infer no extra
     # filter and both reads of the compressed values stay identical plans
     # (the shuffle is then computed once and reused).
-    return F.coalesce(F.when(v > 0, mag).when(v < 0, -mag).otherwise(F.lit(0)).cast("long"), F.lit(0))
+    return F.coalesce(key.cast("long"), F.lit(0))
 
 
 def exact_percentiles(df: DataFrame, group_cols: Sequence[str], value_col: str,

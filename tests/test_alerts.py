@@ -82,3 +82,13 @@ def test_gap_method_equals_grid_fill(spark, series, th, dur):
     grid = al.breach_runs(al.fill_gaps(aligned, r), r, fill_lt=False)
     key = lambda df: sorted((x.series, x.start_time, x.end_time, x.buckets) for x in df.collect())
     assert key(fast) == key(grid)
+
+
+def test_rule_validation():
+    import pytest
+    with pytest.raises(ValueError):
+        al.rule("x", "m", "GE", 1.0)
+    with pytest.raises(ValueError):
+        al.rule("x", "m", "GT", 1.0, period_s=0)
+    with pytest.raises(ValueError):
+        al.rule("x", "m", "GT", 1.0, aligner="median")

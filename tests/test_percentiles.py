@@ -15,7 +15,8 @@ def brute(values, p):
 
 values_st = st.lists(
     st.one_of(st.floats(min_value=-1e6, max_value=1e6, allow_nan=False),
-              st.sampled_from([0.0, 1.0, 1.0005, 999.9999, 1000.0, -2.5, 1e-9])),
+              st.sampled_from([0.0, 1.0, 1.0005, 999.9999, 1000.0, -2.5, 1e-9, 5e-324, -1e-310,
+                               1.7976931348623157e308, float("inf"), float("-inf")])),
     min_size=1, max_size=60)
 
 
@@ -51,3 +52,14 @@ def test_approx_close(spark):
     df = spark.createDataFrame([(0, v) for v in vals], "g int, value double")
     got = {r.p: r.value for r in approx_percentiles(df, ["g"], "value", [0.5, 0.99]).collect()}
     assert abs(got[0.5] - 500) <= 2 and abs(got[0.99] - 990) <= 2
+
+
+def test_bucket_is_monotone_on_edge_values(spark):
+    from pyspark.sql import functions as F
+
+    from spindle.operators.percentiles import coarse_bucket
+    vals = sorted([5e-324, 1e-310, 1e-300, 0.0, 1.0, 9.999, 10.0, 10.001, 1e308, -1e308, -1.0,
+                   -5e-324, float("inf"), float("-inf")]) + [float("nan")]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, v double")
+    keys = [r.b for r in df.select("i", coarse_bucket(F.col("v")).alias("b")).orderBy("i").collect()]
+    assert keys == sorted(keys)
