@@ -19,11 +19,13 @@ from pyspark.sql import functions as F
 
 from spindle.functions.labels import series_key
 from spindle.functions.timefmt import bucket_start
+from spindle.operators.joins import broadcast_if_small
 from spindle.schemas import ALERT_RULES
 from spindle.session import materialize
 
 # Alert rules of the monitoring configuration
 # (rule, metric_type, aligner, comparison, threshold, duration_s, period_s, wired).
+MAX_BROADCAST_RULES = 100_000
 DEFAULT_DURATION_S = 300
 DEFAULT_PERIOD_S = 60
 CONFIG_RULES = [
@@ -57,9 +59,10 @@ def rule(name: str, metric_type: str, comparison: str, threshold: float,
 def aligned_by_rule(points: DataFrame, rules: DataFrame) -> DataFrame:
     """One value per (rule, series, bucket) using each rule's own period and aligner.
 
-    The rules table is a handful of configuration rows, so it is broadcast.
+    The rules table is configuration (a handful of rows); it is broadcast
+    after a bounded size check.
     """
-    joined = points.join(F.broadcast(rules), "metric_type")
+    joined = points.join(broadcast_if_small(rules, MAX_BROADCAST_RULES), "metric_type")
     bucket = bucket_start(F.col("end_time"), F.col("period_s"))
     aligner = F.col("aligner")
     agg_value = (
@@ -141,7 +144,8 @@ def breach_runs(aligned: DataFrame, rules: DataFrame, min_duration: bool = True,
     With ``fill_lt`` an LT rule with a positive threshold treats a missing
     bucket as 0, i.e. as breaching.
     """
-    r = F.broadcast(rules.select("rule", "comparison", "threshold", "duration_s", "period_s"))
+    r = broadcast_if_small(rules.select("rule", "comparison", "threshold", "duration_s", "period_s"),
+                           MAX_BROADCAST_RULES)
     a = aligned.join(r, "rule")
     filled = (F.col("comparison") == "LT") & (F.col("threshold") > 0) if fill_lt else F.lit(False)
     runs = _islands(a.where(~filled)).drop("_island", "_last").unionByName(_gaps(a.where(filled)))

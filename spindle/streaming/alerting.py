@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from spindle.functions.labels import series_key
 from spindle.functions.timefmt import bucket_start
 from spindle.operators import alerts as al
+from spindle.operators.joins import broadcast_if_small
 from spindle.session import checkpoint_root
 
 ALIGNED_SCHEMA = "rule string, series string, bucket timestamp, value double"
@@ -26,7 +27,7 @@ ALIGNED_SCHEMA = "rule string, series string, bucket timestamp, value double"
 def closed_buckets(points: DataFrame, rules: DataFrame, lateness: str) -> DataFrame:
     """Streaming (rule, series, bucket, value); a bucket is emitted once,
     after the watermark (max bucket seen - lateness) passes it."""
-    joined = points.join(F.broadcast(rules), "metric_type")
+    joined = points.join(broadcast_if_small(rules, al.MAX_BROADCAST_RULES), "metric_type")
     b = (joined.withColumn("bucket", bucket_start(F.col("end_time"), F.col("period_s")))
          .withColumn("series", series_key(F.col("labels")))
          .withWatermark("bucket", lateness))
