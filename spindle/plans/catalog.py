@@ -264,7 +264,7 @@ def sample_rows(spark, sf):
 def end_to_end_latency(spark, sf):
     """Processing time minus event time, seconds."""
     ld = derived.landed(spark, sf)
-    return ld.select("event_id", F.round(seconds_between(F.col("timestamp"), F.col("processing_timestamp")), 6)
+    return ld.select("event_id", F.round(seconds_between(F.col("timestamp"), F.col("processing_timestamp")), 9)
                      .alias("latency_s"))
 
 
@@ -322,15 +322,18 @@ def _latency(spark, sf):
     return derived.metrics(spark, sf)
 
 
-def _r6(c):
-    return F.round(c, 6)
+def _rd(c):
+    # 9 decimals: far from any cross-engine summation error, and a mean of
+    # two-decimal values cannot end in an exact tie at the 10th decimal for
+    # group sizes here (a tie at 6 decimals does occur at sf0.1).
+    return F.round(c, 9)
 
 
 @register
 def metrics_points(spark, sf):
     """Counter and latency points from per-message outcomes."""
     p = _points(spark, sf)
-    return p.select("metric_type", "metric_kind", "value_type", _r6(F.col("value")).alias("value"),
+    return p.select("metric_type", "metric_kind", "value_type", _rd(F.col("value")).alias("value"),
                     series_key(F.col("labels")).alias("series"), to_naive(F.col("end_time")).alias("end_time"))
 
 
@@ -350,7 +353,7 @@ def metric_stats(spark, sf):
     req = spark.createDataFrame([(t,) for t in REQUESTED_TYPES], "event_type string")
     return (req.join(st, "event_type", "left")
             .select("event_type", F.coalesce("n", F.lit(0)).cast("long").alias("n"),
-                    _r6(F.coalesce("mean", F.lit(0.0))).alias("mean")))
+                    _rd(F.coalesce("mean", F.lit(0.0))).alias("mean")))
 
 
 @register
@@ -365,7 +368,7 @@ def aligned_mean(spark, sf):
     """Per-series mean per one-hour alignment period."""
     x = mx.with_series(_latency(spark, sf))
     a = mx.aligned(x, HOUR, "mean", ["series"])
-    return a.select("series", to_naive(F.col("bucket")).alias("bucket"), _r6(F.col("value")).alias("mean"), "n")
+    return a.select("series", to_naive(F.col("bucket")).alias("bucket"), _rd(F.col("value")).alias("mean"), "n")
 
 
 @register
@@ -385,7 +388,7 @@ def errors_by_stage(spark, sf):
 def batch_stats(spark, sf):
     """Batch size and time span per batch id."""
     b = mx.batch_stats(derived.outcomes(spark, sf))
-    return b.select("batch_id", "batch_size", _r6(F.col("span_s")).alias("span_s"))
+    return b.select("batch_id", "batch_size", _rd(F.col("span_s")).alias("span_s"))
 
 
 @register
@@ -400,7 +403,7 @@ def dashboard_rollup(spark, sf):
         "mean_e2e_latency": (mx.E2E_LATENCY, "mean"),
     })
     return d.select(to_naive(F.col("bucket")).alias("bucket"),
-                    *[_r6(F.col(c)).alias(c) for c in
+                    *[_rd(F.col(c)).alias(c) for c in
                       ("received", "processed", "failed", "mean_latency", "mean_e2e_latency")])
 
 
@@ -473,7 +476,7 @@ def run_summary(spark, sf):
     return r.select(
         "test_name", to_naive(F.col("start_time")).alias("start_time"),
         to_naive(F.col("end_time")).alias("end_time"), "messages_sent", "messages_processed",
-        _r6(F.col("avg_latency")).alias("avg_latency"), "p50_latency", "p95_latency", "p99_latency",
+        _rd(F.col("avg_latency")).alias("avg_latency"), "p50_latency", "p95_latency", "p99_latency",
         "errors", F.round("throughput", 9).alias("throughput"))
 
 
@@ -481,7 +484,7 @@ def run_summary(spark, sf):
 def run_analysis(spark, sf):
     """Totals, throughput stability, efficiency over all runs."""
     a = rn.run_analysis(_runs(spark, sf)).drop("latency_throughput_correlation")
-    return a.select(*[_r6(F.col(c)).alias(c) if c.startswith(("avg", "max", "processing", "throughput"))
+    return a.select(*[_rd(F.col(c)).alias(c) if c.startswith(("avg", "max", "processing", "throughput"))
                       else F.col(c) for c in a.columns])
 
 
@@ -489,7 +492,7 @@ def run_analysis(spark, sf):
 def run_correlation(spark, sf):
     """Pearson correlation of throughput and mean latency across runs."""
     a = rn.run_analysis(_runs(spark, sf))
-    return a.select(_r6(F.col("latency_throughput_correlation")).alias("correlation"))
+    return a.select(_rd(F.col("latency_throughput_correlation")).alias("correlation"))
 
 
 @register

@@ -115,7 +115,7 @@ ORACLE["sample_rows"] = w("""
 SELECT eid AS event_id, ts AS timestamp FROM landed ORDER BY eid LIMIT 10""")
 
 ORACLE["end_to_end_latency"] = w("""
-SELECT eid AS event_id, round(CAST(event_id % 30 AS DOUBLE), 6) AS latency_s FROM landed""")
+SELECT eid AS event_id, round(CAST(event_id % 30 AS DOUBLE), 9) AS latency_s FROM landed""")
 
 ORACLE["tumbling_counts"] = w("""
 SELECT time_bucket(INTERVAL 60 SECOND, ts) AS window_start, event_type, count(*) AS n
@@ -164,7 +164,7 @@ def wm(body: str, ctes: str = "") -> str:
 
 
 ORACLE["metrics_points"] = wm("""
-SELECT metric_type, metric_kind, value_type, round(value, 6) AS value, series, end_time FROM pts""")
+SELECT metric_type, metric_kind, value_type, round(value, 9) AS value, series, end_time FROM pts""")
 
 ORACLE["metric_scan"] = wm("""
 SELECT series, value, end_time FROM xp
@@ -175,7 +175,7 @@ req AS (SELECT unnest(['click','error','purchase','signup','view','refund']) AS
 st AS (SELECT event_type, count(value) AS n, avg(value) AS mean FROM xp
        WHERE end_time BETWEEN TIMESTAMP '2024-01-10 00:00:00' AND TIMESTAMP '2024-01-12 00:00:00'
        GROUP BY event_type)
-SELECT req.event_type, coalesce(n, 0) AS n, round(coalesce(mean, 0.0), 6) AS mean
+SELECT req.event_type, coalesce(n, 0) AS n, round(coalesce(mean, 0.0), 9) AS mean
 FROM req LEFT JOIN st USING (event_type)"""
 
 _PCT = """
@@ -186,7 +186,7 @@ SELECT series, p, value FROM r, ps WHERE rn = floor(n * p) + 1"""
 ORACLE["metric_percentiles"] = "WITH " + XP + _PCT.replace("\n, r AS", ",\nr AS", 1)
 
 ORACLE["aligned_mean"] = "WITH " + XP + f"""
-SELECT series, {bucket('end_time', 3600)} AS bucket, round(avg(value), 6) AS mean, count(*) AS n
+SELECT series, {bucket('end_time', 3600)} AS bucket, round(avg(value), 9) AS mean, count(*) AS n
 FROM xp GROUP BY 1, 2"""
 
 ORACLE["outcome_counts"] = w(f"""
@@ -203,16 +203,16 @@ FROM cls WHERE reject_reason IS NOT NULL GROUP BY 1""")
 
 ORACLE["batch_stats"] = w("""
 SELECT batch_id, count(*) AS batch_size,
-       round((epoch_us(max(publish_time)) - epoch_us(min(publish_time))) / 1e6, 6) AS span_s
+       round((epoch_us(max(publish_time)) - epoch_us(min(publish_time))) / 1e6, 9) AS span_s
 FROM cls GROUP BY batch_id""")
 
 ORACLE["dashboard_rollup"] = wm(f"""
 SELECT {bucket('end_time', 3600)} AS bucket,
-  round(coalesce(sum(value) FILTER (WHERE metric_type = 'counter/messages_received'), 0.0), 6) AS received,
-  round(coalesce(sum(value) FILTER (WHERE metric_type = 'counter/messages_processed'), 0.0), 6) AS processed,
-  round(coalesce(sum(value) FILTER (WHERE metric_type = 'counter/messages_failed'), 0.0), 6) AS failed,
-  round(avg(value) FILTER (WHERE metric_type = 'latency/processing_latency'), 6) AS mean_latency,
-  round(avg(value) FILTER (WHERE metric_type = 'latency/end_to_end_latency'), 6) AS mean_e2e_latency
+  round(coalesce(sum(value) FILTER (WHERE metric_type = 'counter/messages_received'), 0.0), 9) AS received,
+  round(coalesce(sum(value) FILTER (WHERE metric_type = 'counter/messages_processed'), 0.0), 9) AS processed,
+  round(coalesce(sum(value) FILTER (WHERE metric_type = 'counter/messages_failed'), 0.0), 9) AS failed,
+  round(avg(value) FILTER (WHERE metric_type = 'latency/processing_latency'), 9) AS mean_latency,
+  round(avg(value) FILTER (WHERE metric_type = 'latency/end_to_end_latency'), 9) AS mean_e2e_latency
 FROM allp
 WHERE metric_type IN ('counter/messages_received', 'counter/messages_processed', 'counter/messages_failed',
                       'latency/processing_latency', 'latency/end_to_end_latency')
@@ -335,25 +335,25 @@ def wr(body: str) -> str:
 
 
 ORACLE["run_summary"] = wr("""
-SELECT test_name, start_time, end_time, messages_sent, messages_processed, round(avg_latency, 6) AS avg_latency,
+SELECT test_name, start_time, end_time, messages_sent, messages_processed, round(avg_latency, 9) AS avg_latency,
        p50_latency, p95_latency, p99_latency, errors, round(throughput, 9) AS throughput FROM rs""")
 
 ORACLE["run_analysis"] = wr("""
 SELECT count(*) AS total_tests, CAST(sum(messages_sent) AS BIGINT) AS total_messages_sent,
        CAST(sum(messages_processed) AS BIGINT) AS total_messages_processed,
        CAST(sum(errors) AS BIGINT) AS total_errors,
-       round(avg(throughput), 6) AS avg_throughput, round(max(throughput), 6) AS max_throughput,
-       round(avg(avg_latency), 6) AS avg_latency,
+       round(avg(throughput), 9) AS avg_throughput, round(max(throughput), 9) AS max_throughput,
+       round(avg(avg_latency), 9) AS avg_latency,
        round(CASE WHEN sum(messages_sent) > 0 THEN sum(messages_processed) / sum(messages_sent) * 100
-                  ELSE 0.0 END, 6) AS processing_efficiency,
-       round(stddev_pop(throughput), 6) AS throughput_std,
-       round(CASE WHEN avg(throughput) > 0 THEN stddev_pop(throughput) / avg(throughput) ELSE 0.0 END, 6)
+                  ELSE 0.0 END, 9) AS processing_efficiency,
+       round(stddev_pop(throughput), 9) AS throughput_std,
+       round(CASE WHEN avg(throughput) > 0 THEN stddev_pop(throughput) / avg(throughput) ELSE 0.0 END, 9)
          AS throughput_cv
 FROM rs""")
 
 ORACLE["run_correlation"] = wr("""
 SELECT round(covar_pop(throughput, avg_latency)
-             / nullif(stddev_pop(throughput) * stddev_pop(avg_latency), 0), 6) AS correlation FROM rs""")
+             / nullif(stddev_pop(throughput) * stddev_pop(avg_latency), 0), 9) AS correlation FROM rs""")
 
 ORACLE["high_error_runs"] = wr("SELECT test_name FROM rs WHERE errors > 0")
 
