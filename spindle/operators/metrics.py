@@ -25,6 +25,51 @@ E2E_LATENCY = "latency/end_to_end_latency"
 ERROR_RATE = "ratio/error_rate"
 
 
+# Metric catalogue of the monitoring configuration (name, declared kind).
+CATALOG = [
+    ("messages_received", "counter"),
+    ("messages_processed", "counter"),
+    ("messages_failed", "counter"),
+    ("processing_latency", "gauge"),
+    ("end_to_end_latency", "gauge"),
+    ("batch_size", "gauge"),
+    ("batch_processing_time", "gauge"),
+    ("parsing_errors", "counter"),
+    ("validation_errors", "counter"),
+    ("processing_errors", "counter"),
+    ("storage_errors", "counter"),
+    ("cpu_usage", "gauge"),
+    ("memory_usage", "gauge"),
+    ("disk_usage", "gauge"),
+]
+
+
+def catalog_frame(spark) -> DataFrame:
+    return spark.createDataFrame(CATALOG, "name string, declared_kind string")
+
+
+def metric_name(mtype: Column) -> Column:
+    """Name part of a metric type path: 'latency/end_to_end_latency' -> 'end_to_end_latency'."""
+    return F.regexp_extract(mtype, r"^[^/]+/(.*)$", 1)
+
+
+def with_catalog(points: DataFrame, catalog: DataFrame) -> DataFrame:
+    """Attach the declared kind of each point's metric (NULL when the
+    metric is not in the catalogue). The catalogue is a fixed handful of
+    rows, so it is broadcast."""
+    return points.withColumn("name", metric_name(F.col("metric_type"))).join(
+        F.broadcast(catalog), "name", "left")
+
+
+def catalog_usage(points: DataFrame, catalog: DataFrame) -> DataFrame:
+    """Points per catalogue metric (0 for declared metrics with no points);
+    points are counted per name first, so only one row per name is joined."""
+    per_name = points.groupBy(metric_name(F.col("metric_type")).alias("name")).agg(
+        F.count(F.lit(1)).alias("n_points"))
+    return (catalog.join(per_name, "name", "left")
+            .select("name", "declared_kind", F.coalesce("n_points", F.lit(0)).alias("n_points")))
+
+
 def metric_type(kind: str, name: str) -> str:
     return f"{kind}/{name}"
 

@@ -535,3 +535,10 @@ def alerts_config_rules(spark, sf):
     allp = pts.unionByName(_latency(spark, sf)).unionByName(mx.error_rate_points(pts, period))
     wired = [r for r in al.CONFIG_RULES if r[7]]
     return _alert_out(al.evaluate(allp, al.rules_frame(spark, wired)))
+
+
+@register
+def metric_catalog_usage(spark, sf):
+    """The metric catalogue joined with the points actually produced."""
+    pts = _points(spark, sf).unionByName(_latency(spark, sf))
+    return mx.catalog_usage(pts, mx.catalog_frame(spark))

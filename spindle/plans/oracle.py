@@ -381,3 +381,16 @@ ORACLE["alerts_config_rules"] = alert_sql([
     islands("lt", "low_throughput", _pts_b("counter/messages_processed", "sum", 60), "<", 100.0, 300, 60,
             fill=True),
 ])
+
+ORACLE["metric_catalog_usage"] = wm("""
+SELECT c.name, c.declared_kind, coalesce(p.n, 0) AS n_points
+FROM cat c LEFT JOIN (
+  SELECT regexp_extract(metric_type, '^[^/]+/(.*)$', 1) AS name, count(*) AS n
+  FROM (SELECT metric_type FROM pts UNION ALL SELECT 'latency/processing_latency' FROM xp)
+  GROUP BY 1) p USING (name)""", ctes="""
+cat AS (SELECT * FROM (VALUES
+  ('messages_received', 'counter'), ('messages_processed', 'counter'), ('messages_failed', 'counter'),
+  ('processing_latency', 'gauge'), ('end_to_end_latency', 'gauge'), ('batch_size', 'gauge'),
+  ('batch_processing_time', 'gauge'), ('parsing_errors', 'counter'), ('validation_errors', 'counter'),
+  ('processing_errors', 'counter'), ('storage_errors', 'counter'), ('cpu_usage', 'gauge'),
+  ('memory_usage', 'gauge'), ('disk_usage', 'gauge')) AS t(name, declared_kind))""")

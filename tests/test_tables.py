@@ -86,3 +86,45 @@ def test_write_messages_bounds_batch_size(spark, scratch):
     write_messages(m, f"{scratch}/topic", max_records_per_file=3)
     files = [f for f in os.listdir(f"{scratch}/topic") if f.endswith(".parquet")]
     assert len(files) == 4 and spark.read.parquet(f"{scratch}/topic").count() == 10
+
+
+def test_load_results_json_array(spark, scratch):
+    """Run results written as one JSON array with ISO text timestamps."""
+    import json
+    import os
+
+    recs = [{"test_name": "constant_load_10mps", "start_time": "2024-01-01T00:00:00",
+             "end_time": "2024-01-01T00:01:00Z", "messages_sent": 600, "messages_processed": 598,
+             "avg_latency": 0.2, "p50_latency": 0.1, "p95_latency": 0.5, "p99_latency": 0.9,
+             "errors": 2, "throughput": 9.97},
+            {"test_name": "bad_time", "start_time": "not a time", "end_time": None, "messages_sent": 1,
+             "messages_processed": 1, "avg_latency": 0.0, "p50_latency": 0.0, "p95_latency": 0.0,
+             "p99_latency": 0.0, "errors": 0, "throughput": 0.0}]
+    os.makedirs(f"{scratch}/arr")
+    with open(f"{scratch}/arr/results.json", "w") as fh:
+        json.dump(recs, fh, indent=2)
+    rows = {r.test_name: r for r in results.load_results(spark, f"{scratch}/arr", multiline=True).collect()}
+    assert rows["constant_load_10mps"].end_time == T0 + dt.timedelta(minutes=1)
+    assert rows["constant_load_10mps"].messages_processed == 598
+    assert rows["bad_time"].start_time is None
+
+
+def test_append_stream_to_table(spark, scratch):
+    from spindle.streaming import ingest
+
+    src = f"{scratch}/rows"
+    spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int").write.parquet(src)
+    stream = spark.readStream.schema("k string, v int").parquet(src)
+    q = ingest.append_stream(stream, "appended_rows", f"{scratch}/ck_append")
+    q.processAllAvailable()
+    q.stop()
+    assert spark.table("appended_rows").count() == 2
+
+
+def test_catalog_join_marks_undeclared_metrics(spark):
+    from spindle.operators import metrics as mx
+
+    pts = spark.createDataFrame([("counter/messages_received",), ("counter/errors/json_syntax",)],
+                                "metric_type string")
+    got = {r.name: r.declared_kind for r in mx.with_catalog(pts, mx.catalog_frame(spark)).collect()}
+    assert got == {"messages_received": "counter", "errors/json_syntax": None}
