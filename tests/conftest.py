@@ -14,7 +14,10 @@ SF_MID = "/root/testdata/sf0.01"
 def spark():
     from spindle.session import checkpoint_root, local_session
 
-    s = local_session(app="spindle-tests", cores="4", partitions=8)
+    # Tests only: a scratch warehouse so managed tables never land in the repo.
+    warehouse = tempfile.mkdtemp(prefix="spindle-wh-")
+    s = local_session(app="spindle-tests", cores="4", partitions=8,
+                      extra={"spark.sql.warehouse.dir": warehouse})
     # Tests only: a scratch checkpoint folder when the session names none.
     checkpoint_root(s, fallback=tempfile.mkdtemp(prefix="spindle-ckpt-"))
     yield s

@@ -15,7 +15,7 @@ NAMES = sorted(queries())
 
 def _norm(v):
     if isinstance(v, float):
-        return "nan" if math.isnan(v) else round(v, 6)
+        return "nan" if math.isnan(v) else v  # exact: both sides round identically
     if isinstance(v, (dt.datetime, dt.date)):
         return v.isoformat()
     return v
