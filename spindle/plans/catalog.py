@@ -13,8 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spindle.functions.jsonfn import get
+from spindle.functions.labels import series_key
 from spindle.functions.timefmt import seconds_between, to_naive
-from spindle.operators import envelope
+from spindle.operators import alerts as al
+from spindle.operators import audit, envelope
+from spindle.operators import metrics as mx
+from spindle.operators import runs as rn
 from spindle.plans import derived
 from spindle.sources import tables
 from spindle.sources.publish import publish
@@ -300,11 +304,6 @@ def reconcile(spark, sf):
 
 # ---------------------------------------------------------------- metrics
 
-from spindle.functions.labels import series_key  # noqa: E402
-from spindle.operators import alerts as al  # noqa: E402
-from spindle.operators import audit  # noqa: E402
-from spindle.operators import metrics as mx  # noqa: E402
-from spindle.operators import runs as rn  # noqa: E402
 
 HOUR = 3600
 PS = (0.5, 0.95, 0.99)

@@ -4,7 +4,7 @@ from pyspark.sql import types as T
 
 STR_MAP = T.MapType(T.StringType(), T.StringType())
 
-# Broker message, as a Kafka/PubSub source delivers it.
+# Broker message, as a message-queue source (e.g. Kafka) delivers it.
 MESSAGE = T.StructType([
     T.StructField("value", T.BinaryType(), True),
     T.StructField("attributes", STR_MAP, True),
