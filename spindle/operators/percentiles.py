@@ -9,9 +9,12 @@ Plan, chosen so that no task ever sorts a whole group:
    significant digits, ~9000 buckets per decade); a histogram per
    (group, bucket) is small, and a running sum over it per group places the
    target rank ``k = floor(n*p) + 1`` in one bucket.
-3. Only the distinct values of that bucket are ranked to find the answer.
-A group holding a third of all rows is spread over its buckets in steps 1
-and 2; only step 3 works per (group, p), on one bucket's distinct values.
+3. The values of that bucket only are histogrammed again on the next four
+   significant digits, which places the rank in one fine bucket.
+4. Only the distinct values of that fine bucket (relative width ~1e-7) are
+   ranked to find the answer.
+A group holding a third of all rows is spread over buckets in steps 1-3;
+only step 4 works per (group, p), on a sliver of the value range.
 """
 
 from __future__ import annotations
@@ -46,6 +49,30 @@ def coarse_bucket(v: Column) -> Column:
     return F.coalesce(key.cast("long"), F.lit(0))
 
 
+def fine_bucket(v: Column) -> Column:
+    """Second-level key inside a ``coarse_bucket``: the next four significant
+    digits (0..9999), ordered like the values (reversed for negatives)."""
+    a = F.abs(v)
+    e = F.floor(F.log10(a))
+    r = a / F.pow(F.lit(10.0), F.greatest(e, F.lit(-300))) * F.lit(1000.0)
+    f = F.least(F.floor((r - F.floor(r)) * F.lit(10000.0)), F.lit(9999))
+    finite = ~F.isnan(v) & (F.abs(v) != F.lit(float("inf")))
+    key = F.when(finite & (v > 0), f).when(finite & (v < 0), F.lit(9999) - f).otherwise(F.lit(0))
+    return F.coalesce(key.cast("long"), F.lit(0))
+
+
+def _locate(hist: DataFrame, keys: list[str], order_col: str, count_col: str, rank_col: str
+            ) -> DataFrame:
+    """For each ``keys`` group with a target rank, keep the ``order_col`` bucket
+    holding it and the residual rank inside that bucket."""
+    running = Window.partitionBy(*keys).orderBy(order_col).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    h = hist.withColumn("_cum", F.sum(count_col).over(running))
+    inside = (F.col("_cum") - F.col(count_col) < F.col(rank_col)) & (F.col(rank_col) <= F.col("_cum"))
+    return h.where(inside).select(
+        *keys, order_col, (F.col(rank_col) - (F.col("_cum") - F.col(count_col))).alias(rank_col))
+
+
 def exact_percentiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
                       ps: Sequence[float], p_col: str = "p", out_col: str = "value") -> DataFrame:
     """One row per (group, p) with the floor-index percentile; empty groups are absent."""
@@ -59,24 +86,23 @@ def exact_percentiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
         .agg(F.count(F.lit(1)).alias("_c"))
         .withColumn("_b", coarse_bucket(F.col("_v")))
     )
+    # Level 1: histogram per (group, coarse bucket); the rank k = floor(n*p)+1.
     hist = vals.groupBy(*g, "_b").agg(F.sum("_c").alias("_bc"))
-    by_group = Window.partitionBy(*g)
-    running = by_group.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hist = (
-        hist.withColumn("_cum", F.sum("_bc").over(running))
-        .withColumn("_n", F.sum("_bc").over(by_group))
-        .withColumn(p_col, F.explode(F.array(*[F.lit(float(p)) for p in ps])))
-        .withColumn("_k", F.floor(F.col("_n") * F.col(p_col)).cast("long") + F.lit(1))
-    )
-    targets = hist.where(
-        (F.col("_cum") - F.col("_bc") < F.col("_k")) & (F.col("_k") <= F.col("_cum"))
-    ).select(*g, "_b", p_col, (F.col("_k") - (F.col("_cum") - F.col("_bc"))).alias("_r"))
-    inside = vals.join(targets, on=[*g, "_b"], how="inner")
+    hist = (hist.withColumn("_n", F.sum("_bc").over(Window.partitionBy(*g)))
+            .withColumn(p_col, F.explode(F.array(*[F.lit(float(p)) for p in ps])))
+            .withColumn("_k", F.floor(F.col("_n") * F.col(p_col)).cast("long") + F.lit(1)))
+    t1 = _locate(hist, [*g, p_col], "_b", "_bc", "_k")
+    # Level 2: only the values of the chosen coarse buckets, by fine bucket.
+    cand = vals.join(t1, on=[*g, "_b"], how="inner").withColumn("_f", fine_bucket(F.col("_v")))
+    hist2 = cand.groupBy(*g, p_col, "_f", "_k").agg(F.sum("_c").alias("_fc"))
+    t2 = _locate(hist2, [*g, p_col], "_f", "_fc", "_k")
+    # Final: rank the distinct values of one fine bucket per (group, p).
+    inside = cand.drop("_k").join(t2, on=[*g, p_col, "_f"], how="inner")
     pick = Window.partitionBy(*g, p_col).orderBy("_v").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     inside = inside.withColumn("_cc", F.sum("_c").over(pick))
     return (
-        inside.where((F.col("_cc") >= F.col("_r")) & (F.col("_cc") - F.col("_c") < F.col("_r")))
+        inside.where((F.col("_cc") >= F.col("_k")) & (F.col("_cc") - F.col("_c") < F.col("_k")))
         .select(*g, p_col, F.col("_v").alias(out_col))
     )
 

@@ -63,3 +63,12 @@ def test_bucket_is_monotone_on_edge_values(spark):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, v double")
     keys = [r.b for r in df.select("i", coarse_bucket(F.col("v")).alias("b")).orderBy("i").collect()]
     assert keys == sorted(keys)
+
+
+def test_values_packed_in_one_coarse_bucket(spark):
+    """All values within a relative 1e-3: the fine level still finds the exact rank."""
+    vals = [1.0 + i * 1e-9 for i in range(3000)] + [1.0004] * 50 + [-1.0 - i * 1e-9 for i in range(500)]
+    df = spark.createDataFrame([(0, v) for v in vals], "g int, value double")
+    got = {r.p: r.value for r in exact_percentiles(df, ["g"], "value", PS).collect()}
+    for p in PS:
+        assert got[p] == brute(vals, p)
