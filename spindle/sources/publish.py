@@ -69,5 +69,18 @@ def write_messages(messages: DataFrame, path: str, max_records_per_file: int | N
     writer.parquet(path)
 
 
+def start_publish(messages: DataFrame, path: str, checkpoint: str,
+                  processing_time: str | None = None, available_now: bool = False):
+    """Streaming publish to a file-based topic (the Kafka form writes
+    ``to_kafka_frame(messages)`` with ``format("kafka")``)."""
+    w = (messages.writeStream.format("parquet").option("path", path)
+         .option("checkpointLocation", checkpoint))
+    if available_now:
+        w = w.trigger(availableNow=True)
+    elif processing_time:
+        w = w.trigger(processingTime=processing_time)
+    return w.start()
+
+
 def message_schema():
     return MESSAGE

@@ -140,3 +140,33 @@ def test_ordered_by_key(spark):
     for i, part in enumerate(parts):
         for r in part:
             assert seen.setdefault(r.ordering_key, i) == i
+
+
+def test_publish_then_ingest_end_to_end(spark, scratch):
+    """Volume case: 100 rows published as messages by a stream, all 100 land."""
+    from pyspark.sql import functions as F
+
+    from spindle.sources.publish import publish, start_publish
+
+    src = f"{scratch}/rows"
+    spark.range(100).select(
+        F.concat(F.lit("perf-test-"), F.col("id").cast("string")).alias("event_id"),
+        (F.lit("2024-01-01 00:00:00").cast("timestamp") + F.make_dt_interval(secs=F.col("id"))).alias("ts"),
+        F.col("id")).write.parquet(src)
+    rows = spark.readStream.schema("event_id string, ts timestamp, id long").parquet(src)
+    msgs = publish(rows, F.struct(
+        "event_id", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"),
+        F.struct(F.col("id").alias("test_value")).alias("data"),
+        F.struct(F.lit("perf").alias("source"), F.lit("1.0").alias("version")).alias("metadata")),
+        message_id=F.col("event_id"), publish_time=F.col("ts"),
+        attributes=F.create_map(F.lit("batch_id"), F.lit("b1")))
+    p = start_publish(msgs, f"{scratch}/topic", f"{scratch}/pub_ck", available_now=True)
+    p.awaitTermination(300)
+    q = ingest.start_ingest(ingest.read_messages(spark, f"{scratch}/topic"), f"{scratch}/landed",
+                            f"{scratch}/rejects", checkpoint=f"{scratch}/ing_ck", available_now=True)
+    q.awaitTermination(300)
+    landed = spark.read.parquet(f"{scratch}/landed")
+    assert landed.where(F.col("event_id").like("perf-test-%")).count() == 100
+    row = landed.where(F.col("event_id") == "perf-test-7").select(
+        F.try_variant_get("data", "$.test_value", "int").alias("v")).collect()[0]
+    assert row.v == 7
