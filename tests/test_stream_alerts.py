@@ -33,3 +33,18 @@ def test_stream_alerts_equal_batch_on_closed_buckets(spark, scratch):
     batch = al.evaluate(_points(spark, rows), rules)
     want = sorted((r.series, r.start_time, r.buckets) for r in batch.collect())
     assert got == want and len(want) == 1
+
+
+def test_stream_alerts_with_horizon(spark, scratch):
+    src = f"{scratch}/pts"
+    os.makedirs(src)
+    rows = sorted([("a", m, 10) for m in range(0, 6)], key=lambda r: r[1])
+    for i, c in enumerate([rows, [("c", 60, 0)]]):
+        _points(spark, c).coalesce(1).write.parquet(f"{src}/f{i}")
+    stream = spark.readStream.schema(METRICS).option("maxFilesPerTrigger", 1).parquet(f"{src}/*")
+    rules = al.rules_frame(spark, [al.rule("lat", "latency/x", "GT", 5, duration_s=180, period_s=60)])
+    q = start_alerting(stream, rules, f"{scratch}/rollup", f"{scratch}/alerts", checkpoint=f"{scratch}/ck",
+                       lateness="0 seconds", available_now=True, horizon_s=3600)
+    q.awaitTermination(300)
+    got = [(r.series, r.buckets) for r in spark.read.parquet(f"{scratch}/alerts/current").collect()]
+    assert got == [('{"s":"a"}', 6)]
