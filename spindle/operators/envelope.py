@@ -199,6 +199,13 @@ def outcomes(messages: DataFrame, extra_rules: Sequence[tuple[str, Column]] = ()
 LANDED_COLUMNS = ("event_id", "timestamp", "processing_timestamp", "data", "metadata", "attributes")
 
 
+def sink_columns(outcome_df: DataFrame) -> DataFrame:
+    """Only what the landed and reject sinks write (drops the parse
+    intermediates), e.g. before persisting one micro-batch for both sinks."""
+    keep = [*LANDED_COLUMNS, "reject_reason", "error_field", "message_id", "publish_time", _TEXT]
+    return outcome_df.select(*dict.fromkeys(keep))
+
+
 def landed(outcome_df: DataFrame) -> DataFrame:
     return outcome_df.where(F.col("reject_reason").isNull()).select(*LANDED_COLUMNS)
 

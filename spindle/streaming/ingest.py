@@ -89,7 +89,7 @@ def _sink_writer(landed_path: str, rejects_path: str, raw_path: str | None,
                  metrics_path: str | None = None) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, batch_id: int) -> None:
         started = time.time()
-        out = envelope.outcomes(batch).persist()
+        out = envelope.sink_columns(envelope.outcomes(batch)).persist()
         try:
             landed = envelope.landed(out).withColumn("date", F.to_date("timestamp"))
             landed.write.mode("overwrite").partitionBy("date").parquet(f"{landed_path}/batch_id={batch_id}")
