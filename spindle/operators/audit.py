@@ -28,11 +28,12 @@ def reason_message(reason):
 
 
 def log_rows(rejects: DataFrame, logger: str = "spindle.ingest", severity: str = "ERROR",
-             time_col: str = "publish_time") -> DataFrame:
+             time_col: str = "publish_time", fields: dict | None = None) -> DataFrame:
     """Message, severity, timestamp (UTC, Z), logger + caller fields.
 
-    The caller fields map is merged over the fixed fields (caller wins, via
-    map_concat with LAST_WIN dedup); ``log`` is the JSON line.
+    ``fields`` (name -> Column or value) are merged over the fixed fields:
+    a caller field with a fixed name wins (map_concat under the LAST_WIN
+    dedup policy); ``log`` is the JSON line.
     """
     base = F.create_map(
         F.lit("message"), reason_message(F.col("reject_reason")),
@@ -40,11 +41,10 @@ def log_rows(rejects: DataFrame, logger: str = "spindle.ingest", severity: str =
         F.lit("timestamp"), iso_text(F.col(time_col)),
         F.lit("logger"), F.lit(logger),
     )
-    fields = F.create_map(
-        F.lit("reason"), F.col("reject_reason"),
-        F.lit("message_id"), F.col("message_id"),
-    )
-    entry = F.map_concat(base, fields)
+    extra = [F.lit("reason"), F.col("reject_reason"), F.lit("message_id"), F.col("message_id")]
+    for k, v in (fields or {}).items():
+        extra += [F.lit(k), v.cast("string") if hasattr(v, "cast") else F.lit(str(v))]
+    entry = F.map_concat(base, F.create_map(*extra))
     return rejects.select(
         entry["severity"].alias("severity"),
         F.lower(entry["severity"]).alias("level"),

@@ -169,3 +169,24 @@ def test_parse_is_evaluated_once(spark, ok):
     df = messages_df(spark, [B if ok else "x"])
     plan = envelope.landed(envelope.outcomes(df))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("parseJson") == 1
+
+
+def test_log_fields_override_fixed_fields(spark):
+    from spindle.operators import audit
+
+    out = envelope.outcomes(messages_df(spark, ["x"]))
+    rows = audit.log_rows(envelope.rejects(out), fields={"severity": "WARNING", "stage": "parsing"}).collect()
+    r = rows[0]
+    assert (r.severity, r.level, r.reason) == ("WARNING", "warning", "json_syntax")
+    assert json.loads(r.log)["stage"] == "parsing" and json.loads(r.log)["severity"] == "WARNING"
+
+
+def test_perf_payload_shape(spark):
+    """Load-generator payload: numeric, category, priority and a list of tags in data."""
+    msg = json.dumps({"event_id": "perf-1", "timestamp": "2025-02-01T18:30:00",
+                      "data": {"value": 12.5, "category": "B", "priority": 3, "tags": ["t1", "t2"]},
+                      "metadata": {"source": "load", "version": "1.0", "test_type": "constant"}})
+    ld = envelope.landed(envelope.outcomes(messages_df(spark, [msg])))
+    r = envelope.data_struct(ld, {"value": "double", "category": "string", "priority": "int",
+                                  "tags": "array<string>"}).collect()[0]
+    assert (r.data.value, r.data.category, r.data.priority, r.data.tags) == (12.5, "B", 3, ["t1", "t2"])
