@@ -70,7 +70,7 @@ def parsed_object() -> Column:
 
 
 def parse(messages: DataFrame, value_col: str = "value",
-          time_col: str = "publish_time") -> DataFrame:
+          time_col: str = "publish_time", observe_as: str | None = None) -> DataFrame:
     """Decode UTF-8, parse strict JSON once, stamp ``processing_timestamp``.
 
     ``processing_timestamp`` is the element time of the message (its publish
@@ -90,7 +90,7 @@ def parse(messages: DataFrame, value_col: str = "value",
     )
     # Barrier + parse counters: filters on the parsed columns stay above it.
     return parsed.observe(
-        f"parse_{next(_observe_ids)}",
+        observe_as or f"parse_{next(_observe_ids)}",
         F.count(F.lit(1)).alias("received"),
         F.count_if(~F.col(_UTF8)).alias("invalid_utf8"),
         F.count_if(~F.col(_OK)).alias("unparsed"),

@@ -27,6 +27,11 @@ def test_stream_equals_batch_and_restart(spark, scratch):
     q = ingest.start_ingest(stream, f"{scratch}/landed", f"{scratch}/rejects", checkpoint=ck,
                             available_now=True)
     q.awaitTermination(300)
+    progress = [json.loads(p.json) for p in q.recentProgress]
+    observed = [p["observedMetrics"]["ingest"] for p in progress if p.get("observedMetrics")]
+    assert sum(o["received"] for o in observed) == batch_msgs.count()
+    assert sum(o["rejected"] for o in observed) == n_rej - envelope.outcomes(batch_msgs).where(
+        "reject_reason = 'required_null'").count()
     assert spark.read.parquet(f"{scratch}/landed").count() == n_landed
     assert spark.read.parquet(f"{scratch}/rejects").count() == n_rej
     # restart on the same checkpoint with no new input: nothing is written twice
