@@ -175,3 +175,12 @@ def test_publish_then_ingest_end_to_end(spark, scratch):
     row = landed.where(F.col("event_id") == "perf-test-7").select(
         F.try_variant_get("data", "$.test_value", "int").alias("v")).collect()[0]
     assert row.v == 7
+
+
+def test_fixed_window_keeps_duplicates(spark):
+    """Two identical messages in one 60 s window: two rows out, counted twice."""
+    msg = _msg("dup-1", 10)
+    landed = envelope.landed(envelope.outcomes(messages_df(spark, [msg, msg])))
+    rows = ingest.windowed_counts(landed).collect()
+    assert [(r.event_type, r.n) for r in rows] == [("x", 2)]
+    assert rows[0].window_end - rows[0].window_start == dt.timedelta(seconds=60)
