@@ -39,10 +39,29 @@ def test_every_query_has_an_oracle():
     assert set(oracle_sql()) == set(queries())
 
 
+# Row-level queries over messages: map-only, no shuffle on any key.
+MAP_ONLY = {"publish_envelope", "parse_json", "enrich_processing_ts", "validate_required",
+            "validate_timestamp", "ingest_valid", "conform_schema", "conform_flat", "insert_errors",
+            "nested_lookup", "point_lookup", "end_to_end_latency", "metrics_points", "metric_scan",
+            "reject_log_rows"}
+
+
+def _check_plan(name, df):
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "CartesianProduct" not in plan, name
+    for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas"):
+        assert node not in plan, (name, node)
+    if not name.startswith("alerts_"):
+        assert "BroadcastNestedLoopJoin" not in plan, name
+    if name in MAP_ONLY:
+        assert "Exchange hashpartitioning" not in plan and "Exchange rangepartitioning" not in plan, name
+
+
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
     df = queries()[name](spark, SF_SMALL)
     rows = [tuple(r) for r in df.collect()]
+    _check_plan(name, df)
     res = con.execute(oracle_sql()[name])
     ocols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(ocols)
