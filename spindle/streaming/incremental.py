@@ -1,0 +1,165 @@
+"""Exact alert runs on a stream with state bounded by the number of series.
+
+Closed buckets arrive in time order (a bucket is emitted once the watermark
+passes it, for every series at once). Each micro-batch combines its buckets
+with a small state kept per (rule, series) and per rule:
+
+* GT rules (and LT rules with a threshold <= 0): the open breaching run of
+  each series (start, last bucket, length). New breaching buckets form
+  islands; an island that starts one period after the open run's last
+  bucket continues it.
+* LT rules with a positive threshold (a missing bucket counts 0, so it
+  breaches): the last non-breaching bucket of each series, and per rule the
+  first bucket ever seen and the newest. Runs are the gaps between
+  non-breaching buckets, the last gap reaching the newest bucket.
+
+Every run that grows in a micro-batch and already lasts ``duration`` is
+written under ``alerts/batch_id=<n>``; ``current_alerts`` keeps the longest
+version of each run. The result equals the batch ``alerts.evaluate`` over the
+same closed buckets. State and alerts are written per batch id, and a batch
+reads the state of the newest earlier batch, so a replayed batch rewrites
+the same files.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from spindle.operators import alerts as al
+from spindle.operators.joins import broadcast_if_small
+from spindle.session import checkpoint_root
+from spindle.streaming.alerting import closed_buckets
+
+GT_STATE = "rule string, series string, run_start long, run_last long, run_n long"
+LT_STATE = "rule string, series string, last_ok long"
+RULE_STATE = "rule string, lo long, hi long"
+ALERTS = "rule string, series string, start_time timestamp, end_time timestamp, buckets long"
+
+
+def _latest(spark: SparkSession, path: str, schema: str, batch_id: int) -> DataFrame:
+    """State written by the newest batch before ``batch_id`` (empty if none)."""
+    try:
+        df = spark.read.schema(schema + ", batch_id long").parquet(path)
+        prev = df.where(F.col("batch_id") < batch_id).agg(F.max("batch_id")).first()[0]
+    except Exception:  # noqa: BLE001 - no state written yet
+        prev = None
+    if prev is None:
+        return spark.createDataFrame([], schema)
+    return df.where(F.col("batch_id") == prev).drop("batch_id")
+
+
+def _gt_step(new: DataFrame, state: DataFrame, frontier: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(runs that grew in this batch, next open-run state)."""
+    order = Window.partitionBy("rule", "series").orderBy("_s")
+    isl = (new.where("breach").withColumn("_g", F.col("_s") - F.col("period_s") * F.row_number().over(order))
+           .groupBy("rule", "series", "period_s", "duration_s", "_g")
+           .agg(F.min("_s").alias("run_start"), F.max("_s").alias("run_last"),
+                F.count(F.lit(1)).alias("run_n"), F.lit(True).alias("_new")))
+    prev = state.join(new.select("rule", "period_s", "duration_s").distinct(), "rule").select(
+        "rule", "series", "period_s", "duration_s", F.lit(None).cast("long").alias("_g"),
+        "run_start", "run_last", "run_n", F.lit(False).alias("_new"))
+    both = isl.unionByName(prev)
+    w = Window.partitionBy("rule", "series").orderBy("run_start")
+    chained = (both.withColumn("_prev_last", F.lag("run_last").over(w))
+               .withColumn("_brk", F.when(F.col("run_start") == F.col("_prev_last") + F.col("period_s"), 0)
+                           .otherwise(1))
+               .withColumn("_chain", F.sum("_brk").over(w.rowsBetween(Window.unboundedPreceding, 0))))
+    runs = (chained.groupBy("rule", "series", "period_s", "duration_s", "_chain")
+            .agg(F.min("run_start").alias("run_start"), F.max("run_last").alias("run_last"),
+                 F.sum("run_n").alias("run_n"), F.max(F.col("_new").cast("int")).alias("_grew")))
+    runs = runs.join(frontier, "rule", "left")
+    grew = runs.where((F.col("_grew") == 1) & (F.col("run_n") * F.col("period_s") >= F.col("duration_s")))
+    out = grew.select("rule", "series", F.timestamp_seconds("run_start").alias("start_time"),
+                      F.timestamp_seconds(F.col("run_last") + F.col("period_s")).alias("end_time"),
+                      F.col("run_n").alias("buckets"))
+    still_open = runs.where(F.col("run_last") == F.col("hi")).select(
+        "rule", "series", "run_start", "run_last", "run_n")
+    # rules without buckets in this batch keep their open runs unchanged
+    idle = state.join(new.select("rule").distinct(), "rule", "left_anti")
+    return out, still_open.unionByName(idle)
+
+
+def _lt_step(new: DataFrame, state: DataFrame, rules_state: DataFrame, rule_cols: DataFrame
+             ) -> tuple[DataFrame, DataFrame]:
+    """Gaps between non-breaching buckets, the last one reaching the rule's newest bucket."""
+    series = (new.select("rule", "series").unionByName(state.select("rule", "series")).distinct()
+              .join(rules_state, "rule").join(rule_cols, "rule"))
+    p = F.col("period_s")
+    start_mark = (series.join(state, ["rule", "series"], "left")
+                  .select("rule", "series", F.coalesce("last_ok", F.col("lo") - p).alias("_s"),
+                          F.lit(False).alias("_new")))
+    oks = new.where(~F.col("breach")).select("rule", "series", "_s", F.lit(True).alias("_new"))
+    end_mark = series.select("rule", "series", (F.col("hi") + p).alias("_s"), F.lit(True).alias("_new"))
+    marks = start_mark.unionByName(oks).unionByName(end_mark).join(rule_cols, "rule")
+    w = Window.partitionBy("rule", "series").orderBy("_s")
+    gaps = (marks.withColumn("_prev", F.lag("_s").over(w)).where(F.col("_prev").isNotNull())
+            .withColumn("buckets", ((F.col("_s") - F.col("_prev")) / p).cast("long") - 1))
+    out = gaps.where((F.col("buckets") >= 1) & (F.col("buckets") * p >= F.col("duration_s"))).select(
+        "rule", "series", F.timestamp_seconds(F.col("_prev") + p).alias("start_time"),
+        F.timestamp_seconds("_s").alias("end_time"), "buckets")
+    last_ok = (start_mark.unionByName(oks).groupBy("rule", "series").agg(F.max("_s").alias("last_ok")))
+    return out, last_ok
+
+
+def process_batch(spark: SparkSession, batch: DataFrame, batch_id: int, rules: DataFrame,
+                  state_path: str, alerts_path: str) -> None:
+    """One micro-batch of closed buckets (rule, series, bucket, value)."""
+    r = broadcast_if_small(rules.select("rule", "comparison", "threshold", "duration_s", "period_s"),
+                           al.MAX_BROADCAST_RULES)
+    filled = (F.col("comparison") == "LT") & (F.col("threshold") > 0)
+    breach = F.when(F.col("comparison") == "GT", F.col("value") > F.col("threshold")) \
+        .otherwise(F.col("value") < F.col("threshold"))
+    new = (batch.join(r, "rule").withColumn("_s", F.unix_seconds("bucket"))
+           .withColumn("breach", breach).withColumn("_filled", filled)).persist()
+    try:
+        prev_rules = _latest(spark, f"{state_path}/rules", RULE_STATE, batch_id)
+        seen = new.groupBy("rule").agg(F.min("_s").alias("_lo"), F.max("_s").alias("_hi"))
+        rules_state = (prev_rules.join(seen, "rule", "full")
+                       .select("rule", F.coalesce("lo", "_lo").alias("lo"),
+                               F.greatest("hi", "_hi").alias("hi")))
+        rules_state = rules_state.persist()
+        rule_cols = r.select("rule", "duration_s", "period_s")
+
+        gt_state = _latest(spark, f"{state_path}/gt", GT_STATE, batch_id)
+        gt_out, gt_next = _gt_step(new.where(~F.col("_filled")), gt_state,
+                                   rules_state.select("rule", "hi"))
+        lt_rules = r.where(filled).select("rule")
+        lt_state = _latest(spark, f"{state_path}/lt", LT_STATE, batch_id)
+        lt_out, lt_next = _lt_step(new.where(F.col("_filled")), lt_state,
+                                   rules_state.join(lt_rules, "rule"), rule_cols.join(lt_rules, "rule"))
+
+        gt_out.unionByName(lt_out).write.mode("overwrite").parquet(f"{alerts_path}/batch_id={batch_id}")
+        gt_next.write.mode("overwrite").parquet(f"{state_path}/gt/batch_id={batch_id}")
+        lt_next.write.mode("overwrite").parquet(f"{state_path}/lt/batch_id={batch_id}")
+        rules_state.write.mode("overwrite").parquet(f"{state_path}/rules/batch_id={batch_id}")
+        rules_state.unpersist()
+    finally:
+        new.unpersist()
+
+
+def current_alerts(spark: SparkSession, alerts_path: str) -> DataFrame:
+    """Each run once, at its latest extent."""
+    a = spark.read.schema(ALERTS + ", batch_id long").parquet(alerts_path)
+    return (a.groupBy("rule", "series", "start_time")
+            .agg(F.max("end_time").alias("end_time"), F.max("buckets").alias("buckets")))
+
+
+def start_incremental_alerting(points: DataFrame, rules: DataFrame, state_path: str, alerts_path: str,
+                               checkpoint: str | None = None, lateness: str = "300 seconds",
+                               available_now: bool = False,
+                               processing_time: str | None = None) -> StreamingQuery:
+    spark = points.sparkSession
+    ckpt = checkpoint or f"{checkpoint_root(spark)}/incremental_alerting"
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        process_batch(spark, batch, batch_id, rules, state_path, alerts_path)
+
+    writer = (closed_buckets(points, rules, lateness).writeStream.outputMode("append")
+              .foreachBatch(on_batch).option("checkpointLocation", ckpt))
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    elif processing_time:
+        writer = writer.trigger(processingTime=processing_time)
+    return writer.start()
