@@ -39,7 +39,16 @@ ALERTS = "rule string, series string, start_time timestamp, end_time timestamp,
 
 
 def _latest(spark: SparkSession, path: str, schema: str, batch_id: int) -> DataFrame:
-    """State written by the newest batch before ``batch_id`` (empty if none)."""
+    """State written by the newest batch before ``batch_id`` (empty if none).
+
+    Micro-batch ids are consecutive, so the previous batch's folder is read
+    directly; listing every batch folder is only the fallback (first batch,
+    or a batch that wrote nothing).
+    """
+    try:
+        return spark.read.schema(schema).parquet(f"{path}/batch_id={batch_id - 1}")
+    except Exception:  # noqa: BLE001 - folder absent
+        pass
     try:
         df = spark.read.schema(schema + ", batch_id long").parquet(path)
         prev = df.where(F.col("batch_id") < batch_id).agg(F.max("batch_id")).first()[0]
