@@ -97,3 +97,10 @@ def write_landed(landed_df: DataFrame, path: str, mode: str = "append") -> None:
     """
     (landed_df.withColumn("date", F.to_date(F.col("timestamp")))
      .write.mode(mode).partitionBy("date").parquet(path))
+
+
+def write_points(points: DataFrame, path: str, mode: str = "append") -> None:
+    """A12/A13 store: metric points as parquet partitioned by the UTC date of
+    ``end_time``, so interval scans (``metrics.scan``) prune partitions."""
+    (points.withColumn("date", F.to_date(F.col("end_time")))
+     .write.mode(mode).partitionBy("date").parquet(path))

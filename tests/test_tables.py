@@ -128,3 +128,18 @@ def test_catalog_join_marks_undeclared_metrics(spark):
                                 "metric_type string")
     got = {r.name: r.declared_kind for r in mx.with_catalog(pts, mx.catalog_frame(spark)).collect()}
     assert got == {"messages_received": "counter", "errors/json_syntax": None}
+
+
+def test_metric_points_store_prunes_by_date(spark, scratch):
+    from spindle.operators import metrics as mx
+    from spindle.plans import derived
+    from tests.conftest import SF_SMALL
+
+    tables.write_points(derived.metrics(spark, SF_SMALL), f"{scratch}/points", mode="overwrite")
+    pts = spark.read.parquet(f"{scratch}/points")
+    s = mx.scan(pts, derived.LATENCY_METRIC, "2024-01-10 00:00:00", "2024-01-10 23:59:59").where(
+        F.col("date") == "2024-01-10")
+    plan = s._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan and "EqualTo(metric_type" in plan
+    assert s.count() == derived.metrics(spark, SF_SMALL).where(
+        F.to_date("end_time") == "2024-01-10").count()
