@@ -59,7 +59,8 @@ def _latest(spark: SparkSession, path: str, schema: str, batch_id: int) -> DataF
     return df.where(F.col("batch_id") == prev).drop("batch_id")
 
 
-def _gt_step(new: DataFrame, state: DataFrame, frontier: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _gt_step(new: DataFrame, state: DataFrame, frontier: DataFrame, cached: list
+             ) -> tuple[DataFrame, DataFrame]:
     """(runs that grew in this batch, next open-run state)."""
     order = Window.partitionBy("rule", "series").orderBy("_s")
     isl = (new.where("breach").withColumn("_g", F.col("_s") - F.col("period_s") * F.row_number().over(order))
@@ -78,7 +79,8 @@ def _gt_step(new: DataFrame, state: DataFrame, frontier: DataFrame) -> tuple[Dat
     runs = (chained.groupBy("rule", "series", "period_s", "duration_s", "_chain")
             .agg(F.min("run_start").alias("run_start"), F.max("run_last").alias("run_last"),
                  F.sum("run_n").alias("run_n"), F.max(F.col("_new").cast("int")).alias("_grew")))
-    runs = runs.join(frontier, "rule", "left")
+    runs = runs.join(frontier, "rule", "left").persist()  # read for output and next state
+    cached.append(runs)
     grew = runs.where((F.col("_grew") == 1) & (F.col("run_n") * F.col("period_s") >= F.col("duration_s")))
     out = grew.select("rule", "series", F.timestamp_seconds("run_start").alias("start_time"),
                       F.timestamp_seconds(F.col("run_last") + F.col("period_s")).alias("end_time"),
@@ -90,62 +92,83 @@ def _gt_step(new: DataFrame, state: DataFrame, frontier: DataFrame) -> tuple[Dat
     return out, still_open.unionByName(idle)
 
 
-def _lt_step(new: DataFrame, state: DataFrame, rules_state: DataFrame, rule_cols: DataFrame
-             ) -> tuple[DataFrame, DataFrame]:
+def _lt_step(new: DataFrame, state: DataFrame, rules_state: DataFrame, rule_cols: DataFrame,
+             cached: list) -> tuple[DataFrame, DataFrame]:
     """Gaps between non-breaching buckets, the last one reaching the rule's newest bucket."""
     series = (new.select("rule", "series").unionByName(state.select("rule", "series")).distinct()
               .join(rules_state, "rule").join(rule_cols, "rule"))
     p = F.col("period_s")
     start_mark = (series.join(state, ["rule", "series"], "left")
                   .select("rule", "series", F.coalesce("last_ok", F.col("lo") - p).alias("_s"),
-                          F.lit(False).alias("_new")))
-    oks = new.where(~F.col("breach")).select("rule", "series", "_s", F.lit(True).alias("_new"))
-    end_mark = series.select("rule", "series", (F.col("hi") + p).alias("_s"), F.lit(True).alias("_new"))
+                          F.lit(False).alias("_end")))
+    oks = new.where(~F.col("breach")).select("rule", "series", "_s", F.lit(False).alias("_end"))
+    end_mark = series.select("rule", "series", (F.col("hi") + p).alias("_s"), F.lit(True).alias("_end"))
     marks = start_mark.unionByName(oks).unionByName(end_mark).join(rule_cols, "rule")
     w = Window.partitionBy("rule", "series").orderBy("_s")
+    marks = marks.persist()  # read for output and next state
+    cached.append(marks)
     gaps = (marks.withColumn("_prev", F.lag("_s").over(w)).where(F.col("_prev").isNotNull())
             .withColumn("buckets", ((F.col("_s") - F.col("_prev")) / p).cast("long") - 1))
     out = gaps.where((F.col("buckets") >= 1) & (F.col("buckets") * p >= F.col("duration_s"))).select(
         "rule", "series", F.timestamp_seconds(F.col("_prev") + p).alias("start_time"),
         F.timestamp_seconds("_s").alias("end_time"), "buckets")
-    last_ok = (start_mark.unionByName(oks).groupBy("rule", "series").agg(F.max("_s").alias("last_ok")))
+    last_ok = marks.where(~F.col("_end")).groupBy("rule", "series").agg(F.max("_s").alias("last_ok"))
     return out, last_ok
 
 
+def rule_kinds(rules: DataFrame) -> tuple[bool, bool]:
+    """(has run rules, has gap rules): decided once per stream, not per batch."""
+    filled = (F.col("comparison") == "LT") & (F.col("threshold") > 0)
+    return (rules.where(~filled).limit(1).count() > 0, rules.where(filled).limit(1).count() > 0)
+
+
 def process_batch(spark: SparkSession, batch: DataFrame, batch_id: int, rules: DataFrame,
-                  state_path: str, alerts_path: str) -> None:
-    """One micro-batch of closed buckets (rule, series, bucket, value)."""
-    r = broadcast_if_small(rules.select("rule", "comparison", "threshold", "duration_s", "period_s"),
-                           al.MAX_BROADCAST_RULES)
+                  state_path: str, alerts_path: str, kinds: tuple[bool, bool] | None = None) -> None:
+    """One micro-batch of closed buckets (rule, series, bucket, value).
+
+    An empty batch changes nothing and writes nothing (the next batch then
+    finds the newest state by listing)."""
+    if batch.isEmpty():
+        return
+    has_gt, has_lt = kinds or rule_kinds(rules)
+    r = rules.select("rule", "comparison", "threshold", "duration_s", "period_s")
     filled = (F.col("comparison") == "LT") & (F.col("threshold") > 0)
     breach = F.when(F.col("comparison") == "GT", F.col("value") > F.col("threshold")) \
         .otherwise(F.col("value") < F.col("threshold"))
     new = (batch.join(r, "rule").withColumn("_s", F.unix_seconds("bucket"))
            .withColumn("breach", breach).withColumn("_filled", filled)).persist()
+    cached = [new]
     try:
         prev_rules = _latest(spark, f"{state_path}/rules", RULE_STATE, batch_id)
         seen = new.groupBy("rule").agg(F.min("_s").alias("_lo"), F.max("_s").alias("_hi"))
         rules_state = (prev_rules.join(seen, "rule", "full")
                        .select("rule", F.coalesce("lo", "_lo").alias("lo"),
-                               F.greatest("hi", "_hi").alias("hi")))
-        rules_state = rules_state.persist()
+                               F.greatest("hi", "_hi").alias("hi"))).persist()
+        cached.append(rules_state)
         rule_cols = r.select("rule", "duration_s", "period_s")
-
-        gt_state = _latest(spark, f"{state_path}/gt", GT_STATE, batch_id)
-        gt_out, gt_next = _gt_step(new.where(~F.col("_filled")), gt_state,
-                                   rules_state.select("rule", "hi"))
-        lt_rules = r.where(filled).select("rule")
-        lt_state = _latest(spark, f"{state_path}/lt", LT_STATE, batch_id)
-        lt_out, lt_next = _lt_step(new.where(F.col("_filled")), lt_state,
-                                   rules_state.join(lt_rules, "rule"), rule_cols.join(lt_rules, "rule"))
-
-        gt_out.unionByName(lt_out).write.mode("overwrite").parquet(f"{alerts_path}/batch_id={batch_id}")
-        gt_next.write.mode("overwrite").parquet(f"{state_path}/gt/batch_id={batch_id}")
-        lt_next.write.mode("overwrite").parquet(f"{state_path}/lt/batch_id={batch_id}")
+        outs = []
+        if has_gt:
+            gt_state = _latest(spark, f"{state_path}/gt", GT_STATE, batch_id)
+            gt_out, gt_next = _gt_step(new.where(~F.col("_filled")), gt_state,
+                                       rules_state.select("rule", "hi"), cached)
+            outs.append(gt_out)
+        if has_lt:
+            lt_rules = r.where(filled).select("rule")
+            lt_state = _latest(spark, f"{state_path}/lt", LT_STATE, batch_id)
+            lt_out, lt_next = _lt_step(new.where(F.col("_filled")), lt_state,
+                                       rules_state.join(lt_rules, "rule"),
+                                       rule_cols.join(lt_rules, "rule"), cached)
+            outs.append(lt_out)
+        alerts = outs[0] if len(outs) == 1 else outs[0].unionByName(outs[1])
+        alerts.write.mode("overwrite").parquet(f"{alerts_path}/batch_id={batch_id}")
+        if has_gt:
+            gt_next.write.mode("overwrite").parquet(f"{state_path}/gt/batch_id={batch_id}")
+        if has_lt:
+            lt_next.write.mode("overwrite").parquet(f"{state_path}/lt/batch_id={batch_id}")
         rules_state.write.mode("overwrite").parquet(f"{state_path}/rules/batch_id={batch_id}")
-        rules_state.unpersist()
     finally:
-        new.unpersist()
+        for df in cached:
+            df.unpersist()
 
 
 def current_alerts(spark: SparkSession, alerts_path: str) -> DataFrame:
@@ -162,8 +185,12 @@ def start_incremental_alerting(points: DataFrame, rules: DataFrame, state_path:
     spark = points.sparkSession
     ckpt = checkpoint or f"{checkpoint_root(spark)}/incremental_alerting"
 
+    kinds = rule_kinds(rules)
+    # size-checked once per stream; the per-batch joins reuse the hinted frame
+    small_rules = broadcast_if_small(rules, al.MAX_BROADCAST_RULES)
+
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        process_batch(spark, batch, batch_id, rules, state_path, alerts_path)
+        process_batch(spark, batch, batch_id, small_rules, state_path, alerts_path, kinds)
 
     writer = (closed_buckets(points, rules, lateness).writeStream.outputMode("append")
               .foreachBatch(on_batch).option("checkpointLocation", ckpt))
