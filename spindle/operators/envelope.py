@@ -12,7 +12,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from spindle.functions.jsonfn import get, in_wrapper, is_object_text, wrap_parse, wrapped_ok
 from spindle.functions.timefmt import strict_iso_timestamp
@@ -247,8 +246,3 @@ def stage_of(reason: Column) -> Column:
 
 def drop_internal(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in INTERNAL if c in df.columns])
-
-
-def with_schema_nullability(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Reorder/cast to ``schema`` (used by sinks that create tables from it)."""
-    return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
