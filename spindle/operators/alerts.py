@@ -24,28 +24,30 @@ from spindle.schemas import ALERT_RULES
 from spindle.session import materialize
 
 # Alert rules of the monitoring configuration
-# (rule, metric_type, aligner, comparison, threshold, duration_s, period_s, wired).
+# (rule, metric_type, aligner, comparison, threshold, duration_s, period_s, wired, resource_type).
 MAX_BROADCAST_RULES = 100_000
 DEFAULT_DURATION_S = 300
 DEFAULT_PERIOD_S = 60
 CONFIG_RULES = [
-    ("processing_latency", "latency/processing_latency", "mean", "GT", 5.0, 300, 60, True),
-    ("end_to_end_latency", "latency/end_to_end_latency", "mean", "GT", 10.0, 300, 60, False),
-    ("error_rate", "ratio/error_rate", "mean", "GT", 0.01, 300, 60, True),
-    ("low_throughput", "counter/messages_processed", "sum", "LT", 100.0, 300, 60, True),
-    ("high_cpu_usage", "gauge/cpu_usage", "mean", "GT", 80.0, 300, 60, False),
-    ("high_memory_usage", "gauge/memory_usage", "mean", "GT", 80.0, 300, 60, False),
-    ("high_disk_usage", "gauge/disk_usage", "mean", "GT", 80.0, 300, 60, False),
+    ("processing_latency", "latency/processing_latency", "mean", "GT", 5.0, 300, 60, True, "generic_task"),
+    ("end_to_end_latency", "latency/end_to_end_latency", "mean", "GT", 10.0, 300, 60, False, "generic_task"),
+    ("error_rate", "ratio/error_rate", "mean", "GT", 0.01, 300, 60, True, "generic_task"),
+    ("low_throughput", "counter/messages_processed", "sum", "LT", 100.0, 300, 60, True, "generic_task"),
+    ("high_cpu_usage", "gauge/cpu_usage", "mean", "GT", 80.0, 300, 60, False, "generic_task"),
+    ("high_memory_usage", "gauge/memory_usage", "mean", "GT", 80.0, 300, 60, False, "generic_task"),
+    ("high_disk_usage", "gauge/disk_usage", "mean", "GT", 80.0, 300, 60, False, "generic_task"),
 ]
 
 
 def rules_frame(spark: SparkSession, rules: Iterable[tuple]) -> DataFrame:
-    return spark.createDataFrame(list(rules), ALERT_RULES)
+    """Rules table; a rule without a resource type (8 fields) matches any resource."""
+    n = len(ALERT_RULES.fields)
+    return spark.createDataFrame([tuple(r) + (None,) * (n - len(r)) for r in rules], ALERT_RULES)
 
 
 def rule(name: str, metric_type: str, comparison: str, threshold: float,
          duration_s: int = DEFAULT_DURATION_S, period_s: int = DEFAULT_PERIOD_S,
-         aligner: str = "mean", wired: bool = True) -> tuple:
+         aligner: str = "mean", wired: bool = True, resource_type: str | None = None) -> tuple:
     if comparison not in ("GT", "LT"):
         raise ValueError("comparison must be GT or LT")
     if int(period_s) <= 0 or int(duration_s) < 0:
@@ -53,7 +55,15 @@ def rule(name: str, metric_type: str, comparison: str, threshold: float,
     if aligner not in ("mean", "sum", "count", "rate", "max", "min"):
         raise ValueError(f"unknown aligner {aligner}")
     return (name, metric_type, aligner, comparison, float(threshold), int(duration_s),
-            int(period_s), wired)
+            int(period_s), wired, resource_type)
+
+
+def match_rules(points: DataFrame, rules: DataFrame) -> DataFrame:
+    """Points of each rule: same metric type and, when the rule names one, the
+    same resource type (``metric.type = .. AND resource.type = ..``)."""
+    joined = points.join(rules, "metric_type")
+    rtype = F.col("resource_type")
+    return joined.where(rtype.isNull() | (F.col("resource")["type"] == rtype)).drop("resource_type")
 
 
 def aligned_by_rule(points: DataFrame, rules: DataFrame) -> DataFrame:
@@ -62,7 +72,7 @@ def aligned_by_rule(points: DataFrame, rules: DataFrame) -> DataFrame:
     The rules table is configuration (a handful of rows); it is broadcast
     after a bounded size check.
     """
-    joined = points.join(broadcast_if_small(rules, MAX_BROADCAST_RULES), "metric_type")
+    joined = match_rules(points, broadcast_if_small(rules, MAX_BROADCAST_RULES))
     bucket = bucket_start(F.col("end_time"), F.col("period_s"))
     aligner = F.col("aligner")
     agg_value = (

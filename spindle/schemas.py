@@ -64,6 +64,7 @@ ALERT_RULES = T.StructType([
     T.StructField("duration_s", T.LongType(), False),
     T.StructField("period_s", T.LongType(), False),
     T.StructField("wired", T.BooleanType(), False),
+    T.StructField("resource_type", T.StringType(), True),
 ])
 
 RUNS = T.StructType([

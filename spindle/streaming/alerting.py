@@ -27,7 +27,7 @@ ALIGNED_SCHEMA = "rule string, series string, bucket timestamp, value double"
 def closed_buckets(points: DataFrame, rules: DataFrame, lateness: str) -> DataFrame:
     """Streaming (rule, series, bucket, value); a bucket is emitted once,
     after the watermark (max bucket seen - lateness) passes it."""
-    joined = points.join(broadcast_if_small(rules, al.MAX_BROADCAST_RULES), "metric_type")
+    joined = al.match_rules(points, broadcast_if_small(rules, al.MAX_BROADCAST_RULES))
     b = (joined.withColumn("bucket", bucket_start(F.col("end_time"), F.col("period_s")))
          .withColumn("series", series_key(F.col("labels")))
          .withWatermark("bucket", lateness))

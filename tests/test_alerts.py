@@ -92,3 +92,12 @@ def test_rule_validation():
         al.rule("x", "m", "GT", 1.0, period_s=0)
     with pytest.raises(ValueError):
         al.rule("x", "m", "GT", 1.0, aligner="median")
+
+
+def test_rule_resource_type_filter(spark):
+    p = points(spark, "latency/x", [("a", m, 10) for m in range(0, 5)])
+    p = p.withColumn("resource", F.create_map(F.lit("type"), F.lit("generic_task")))
+    for rtype, expected in (("generic_task", 1), ("gce_instance", 0), (None, 1)):
+        r = al.rules_frame(spark, [al.rule("lat", "latency/x", "GT", 5, duration_s=120, period_s=60,
+                                           resource_type=rtype)])
+        assert al.evaluate(p, r).count() == expected, rtype
