@@ -49,7 +49,7 @@ def _classified(spark, sf):
     return envelope.classify(_parsed(spark, sf))
 
 
-def _leaves(df: DataFrame) -> list:
+def _leaves() -> list:
     return [
         get(F.col("data"), "user_id", "bigint").alias("user_id"),
         get(F.col("data"), "value", "double").alias("value"),
@@ -136,7 +136,7 @@ def ingest_valid(spark, sf):
         to_naive(F.col("processing_timestamp")).alias("processing_timestamp"),
         F.col("metadata.source").alias("source"),
         F.col("metadata.version").alias("version"),
-        *_leaves(valid),
+        *_leaves(),
     )
 
 
@@ -244,7 +244,7 @@ def point_lookup(spark, sf):
         "event_id", to_naive(F.col("timestamp")).alias("timestamp"),
         to_naive(F.col("processing_timestamp")).alias("processing_timestamp"),
         F.col("metadata.source").alias("source"), F.col("metadata.version").alias("version"),
-        *_leaves(ld))
+        *_leaves())
 
 
 @register
