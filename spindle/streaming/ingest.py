@@ -42,12 +42,12 @@ def read_messages(spark: SparkSession, path: str, streaming: bool = True, fmt: s
     return reader.load(path)
 
 
-def kafka_messages(spark: SparkSession, servers: str, topic: str) -> DataFrame:
-    """Kafka source mapped to the message schema (needs the Kafka connector jar)."""
-    raw = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
-           .option("subscribe", topic).option("includeHeaders", "true").load())
+def from_kafka_rows(raw: DataFrame) -> DataFrame:
+    """Kafka source rows (key, value, topic, partition, offset, timestamp,
+    headers) -> the message schema. The message id is topic-partition-offset,
+    stable across replays."""
     attrs = F.map_from_entries(F.transform(
-        F.coalesce(F.col("headers"), F.array()),
+        F.coalesce(F.col("headers"), F.array().cast("array<struct<key:string,value:binary>>")),
         lambda h: F.struct(h["key"], h["value"].cast("string"))))
     return raw.select(
         F.col("value"), attrs.alias("attributes"), F.col("key").cast("string").alias("ordering_key"),
@@ -57,6 +57,16 @@ def kafka_messages(spark: SparkSession, servers: str, topic: str) -> DataFrame:
     )
 
 
+def kafka_messages(spark: SparkSession, servers: str, topic: str,
+                   max_offsets_per_trigger: int | None = None) -> DataFrame:
+    """Kafka source mapped to the message schema (needs the Kafka connector jar)."""
+    reader = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
+              .option("subscribe", topic).option("includeHeaders", "true"))
+    if max_offsets_per_trigger:
+        reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
+    return from_kafka_rows(reader.load())
+
+
 def batch_points(out: DataFrame, batch_id: int, started: float, finished: float,
                  default_labels: dict[str, str] | None = None) -> DataFrame:
     """Metric points of one micro-batch: counters aggregated per batch (one row
