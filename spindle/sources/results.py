@@ -30,3 +30,14 @@ def load_results(spark: SparkSession, path: str, multiline: bool = False) -> Dat
         F.col(c).try_cast("timestamp").alias(c) if c in _TS_FIELDS else F.col(c)
         for c in raw.columns
     ])
+
+
+def save_analysis(runs: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Write the cross-run analysis: ``summary`` (one JSON row of figures) and
+    the bottleneck lists ``high_error_runs`` / ``high_latency_runs`` as their
+    own JSON Lines tables (rows, not arrays, so no list is gathered in one row)."""
+    from spindle.operators import runs as rn
+
+    rn.run_analysis(runs).write.mode(mode).json(f"{path}/summary")
+    rn.high_error_runs(runs).write.mode(mode).json(f"{path}/high_error_runs")
+    rn.high_latency_runs(runs).write.mode(mode).json(f"{path}/high_latency_runs")

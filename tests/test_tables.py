@@ -143,3 +143,14 @@ def test_metric_points_store_prunes_by_date(spark, scratch):
     assert "PartitionFilters: [isnotnull(date" in plan and "EqualTo(metric_type" in plan
     assert s.count() == derived.metrics(spark, SF_SMALL).where(
         F.to_date("end_time") == "2024-01-10").count()
+
+
+def test_save_analysis(spark, scratch):
+    from spindle.schemas import RUNS
+    rows = [(f"r{i}", T0, T0, 10, 9 + (i == 2), 1.0 + 3 * (i == 2), 0.0, 0.0, 0.0, int(i == 1), 1.0 + i)
+            for i in range(3)]
+    results.save_analysis(spark.createDataFrame(rows, RUNS), f"{scratch}/analysis")
+    s = spark.read.json(f"{scratch}/analysis/summary").collect()[0]
+    assert s.total_tests == 3 and s.total_messages_sent == 30 and s.total_errors == 1
+    assert [r.test_name for r in spark.read.json(f"{scratch}/analysis/high_error_runs").collect()] == ["r1"]
+    assert [r.test_name for r in spark.read.json(f"{scratch}/analysis/high_latency_runs").collect()] == ["r2"]
