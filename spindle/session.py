@@ -53,12 +53,16 @@ def checkpoint_root(spark: SparkSession, fallback: str | None = None) -> str:
     folder under the session's warehouse location (shared storage on a
     cluster, never a machine-local temp folder).
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the server owns the context
+        sc = None
+    root = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc else None)
     if not root:
         root = fallback or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
         spark.conf.set("spark.checkpoint.dir", root)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
