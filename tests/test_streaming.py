@@ -200,3 +200,26 @@ def test_kafka_rows_map_to_messages(spark):
     assert got["events-0-7"].attributes == {}
     out = {r.message_id: r.reject_reason for r in envelope.outcomes(msgs).collect()}
     assert out == {"events-3-41": None, "events-0-7": "json_syntax"}
+
+
+def test_dedupe_copies_batch_and_stream(spark, scratch):
+    """Copies (same id and time) collapse to the earliest delivery, in batch and in a stream."""
+    from pyspark.sql import functions as F
+
+    msgs = [_msg("a", 10)] * 5 + [_msg("b", 20)] * 2 + [_msg("c", 700)]
+    landed = envelope.landed(envelope.outcomes(messages_df(spark, msgs)))
+    got = {r.event_id: r.processing_timestamp for r in ingest.dedupe_copies(landed).collect()}
+    assert sorted(got) == ["a", "b", "c"]
+    assert got["a"] == landed.where(F.col("event_id") == "a").agg(F.min("processing_timestamp")).first()[0]
+
+    src = f"{scratch}/copies"
+    messages_df(spark, msgs).write.parquet(src)
+    stream = envelope.landed(envelope.outcomes(ingest.read_messages(spark, src)))
+    q = (ingest.dedupe_copies(stream, lateness="0 seconds").writeStream.outputMode("append")
+         .format("memory").queryName("copies").option("checkpointLocation", f"{scratch}/copies_ck")
+         .trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    # the watermark reaches 700 s ("c"); state is evicted at event time <= watermark,
+    # so every group is emitted once, after its copies are merged
+    rows = spark.table("copies").collect()
+    assert sorted(r.event_id for r in rows) == ["a", "b", "c"]
