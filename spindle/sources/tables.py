@@ -89,18 +89,32 @@ def errors_stage_map() -> dict[str, str]:
     return dict(REASON_STAGE)
 
 
-def write_landed(landed_df: DataFrame, path: str, mode: str = "append") -> None:
+def _by_date(df: DataFrame, date: F.Column, key: str, files_per_date: int | None) -> DataFrame:
+    """Add ``date``; with ``files_per_date`` rows are first hash-partitioned on
+    (date, hash(key) mod files_per_date): each date is spread over that many
+    tasks (a hot date still splits) and each task writes one file for one date,
+    instead of every task writing a small file for every date it holds."""
+    out = df.withColumn("date", date)
+    if files_per_date:
+        salt = F.pmod(F.xxhash64(F.col(key)), F.lit(files_per_date))
+        out = out.repartition(F.col("date"), salt)
+    return out
+
+
+def write_landed(landed_df: DataFrame, path: str, mode: str = "append",
+                 files_per_date: int | None = None) -> None:
     """Store landed rows as parquet partitioned by event date (UTC).
 
     Readers then prune partitions on ``date`` and push ``event_id`` /
     ``timestamp`` predicates into the parquet scan.
     """
-    (landed_df.withColumn("date", F.to_date(F.col("timestamp")))
+    (_by_date(landed_df, F.to_date(F.col("timestamp")), "event_id", files_per_date)
      .write.mode(mode).partitionBy("date").parquet(path))
 
 
-def write_points(points: DataFrame, path: str, mode: str = "append") -> None:
+def write_points(points: DataFrame, path: str, mode: str = "append",
+                 files_per_date: int | None = None) -> None:
     """A12/A13 store: metric points as parquet partitioned by the UTC date of
     ``end_time``, so interval scans (``metrics.scan``) prune partitions."""
-    (points.withColumn("date", F.to_date(F.col("end_time")))
+    (_by_date(points, F.to_date(F.col("end_time")), "end_time", files_per_date)
      .write.mode(mode).partitionBy("date").parquet(path))

@@ -154,3 +154,17 @@ def test_save_analysis(spark, scratch):
     assert s.total_tests == 3 and s.total_messages_sent == 30 and s.total_errors == 1
     assert [r.test_name for r in spark.read.json(f"{scratch}/analysis/high_error_runs").collect()] == ["r1"]
     assert [r.test_name for r in spark.read.json(f"{scratch}/analysis/high_latency_runs").collect()] == ["r2"]
+
+
+def test_files_per_date_bounds_file_count(spark, scratch):
+    import glob
+
+    from spindle.plans import derived
+    from tests.conftest import SF_SMALL
+
+    landed = derived.landed(spark, SF_SMALL)
+    tables.write_landed(landed, f"{scratch}/l2", mode="overwrite", files_per_date=2)
+    days = glob.glob(f"{scratch}/l2/date=*")
+    files = glob.glob(f"{scratch}/l2/date=*/*.parquet")
+    assert len(files) <= 2 * len(days)
+    assert spark.read.parquet(f"{scratch}/l2").count() == landed.count()
