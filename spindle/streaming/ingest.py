@@ -19,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from spindle.operators import envelope
 from spindle.schemas import MESSAGE
+from spindle.sources import tables
 from spindle.session import checkpoint_root
 
 # Tumbling window and allowed lateness of the deployment config.
@@ -96,15 +97,16 @@ def batch_points(out: DataFrame, batch_id: int, started: float, finished: float,
 
 
 def _sink_writer(landed_path: str, rejects_path: str, raw_path: str | None,
-                 metrics_path: str | None = None) -> Callable[[DataFrame, int], None]:
+                 metrics_path: str | None = None, files_per_date: int | None = None
+                 ) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, batch_id: int) -> None:
         # ``batch`` is already parsed and classified (on the stream, so the
         # counters land in the query progress); the sink-side steps follow.
         started = time.time()
         out = envelope.sink_columns(envelope.enforce_required(envelope.conform(batch))).persist()
         try:
-            landed = envelope.landed(out).withColumn("date", F.to_date("timestamp"))
-            landed.write.mode("overwrite").partitionBy("date").parquet(f"{landed_path}/batch_id={batch_id}")
+            tables.write_landed(envelope.landed(out), f"{landed_path}/batch_id={batch_id}",
+                                mode="overwrite", files_per_date=files_per_date)
             envelope.rejects(out).write.mode("overwrite").parquet(f"{rejects_path}/batch_id={batch_id}")
             if raw_path:
                 (batch.select(*MESSAGE.fieldNames()).withColumn("date", F.to_date("publish_time"))
@@ -120,7 +122,7 @@ def _sink_writer(landed_path: str, rejects_path: str, raw_path: str | None,
 
 def start_ingest(messages: DataFrame, landed_path: str, rejects_path: str,
                  checkpoint: str | None = None, raw_path: str | None = None,
-                 metrics_path: str | None = None,
+                 metrics_path: str | None = None, files_per_date: int | None = None,
                  available_now: bool = False, processing_time: str | None = None,
                  name: str | None = None) -> StreamingQuery:
     """Start the two-sink ingest stream; optionally a raw lake copy (A15) and
@@ -136,7 +138,7 @@ def start_ingest(messages: DataFrame, landed_path: str, rejects_path: str,
     classified = envelope.classify(envelope.parse(messages, observe_as=f"{name or 'ingest'}_parse"),
                                    observe_as=name or "ingest")
     writer = classified.writeStream.foreachBatch(
-        _sink_writer(landed_path, rejects_path, raw_path, metrics_path)) \
+        _sink_writer(landed_path, rejects_path, raw_path, metrics_path, files_per_date)) \
         .option("checkpointLocation", ckpt)
     if name:
         writer = writer.queryName(name)
