@@ -5,8 +5,9 @@ follows (``{"a":1} x`` parses). To demand that the whole text is one value,
 the text is parsed inside a wrapper object whose closing member comes after
 it: ``{"\\u0001": <text>, "\\u0002": 0}``. Trailing tokens, a second document
 or a stray bracket then either break the parse or cut the wrapper short, and
-the closing member is missing. Known limit: a text that itself closes the
-wrapper and re-opens members (``{..},"k":[1``) is not detected.
+the closing member is missing. A text that itself closes the wrapper and
+adds members (``{..},"k":1``) passes this one wrapper; the optional
+array wrapper (``array_wrapped_ok``) rejects that too.
 """
 
 from __future__ import annotations
@@ -49,6 +50,17 @@ def in_wrapper(wrapped: Column, keys: tuple[str, ...] | str, type_: str) -> Colu
     return F.try_variant_get(wrapped, _path(_OPEN_KEY, *keys), type_)
 
 
+def array_wrapped_ok(text: Column) -> Column:
+    """Second, independent wrapper: ``[<text>,"\u0002"]`` must hold exactly two
+    elements with the sentinel last. Content that escapes the object wrapper
+    must continue with members (``"k":v``), which cannot be array elements, so
+    passing both wrappers means the text is exactly one JSON value. Costs a
+    second parse; see ``envelope.parse(exact=True)``."""
+    w = F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"\\u0002"]')))
+    return (F.coalesce(F.try_variant_get(w, "$[1]", "string") == F.lit(_CLOSE_KEY), F.lit(False))
+            & F.try_variant_get(w, "$[2]", "variant").isNull())
+
+
 def strict_parse_json(text: Column) -> Column:
     """VARIANT of ``text`` when it is exactly one JSON value, else NULL (one expression)."""
     return unwrap(wrap_parse(text))

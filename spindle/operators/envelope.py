@@ -13,7 +13,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spindle.functions.jsonfn import get, in_wrapper, is_object_text, wrap_parse, wrapped_ok
+from spindle.functions.jsonfn import (
+    array_wrapped_ok, get, in_wrapper, is_object_text, wrap_parse, wrapped_ok,
+)
 from spindle.functions.timefmt import strict_iso_timestamp
 
 # Required envelope keys and metadata keys.
@@ -69,9 +71,13 @@ def parsed_object() -> Column:
 
 
 def parse(messages: DataFrame, value_col: str = "value",
-          time_col: str = "publish_time", observe_as: str | None = None) -> DataFrame:
+          time_col: str = "publish_time", observe_as: str | None = None,
+          exact: bool = False) -> DataFrame:
     """Decode UTF-8, parse strict JSON once, stamp ``processing_timestamp``.
 
+    ``exact=True`` adds a second wrapper parse that also rejects texts
+    crafted to close the first wrapper (about twice the parse cost).
+
     ``processing_timestamp`` is the element time of the message (its publish
     time), never the wall clock, so re-running a job gives the same rows.
     """
@@ -84,7 +90,8 @@ def parse(messages: DataFrame, value_col: str = "value",
         # _doc is the value inside the strict-parse wrapper, read in place
         # through the wrapper key (copying it out would cost a second parse).
         .withColumn(_DOC, F.when(F.col(_UTF8), wrap_parse(F.col(_TEXT))))
-        .withColumn(_OK, F.coalesce(wrapped_ok(F.col(_DOC)), F.lit(False)))
+        .withColumn(_OK, F.coalesce(wrapped_ok(F.col(_DOC)), F.lit(False))
+                    & (array_wrapped_ok(F.col(_TEXT)) if exact else F.lit(True)))
         .withColumn("processing_timestamp", F.col(time_col).cast("timestamp"))
     )
     # Barrier + parse counters: filters on the parsed columns stay above it.
@@ -187,12 +194,13 @@ def enforce_required(conformed: DataFrame) -> DataFrame:
     )
 
 
-def outcomes(messages: DataFrame, extra_rules: Sequence[tuple[str, Column]] = ()) -> DataFrame:
+def outcomes(messages: DataFrame, extra_rules: Sequence[tuple[str, Column]] = (),
+             exact: bool = False) -> DataFrame:
     """Every message with its envelope columns and final ``reject_reason``.
 
     One narrow pass; the landed and reject tables are two filters of it.
     """
-    return enforce_required(conform(classify(parse(messages), extra_rules)))
+    return enforce_required(conform(classify(parse(messages, exact=exact), extra_rules)))
 
 
 LANDED_COLUMNS = ("event_id", "timestamp", "processing_timestamp", "data", "metadata", "attributes")
