@@ -76,7 +76,8 @@ def parse(messages: DataFrame, value_col: str = "value",
     """Decode UTF-8, parse strict JSON once, stamp ``processing_timestamp``.
 
     ``exact=True`` adds a second wrapper parse that also rejects texts
-    crafted to close the first wrapper (about twice the parse cost).
+    crafted to continue the first wrapper (about a third more ingest time,
+    measured end to end).
 
     ``processing_timestamp`` is the element time of the message (its publish
     time), never the wall clock, so re-running a job gives the same rows.
