@@ -38,17 +38,19 @@ RULE_STATE = "rule string, lo long, hi long"
 ALERTS = "rule string, series string, start_time timestamp, end_time timestamp, buckets long"
 
 
-def _latest(spark: SparkSession, path: str, schema: str, batch_id: int) -> DataFrame:
+def _latest(spark: SparkSession, path: str, schema: str, batch_id: int,
+            hint: int | None = None) -> DataFrame:
     """State written by the newest batch before ``batch_id`` (empty if none).
 
-    Micro-batch ids are consecutive, so the previous batch's folder is read
-    directly; listing every batch folder is only the fallback (first batch,
-    or a batch that wrote nothing).
+    The running query remembers which batch last wrote state (``hint``), and
+    micro-batch ids are consecutive, so that folder is read directly; listing
+    every batch folder is only the fallback (first batch after a start).
     """
-    try:
-        return spark.read.schema(schema).parquet(f"{path}/batch_id={batch_id - 1}")
-    except Exception:  # noqa: BLE001 - folder absent
-        pass
+    for prev_id in dict.fromkeys(i for i in (hint, batch_id - 1) if i is not None and i < batch_id):
+        try:
+            return spark.read.schema(schema).parquet(f"{path}/batch_id={prev_id}")
+        except Exception:  # noqa: BLE001 - folder absent
+            pass
     try:
         df = spark.read.schema(schema + ", batch_id long").parquet(path)
         prev = df.where(F.col("batch_id") < batch_id).agg(F.max("batch_id")).first()[0]
@@ -123,13 +125,14 @@ def rule_kinds(rules: DataFrame) -> tuple[bool, bool]:
 
 
 def process_batch(spark: SparkSession, batch: DataFrame, batch_id: int, rules: DataFrame,
-                  state_path: str, alerts_path: str, kinds: tuple[bool, bool] | None = None) -> None:
+                  state_path: str, alerts_path: str, kinds: tuple[bool, bool] | None = None,
+                  state_hint: int | None = None) -> bool:
     """One micro-batch of closed buckets (rule, series, bucket, value).
 
-    An empty batch changes nothing and writes nothing (the next batch then
-    finds the newest state by listing)."""
+    Returns whether state was written. An empty batch changes nothing and
+    writes nothing; ``state_hint`` is the batch that last wrote state."""
     if batch.isEmpty():
-        return
+        return False
     has_gt, has_lt = kinds or rule_kinds(rules)
     r = rules.select("rule", "comparison", "threshold", "duration_s", "period_s")
     filled = (F.col("comparison") == "LT") & (F.col("threshold") > 0)
@@ -139,7 +142,7 @@ def process_batch(spark: SparkSession, batch: DataFrame, batch_id: int, rules: D
            .withColumn("breach", breach).withColumn("_filled", filled)).persist()
     cached = [new]
     try:
-        prev_rules = _latest(spark, f"{state_path}/rules", RULE_STATE, batch_id)
+        prev_rules = _latest(spark, f"{state_path}/rules", RULE_STATE, batch_id, state_hint)
         seen = new.groupBy("rule").agg(F.min("_s").alias("_lo"), F.max("_s").alias("_hi"))
         rules_state = (prev_rules.join(seen, "rule", "full")
                        .select("rule", F.coalesce("lo", "_lo").alias("lo"),
@@ -148,13 +151,13 @@ def process_batch(spark: SparkSession, batch: DataFrame, batch_id: int, rules: D
         rule_cols = r.select("rule", "duration_s", "period_s")
         outs = []
         if has_gt:
-            gt_state = _latest(spark, f"{state_path}/gt", GT_STATE, batch_id)
+            gt_state = _latest(spark, f"{state_path}/gt", GT_STATE, batch_id, state_hint)
             gt_out, gt_next = _gt_step(new.where(~F.col("_filled")), gt_state,
                                        rules_state.select("rule", "hi"), cached)
             outs.append(gt_out)
         if has_lt:
             lt_rules = r.where(filled).select("rule")
-            lt_state = _latest(spark, f"{state_path}/lt", LT_STATE, batch_id)
+            lt_state = _latest(spark, f"{state_path}/lt", LT_STATE, batch_id, state_hint)
             lt_out, lt_next = _lt_step(new.where(F.col("_filled")), lt_state,
                                        rules_state.join(lt_rules, "rule"),
                                        rule_cols.join(lt_rules, "rule"), cached)
@@ -166,6 +169,7 @@ def process_batch(spark: SparkSession, batch: DataFrame, batch_id: int, rules: D
         if has_lt:
             lt_next.write.mode("overwrite").parquet(f"{state_path}/lt/batch_id={batch_id}")
         rules_state.write.mode("overwrite").parquet(f"{state_path}/rules/batch_id={batch_id}")
+        return True
     finally:
         for df in cached:
             df.unpersist()
@@ -189,8 +193,12 @@ def start_incremental_alerting(points: DataFrame, rules: DataFrame, state_path:
     # size-checked once per stream; the per-batch joins reuse the hinted frame
     small_rules = broadcast_if_small(rules, al.MAX_BROADCAST_RULES)
 
+    last_state = {"id": None}  # batch that last wrote state, while this query runs
+
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        process_batch(spark, batch, batch_id, small_rules, state_path, alerts_path, kinds)
+        if process_batch(spark, batch, batch_id, small_rules, state_path, alerts_path, kinds,
+                         last_state["id"]):
+            last_state["id"] = batch_id
 
     writer = (closed_buckets(points, rules, lateness).writeStream.outputMode("append")
               .foreachBatch(on_batch).option("checkpointLocation", ckpt))
