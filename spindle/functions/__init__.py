@@ -1,12 +1,16 @@
 """Column-expression helpers (pure Spark SQL expressions, no Python UDFs)."""
 
-from spindle.functions.jsonfn import has_key, is_object_text, json_kind, strict_parse_json
+from spindle.functions.jsonfn import (
+    array_wrapped_ok, get, has_key, in_wrapper, is_object_text, json_kind, strict_parse_json,
+    wrap_parse, wrapped_ok,
+)
+from spindle.functions.labels import series_key
 from spindle.functions.timefmt import (
     bucket_start, epoch_seconds, iso_text, seconds_between, strict_iso_timestamp, to_naive,
 )
-from spindle.functions.labels import series_key
 
 __all__ = [
-    "bucket_start", "epoch_seconds", "has_key", "is_object_text", "iso_text", "json_kind",
-    "seconds_between", "series_key", "strict_iso_timestamp", "strict_parse_json", "to_naive",
+    "array_wrapped_ok", "bucket_start", "epoch_seconds", "get", "has_key", "in_wrapper",
+    "is_object_text", "iso_text", "json_kind", "seconds_between", "series_key",
+    "strict_iso_timestamp", "strict_parse_json", "to_naive", "wrap_parse", "wrapped_ok",
 ]
