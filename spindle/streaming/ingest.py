@@ -123,7 +123,7 @@ def _sink_writer(landed_path: str, rejects_path: str, raw_path: str | None,
 def start_ingest(messages: DataFrame, landed_path: str, rejects_path: str,
                  checkpoint: str | None = None, raw_path: str | None = None,
                  metrics_path: str | None = None, files_per_date: int | None = None,
-                 available_now: bool = False, processing_time: str | None = None,
+                 exact_json: bool = False, available_now: bool = False, processing_time: str | None = None,
                  name: str | None = None) -> StreamingQuery:
     """Start the two-sink ingest stream; optionally a raw lake copy (A15) and
     per-batch metric points (counters, batch size and time: D16, D18).
@@ -135,8 +135,8 @@ def start_ingest(messages: DataFrame, landed_path: str, rejects_path: str,
     """
     spark = messages.sparkSession
     ckpt = checkpoint or f"{checkpoint_root(spark)}/ingest"
-    classified = envelope.classify(envelope.parse(messages, observe_as=f"{name or 'ingest'}_parse"),
-                                   observe_as=name or "ingest")
+    parsed = envelope.parse(messages, observe_as=f"{name or 'ingest'}_parse", exact=exact_json)
+    classified = envelope.classify(parsed, observe_as=name or "ingest")
     writer = classified.writeStream.foreachBatch(
         _sink_writer(landed_path, rejects_path, raw_path, metrics_path, files_per_date)) \
         .option("checkpointLocation", ckpt)
