@@ -55,7 +55,7 @@ def main() -> None:
     print("# Physical plans of the registered queries\n")
     print(f"Generated by `scripts/plan_report.py` on `{sf_dir}` (local[*], AQE on). Counts are from the final")
     print("adaptive plan: a reused shuffle counts once. The driver tables are single small files, so every")
-    print("scan is spread over the cores by one hash exchange, counted under shuffles. A large table skips")
+    print("scan is spread over the cores by one round-robin exchange, counted under shuffles. A large table skips")
     print("that exchange.\n")
     print("Queries over messages, outcomes or landed rows read all `events` columns. Every field goes")
     print("into the message JSON, and the landed fields come out of parsing it, so no predicate can")
