@@ -20,3 +20,18 @@ def test_bench_prints_one_json_line():
     rec = json.loads(lines[0])
     assert rec["unit"] == "sec" and rec["sf"] == 0.001 and set(rec["queries"]) == {"ingest_valid", "reject_reasons"}
     assert rec["value"] > 0 and rec["metric"]
+
+
+def test_entry_module_loads_by_path_from_elsewhere(tmp_path):
+    """The driver may load __spark_entry__.py by file path with another working directory."""
+    code = (
+        "import importlib.util\n"
+        f"spec = importlib.util.spec_from_file_location('e', {os.path.join(REPO, '__spark_entry__.py')!r})\n"
+        "m = importlib.util.module_from_spec(spec); spec.loader.exec_module(m)\n"
+        "print(len(m.queries()), len(m.oracle_sql()))\n"
+    )
+    out = subprocess.run([sys.executable, "-c", code], cwd=str(tmp_path), capture_output=True, text=True,
+                         timeout=300, env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"})
+    assert out.returncode == 0, out.stderr[-2000:]
+    n_queries, n_oracles = map(int, out.stdout.split())
+    assert n_queries == n_oracles >= 45
