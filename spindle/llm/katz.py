@@ -41,8 +41,8 @@ from pyspark.sql import functions as F
 
 from spindle.llm.common import arrow_rows, fold, scratch_table, text_bytes
 
-BLOCK_TOKENS = 6_000_000
-BUCKET_TOKENS = 4_000_000
+BLOCK_TOKENS = 2_500_000
+BUCKET_TOKENS = 2_500_000
 K = 5  # counts above it are not discounted
 
 RESULT = ("doc_id long, held_out boolean, n_tokens long, n_known long, "
