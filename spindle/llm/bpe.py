@@ -24,7 +24,8 @@ import os
 import uuid
 from array import array
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -37,6 +38,7 @@ from spindle.llm.common import arrow_rows, scratch_path
 
 # Fixed value: the published pre-tokenizer pattern of byte-level BPE.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+NO_RANK, ID = 1 << 62, (1 << 32) - 1
 LEXICON_WORDS = 1 << 18  # bound of the lexicon, so of the compiled file
 LEXICON_WORD_BYTES = 64  # longer words are merged each time
 MEMO_WORDS = 300_000  # bound of a worker's memo; it is emptied when full
@@ -64,33 +66,31 @@ class Merger:
         byte_of = {c: b for b, c in letters.items()}
         ids = model["vocab"]
         pairs = (m if isinstance(m, list) else m.split(" ") for m in model["merges"])
-        self.rank = {(ids[a], ids[b]): (i, ids[a + b]) for i, (a, b) in enumerate(pairs)}
+        # pair -> its rank above the id that it becomes
+        self.rank = {(ids[a], ids[b]): i << 32 | ids[a + b] for i, (a, b) in enumerate(pairs)}
         self.byte_id = [ids[letters[b]] for b in range(256)]
         self.added = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.token = {i: bytes(byte_of[c] for c in s) for s, i in ids.items()}
         self.token |= {i: s.encode() for s, i in self.added.items()}
+        self.digits = {i: str(i) for i in self.token}
         longest = sorted(self.added, key=len, reverse=True)
         self.split = regex.compile("(" + "|".join(map(regex.escape, longest)) + ")") if longest else None
 
     def merge(self, word: bytes) -> list[int]:
+        """Join the leftmost pair of the lowest rank until no pair has one."""
         parts = [self.byte_id[b] for b in word]
-        rank, last = self.rank, (1 << 60, -1)
         if len(parts) > 256:
             return self._merge_long(parts)
-        while len(parts) > 1:
-            best = min(range(len(parts) - 1), key=lambda i: rank.get((parts[i], parts[i + 1]), last)[0])
-            at, new = rank.get((parts[best], parts[best + 1]), last)
-            if new < 0:
-                break
-            pair, out, i = (parts[best], parts[best + 1]), [], 0
-            while i < len(parts):
-                if i + 1 < len(parts) and (parts[i], parts[i + 1]) == pair:
-                    out.append(new)
-                    i += 2
-                else:
-                    out.append(parts[i])
-                    i += 1
-            parts = out
+        get = self.rank.get
+        ranks = [get(p, NO_RANK) for p in zip(parts, parts[1:])]
+        while ranks and (low := min(ranks)) != NO_RANK:
+            i, new = ranks.index(low), low & ID
+            parts[i:i + 2] = [new]
+            del ranks[i]
+            if i < len(ranks):
+                ranks[i] = get((new, parts[i + 1]), NO_RANK)
+            if i:
+                ranks[i - 1] = get((parts[i - 1], new), NO_RANK)
         return parts
 
     def _merge_long(self, parts: list[int]) -> list[int]:
@@ -99,21 +99,21 @@ class Merger:
 
         n = len(parts)
         after, before = [*range(1, n + 1)], [*range(-1, n - 1)]
-        heap = [(*r, i, parts[i], parts[i + 1]) for i in range(n - 1) if (r := self.rank.get((parts[i], parts[i + 1])))]
-        heap = [(r, i, new, a, b) for r, new, i, a, b in heap]
+        rank = self.rank
+        heap = [(rank[p], i, *p) for i, p in enumerate(zip(parts, parts[1:])) if p in rank]
         heapify(heap)
         while heap:
-            _, i, new, a, b = heappop(heap)
+            low, i, a, b = heappop(heap)
             j = after[i]
             if parts[i] != a or j >= n or parts[j] != b:
                 continue
-            parts[i], parts[j] = new, -1
+            parts[i], parts[j] = low & ID, -1
             after[i] = after[j]
             if after[j] < n:
                 before[after[j]] = i
             for left in (before[i], i):
-                if left >= 0 and (right := after[left]) < n and (r := self.rank.get((parts[left], parts[right]))):
-                    heappush(heap, (r[0], left, r[1], parts[left], parts[right]))
+                if left >= 0 and (right := after[left]) < n and (p := (parts[left], parts[right])) in rank:
+                    heappush(heap, (rank[p], left, *p))
         return [p for p in parts if p >= 0]
 
 
@@ -198,6 +198,21 @@ class Transducer:
         return self.ids[self.at[number]:self.at[number + 1]].tolist() if self.final[state] else None
 
 
+class _Memo(dict):
+    """Words' ids, computed at first use; emptied when full, and long words are not kept."""
+
+    def __init__(self, ids_of: Callable[[str], list[int]]) -> None:
+        self.ids_of = ids_of
+
+    def __missing__(self, word: str) -> list[int]:
+        ids = self.ids_of(word)
+        if len(self) >= MEMO_WORDS:
+            self.clear()
+        if len(word) <= LEXICON_WORD_BYTES:
+            self[word] = ids
+        return ids
+
+
 class Codec:
     """Encoder and decoder of one Python worker."""
 
@@ -207,7 +222,7 @@ class Codec:
         self.merger = Merger(tokenizer)
         self.lexicon = Transducer.open(lexicon) if lexicon else None
         self.words = regex.compile(PATTERN).findall
-        self.memo: dict[str, list[int]] = {}
+        self.memo = _Memo(self.word_ids)
 
     @classmethod
     def of(cls, tokenizer: str, lexicon: str | None) -> Codec:
@@ -237,15 +252,7 @@ class Codec:
             if special is not None:
                 out.append(special)
                 continue
-            for w in self.words(part):
-                ids = memo.get(w)
-                if ids is None:
-                    ids = self.word_ids(w)
-                    if len(memo) >= MEMO_WORDS:
-                        memo.clear()
-                    if len(w) <= LEXICON_WORD_BYTES:
-                        memo[w] = ids
-                out.extend(ids)
+            out.extend(chain.from_iterable(map(memo.__getitem__, self.words(part))))
         return out
 
     def decode(self, ids: list[int]) -> str:
@@ -324,12 +331,13 @@ def digests(docs: DataFrame, tokenizer: str, words: int = LEXICON_WORDS) -> Data
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         codec = Codec.of(tokenizer, SparkFiles.get(lexicon))
+        digits = codec.merger.digits
         for pdf in frames:
             ids = [codec.encode(t) for t in pdf["t"]]
             yield pd.DataFrame({
                 "doc_id": pdf["doc_id"],
                 "n_tokens": np.fromiter(map(len, ids), np.int64, len(ids)),
-                "ids_sha256": [hashlib.sha256(",".join(map(str, x)).encode()).hexdigest() for x in ids],
+                "ids_sha256": [hashlib.sha256(",".join([digits[i] for i in x]).encode()).hexdigest() for x in ids],
                 "decoded_sha256": [hashlib.sha256(codec.decode(x).encode()).hexdigest() for x in ids],
             })
 
