@@ -27,7 +27,6 @@ from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 from itertools import chain
 
-import numpy as np
 import pandas as pd
 import regex
 from pyspark import SparkFiles
@@ -72,7 +71,6 @@ class Merger:
         self.added = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.token = {i: bytes(byte_of[c] for c in s) for s, i in ids.items()}
         self.token |= {i: s.encode() for s, i in self.added.items()}
-        self.digits = {i: str(i) for i in self.token}
         longest = sorted(self.added, key=len, reverse=True)
         self.split = regex.compile("(" + "|".join(map(regex.escape, longest)) + ")") if longest else None
 
@@ -199,18 +197,18 @@ class Transducer:
 
 
 class _Memo(dict):
-    """Words' ids, computed at first use; emptied when full, and long words are not kept."""
+    """What is known of words, computed at first use; emptied when full, and long words are not kept."""
 
-    def __init__(self, ids_of: Callable[[str], list[int]]) -> None:
-        self.ids_of = ids_of
+    def __init__(self, of: Callable) -> None:
+        self.of = of
 
-    def __missing__(self, word: str) -> list[int]:
-        ids = self.ids_of(word)
+    def __missing__(self, word: str):
+        value = self.of(word)
         if len(self) >= MEMO_WORDS:
             self.clear()
         if len(word) <= LEXICON_WORD_BYTES:
-            self[word] = ids
-        return ids
+            self[word] = value
+        return value
 
 
 class Codec:
@@ -223,6 +221,7 @@ class Codec:
         self.lexicon = Transducer.open(lexicon) if lexicon else None
         self.words = regex.compile(PATTERN).findall
         self.memo = _Memo(self.word_ids)
+        self.coded = _Memo(lambda word: self.told(self.word_ids(word)))
 
     @classmethod
     def of(cls, tokenizer: str, lexicon: str | None) -> Codec:
@@ -255,6 +254,20 @@ class Codec:
             out.extend(chain.from_iterable(map(memo.__getitem__, self.words(part))))
         return out
 
+    def told(self, ids: list[int]) -> tuple[str, bytes]:
+        """Ids as decimals joined by commas, and the bytes they stand for."""
+        return ",".join(map(str, ids)), b"".join([self.merger.token[i] for i in ids])
+
+    def digest(self, text: str) -> tuple[int, str, str]:
+        """Number of ids, SHA-256 of the ids, SHA-256 of the text they decode to; built by words."""
+        parts = []
+        for part, special in self.pieces(text):
+            parts += map(self.coded.__getitem__, self.words(part)) if special is None else [self.told([special])]
+        ids = ",".join([p[0] for p in parts])
+        decoded = b"".join([p[1] for p in parts]).decode("utf-8", "replace")
+        return (ids.count(",") + 1 if ids else 0, hashlib.sha256(ids.encode()).hexdigest(),
+                hashlib.sha256(decoded.encode()).hexdigest())
+
     def decode(self, ids: list[int]) -> str:
         token = self.merger.token
         return b"".join([token[i] for i in ids]).decode("utf-8", "replace")
@@ -331,15 +344,10 @@ def digests(docs: DataFrame, tokenizer: str, words: int = LEXICON_WORDS) -> Data
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         codec = Codec.of(tokenizer, SparkFiles.get(lexicon))
-        digits = codec.merger.digits
         for pdf in frames:
-            ids = [codec.encode(t) for t in pdf["t"]]
-            yield pd.DataFrame({
-                "doc_id": pdf["doc_id"],
-                "n_tokens": np.fromiter(map(len, ids), np.int64, len(ids)),
-                "ids_sha256": [hashlib.sha256(",".join([digits[i] for i in x]).encode()).hexdigest() for x in ids],
-                "decoded_sha256": [hashlib.sha256(codec.decode(x).encode()).hexdigest() for x in ids],
-            })
+            made = pd.DataFrame([codec.digest(t) for t in pdf["t"]], columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+            made.insert(0, "doc_id", pdf["doc_id"].to_numpy())
+            yield made
 
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("t"))
