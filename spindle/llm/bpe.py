@@ -40,7 +40,8 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 NO_RANK, ID = 1 << 62, (1 << 32) - 1
 LEXICON_WORDS = 1 << 18  # bound of the lexicon, so of the compiled file
 LEXICON_WORD_BYTES = 64  # longer words are merged each time
-MEMO_WORDS = 300_000  # bound of a worker's memo; it is emptied when full
+MEMO_WORDS = 800_000  # bound of a worker's memo (some 300 bytes each); it is emptied when full
+COUNT_WORDS = 600_000  # bound of a task's counts, sent on when full
 
 
 def _byte_letters() -> dict[int, str]:
@@ -115,6 +116,9 @@ class Merger:
         return [p for p in parts if p >= 0]
 
 
+_ONE = [bytes([b]) for b in range(256)]
+
+
 class Transducer:
     """A minimal acyclic automaton from words to ids, in flat arrays that can be mapped."""
 
@@ -186,11 +190,10 @@ class Transducer:
     def get(self, word: bytes) -> list[int] | None:
         state, number, base = self.root, 0, self.labels
         find, first, target, skip = self.data.find, self.first, self.target, self.skip
-        for i in range(len(word)):
-            arc = find(word[i:i + 1], base + first[state], base + first[state + 1])
+        for byte in map(_ONE.__getitem__, word):
+            arc = find(byte, base + first[state], base + first[state + 1]) - base
             if arc < 0:
                 return None
-            arc -= base
             number += skip[arc]
             state = target[arc]
         return self.ids[self.at[number]:self.at[number + 1]].tolist() if self.final[state] else None
@@ -284,7 +287,7 @@ def count_words(docs: DataFrame, tokenizer: str, text: str = "text") -> DataFram
                 for part, special in codec.pieces(t):
                     if special is None:
                         seen.update(codec.words(part))
-            if len(seen) > 2 * MEMO_WORDS:
+            if len(seen) > COUNT_WORDS:
                 yield pd.DataFrame({"word": list(seen), "n": list(seen.values())})
                 seen.clear()
         yield pd.DataFrame({"word": list(seen), "n": list(seen.values())})
