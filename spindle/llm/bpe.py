@@ -202,12 +202,12 @@ class Transducer:
 class _Memo(dict):
     """What is known of words, computed at first use; emptied when full, and long words are not kept."""
 
-    def __init__(self, of: Callable) -> None:
-        self.of = of
+    def __init__(self, of: Callable, most: int) -> None:
+        self.of, self.most = of, most
 
     def __missing__(self, word: str):
         value = self.of(word)
-        if len(self) >= MEMO_WORDS:
+        if len(self) >= self.most:
             self.clear()
         if len(word) <= LEXICON_WORD_BYTES:
             self[word] = value
@@ -223,8 +223,8 @@ class Codec:
         self.merger = Merger(tokenizer)
         self.lexicon = Transducer.open(lexicon) if lexicon else None
         self.words = regex.compile(PATTERN).findall
-        self.memo = _Memo(self.word_ids)
-        self.coded = _Memo(lambda word: self.told(self.word_ids(word)))
+        self.memo = _Memo(self.word_ids, MEMO_WORDS // 4)
+        self.coded = _Memo(lambda word: self.told(self.word_ids(word)), MEMO_WORDS)
 
     @classmethod
     def of(cls, tokenizer: str, lexicon: str | None) -> Codec:
@@ -332,9 +332,11 @@ def encode_texts(docs: DataFrame, tokenizer: str, lexicon: str, text: str = "tex
     arrow_rows(docs.sparkSession)
 
     @F.pandas_udf("array<int>")
-    def ids(texts: pd.Series) -> pd.Series:
+    def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         codec = Codec.of(tokenizer, SparkFiles.get(lexicon))
-        return pd.Series([codec.encode(t or "") for t in texts])
+        for texts in batches:
+            yield pd.Series([codec.encode(t or "") for t in texts])
+        codec.memo.clear()  # an idle worker keeps no memory from the stages that follow
 
     return docs.withColumn("ids", ids(F.col(text).cast("string")))
 

@@ -158,8 +158,7 @@ def rate(docs: DataFrame, labels: DataFrame, risk: float = RISK, error: float =
 
 def keep(docs: DataFrame, labels: DataFrame, risk: float = RISK, error: float = ERROR) -> DataFrame:
     """The documents that the rules keep, with all their columns."""
-    rows = base_columns(docs.select("doc_id", "lang", "text"))
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", "lang", "text")
+    rows = scratch_table(base_columns(whole), "quality")
     cuts = scratch_table(cutoffs(rows, labels, risk, error), "cutoffs")
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "lang", "text")
-    return judge(base_columns(whole), cuts).where("kept").select(
-        *[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    return judge(rows, cuts).where("kept").select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
