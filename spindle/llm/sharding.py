@@ -4,7 +4,7 @@ Rows are ranked by a seeded hash within their source; the fractional rank
 (rank - phase) / size orders all rows, where the phase is a hash of the
 source, so that sources of one row each spread over the whole order. Cutting
 that order into equal counts gives shards that hold every source in
-proportion, within one row.
+proportion, give or take a few rows.
 
 Ranks are found without a window over a whole source: rows fall into
 buckets of about ``BUCKET_ROWS`` by hash (then by fractional rank), the buckets'
