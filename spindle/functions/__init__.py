@@ -1,8 +1,7 @@
 """Column-expression helpers (pure Spark SQL expressions, no Python UDFs)."""
 
 from spindle.functions.jsonfn import (
-    array_wrapped_ok, get, has_key, in_wrapper, is_object_text, json_kind, strict_parse_json,
-    wrap_parse, wrapped_ok,
+    get, in_wrapper, is_object_text, wrap_parse, wrapped_ok,
 )
 from spindle.functions.labels import series_key
 from spindle.functions.timefmt import (
@@ -10,7 +9,7 @@ from spindle.functions.timefmt import (
 )
 
 __all__ = [
-    "array_wrapped_ok", "bucket_start", "epoch_seconds", "get", "has_key", "in_wrapper",
-    "is_object_text", "iso_text", "json_kind", "seconds_between", "series_key",
-    "strict_iso_timestamp", "strict_parse_json", "to_naive", "wrap_parse", "wrapped_ok",
+    "bucket_start", "epoch_seconds", "get", "in_wrapper",
+    "is_object_text", "iso_text", "seconds_between", "series_key",
+    "strict_iso_timestamp", "to_naive", "wrap_parse", "wrapped_ok",
 ]

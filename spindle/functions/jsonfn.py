@@ -2,12 +2,10 @@
 
 ``try_parse_json`` stops after the first complete JSON value and ignores what
 follows (``{"a":1} x`` parses). To demand that the whole text is one value,
-the text is parsed inside a wrapper object whose closing member comes after
-it: ``{"\\u0001": <text>, "\\u0002": 0}``. Trailing tokens, a second document
-or a stray bracket then either break the parse or cut the wrapper short, and
-the closing member is missing. A text that itself closes the wrapper and
-adds members (``{..},"k":1``) passes this one wrapper; the optional
-array wrapper (``array_wrapped_ok``) rejects that too.
+the text is parsed as the first element of an array whose second, last
+element is the text's own MD5: ``[<text>,"<md5>"]``. A text cannot hold its
+own hash, so anything but one JSON value either breaks the parse, ends the
+array before the hash, or moves it from the second place. One parse decides.
 """
 
 from __future__ import annotations
@@ -15,55 +13,30 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_OPEN_KEY = "\u0001"
-_CLOSE_KEY = "\u0002"
-_OPEN = '{"\\u0001":'
-_CLOSE = ',"\\u0002":0}'
-
 
 def _path(*keys: str) -> str:
     return "$" + "".join('["' + k + '"]' for k in keys)
 
 
 def wrap_parse(text: Column) -> Column:
-    """Parse ``text`` inside the wrapper object (step 1 of the strict parse)."""
-    return F.try_parse_json(F.concat(F.lit(_OPEN), text, F.lit(_CLOSE)))
-
-
-def unwrap(wrapped: Column) -> Column:
-    """Step 2: the value when the wrapper closed after it, else NULL.
+    """Parse ``text`` inside the array (step 1 of the strict parse).
 
-    Keep step 1 in its own column so the parse runs once per row.
+    Keep it in its own column so the parse runs once per row.
     """
-    return F.when(wrapped_ok(wrapped), F.try_variant_get(wrapped, _path(_OPEN_KEY), "variant"))
+    return F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), F.md5(text.cast("binary")), F.lit('"]')))
 
 
-def wrapped_ok(wrapped: Column) -> Column:
-    """True when the wrapper parsed and closed after the value (text was one JSON value)."""
-    return F.try_variant_get(wrapped, _path(_CLOSE_KEY), "int").isNotNull()
+def wrapped_ok(wrapped: Column, text: Column) -> Column:
+    """True when the text was exactly one JSON value (step 2)."""
+    last = F.try_variant_get(wrapped, "$[1]", "string") == F.md5(text.cast("binary"))
+    return F.coalesce(last, F.lit(False)) & F.try_variant_get(wrapped, "$[2]", "variant").isNull()
 
 
 def in_wrapper(wrapped: Column, keys: tuple[str, ...] | str, type_: str) -> Column:
     """Read a path of the wrapped value without first copying the value out."""
     if isinstance(keys, str):
         keys = (keys,)
-    return F.try_variant_get(wrapped, _path(_OPEN_KEY, *keys), type_)
-
-
-def array_wrapped_ok(text: Column) -> Column:
-    """Second, independent wrapper: ``[<text>,"\u0002"]`` must hold exactly two
-    elements with the sentinel last. Content that escapes the object wrapper
-    must continue with members (``"k":v``), which cannot be array elements, so
-    passing both wrappers means the text is exactly one JSON value. Costs a
-    second parse; see ``envelope.parse(exact=True)``."""
-    w = F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"\\u0002"]')))
-    return (F.coalesce(F.try_variant_get(w, "$[1]", "string") == F.lit(_CLOSE_KEY), F.lit(False))
-            & F.try_variant_get(w, "$[2]", "variant").isNull())
-
-
-def strict_parse_json(text: Column) -> Column:
-    """VARIANT of ``text`` when it is exactly one JSON value, else NULL (one expression)."""
-    return unwrap(wrap_parse(text))
+    return F.try_variant_get(wrapped, "$[0]" + _path(*keys)[1:], type_)
 
 
 def is_object_text(text: Column) -> Column:
@@ -75,17 +48,6 @@ def is_object_text(text: Column) -> Column:
     return F.regexp_like(text, F.lit(r"^[ \t\r\n]*\{"))
 
 
-def has_key(doc: Column, *keys: str) -> Column:
-    """Key presence: true also when the value is JSON null (absent -> false)."""
-    return F.try_variant_get(doc, _path(*keys), "variant").isNotNull()
-
-
-def json_kind(doc: Column, *keys: str) -> Column:
-    """Type name of a (small) sub-value: OBJECT, ARRAY, STRING, BIGINT, VOID, ..."""
-    sub = F.try_variant_get(doc, _path(*keys), "variant") if keys else doc
-    return F.regexp_extract(F.schema_of_variant(sub), r"^([A-Z]+)", 1)
-
-
 def get(doc: Column, keys: tuple[str, ...] | str, type_: str) -> Column:
     if isinstance(keys, str):
         keys = (keys,)

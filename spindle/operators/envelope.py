@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spindle.functions.jsonfn import (
-    array_wrapped_ok, get, in_wrapper, is_object_text, wrap_parse, wrapped_ok,
+    get, in_wrapper, is_object_text, wrap_parse, wrapped_ok,
 )
 from spindle.functions.timefmt import strict_iso_timestamp
 
@@ -48,7 +48,6 @@ REASON_STAGE = {
 }
 
 _TEXT, _UTF8, _OK, _DOC, _TS, _META = "_text", "_utf8_ok", "_parsed", "_doc", "_ts", "_meta"
-INTERNAL = (_TEXT, _UTF8, _OK, _DOC, _TS, _META)
 _observe_ids = itertools.count()
 
 
@@ -71,14 +70,9 @@ def parsed_object() -> Column:
 
 
 def parse(messages: DataFrame, value_col: str = "value",
-          time_col: str = "publish_time", observe_as: str | None = None,
-          exact: bool = False) -> DataFrame:
+          time_col: str = "publish_time", observe_as: str | None = None) -> DataFrame:
     """Decode UTF-8, parse strict JSON once, stamp ``processing_timestamp``.
 
-    ``exact=True`` adds a second wrapper parse that also rejects texts
-    crafted to continue the first wrapper (about a third more ingest time,
-    measured end to end).
-
     ``processing_timestamp`` is the element time of the message (its publish
     time), never the wall clock, so re-running a job gives the same rows.
     """
@@ -88,11 +82,10 @@ def parse(messages: DataFrame, value_col: str = "value",
         messages
         .withColumn(_TEXT, text)
         .withColumn(_UTF8, F.is_valid_utf8(F.col(_TEXT)))
-        # _doc is the value inside the strict-parse wrapper, read in place
-        # through the wrapper key (copying it out would cost a second parse).
+        # _doc is the strict-parse array; the value is read in place as its
+        # first element (copying it out would cost a second parse).
         .withColumn(_DOC, F.when(F.col(_UTF8), wrap_parse(F.col(_TEXT))))
-        .withColumn(_OK, F.coalesce(wrapped_ok(F.col(_DOC)), F.lit(False))
-                    & (array_wrapped_ok(F.col(_TEXT)) if exact else F.lit(True)))
+        .withColumn(_OK, wrapped_ok(F.col(_DOC), F.col(_TEXT)))
         .withColumn("processing_timestamp", F.col(time_col).cast("timestamp"))
     )
     # Barrier + parse counters: filters on the parsed columns stay above it.
@@ -195,13 +188,12 @@ def enforce_required(conformed: DataFrame) -> DataFrame:
     )
 
 
-def outcomes(messages: DataFrame, extra_rules: Sequence[tuple[str, Column]] = (),
-             exact: bool = False) -> DataFrame:
+def outcomes(messages: DataFrame, extra_rules: Sequence[tuple[str, Column]] = ()) -> DataFrame:
     """Every message with its envelope columns and final ``reject_reason``.
 
     One narrow pass; the landed and reject tables are two filters of it.
     """
-    return enforce_required(conform(classify(parse(messages, exact=exact), extra_rules)))
+    return enforce_required(conform(classify(parse(messages), extra_rules)))
 
 
 LANDED_COLUMNS = ("event_id", "timestamp", "processing_timestamp", "data", "metadata", "attributes")
@@ -252,6 +244,3 @@ def stage_of(reason: Column) -> Column:
                 else expr.when(reason == r, F.lit(stage)))
     return expr.otherwise(F.lit("processing"))
 
-
-def drop_internal(df: DataFrame) -> DataFrame:
-    return df.drop(*[c for c in INTERNAL if c in df.columns])

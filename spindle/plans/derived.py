@@ -24,12 +24,12 @@ from spindle.session import configure, materialize
 FAULTS = {
     0: "invalid JSON (event_id % 40 = 0) or invalid UTF-8 (event_id % 40 = 20)",
     1: "no data key",
-    2: "timestamp not ISO-8601",
+    2: "timestamp not ISO-8601, or (event_id % 40 = 22) not a string",
     3: "metadata is an array",
     4: "metadata without version",
     5: "top level is an array",
     6: "event_id is JSON null",
-    7: "trailing text after the object",
+    7: "trailing text after the object, or (event_id % 40 = 27) a further member",
     8: "timestamp with Z suffix",
     9: "timestamp at +05:00",
     10: "timestamp at -03:30",
@@ -80,7 +80,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     members = F.concat(
         F.when(k == 12, F.lit('"event_id":"dup",')).otherwise(F.lit("")),
         F.lit('"event_id":'), eid_json,
-        F.lit(',"timestamp":'), F.concat(q, ts_text, q),
+        F.lit(',"timestamp":'), F.when(eid % 40 == 22, F.lit("5")).otherwise(F.concat(q, ts_text, q)),
         F.when(k == 1, F.lit("")).otherwise(F.concat(F.lit(',"data":'), F.to_json(F.col("_data")))),
         F.lit(',"metadata":'), meta_json,
         F.when(k == 11, F.lit(',"extra":1')).otherwise(F.lit("")),
@@ -88,6 +88,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = (
         F.when(k == 0, F.concat(F.lit("{"), F.col("_members")))  # object never closed
         .when(k == 5, F.concat(F.lit("["), F.col("_base"), F.lit("]")))
+        .when(eid % 40 == 27, F.concat(F.col("_base"), F.lit(',"q":1')))
         .when(k == 7, F.concat(F.col("_base"), F.lit(" x")))
         .otherwise(F.col("_base"))
     )
@@ -121,6 +122,12 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def interval(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
+    """Epoch seconds of the first and last message received (no payload is read)."""
+    at = F.unix_seconds("publish_time")
+    return tuple(messages(spark, sf_dir).agg(F.min(at), F.max(at)).first())
+
+
 def outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return envelope.outcomes(messages(spark, sf_dir))
 
