@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 
 # SQL settings every operator assumes. They are session scoped, so callers
@@ -50,8 +52,9 @@ def checkpoint_root(spark: SparkSession, fallback: str | None = None) -> str:
 
     The cluster names it in ``spark.checkpoint.dir``; only when the session
     has none is a fallback installed: the given folder (tests), else a
-    folder under the session's warehouse location (shared storage on a
-    cluster, never a machine-local temp folder).
+    folder under the session's warehouse location. That location is a local
+    folder by default, so outside local masters a fallback on the local file
+    system is refused.
     """
     try:
         sc = spark.sparkContext
@@ -60,6 +63,9 @@ def checkpoint_root(spark: SparkSession, fallback: str | None = None) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc else None)
     if not root:
         root = fallback or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+        local = root.startswith("file:") or "://" not in root
+        if local and not spark.conf.get("spark.master", "").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         spark.conf.set("spark.checkpoint.dir", root)
     if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
@@ -73,3 +79,8 @@ def materialize(df: DataFrame) -> DataFrame:
     and that survive executor loss (never ``localCheckpoint``)."""
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stream_checkpoint(spark: SparkSession, name: str, sink: str) -> str:
+    """Default checkpoint of a stream: one folder per name and sink."""
+    return f"{checkpoint_root(spark)}/{name}-{hashlib.md5(sink.encode()).hexdigest()[:12]}"

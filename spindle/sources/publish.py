@@ -80,7 +80,3 @@ def start_publish(messages: DataFrame, path: str, checkpoint: str,
     elif processing_time:
         w = w.trigger(processingTime=processing_time)
     return w.start()
-
-
-def message_schema():
-    return MESSAGE

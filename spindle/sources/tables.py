@@ -6,8 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spindle.operators.envelope import REASON_STAGE
-
 
 def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
     loc = f" LOCATION '{location}'" if location else ""
@@ -42,21 +40,23 @@ def append(df: DataFrame, name: str, schema: T.StructType | None = None,
     df.select(*cols).write.insertInto(name)
 
 
-def required_violation(schema: T.StructType, prefix: str = "") -> F.Column | None:
-    """Name of the first non-nullable (possibly nested) field that is NULL."""
-    expr = None
+def required_violation(schema: T.StructType, prefix: str = "") -> F.Column:
+    """Name of the first non-nullable (possibly nested) field that is NULL, else NULL.
+
+    Fields are checked in schema order; fields inside a struct only where the
+    struct itself is present; a JSON null in a VARIANT column counts as NULL.
+    """
+    checks = []
     for f in schema.fields:
         path = f"{prefix}{f.name}"
-        checks = []
+        absent = F.col(path).isNull()
+        if isinstance(f.dataType, T.VariantType):
+            absent = absent | F.is_variant_null(F.col(path))
         if not f.nullable:
-            checks.append((F.col(path).isNull(), path))
-        for cond, label in checks:
-            expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
+            checks.append(F.when(absent, F.lit(path)))
         if isinstance(f.dataType, T.StructType):
-            inner = required_violation(f.dataType, prefix=f"{path}.")
-            if inner is not None:
-                expr = inner if expr is None else expr.otherwise(inner)
-    return expr
+            checks.append(F.when(~absent, required_violation(f.dataType, f"{path}.")))
+    return F.coalesce(*checks, F.lit(None).cast("string"))
 
 
 def insert_rows(df: DataFrame, schema: T.StructType, name: str | None = None
@@ -71,8 +71,7 @@ def insert_rows(df: DataFrame, schema: T.StructType, name: str | None = None
     unknown = [c for c in df.columns if c not in schema.fieldNames()]
     if unknown:
         raise ValueError(f"unknown fields for table schema: {unknown}")
-    viol = required_violation(schema)
-    marked = df.withColumn("error_field", viol if viol is not None else F.lit(None).cast("string"))
+    marked = df.withColumn("error_field", required_violation(schema))
     good = marked.where(F.col("error_field").isNull()).drop("error_field")
     bad = marked.where(F.col("error_field").isNotNull()).withColumn("error", F.lit("required_null"))
     if name is not None:
@@ -85,10 +84,6 @@ def query(spark: SparkSession, sql: str, params: dict | None = None) -> DataFram
     return spark.sql(sql, args=params or None)
 
 
-def errors_stage_map() -> dict[str, str]:
-    return dict(REASON_STAGE)
-
-
 def _by_date(df: DataFrame, date: F.Column, key: str, files_per_date: int | None) -> DataFrame:
     """Add ``date``; with ``files_per_date`` rows are first hash-partitioned on
     (date, hash(key) mod files_per_date): each date is spread over that many

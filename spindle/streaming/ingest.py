@@ -20,7 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from spindle.operators import envelope
 from spindle.schemas import MESSAGE
 from spindle.sources import tables
-from spindle.session import checkpoint_root
+from spindle.session import stream_checkpoint
 
 # Tumbling window and allowed lateness of the deployment config.
 WINDOW = "60 seconds"
@@ -103,13 +103,17 @@ def _sink_writer(landed_path: str, rejects_path: str, raw_path: str | None,
         # ``batch`` is already parsed and classified (on the stream, so the
         # counters land in the query progress); the sink-side steps follow.
         started = time.time()
-        out = envelope.sink_columns(envelope.enforce_required(envelope.conform(batch))).persist()
+        out = envelope.enforce_required(envelope.conform(batch))
+        kept = envelope.sink_columns(out)
+        if raw_path:  # the raw copy comes from the same persisted rows: the stream plan runs once
+            kept = out.select(*dict.fromkeys([*kept.columns, *MESSAGE.fieldNames()]))
+        out = kept.persist()
         try:
             tables.write_landed(envelope.landed(out), f"{landed_path}/batch_id={batch_id}",
                                 mode="overwrite", files_per_date=files_per_date)
             envelope.rejects(out).write.mode("overwrite").parquet(f"{rejects_path}/batch_id={batch_id}")
             if raw_path:
-                (batch.select(*MESSAGE.fieldNames()).withColumn("date", F.to_date("publish_time"))
+                (out.select(*MESSAGE.fieldNames()).withColumn("date", F.to_date("publish_time"))
                  .write.mode("overwrite").partitionBy("date")
                  .parquet(f"{raw_path}/batch_id={batch_id}"))
             if metrics_path:
@@ -123,7 +127,7 @@ def _sink_writer(landed_path: str, rejects_path: str, raw_path: str | None,
 def start_ingest(messages: DataFrame, landed_path: str, rejects_path: str,
                  checkpoint: str | None = None, raw_path: str | None = None,
                  metrics_path: str | None = None, files_per_date: int | None = None,
-                 exact_json: bool = False, available_now: bool = False, processing_time: str | None = None,
+                 available_now: bool = False, processing_time: str | None = None,
                  name: str | None = None) -> StreamingQuery:
     """Start the two-sink ingest stream; optionally a raw lake copy (A15) and
     per-batch metric points (counters, batch size and time: D16, D18).
@@ -131,11 +135,13 @@ def start_ingest(messages: DataFrame, landed_path: str, rejects_path: str,
     Parse and validation run on the stream itself, so every micro-batch's
     progress carries the counters in ``observedMetrics``: ``<name>_parse``
     (received, invalid_utf8, unparsed) and ``<name>`` (received, valid,
-    rejected at validation). ``name`` defaults to "ingest".
+    rejected at validation). ``name`` defaults to "ingest". Without an
+    explicit checkpoint, the one under the shared folder belongs to this
+    landed path and name.
     """
     spark = messages.sparkSession
-    ckpt = checkpoint or f"{checkpoint_root(spark)}/ingest"
-    parsed = envelope.parse(messages, observe_as=f"{name or 'ingest'}_parse", exact=exact_json)
+    ckpt = checkpoint or stream_checkpoint(spark, name or "ingest", landed_path)
+    parsed = envelope.parse(messages, observe_as=f"{name or 'ingest'}_parse")
     classified = envelope.classify(parsed, observe_as=name or "ingest")
     writer = classified.writeStream.foreachBatch(
         _sink_writer(landed_path, rejects_path, raw_path, metrics_path, files_per_date)) \
