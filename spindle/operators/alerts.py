@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spindle.functions.labels import series_key
@@ -66,16 +66,10 @@ def match_rules(points: DataFrame, rules: DataFrame) -> DataFrame:
     return joined.where(rtype.isNull() | (F.col("resource")["type"] == rtype)).drop("resource_type")
 
 
-def aligned_by_rule(points: DataFrame, rules: DataFrame) -> DataFrame:
-    """One value per (rule, series, bucket) using each rule's own period and aligner.
-
-    The rules table is configuration (a handful of rows); it is broadcast
-    after a bounded size check.
-    """
-    joined = match_rules(points, broadcast_if_small(rules, MAX_BROADCAST_RULES))
-    bucket = bucket_start(F.col("end_time"), F.col("period_s"))
+def aligned_value() -> Column:
+    """The aggregate that the rule's aligner names."""
     aligner = F.col("aligner")
-    agg_value = (
+    return (
         F.when(aligner == "mean", F.avg("value"))
         .when(aligner == "sum", F.sum("value"))
         .when(aligner == "count", F.count("value").cast("double"))
@@ -83,31 +77,25 @@ def aligned_by_rule(points: DataFrame, rules: DataFrame) -> DataFrame:
         .when(aligner == "max", F.max("value"))
         .when(aligner == "min", F.min("value"))
     )
+
+
+def aligned_by_rule(points: DataFrame, rules: DataFrame) -> DataFrame:
+    """One value per (rule, series, bucket) using each rule's own period and aligner.
+
+    The rules table is configuration (a handful of rows); it is broadcast
+    after a bounded size check.
+    """
+    joined = match_rules(points, broadcast_if_small(rules, MAX_BROADCAST_RULES))
+    bucket = bucket_start(F.col("end_time"), F.col("period_s"))
     # aligner and period_s depend on the rule only; grouping on them keeps
     # them available to the aggregate expression.
     return (joined
             .groupBy("rule", "aligner", "period_s", series_key(F.col("labels")).alias("series"),
                      bucket.alias("bucket"))
-            .agg(agg_value.alias("value"))
+            .agg(aligned_value().alias("value"))
             .drop("aligner", "period_s"))
 
 
-def fill_gaps(aligned: DataFrame, rules: DataFrame) -> DataFrame:
-    """LT rules: every bucket between the rule's first and last bucket exists
-    for every series; missing ones get 0."""
-    lt = F.broadcast(rules.where(F.col("comparison") == "LT").select("rule", "period_s"))
-    a = aligned.join(lt, "rule")
-    span = a.groupBy("rule", "period_s").agg(F.min("bucket").alias("lo"), F.max("bucket").alias("hi"))
-    series = a.select("rule", "series").distinct()
-    grid = (series.join(F.broadcast(span), "rule")
-            .select("rule", "series", F.explode(F.sequence(
-                "lo", "hi", F.make_dt_interval(secs=F.col("period_s")))).alias("bucket")))
-    filled = (grid.join(a.select("rule", "series", "bucket", "value"), ["rule", "series", "bucket"], "left")
-              .withColumn("value", F.coalesce("value", F.lit(0.0))))
-    rest = aligned.join(lt, "rule", "left_anti")
-    return rest.unionByName(filled)
-
-
 def _islands(a: DataFrame) -> DataFrame:
     """Runs of consecutive breaching buckets (present rows only)."""
     breach = F.when(F.col("comparison") == "GT", F.col("value") > F.col("threshold")) \
@@ -121,15 +109,24 @@ def _islands(a: DataFrame) -> DataFrame:
             .withColumn("end_time", F.timestamp_seconds(F.unix_seconds("_last") + F.col("period_s"))))
 
 
-def _gaps(a: DataFrame) -> DataFrame:
+def _gaps(a: DataFrame, rules: DataFrame, interval: tuple[int, int] | None) -> DataFrame:
     """LT rules where a missing bucket (0) breaches: runs are the gaps between
-    non-breaching buckets, within the rule's [first, last] bucket span.
+    non-breaching buckets, within the evaluated interval (epoch seconds of its
+    first and last moment), else the rule's own [first, last] bucket span. With an
+    interval, a rule without any point is one empty series.
 
     Two sentinels per series (one period outside the span) close the ends.
     One window over non-breaching rows; no grid of every bucket is built.
     """
-    span = F.broadcast(a.groupBy("rule").agg(F.min("bucket").alias("_lo"), F.max("bucket").alias("_hi")))
-    keys = a.select("rule", "series", "period_s", "duration_s").distinct().join(span, "rule")
+    keys = a.select("rule", "series", "period_s", "duration_s").distinct()
+    if interval is None:
+        span = a.groupBy("rule").agg(F.min("bucket").alias("_lo"), F.max("bucket").alias("_hi"))
+        keys = keys.join(span, "rule")
+    else:
+        silent = rules.join(keys.select("rule").distinct(), "rule", "left_anti")
+        keys = keys.unionByName(silent.select("rule", F.lit("{}").alias("series"), "period_s", "duration_s"))
+        bound = lambda s: F.timestamp_seconds(F.floor(F.lit(int(s)) / F.col("period_s")) * F.col("period_s"))
+        keys = keys.withColumn("_lo", bound(interval[0])).withColumn("_hi", bound(interval[1]))
     p = F.col("period_s")
     sentinels = keys.select(
         "rule", "series", "period_s", "duration_s",
@@ -147,24 +144,31 @@ def _gaps(a: DataFrame) -> DataFrame:
 
 
 def breach_runs(aligned: DataFrame, rules: DataFrame, min_duration: bool = True,
-                fill_lt: bool = True) -> DataFrame:
+                fill_lt: bool = True, interval: tuple[int, int] | None = None) -> DataFrame:
     """Consecutive breaching buckets per (rule, series) -> runs.
 
     Output: rule, series, start_time, end_time (end of last bucket), buckets.
     With ``fill_lt`` an LT rule with a positive threshold treats a missing
-    bucket as 0, i.e. as breaching.
+    bucket as 0, i.e. as breaching, throughout ``interval`` (epoch seconds of
+    the first and last moment evaluated). Without an interval only the span of the rule's own
+    points is known, so an outage at either end goes unseen.
     """
     r = broadcast_if_small(rules.select("rule", "comparison", "threshold", "duration_s", "period_s"),
                            MAX_BROADCAST_RULES)
     a = aligned.join(r, "rule")
     filled = (F.col("comparison") == "LT") & (F.col("threshold") > 0) if fill_lt else F.lit(False)
-    runs = _islands(a.where(~filled)).drop("_island", "_last").unionByName(_gaps(a.where(filled)))
+    if interval is not None:
+        a = a.where(F.unix_seconds("bucket").between(
+            F.floor(F.lit(int(interval[0])) / F.col("period_s")) * F.col("period_s"), int(interval[1])))
+    runs = _islands(a.where(~filled)).drop("_island", "_last").unionByName(
+        _gaps(a.where(filled), r.where(filled), interval))
     if min_duration:
         runs = runs.where(F.col("buckets") * F.col("period_s") >= F.col("duration_s"))
     return runs.select("rule", "series", "start_time", "end_time", "buckets")
 
 
-def evaluate(points: DataFrame, rules: DataFrame, checkpoint: bool = True) -> DataFrame:
+def evaluate(points: DataFrame, rules: DataFrame, checkpoint: bool = True,
+             interval: tuple[int, int] | None = None) -> DataFrame:
     """Full rule evaluation: align per rule, then sustained breaches (LT gaps count 0).
 
     The aligned table (one row per rule, series and bucket: far smaller than
@@ -175,4 +179,4 @@ def evaluate(points: DataFrame, rules: DataFrame, checkpoint: bool = True) -> Da
     aligned = aligned_by_rule(points, rules)
     if checkpoint:
         aligned = materialize(aligned)
-    return breach_runs(aligned, rules)
+    return breach_runs(aligned, rules, interval=interval)

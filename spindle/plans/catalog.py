@@ -438,10 +438,11 @@ def alerts_error_rate(spark, sf):
 
 @register
 def alerts_low_throughput(spark, sf):
-    """H8: processed per hour below 8 for 3 h; hours without points count 0."""
+    """H8: processed per hour below 8 for 3 h; hours without points count 0,
+    from the first to the last message received."""
     rules = al.rules_frame(spark, [al.rule("low_throughput", mx.PROCESSED, "LT", 8.0, 3 * HOUR, HOUR,
                                            aligner="sum")])
-    return _alert_out(al.evaluate(_points(spark, sf), rules))
+    return _alert_out(al.evaluate(_points(spark, sf), rules, interval=derived.interval(spark, sf)))
 
 
 @register
@@ -457,7 +458,7 @@ def alerts_multi_rule(spark, sf):
         al.rule("low_throughput", mx.PROCESSED, "LT", 7.0, 2 * HOUR, HOUR, aligner="sum"),
         al.rule("high_cpu_usage", "gauge/cpu_usage", "GT", 80.0, 2 * HOUR, HOUR, wired=False),
     ])
-    return _alert_out(al.evaluate(allp, rules))
+    return _alert_out(al.evaluate(allp, rules, interval=derived.interval(spark, sf)))
 
 
 # ---------------------------------------------------------------- runs
@@ -533,7 +534,7 @@ def alerts_config_rules(spark, sf):
     period = al.DEFAULT_PERIOD_S
     allp = pts.unionByName(_latency(spark, sf)).unionByName(mx.error_rate_points(pts, period))
     wired = [r for r in al.CONFIG_RULES if r[7]]
-    return _alert_out(al.evaluate(allp, al.rules_frame(spark, wired)))
+    return _alert_out(al.evaluate(allp, al.rules_frame(spark, wired), interval=derived.interval(spark, sf)))
 
 
 @register

@@ -251,7 +251,7 @@ def islands(name: str, rule: str, bucketed: str, op: str, th: float, dur: int, p
     src = f"{name}_b"
     if fill:
         ctes += f""",
-{name}_span AS (SELECT min(bucket) AS lo, max(bucket) AS hi FROM {name}_b),
+{name}_span AS (SELECT min(b) AS lo, max(b) AS hi FROM (SELECT {bucket('publish_time', period)} AS b FROM cls)),
 {name}_grid AS (SELECT s.series, unnest(generate_series(lo, hi, INTERVAL {period} SECOND)) AS bucket
                 FROM (SELECT DISTINCT series FROM {name}_b) s, {name}_span),
 {name}_f AS (SELECT g.series, g.bucket, coalesce(b.value, 0.0) AS value

@@ -1,77 +1,59 @@
 """Alert rules on a stream.
 
 Windows over a whole series are not supported on streams, so evaluation is
-split: a streaming aggregation emits each (rule, series, bucket) once its
-bucket is closed (watermark on the bucket start, append mode); each
-micro-batch appends those closed buckets to a rollup table and re-evaluates
-the sustained-breach rules over it with the batch operator. Every write
-overwrites its own ``batch_id`` folder (alerts: a ``current`` folder
-replaced per batch), so a replayed micro-batch leaves the same state.
+split. A streaming aggregation emits each (rule, series, bucket) once, when
+its bucket is closed: the watermark runs on the points' own end time, so a
+bucket of any period stays open until the latest point seen lies
+``lateness`` beyond the bucket's end. Rules of one period share a window
+aggregation with a watermark of its own.
+Each micro-batch writes its closed buckets to its own ``batch_id`` folder of the rollup
+table (a replay rewrites the same folder), and ``current_alerts`` runs the
+batch operator over that table, which holds one short row per rule, series
+and bucket.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from spindle.functions.labels import series_key
-from spindle.functions.timefmt import bucket_start
 from spindle.operators import alerts as al
-from spindle.operators.joins import broadcast_if_small
-from spindle.session import checkpoint_root
+from spindle.session import stream_checkpoint
 
 ALIGNED_SCHEMA = "rule string, series string, bucket timestamp, value double"
 
 
 def closed_buckets(points: DataFrame, rules: DataFrame, lateness: str) -> DataFrame:
-    """Streaming (rule, series, bucket, value); a bucket is emitted once,
-    after the watermark (max bucket seen - lateness) passes it."""
-    joined = al.match_rules(points, broadcast_if_small(rules, al.MAX_BROADCAST_RULES))
-    b = (joined.withColumn("bucket", bucket_start(F.col("end_time"), F.col("period_s")))
-         .withColumn("series", series_key(F.col("labels")))
-         .withWatermark("bucket", lateness))
-    aligner = F.col("aligner")
-    value = (
-        F.when(aligner == "mean", F.avg("value"))
-        .when(aligner == "sum", F.sum("value"))
-        .when(aligner == "count", F.count("value").cast("double"))
-        .when(aligner == "rate", F.sum("value") / F.col("period_s"))
-        .when(aligner == "max", F.max("value"))
-        .when(aligner == "min", F.min("value"))
-    )
-    return (b.groupBy("rule", "aligner", "period_s", "series", "bucket")
-            .agg(value.alias("value"))
-            .select("rule", "series", "bucket", "value"))
+    """Streaming (rule, series, bucket, value); a bucket is emitted once, when
+    the largest end time seen is ``lateness`` past the bucket's end."""
+    # Rules are configuration: their distinct periods are a handful of numbers.
+    periods = sorted(r["period_s"] for r in rules.select("period_s").distinct().collect())
+    if not periods:
+        raise ValueError("no alert rules")
+    def of_period(period: int) -> DataFrame:
+        # A watermark of its own: state behind a shared node is only closed in one branch of the union.
+        joined = al.match_rules(points.withWatermark("end_time", lateness), rules.where(F.col("period_s") == period))
+        return (joined.groupBy("rule", "aligner", "period_s", series_key(F.col("labels")).alias("series"),
+                               F.window("end_time", f"{period} seconds").alias("w"))
+                .agg(al.aligned_value().alias("value"))
+                .select("rule", "series", F.col("w.start").alias("bucket"), "value"))
 
+    return reduce(DataFrame.unionByName, map(of_period, periods))
 
-def start_alerting(points: DataFrame, rules: DataFrame, rollup_path: str, alerts_path: str,
-                   checkpoint: str | None = None, lateness: str = "300 seconds",
-                   available_now: bool = False, processing_time: str | None = None,
-                   horizon_s: int | None = None) -> StreamingQuery:
-    """Start the alerting stream.
 
-    By default every micro-batch re-evaluates all closed buckets (exact start
-    times, cost grows with history). With ``horizon_s`` only buckets within
-    ``horizon_s`` of the newest closed bucket are read (the predicate reaches
-    the parquet scan); choose it at least the longest rule duration plus one
-    period, and runs that began before the horizon report the horizon start.
-    """
-    spark: SparkSession = points.sparkSession
-    ckpt = checkpoint or f"{checkpoint_root(spark)}/alerting"
+def start_alerting(points: DataFrame, rules: DataFrame, rollup_path: str,
+                   checkpoint: str | None = None, lateness: str = "300 seconds",
+                   available_now: bool = False, processing_time: str | None = None) -> StreamingQuery:
+    """Start the stream that keeps the rollup table of closed buckets."""
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{rollup_path}/batch_id={batch_id}")
-        rollup = spark.read.schema(ALIGNED_SCHEMA).parquet(rollup_path).select(
-            "rule", "series", "bucket", "value")
-        if horizon_s is not None:
-            newest = batch.agg(F.max("bucket")).first()[0]
-            if newest is None:
-                return
-            rollup = rollup.where(F.col("bucket") >= F.lit(newest) - F.make_dt_interval(secs=F.lit(horizon_s)))
-        runs = al.breach_runs(rollup, rules)
-        runs.write.mode("overwrite").parquet(f"{alerts_path}/current")
 
+    ckpt = checkpoint or stream_checkpoint(points.sparkSession, "alerting", rollup_path)
     writer = (closed_buckets(points, rules, lateness).writeStream.outputMode("append")
               .foreachBatch(on_batch).option("checkpointLocation", ckpt))
     if available_now:
@@ -79,3 +61,10 @@ def start_alerting(points: DataFrame, rules: DataFrame, rollup_path: str, alerts
     elif processing_time:
         writer = writer.trigger(processingTime=processing_time)
     return writer.start()
+
+
+def current_alerts(spark: SparkSession, rollup_path: str, rules: DataFrame,
+                   interval: tuple[int, int] | None = None) -> DataFrame:
+    """Alert runs over all closed buckets so far."""
+    rollup = spark.read.schema(ALIGNED_SCHEMA).parquet(rollup_path).select("rule", "series", "bucket", "value")
+    return al.breach_runs(rollup, rules, interval=interval)

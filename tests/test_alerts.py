@@ -5,6 +5,23 @@ from pyspark.sql import functions as F
 from spindle.operators import alerts as al
 
 T0 = dt.datetime(2024, 1, 1)
+EPOCH = 1704067200  # T0 in UTC seconds
+
+
+def fill_gaps(aligned, rules):
+    """LT rules: every bucket between the rule's first and last bucket exists
+    for every series; missing ones get 0."""
+    lt = rules.where(F.col("comparison") == "LT").select("rule", "period_s")
+    a = aligned.join(lt, "rule")
+    span = a.groupBy("rule", "period_s").agg(F.min("bucket").alias("lo"), F.max("bucket").alias("hi"))
+    series = a.select("rule", "series").distinct()
+    grid = (series.join(span, "rule")
+            .select("rule", "series", F.explode(F.sequence(
+                "lo", "hi", F.make_dt_interval(secs=F.col("period_s")))).alias("bucket")))
+    filled = (grid.join(a.select("rule", "series", "bucket", "value"), ["rule", "series", "bucket"], "left")
+              .withColumn("value", F.coalesce("value", F.lit(0.0))))
+    rest = aligned.join(lt, "rule", "left_anti")
+    return rest.unionByName(filled)
 
 
 def points(spark, mtype, rows):
@@ -79,7 +96,7 @@ def test_gap_method_equals_grid_fill(spark, series, th, dur):
                                        period_s=60, aligner="sum")])
     aligned = al.aligned_by_rule(p, r)
     fast = al.breach_runs(aligned, r)
-    grid = al.breach_runs(al.fill_gaps(aligned, r), r, fill_lt=False)
+    grid = al.breach_runs(fill_gaps(aligned, r), r, fill_lt=False)
     key = lambda df: sorted((x.series, x.start_time, x.end_time, x.buckets) for x in df.collect())
     assert key(fast) == key(grid)
 
@@ -101,3 +118,14 @@ def test_rule_resource_type_filter(spark):
         r = al.rules_frame(spark, [al.rule("lat", "latency/x", "GT", 5, duration_s=120, period_s=60,
                                            resource_type=rtype)])
         assert al.evaluate(p, r).count() == expected, rtype
+
+
+def test_outage_breaches_low_throughput(spark):
+    """Processed in the first 10 of 120 minutes only; and a metric that never reports."""
+    p = points(spark, "counter/done", [("a", m, 200) for m in range(10)])
+    r = al.rules_frame(spark, [
+        al.rule("low", "counter/done", "LT", 100, duration_s=300, period_s=60, aligner="sum"),
+        al.rule("silent", "counter/none", "LT", 100, duration_s=300, period_s=60, aligner="sum")])
+    got = {(x.rule, x.series, x.buckets) for x in al.evaluate(p, r, interval=(EPOCH, EPOCH + 120 * 60 - 1)).collect()}
+    assert got == {("low", '{"s":"a"}', 110), ("silent", "{}", 120)}
+    assert al.evaluate(p, r).count() == 0

@@ -1,96 +1,60 @@
 import datetime as dt
 import os
+import random
 
 import pytest
 
 from spindle.operators import alerts as al
 from spindle.schemas import METRICS
-from spindle.streaming.alerting import start_alerting
+from spindle.streaming.alerting import ALIGNED_SCHEMA, current_alerts, start_alerting
 
 T0 = dt.datetime(2024, 1, 1)
 
 
 def _points(spark, rows):
+    """rows: (series, second, value)."""
     return spark.createDataFrame(
-        [("latency/x", "GAUGE", "DOUBLE", float(v), {"s": s}, {}, T0 + dt.timedelta(minutes=m))
-         for s, m, v in rows], METRICS)
+        [("latency/x", "GAUGE", "DOUBLE", float(v), {"s": s}, {}, T0 + dt.timedelta(seconds=t))
+         for s, t, v in rows], METRICS)
 
 
-def test_stream_alerts_equal_batch_on_closed_buckets(spark, scratch):
+def _stream(spark, scratch, chunks, rules, lateness):
     src = f"{scratch}/pts"
     os.makedirs(src)
-    rows = [("a", m, 10) for m in range(0, 6)] + [("b", m, 10 if m % 3 else 0) for m in range(0, 9)]
-    # time-ordered single files (one micro-batch each), then a late-time
-    # filler that moves the watermark past every earlier bucket
-    rows.sort(key=lambda r: r[1])
-    chunks = [rows[:8], rows[8:], [("c", 60, 0)]]
     for i, c in enumerate(chunks):
-        _points(spark, c).coalesce(1).write.parquet(f"{src}/f{i}")
+        _points(spark, c).coalesce(1).write.parquet(f"{src}/f{i:03d}")
     stream = spark.readStream.schema(METRICS).option("maxFilesPerTrigger", 1).parquet(f"{src}/*")
-    rules = al.rules_frame(spark, [al.rule("lat", "latency/x", "GT", 5, duration_s=180, period_s=60)])
-    q = start_alerting(stream, rules, f"{scratch}/rollup", f"{scratch}/alerts",
-                       checkpoint=f"{scratch}/ck", lateness="0 seconds", available_now=True)
+    q = start_alerting(stream, rules, f"{scratch}/rollup", checkpoint=f"{scratch}/ck",
+                       lateness=lateness, available_now=True)
     q.awaitTermination(300)
-    got = sorted((r.series, r.start_time, r.buckets) for r in spark.read.parquet(f"{scratch}/alerts/current").collect())
-    batch = al.evaluate(_points(spark, rows), rules)
-    want = sorted((r.series, r.start_time, r.buckets) for r in batch.collect())
-    assert got == want and len(want) == 1
+    return sorted((r.rule, r.series, r.bucket, round(r.value, 9))
+                  for r in spark.read.schema(ALIGNED_SCHEMA).parquet(f"{scratch}/rollup").collect())
 
 
-def test_stream_alerts_with_horizon(spark, scratch):
-    src = f"{scratch}/pts"
-    os.makedirs(src)
-    rows = sorted([("a", m, 10) for m in range(0, 6)], key=lambda r: r[1])
-    for i, c in enumerate([rows, [("c", 60, 0)]]):
-        _points(spark, c).coalesce(1).write.parquet(f"{src}/f{i}")
-    stream = spark.readStream.schema(METRICS).option("maxFilesPerTrigger", 1).parquet(f"{src}/*")
-    rules = al.rules_frame(spark, [al.rule("lat", "latency/x", "GT", 5, duration_s=180, period_s=60)])
-    q = start_alerting(stream, rules, f"{scratch}/rollup", f"{scratch}/alerts", checkpoint=f"{scratch}/ck",
-                       lateness="0 seconds", available_now=True, horizon_s=3600)
-    q.awaitTermination(300)
-    got = [(r.series, r.buckets) for r in spark.read.parquet(f"{scratch}/alerts/current").collect()]
-    assert got == [('{"s":"a"}', 6)]
+def _batch(spark, rows, rules):
+    return sorted((r.rule, r.series, r.bucket, round(r.value, 9))
+                  for r in al.aligned_by_rule(_points(spark, rows), rules).collect())
 
 
-def _run_incremental(spark, scratch, chunks, rules, name):
-    from spindle.streaming.incremental import current_alerts, start_incremental_alerting
-
-    src = f"{scratch}/{name}"
-    os.makedirs(src)
-    for i, c in enumerate(chunks):
-        _points(spark, c).coalesce(1).write.parquet(f"{src}/f{i}")
-    stream = spark.readStream.schema(METRICS).option("maxFilesPerTrigger", 1).parquet(f"{src}/*")
-    q = start_incremental_alerting(stream, rules, f"{scratch}/{name}_state", f"{scratch}/{name}_alerts",
-                                   checkpoint=f"{scratch}/{name}_ck", lateness="0 seconds",
-                                   available_now=True)
-    q.awaitTermination(300)
-    return sorted((r.rule, r.series, r.start_time, r.end_time, r.buckets)
-                  for r in current_alerts(spark, f"{scratch}/{name}_alerts").collect())
+@pytest.mark.parametrize("late", [0, 120])
+def test_buckets_of_mixed_periods_lose_no_point(spark, scratch, late):
+    """An hourly and a minute rule over ten micro-batches, some points ``late`` seconds late."""
+    rnd = random.Random(late)
+    rows = [(s, 60 * m + rnd.randrange(60), rnd.choice([0, 3, 8, 12])) for m in range(150) for s in ("a", "b")]
+    arrival = sorted(rows, key=lambda r: r[1] + (late if late and rnd.random() < 0.3 else 0))
+    chunks = [arrival[i:i + 30] for i in range(0, len(arrival), 30)] + [[("z", 6 * 3600, 0)], [("z", 6 * 3600 + 1, 0)]]
+    rules = al.rules_frame(spark, [
+        al.rule("hour", "latency/x", "GT", 5, duration_s=3600, period_s=3600, aligner="count"),
+        al.rule("minute", "latency/x", "LT", 5, duration_s=120, period_s=60, aligner="sum"),
+    ])
+    got = _stream(spark, scratch, chunks, rules, "300 seconds")
+    assert got == _batch(spark, rows, rules) and len(got) > 100
+    runs = lambda df: sorted(map(tuple, df.collect()))
+    assert runs(current_alerts(spark, f"{scratch}/rollup", rules)) == runs(al.evaluate(_points(spark, rows), rules))
 
 
-@pytest.mark.parametrize("seed,width", [(3, 10), (11, 7)])
-def test_incremental_alerts_equal_batch(spark, scratch, seed, width):
-    import random
+def test_two_streams_have_their_own_default_checkpoints(spark):
+    from spindle.session import stream_checkpoint
 
-    rnd = random.Random(seed)
-    rows = []
-    for s in ("a", "b", "c"):
-        first, last = rnd.randint(0, 12), rnd.randint(28, 40)  # series start late / stop early
-        for m in range(first, last):
-            if rnd.random() < 0.8:  # some minutes missing
-                rows.append((s, m, rnd.choice([0, 3, 8, 12])))
-    rows.sort(key=lambda r: r[1])
-    # time-ordered micro-batches of ``width`` minutes, then a filler that closes them all
-    chunks = [[r for r in rows if lo <= r[1] < lo + width] for lo in range(0, 40, width)] + [[("z", 120, 0)]]
-    chunks = [c for c in chunks if c]
-    rules = al.rules_frame(spark, [
-        al.rule("hi", "latency/x", "GT", 5, duration_s=120, period_s=60),
-        al.rule("lo", "latency/x", "LT", 5, duration_s=120, period_s=60, aligner="sum"),
-    ])
-    got = _run_incremental(spark, scratch, chunks, rules, f"inc{seed}")
-    # the watermark (lateness 0) reaches the filler's bucket, which is then
-    # closed too: eviction is at event time <= watermark
-    closed = rows + [("z", 120, 0)]
-    batch = al.evaluate(_points(spark, closed), rules)
-    want = sorted((r.rule, r.series, r.start_time, r.end_time, r.buckets) for r in batch.collect())
-    assert got == want and len(want) > 3
+    a, b = (stream_checkpoint(spark, "ingest", p) for p in ("/x/landed", "/y/landed"))
+    assert a != b and a == stream_checkpoint(spark, "ingest", "/x/landed")
