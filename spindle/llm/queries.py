@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from spindle.llm import bpe, cws, katz, langid, licenses, mixing, pii, quality, sharding, simhash
 from spindle.llm.common import documents
+from spindle.llm.oracle import ORACLE
+
+__all__ = ["ORACLE", "QUERIES", "tokenizer_path"]
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -63,6 +66,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_license_scans, op2_language_id, op3_simhash_near_dedup, op4_source_mixing, op5_lm_scoring,
         op6_document_fingerprints, op7_quality_rules, op8_pii, op9_sharding, op10_bpe)
 }
-
-# Queries that DuckDB can state over the same tables; the others are tested by brute force in tests/llm.
-ORACLE: dict[str, str] = {}

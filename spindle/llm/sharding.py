@@ -26,6 +26,7 @@ from spindle.llm.common import scratch_table, text_bytes
 SHARDS = 24
 SEED = 11
 BUCKET_ROWS = 10_000
+LEAST_BUCKETS = 256
 
 
 def assign(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
@@ -35,7 +36,7 @@ def assign(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, bucket_rows:
         "doc_id", "source", (F.octet_length(data) + 8).cast("long").alias("size"), F.crc32(data).alias("text_crc32"),
         F.xxhash64(F.lit(seed), "doc_id", data).alias("key")), "rows")
     n = rows.count()
-    buckets = max(1, -(-n // bucket_rows))
+    buckets = max(LEAST_BUCKETS, -(-n // bucket_rows))
     rows = rows.withColumn("bucket", F.pmod("key", F.lit(buckets)))
 
     sizes = rows.groupBy("source", "bucket").agg(F.count("*").alias("n"))
