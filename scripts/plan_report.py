@@ -13,7 +13,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from __spark_entry__ import queries  # noqa: E402
+from spindle.plans.catalog import REGISTRY  # noqa: E402
 from spindle.session import local_session  # noqa: E402
 
 
@@ -65,7 +65,7 @@ def main() -> None:
     print("`ts`, `event_type`, `value`, with time ranges pushed down.\n")
     print("| query | scans (columns read, pushed filters) | shuffles | reused | BHJ | SMJ | BNLJ | windows | python |")
     print("|---|---|---|---|---|---|---|---|---|")
-    for name, fn in queries().items():
+    for name, fn in REGISTRY.items():
         try:
             s = summarize(final_plan(fn(spark, sf_dir)))
         except Exception as e:  # noqa: BLE001
