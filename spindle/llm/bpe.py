@@ -33,7 +33,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spindle.llm.common import arrow_rows, scratch_path
+from spindle.llm.common import arrow_rows, scratch_path, scratch_table
 
 # Fixed value: the published pre-tokenizer pattern of byte-level BPE.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -297,13 +297,29 @@ def count_words(docs: DataFrame, tokenizer: str, text: str = "text") -> DataFram
             .groupBy("word").agg(F.sum("n").alias("n")))
 
 
+def frequent_words(docs: DataFrame, tokenizer: str, words: int = LEXICON_WORDS) -> DataFrame:
+    """The words of the highest counts, as many whole counts as fit into ``words``; no word seen once.
+
+    The least count is read off the table (count, number of words), so that no task merges the
+    tasks' tops.
+    """
+    counts = scratch_table(count_words(docs, tokenizer).where(
+        (F.col("n") > 1) & (F.octet_length("word") <= LEXICON_WORD_BYTES)), "counts")
+    room, least = words, None
+    for n, size in counts.groupBy("n").agg(F.count("*").alias("size")).orderBy(F.desc("n")).limit(words).collect():
+        room -= size
+        if room < 0:
+            break
+        least = n
+    return counts.where(F.lit(False) if least is None else F.col("n") >= least).select("word")
+
+
 def build_lexicon(docs: DataFrame, tokenizer: str, words: int = LEXICON_WORDS) -> bytes:
-    """Compile the ``words`` most frequent words (ties: by the word) into a transducer.
+    """Compile the most frequent words, ``words`` at most, into a transducer.
 
     At most ``words`` short rows reach the driver; they are merged on the executors.
     """
-    top = (count_words(docs, tokenizer).where(F.octet_length("word") <= LEXICON_WORD_BYTES)
-           .orderBy(F.desc("n"), "word").limit(words).select("word"))
+    top = frequent_words(docs, tokenizer, words)
 
     def merge(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         merger = Codec.of(tokenizer, None).merger
