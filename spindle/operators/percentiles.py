@@ -3,18 +3,19 @@
 Semantics: for n sorted values and 0 <= p < 1 the answer is ``sorted[int(n*p)]``
 (no interpolation; differs from ``percentile`` and ``percentile_disc``).
 
-Plan, chosen so that no task ever sorts a whole group:
-1. ``groupBy(group, value).count()``: duplicates collapse map-side.
-2. Each distinct value gets a monotone coarse bucket (sign, decade and three
-   significant digits, ~9000 buckets per decade); a histogram per
-   (group, bucket) is small, and a running sum over it per group places the
-   target rank ``k = floor(n*p) + 1`` in one bucket.
-3. The values of that bucket only are histogrammed again on the next four
-   significant digits, which places the rank in one fine bucket.
-4. Only the distinct values of that fine bucket (relative width ~1e-7) are
-   ranked to find the answer.
-A group holding a third of all rows is spread over buckets in steps 1-3;
-only step 4 works per (group, p), on a sliver of the value range.
+Plan, chosen so that no row travels before its bucket is known:
+1. Every value gets a monotone coarse bucket (sign, decade and three
+   significant digits, ~9000 buckets per decade). Counts, least and greatest
+   value per (group, bucket) are combined map-side, and a running sum over
+   that small histogram places the target rank ``k = floor(n*p) + 1`` in one bucket.
+2. While a located bucket holds more than ``sliver_rows`` rows of differing
+   values, the span between its least and greatest value is cut into
+   ``PARTS`` equal parts and located again. A round shortens the span by that
+   factor, so a handful of rounds reaches single values.
+3. Only the rows of the located spans are shuffled, combined by value, and ranked.
+The located buckets (one short row per group and p) are checkpointed between
+steps and broadcast after a size check; larger ones are joined by the planner. A group
+with a third of all rows costs histogram rows only, plus its slivers.
 """
 
 from __future__ import annotations
@@ -24,6 +25,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from spindle.operators.joins import broadcast_if_small
+from spindle.session import materialize
+
+SLIVER_ROWS = 100_000  # rows of a located span that one task may rank
+PARTS = 4096  # parts of a span that holds more
+
 
 def coarse_bucket(v: Column) -> Column:
     """Monotone non-decreasing integer key of a double (0 for 0.0).
@@ -43,68 +50,57 @@ def coarse_bucket(v: Column) -> Column:
         .when(v == F.lit(float("-inf")), -big - 1)
         .when(v > 0, mag).when(v < 0, -mag).otherwise(F.lit(0))
     )
-    # coalesce makes the key non-nullable, so joins on it infer no extra
-    # filter and both reads of the compressed values stay identical plans
-    # (the shuffle is then computed once and reused).
-    return F.coalesce(key.cast("long"), F.lit(0))
-
-
-def fine_bucket(v: Column) -> Column:
-    """Second-level key inside a ``coarse_bucket``: the next four significant
-    digits (0..9999), ordered like the values (reversed for negatives)."""
-    a = F.abs(v)
-    e = F.floor(F.log10(a))
-    r = a / F.pow(F.lit(10.0), F.greatest(e, F.lit(-300))) * F.lit(1000.0)
-    f = F.least(F.floor((r - F.floor(r)) * F.lit(10000.0)), F.lit(9999))
-    finite = ~F.isnan(v) & (F.abs(v) != F.lit(float("inf")))
-    key = F.when(finite & (v > 0), f).when(finite & (v < 0), F.lit(9999) - f).otherwise(F.lit(0))
     return F.coalesce(key.cast("long"), F.lit(0))
 
 
-def _locate(hist: DataFrame, keys: list[str], order_col: str, count_col: str, rank_col: str
-            ) -> DataFrame:
-    """For each ``keys`` group with a target rank, keep the ``order_col`` bucket
-    holding it and the residual rank inside that bucket."""
+def _locate(hist: DataFrame, keys: list[str], order_col: str) -> DataFrame:
+    """For each ``keys`` group with a target rank ``_k``, keep the ``order_col`` bucket
+    holding it, with the residual rank inside that bucket."""
     running = Window.partitionBy(*keys).orderBy(order_col).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    h = hist.withColumn("_cum", F.sum(count_col).over(running))
-    inside = (F.col("_cum") - F.col(count_col) < F.col(rank_col)) & (F.col(rank_col) <= F.col("_cum"))
-    return h.where(inside).select(
-        *keys, order_col, (F.col(rank_col) - (F.col("_cum") - F.col(count_col))).alias(rank_col))
+    before = F.col("_cum") - F.col("_n")
+    h = hist.withColumn("_cum", F.sum("_n").over(running))
+    return (h.where((before < F.col("_k")) & (F.col("_k") <= F.col("_cum")))
+            .withColumn("_k", F.col("_k") - before).drop("_cum"))
+
+
+def _span() -> list[Column]:
+    return [F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")]
 
 
 def exact_percentiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
-                      ps: Sequence[float], p_col: str = "p", out_col: str = "value") -> DataFrame:
+                      ps: Sequence[float], p_col: str = "p", out_col: str = "value",
+                      sliver_rows: int = SLIVER_ROWS) -> DataFrame:
     """One row per (group, p) with the floor-index percentile; empty groups are absent."""
     for p in ps:
         if not 0.0 <= p < 1.0:
             raise ValueError(f"percentile {p} outside [0, 1)")
     g = list(group_cols)
-    vals = (
-        df.where(F.col(value_col).isNotNull())
-        .groupBy(*g, F.col(value_col).alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_c"))
-        .withColumn("_b", coarse_bucket(F.col("_v")))
-    )
-    # Level 1: histogram per (group, coarse bucket); the rank k = floor(n*p)+1.
-    hist = vals.groupBy(*g, "_b").agg(F.sum("_c").alias("_bc"))
-    hist = (hist.withColumn("_n", F.sum("_bc").over(Window.partitionBy(*g)))
+    vals = (df.where(F.col(value_col).isNotNull()).select(*g, F.col(value_col).alias("_v"))
+            .withColumn("_b", coarse_bucket(F.col("_v"))))
+    hist = vals.groupBy(*g, "_b").agg(*_span())
+    hist = (hist.withColumn("_all", F.sum("_n").over(Window.partitionBy(*g)))
             .withColumn(p_col, F.explode(F.array(*[F.lit(float(p)) for p in ps])))
-            .withColumn("_k", F.floor(F.col("_n") * F.col(p_col)).cast("long") + F.lit(1)))
-    t1 = _locate(hist, [*g, p_col], "_b", "_bc", "_k")
-    # Level 2: only the values of the chosen coarse buckets, by fine bucket.
-    cand = vals.join(t1, on=[*g, "_b"], how="inner").withColumn("_f", fine_bucket(F.col("_v")))
-    hist2 = cand.groupBy(*g, p_col, "_f", "_k").agg(F.sum("_c").alias("_fc"))
-    t2 = _locate(hist2, [*g, p_col], "_f", "_fc", "_k")
-    # Final: rank the distinct values of one fine bucket per (group, p).
-    inside = cand.drop("_k").join(t2, on=[*g, p_col, "_f"], how="inner")
+            .withColumn("_k", F.floor(F.col("_all") * F.col(p_col)).cast("long") + F.lit(1)).drop("_all"))
+    spans = materialize(_locate(hist, [*g, p_col], "_b"))
+
+    def within() -> DataFrame:
+        """The rows of the located spans, once per p."""
+        located = broadcast_if_small(spans.drop("_n"))
+        return vals.join(located, [*g, "_b"]).where((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
+
+    while not spans.where((F.col("_n") > sliver_rows) & (F.col("_lo") < F.col("_hi"))).isEmpty():
+        share = (F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo"))
+        part = F.when(F.col("_lo") < F.col("_hi"), F.floor(share * PARTS)).otherwise(F.lit(0))
+        finer = within().withColumn("_part", part).groupBy(*g, p_col, "_b", "_k", "_part").agg(*_span())
+        spans = materialize(_locate(finer, [*g, p_col], "_part").drop("_part"))
+
     pick = Window.partitionBy(*g, p_col).orderBy("_v").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    inside = inside.withColumn("_cc", F.sum("_c").over(pick))
-    return (
-        inside.where((F.col("_cc") >= F.col("_k")) & (F.col("_cc") - F.col("_c") < F.col("_k")))
-        .select(*g, p_col, F.col("_v").alias(out_col))
-    )
+    ranked = (within().groupBy(*g, p_col, "_k", "_v").agg(F.count(F.lit(1)).alias("_c"))
+              .withColumn("_cc", F.sum("_c").over(pick)))
+    return (ranked.where((F.col("_cc") >= F.col("_k")) & (F.col("_cc") - F.col("_c") < F.col("_k")))
+            .select(*g, p_col, F.col("_v").alias(out_col)))
 
 
 def approx_percentiles(df: DataFrame, group_cols: Sequence[str], value_col: str,

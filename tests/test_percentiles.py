@@ -66,9 +66,17 @@ def test_bucket_is_monotone_on_edge_values(spark):
 
 
 def test_values_packed_in_one_coarse_bucket(spark):
-    """All values within a relative 1e-3: the fine level still finds the exact rank."""
+    """All values within a relative 1e-3: finer spans still find the exact rank."""
     vals = [1.0 + i * 1e-9 for i in range(3000)] + [1.0004] * 50 + [-1.0 - i * 1e-9 for i in range(500)]
     df = spark.createDataFrame([(0, v) for v in vals], "g int, value double")
     got = {r.p: r.value for r in exact_percentiles(df, ["g"], "value", PS).collect()}
     for p in PS:
         assert got[p] == brute(vals, p)
+    got = {r.p: r.value for r in exact_percentiles(df, ["g"], "value", PS, sliver_rows=5).collect()}
+    for p in PS:
+        assert got[p] == brute(vals, p)
+
+
+def test_no_values_leave_no_rows(spark):
+    df = spark.createDataFrame([(0, None)], "g int, value double")
+    assert exact_percentiles(df, ["g"], "value", PS).collect() == []
