@@ -2,8 +2,8 @@
 
 A rule (metric type, aligner, comparison, threshold, duration, period) is a
 row of a small rules table. Evaluation:
-  points -> join rules on metric_type -> one aligned value per
-  (rule, series, bucket) -> breach flag -> consecutive breaching buckets
+  points -> aligned per metric type, series and period -> join rules -> one
+  value per (rule, series, bucket) -> breach flag -> consecutive breaching buckets
   (gaps and islands: bucket - period * row_number is constant within a run)
   -> runs lasting at least ``duration``.
 Windows run over aligned buckets, never raw points. Missing buckets end a
@@ -82,18 +82,39 @@ def aligned_value() -> Column:
 def aligned_by_rule(points: DataFrame, rules: DataFrame) -> DataFrame:
     """One value per (rule, series, bucket) using each rule's own period and aligner.
 
-    The rules table is configuration (a handful of rows); it is broadcast
-    after a bounded size check.
+    Points are aligned first, per metric type and period that any rule asks for, and
+    the rules are joined to the aligned rows only. The rules table is configuration: its
+    distinct (metric type, period) pairs become a literal of the plan, and the table
+    itself is broadcast after a bounded size check.
     """
-    joined = match_rules(points, broadcast_if_small(rules, MAX_BROADCAST_RULES))
-    bucket = bucket_start(F.col("end_time"), F.col("period_s"))
+    periods: dict[str, list[int]] = {}
+    for r in rules.select("metric_type", "period_s").distinct().collect():
+        periods.setdefault(r["metric_type"], []).append(r["period_s"])
+    if not periods:
+        asked = F.array().cast("array<int>")
+    else:
+        asked = F.create_map(*[x for t, of in sorted(periods.items())
+                               for x in (F.lit(t), F.array(*[F.lit(p) for p in sorted(of)]))])[F.col("metric_type")]
+    v = F.col("value")
+    per = (points.where(F.col("metric_type").isin(list(periods)))
+           .select("metric_type", F.col("resource")["type"].alias("of_type"), "labels", "end_time", "value",
+                   F.explode(asked).alias("period_s"))
+           .groupBy("metric_type", "of_type", "labels", "period_s",
+                    bucket_start(F.col("end_time"), F.col("period_s")).alias("bucket"))
+           .agg(F.sum(v).alias("_sum"), F.count(v).alias("_n"), F.max(v).alias("_max"), F.min(v).alias("_min")))
+    joined = per.join(broadcast_if_small(rules, MAX_BROADCAST_RULES), ["metric_type", "period_s"]).where(
+        F.col("resource_type").isNull() | (F.col("of_type") == F.col("resource_type")))
+    aligner, total, n = F.col("aligner"), F.sum("_sum"), F.sum("_n")
+    value = (F.when(aligner == "mean", F.try_divide(total, n))
+             .when(aligner == "sum", total)
+             .when(aligner == "count", n.cast("double"))
+             .when(aligner == "rate", total / F.col("period_s"))
+             .when(aligner == "max", F.max("_max"))
+             .when(aligner == "min", F.min("_min")))
     # aligner and period_s depend on the rule only; grouping on them keeps
     # them available to the aggregate expression.
-    return (joined
-            .groupBy("rule", "aligner", "period_s", series_key(F.col("labels")).alias("series"),
-                     bucket.alias("bucket"))
-            .agg(aligned_value().alias("value"))
-            .drop("aligner", "period_s"))
+    return (joined.groupBy("rule", "aligner", "period_s", series_key(F.col("labels")).alias("series"), "bucket")
+            .agg(value.alias("value")).drop("aligner", "period_s"))
 
 
 def _islands(a: DataFrame) -> DataFrame:

@@ -91,9 +91,11 @@ def _point(mtype: str | Column, kind: str, vtype: str, value: Column, labels: Co
 
 
 def outcome_points(outcomes: DataFrame, default_labels: dict[str, str] | None = None,
-                   resource: dict[str, str] | None = None) -> DataFrame:
+                   resource: dict[str, str] | None = None, error_rate: bool = False) -> DataFrame:
     """Per message, received; on success processed + end-to-end
-    latency; on failure failed + ``counter/errors/<reason>``.
+    latency; on failure failed + ``counter/errors/<reason>``. With ``error_rate`` every
+    message also gives a ``ratio/error_rate`` point, 1 if failed, else 0: its mean over a
+    period is failed / (processed + failed), found in the same pass.
 
     Default labels are merged under every point's labels (point labels win).
     """
@@ -110,6 +112,7 @@ def outcome_points(outcomes: DataFrame, default_labels: dict[str, str] | None =
         F.when(~ok, _point(FAILED, "CUMULATIVE", "INT64", one, base)),
         F.when(~ok, _point(F.concat(F.lit("counter/errors/"), reason), "CUMULATIVE", "INT64", one,
                            err_labels)),
+        *([_point(ERROR_RATE, "GAUGE", "DOUBLE", F.when(ok, 0).otherwise(1), base)] if error_rate else []),
     )
     return (
         outcomes.select(F.inline(F.filter(points, lambda p: p.isNotNull())),

@@ -28,7 +28,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
 # Fixed parameters of the SQL corpus queries.
-NOW = "2024-01-30 12:00:00"
+NOW = "2024-01-16 00:00:00"
 WINDOW_START = "2024-01-10 00:00:00"
 WINDOW_END = "2024-01-20 00:00:00"
 BATCH_ID = "batch-42"
@@ -313,8 +313,8 @@ SCAN_END = "2024-01-12 00:00:00"
 REQUESTED_TYPES = ("click", "error", "purchase", "signup", "view", "refund")
 
 
-def _points(spark, sf):
-    return mx.outcome_points(derived.outcomes(spark, sf), derived.DEFAULT_LABELS)
+def _points(spark, sf, error_rate=False):
+    return mx.outcome_points(derived.outcomes(spark, sf), derived.DEFAULT_LABELS, error_rate=error_rate)
 
 
 def _latency(spark, sf):
@@ -431,7 +431,7 @@ def alerts_latency(spark, sf):
 @register
 def alerts_error_rate(spark, sf):
     """H7: failed / (processed + failed) above 0.4 for 3 h."""
-    pts = mx.error_rate_points(_points(spark, sf), HOUR)
+    pts = _points(spark, sf, error_rate=True)
     rules = al.rules_frame(spark, [al.rule("error_rate", mx.ERROR_RATE, "GT", 0.4, 3 * HOUR, HOUR)])
     return _alert_out(al.evaluate(pts, rules))
 
@@ -449,8 +449,7 @@ def alerts_low_throughput(spark, sf):
 def alerts_multi_rule(spark, sf):
     """Several rules, different metrics, one evaluation; a rule without
     data (CPU) yields nothing."""
-    pts = _points(spark, sf)
-    allp = pts.unionByName(_latency(spark, sf)).unionByName(mx.error_rate_points(pts, HOUR))
+    allp = _points(spark, sf, error_rate=True).unionByName(_latency(spark, sf))
     rules = al.rules_frame(spark, [
         al.rule("processing_latency", derived.LATENCY_METRIC, "GT", 50.0, 3 * HOUR, HOUR),
         al.rule("end_to_end_latency", mx.E2E_LATENCY, "GT", 18.0, 2 * HOUR, HOUR, wired=False),
@@ -530,9 +529,7 @@ def throughput_errors(spark, sf):
 def alerts_config_rules(spark, sf):
     """H9: the wired rules of the monitoring configuration as configured
     (60 s alignment, 300 s duration) over latency, error-rate and throughput points."""
-    pts = _points(spark, sf)
-    period = al.DEFAULT_PERIOD_S
-    allp = pts.unionByName(_latency(spark, sf)).unionByName(mx.error_rate_points(pts, period))
+    allp = _points(spark, sf, error_rate=True).unionByName(_latency(spark, sf))
     wired = [r for r in al.CONFIG_RULES if r[7]]
     return _alert_out(al.evaluate(allp, al.rules_frame(spark, wired), interval=derived.interval(spark, sf)))
 

@@ -100,7 +100,7 @@ WHERE timestamp BETWEEN TIMESTAMP '2024-01-10 00:00:00' AND TIMESTAMP '2024-01-2
   AND batch_id = 'batch-42'""")
 
 ORACLE["recent_count"] = w("""
-SELECT count(*) AS n FROM landed WHERE ts >= TIMESTAMP '2024-01-30 12:00:00' - INTERVAL 1 MINUTE""")
+SELECT count(*) AS n FROM landed WHERE ts >= TIMESTAMP '2024-01-16 00:00:00' - INTERVAL 1 MINUTE""")
 
 ORACLE["point_lookup"] = w("""
 SELECT eid AS event_id, ts AS timestamp, publish_time AS processing_timestamp,
@@ -109,7 +109,7 @@ FROM landed WHERE eid = 'evt-28'""")
 
 ORACLE["prefix_count"] = w("""
 SELECT count(*) AS n FROM landed
-WHERE eid LIKE 'evt-9%' AND ts >= TIMESTAMP '2024-01-30 12:00:00' - INTERVAL 1 MINUTE""")
+WHERE eid LIKE 'evt-9%' AND ts >= TIMESTAMP '2024-01-16 00:00:00' - INTERVAL 1 MINUTE""")
 
 ORACLE["sample_rows"] = w("""
 SELECT eid AS event_id, ts AS timestamp FROM landed ORDER BY eid LIMIT 10""")

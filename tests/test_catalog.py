@@ -78,6 +78,21 @@ def test_query_matches_oracle(spark, con, name):
     assert _canon(rows, df.columns) == _canon(res.fetchall(), ocols)
 
 
+def test_alert_points_meet_no_rule_before_alignment(spark):
+    """One parse, points combined map-side, and no nested loop over raw points."""
+    from spindle.operators import alerts as al
+    from spindle.operators import metrics as mx
+    from spindle.plans import derived
+
+    points = mx.outcome_points(derived.outcomes(spark, SF_SMALL), derived.DEFAULT_LABELS, error_rate=True)
+    points = points.unionByName(derived.metrics(spark, SF_SMALL))
+    rules = al.rules_frame(spark, [r for r in al.CONFIG_RULES if r[7]])
+    plan = al.aligned_by_rule(points, rules)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoopJoin" not in plan and "partial_sum" in plan
+    assert plan.count("Scan parquet") == 2  # messages and latency points, each once
+    assert plan.index("BroadcastHashJoin") < plan.rindex("partial_sum")  # the alignment stands below the join
+
+
 def test_entry_smoke(spark):
     df = entry(spark)
     assert df.count() > 0
