@@ -1,16 +1,16 @@
 """Consistent weighted sampling fingerprints.
 
 Terms are the text's word pairs (ASCII-lower-cased words; a single word is a
-term of its own), weighted by how often they occur and hashed to one of
-``SLOTS`` slots. For every slot and sample, fixed seeded draws r, c ~ Gamma(2, 1)
-and b ~ U(0, 1) give the improved consistent weighted sample
+term of its own), weighted by how often they occur and known by their 64-bit
+hash. For every term and sample, draws r, c ~ Gamma(2, 1) and b ~ U(0, 1), made
+from a hash of (term, sample), give the improved consistent weighted sample
 
     t = floor(ln(weight) / r + b),   ln a = ln c - r (t - b) - r
 
-and the sample is the slot with the least a, together with its t. Two
+and the sample is the term with the least a, together with its t. Two
 fingerprints agree in a sample with probability equal to the generalised
-Jaccard similarity sum(min) / sum(max) of the weighted slots. A sample is
-stored as a 32-bit hash of (slot, t), written as eight hex digits.
+Jaccard similarity sum(min) / sum(max) of the weighted terms, however long the
+texts. A sample is stored as a 32-bit hash of (term, t), written as eight hex digits.
 
 Defined results: null and empty texts have no terms and a fingerprint of
 zeros, which is only like another such one; equal texts have equal
@@ -34,50 +34,65 @@ from pyspark.sql import Window as W
 from spindle.llm.common import arrow_rows
 
 SAMPLES = 64
-SLOTS = 1 << 16
 SEED = 20_240_601
 
 
 @cache
-def _draws(samples: int, slots: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """r, ln c - r and b of every (slot, sample); the same in every process."""
-    rng = np.random.Generator(np.random.Philox(SEED))
-    r = rng.standard_gamma(2, (slots, samples)).astype(np.float32)
-    ln_c = np.log(rng.standard_gamma(2, (slots, samples))).astype(np.float32)
-    return r, ln_c - r, rng.random((slots, samples), dtype=np.float32)
-
-
-def weights(text: str, slots: int = SLOTS) -> tuple[np.ndarray, np.ndarray]:
-    """The text's slots and their weights."""
+def _keys(samples: int) -> np.ndarray:
+    """One odd seed per sample, as a column; the same in every process."""
+    return np.random.Generator(np.random.Philox(SEED)).integers(0, 1 << 64, (samples, 1), np.uint64) | np.uint64(1)
+
+
+def _draws(terms: np.ndarray, samples: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """r, ln c - r and b of every (sample, term). A Gamma(2, 1) draw is -ln(u v) of two uniform numbers; r, whose
+    far tail decides in long texts, gets 32 bits for each."""
+    x = (terms ^ (terms >> np.uint64(32))) * _keys(samples)
+    x ^= x >> np.uint64(29)
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(32)
+    y = x * np.uint64(0x94D049BB133111EB)
+    y ^= y >> np.uint64(31)
+    low = np.uint64(0xFFFFFFFF)
+    r = (x & low).astype(np.float32) + np.float32(0.5)
+    r *= (x >> np.uint64(32)).astype(np.float32) + np.float32(0.5)
+    r = np.float32(64 * np.log(2)) - np.log(r)
+    np.maximum(r, np.float32(1e-6), out=r)
+    parts = y.view(np.uint16).reshape(*y.shape, 4)
+    c = parts[..., 0].astype(np.float32) + np.float32(0.5)
+    c *= parts[..., 1].astype(np.float32) + np.float32(0.5)
+    c *= np.float32(2.0**-32)
+    c = np.log(-np.log(c))
+    c -= r
+    return r, c, (y >> np.uint64(40)).astype(np.float32) * np.float32(2.0**-24)
+
+
+def weights(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """The text's terms and their weights."""
     words = text.encode("utf-8", "replace").lower().split()
     if len(words) > 1:
         words = map(b" ".join, zip(words, words[1:]))
-    h = xxhash.xxh64_intdigest
-    found = np.fromiter((h(w) % slots for w in words), dtype=np.int64)
-    return np.unique(found, return_counts=True)
+    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, words), dtype=np.uint64), return_counts=True)
 
 
-def fingerprint(text: str, samples: int = SAMPLES, slots: int = SLOTS, chunk: int = 2048) -> np.ndarray:
+def fingerprint(text: str, samples: int = SAMPLES, chunk: int = 512) -> np.ndarray:
     """``samples`` values of 32 bits; zeros if the text has no term."""
-    slot, weight = weights(text, slots)
+    term, weight = weights(text)
     out = np.zeros(samples, np.uint32)
-    if not len(slot):
+    if not len(term):
         return out
-    r_all, c_all, b_all = _draws(samples, slots)
-    log_w = np.log(weight).astype(np.float32)[:, None]
-    best, best_slot, best_t = np.full(samples, np.inf, np.float32), np.zeros(samples, np.int64), np.zeros(samples, np.int64)
+    log_w = np.log(weight).astype(np.float32)
+    best, best_term, best_t = np.full(samples, np.inf, np.float32), np.zeros(samples, np.uint64), np.zeros(samples, np.uint64)
     every = np.arange(samples)
-    for lo in range(0, len(slot), chunk):
-        s = slot[lo:lo + chunk]
-        r, b = r_all[s], b_all[s]
-        t = np.floor(log_w[lo:lo + chunk] / r + b)
-        ln_a = c_all[s] - r * (t - b)
-        at = ln_a.argmin(axis=0)
-        low = ln_a[at, every]
+    for lo in range(0, len(term), chunk):
+        own, lw = term[lo:lo + chunk], log_w[lo:lo + chunk]
+        r, ln_a, b = _draws(own, samples)
+        t = np.floor(lw / r + b) if lw.any() else np.zeros_like(r)  # a single occurrence has t = 0, as b < 1
+        ln_a -= r * (t - b)
+        at = ln_a.argmin(axis=1)
+        low = ln_a[every, at]
         new = low < best
-        best[new], best_slot[new], best_t[new] = low[new], s[at][new], t[at, every][new].astype(np.int64)
-    mixed = (best_slot.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-             ^ (best_t.astype(np.uint64) + np.uint64(1)) * np.uint64(0xC2B2AE3D27D4EB4F))
+        best[new], best_term[new], best_t[new] = low[new], own[at][new], t[every, at][new].astype(np.uint64)
+    mixed = best_term * np.uint64(0x9E3779B97F4A7C15) ^ (best_t + np.uint64(1)) * np.uint64(0xC2B2AE3D27D4EB4F)
     mixed ^= mixed >> np.uint64(29)
     mixed *= np.uint64(0xBF58476D1CE4E5B9)
     return np.maximum((mixed >> np.uint64(32)).astype(np.uint32), 1)

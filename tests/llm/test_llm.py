@@ -242,6 +242,24 @@ def test_fingerprints_estimate_generalised_jaccard(spark, odd, small):
     assert abs(np.mean(off)) < 0.02 and np.std(off) < 0.1
 
 
+def test_fingerprints_of_long_unrelated_texts_differ():
+    long = [" ".join(f"{side}{i}" for i in range(200_001)) for side in "ab"]
+    a, b = map(cws.fingerprint, long)
+    assert cws.likeness(a, b) <= 1 / cws.SAMPLES
+    half = cws.fingerprint(" ".join(long[0].split()[:100_000] + long[1].split()[:100_000]))
+    assert abs(cws.likeness(a, half) - 1 / 3) < 0.2
+
+
+def test_fingerprint_draws_follow_their_distributions():
+    r, c, b = cws._draws(np.random.default_rng(1).integers(0, 1 << 64, 20_000, np.uint64), 16)
+    for g in (r, np.exp(c + r)):
+        for x in (0.1, 1.0, 3.0, 8.0):
+            p = math.exp(-x) * (1 + x)
+            assert abs((g > x).mean() - p) < 5 * math.sqrt(p * (1 - p) / g.size)
+    assert abs(b.mean() - 0.5) < 0.005 and 0 <= b.min() and b.max() < 1
+    assert max(abs(np.corrcoef(*(v.ravel() for v in pair))[0, 1]) for pair in ((r, np.exp(c + r)), (r, b), (b, c + r))) < 0.01
+
+
 def test_katz_is_normalised_and_exact(spark, odd, small):
     for df, rows in (odd, small):
         texts = [(r[0], (r[1] or "").encode().lower().split() + [None]) for r in rows]
