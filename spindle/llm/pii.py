@@ -3,13 +3,15 @@
 High-recall generators propose spans of four kinds, looser than the base
 patterns (national phone numbers, other separators, spelt-out addresses).
 Spans of the base patterns always stand. Every other candidate is scored by
-gradient-boosted trees over format and context features. The trees learn
-from a bounded sample, in which base spans are the positives and the candidates
-that overlap none of their kind the negatives; the base pattern's own marker (the plus sign of a
-phone number) is no feature, so that the trees can carry over. Per kind, the threshold is the
-lowest score at which, on a calibration fold that the trees never saw, the exact binomial
+gradient-boosted trees over format and context features. Base spans are the positives and the
+candidates that overlap none of their kind the negatives; the base pattern's own marker (the plus
+sign of a phone number) is no feature, so that the trees can carry over. Candidates of equal
+texts count once. The trees learn from the texts with odd hashes, of which a threshold on a
+hash of the candidate leaves a bounded number per kind and side. The thresholds come from all texts with
+even hashes, which the trees never saw: Spark counts right and wrong ones per kind and
+score bin, and a kind takes the lowest bin at which the exact binomial
 lower bound of the precision reaches ``PRECISION``; a kind without enough
-examples of both sides keeps its base spans only.
+examples of both sides in the whole table keeps its base spans only.
 
 Defined results: null and empty texts have no spans; repeated rows get equal
 spans; an empty table gives an empty result; ``redact`` leaves a null text
@@ -29,14 +31,15 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spindle.llm.common import arrow_rows
+from spindle.llm.common import arrow_rows, scratch_table
 
 KINDS = ("email", "ip", "card", "phone")
-SAMPLE_DOCS = 40_000  # documented bounds of the sample from which the trees learn
-SAMPLE_CANDIDATES = 50_000
+SAMPLE_CANDIDATES = 50_000  # documented bound of the sample from which the trees learn, shared evenly by kinds and sides
 LEAST_EXAMPLES = 20
 PRECISION, CONFIDENCE = 0.95, 0.95
 TREES, DEPTH, RATE, BINS = 40, 3, 0.2, 32
+#: Lower edges of the score bins, evenly spaced in log odds; scores under 0.5 are in none of them.
+EDGES = 1 / (1 + np.exp(-np.arange(1024) / 64))
 
 Span = tuple[int, int, str]
 
@@ -186,44 +189,42 @@ class Boosted:
 
 
 def _at_most(k: int, n: int, p: float) -> float:
-    """P(X <= k) of a binomial variable."""
-    if p <= 0:
+    """P(X <= k) of a binomial variable, summed from k down until terms no longer count."""
+    if p <= 0 or k >= n:
         return 1.0
-    log = [math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(p) + (n - i) * math.log1p(-p)
-           for i in range(k + 1)]
-    return min(1.0, sum(map(math.exp, log)))
-
-
-def learn(rows: list[tuple[str, int, list[float], bool]]) -> Boosted:
-    """From (kind, document hash, features, base span or not): odd hashes train, even ones calibrate."""
+    term = math.exp(math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1) + k * math.log(p) + (n - k) * math.log1p(-p))
+    total = 0.0
+    for i in range(k, -1, -1):
+        total += term
+        if i < n * p and term < 1e-17 * total:
+            break
+        term *= i * (1 - p) / ((n - i + 1) * p)
+    return min(1.0, total)
+
+
+def learn(rows: list[tuple[list[float], bool]]) -> Boosted:
+    """Trees from (features, base span or not)."""
     model = Boosted()
-    if not rows:
-        return model
-    x = np.array([r[2] for r in rows], float)
-    y = np.array([r[3] for r in rows], float)
-    fold = np.array([r[1] & 1 for r in rows], bool)
-    kind = np.array([r[0] for r in rows])
-    if fold.sum() < LEAST_EXAMPLES or not 0 < y[fold].sum() < fold.sum():
+    x, y = np.array([r[0] for r in rows], float), np.array([r[1] for r in rows], float)
+    if len(rows) < LEAST_EXAMPLES or not 0 < y.sum() < len(y):
         return model
-    model.fit(x[fold], y[fold])
-    score = model.score(x)
-    for k in KINDS:
-        taught, held = (kind == k) & fold, (kind == k) & ~fold
-        if min((y[m] == v).sum() for m in (taught, held) for v in (0, 1)) < LEAST_EXAMPLES:
-            continue
-        order = np.argsort(-score[held], kind="stable")
-        s, wrong = score[held][order], np.cumsum(1 - y[held][order]).astype(int)
-        for i in range(len(s)):  # from the surest down, until the bound no longer holds
-            if s[i] < 0.5 or (k in model.thresholds and wrong[i] > 0.5 * (1 - PRECISION) * (i + 1)):
-                break
-            if i + 1 < len(s) and s[i + 1] == s[i]:
-                continue
-            # the precision is at least PRECISION unless so few errors are improbable
-            if _at_most(int(wrong[i]), i + 1, 1 - PRECISION) <= 1 - CONFIDENCE:
-                model.thresholds[k] = float(s[i])
-            elif k in model.thresholds:
-                break
-    return model
+    return model.fit(x, y)
+
+
+def threshold(counts: dict[int, tuple[int, int]]) -> float | None:
+    """The lowest score whose precision holds, from (right, wrong) per score bin."""
+    best, right, wrong = None, 0, 0
+    for i in sorted((i for i in counts if i >= 0), reverse=True):  # from the surest down, until the bound no longer holds
+        right, wrong = right + counts[i][0], wrong + counts[i][1]
+        n = right + wrong
+        if best is not None and wrong > 0.5 * (1 - PRECISION) * n:
+            break
+        # the precision is at least PRECISION unless so few errors are improbable
+        if wrong < (1 - PRECISION) * n and _at_most(wrong, n, 1 - PRECISION) <= 1 - CONFIDENCE:
+            best = float(EDGES[i])
+        elif best is not None:
+            break
+    return best
 
 
 def spans(text: str | None, model: Boosted) -> tuple[list[Span], list[Span]]:
@@ -250,14 +251,11 @@ def told(found: list[Span]) -> str:
     return ",".join(f"{k}:{lo}:{hi}" for lo, hi, k in found)
 
 
-def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_candidates: int = SAMPLE_CANDIDATES) -> Boosted:
-    """Trees and thresholds from the candidates of about ``sample_docs`` documents with the smallest
-    text hashes, ``sample_candidates`` at most."""
+def fit(docs: DataFrame, sample_candidates: int = SAMPLE_CANDIDATES) -> Boosted:
+    """Trees from about ``sample_candidates`` candidates at most, thresholds from those of all distinct texts."""
     arrow_rows(docs.sparkSession)
-    n = docs.count()
-    key = F.pmod(F.xxhash64(F.lit(8), "text"), F.lit(1 << 40))
-    rows = docs.where(F.col("text").isNotNull()).select(key.alias("key"), F.col("text").cast("string").alias("text"))
-    rows = rows.where(F.col("key") < int((1 << 40) * min(1.0, sample_docs / max(n, 1))))
+    rows = docs.where(F.col("text").isNotNull()).select(F.col("text").cast("string").alias("text"))
+    rows = rows.select(F.xxhash64(F.lit(8), "text").alias("key"), "text")
 
     def propose(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
@@ -266,13 +264,42 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_candidates: int
                 if _HAS.search(text):
                     base = set(base_spans(text))
                     # a looser reading of a base span is neither an example nor a counterexample
-                    out += [(key, c[0], c[2], features(text, c), c in base) for c in candidates(text)
+                    out += [(key, *c, features(text, c), c in base) for c in candidates(text)
                             if c in base or not any(c[2] == b[2] and c[0] < b[1] and b[0] < c[1] for b in base)]
-            yield pd.DataFrame(out, columns=["key", "start", "kind", "x", "y"])
+            yield pd.DataFrame(out, columns=["key", "start", "stop", "kind", "x", "y"])
+
+    found = scratch_table(rows.mapInPandas(
+        propose, "key long, start int, stop int, kind string, x array<double>, y boolean"), "candidates")
+    one, taught = ["key", "start", "stop", "kind"], F.col("key").bitwiseAND(F.lit(1)) == 1
+    sizes = {(r["kind"], r["taught"], r["y"]): r["n"] for r in found.select(*one, "y").distinct()
+             .groupBy("kind", taught.alias("taught"), "y").agg(F.count("*").alias("n")).collect()}  # 16 rows at most
+
+    each, place = sample_candidates // (2 * len(KINDS)), F.pmod(F.xxhash64(F.lit(9), *one), F.lit(1 << 40))
+    drawn = F.lit(False)
+    for (kind, odd, y), n in sizes.items():
+        if odd:
+            drawn |= (F.col("kind") == kind) & (F.col("y") == y) & (place < int((1 << 40) * min(1.0, each / n)))
+    sample = found.where(taught & drawn).dropDuplicates(one).collect()
+    model = learn([(r["x"], r["y"]) for r in sorted(sample, key=lambda r: tuple(r[c] for c in one))])
+    if not model.trees:
+        return model
 
-    found = (rows.mapInPandas(propose, "key long, start int, kind string, x array<double>, y boolean")
-             .orderBy("key", "start", "kind").limit(sample_candidates).collect())
-    return learn([(r["kind"], r["key"], r["x"], r["y"]) for r in found])
+    def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            if len(pdf):
+                at = np.searchsorted(EDGES, model.score(np.stack(pdf["x"])), side="right") - 1
+                yield pdf[[*one, "y"]].assign(bin=at.astype(np.int32))
+
+    counts: dict[str, dict[int, tuple[int, int]]] = {k: {} for k in KINDS}
+    right = F.col("y").cast("long")
+    for r in (found.where(~taught).mapInPandas(score, "key long, start int, stop int, kind string, y boolean, bin int").distinct()
+              .groupBy("kind", "bin").agg(F.sum(right).alias("right"), F.sum(1 - right).alias("wrong")).collect()):
+        counts[r["kind"]][r["bin"]] = (r["right"], r["wrong"])  # kinds x bins at most
+    for k in KINDS:
+        if min(sizes.get((k, odd, y), 0) for odd in (False, True) for y in (False, True)) >= LEAST_EXAMPLES:
+            if (least := threshold(counts[k])) is not None:
+                model.thresholds[k] = least
+    return model
 
 
 RESULT = ("doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")

@@ -183,6 +183,28 @@ def test_pii_learns_adds_and_redacts(spark, odd):
     assert clean.where("text like '%mail [EMAIL] or [PHONE]'").count() == 1 and clean.where("text is null").count() == 2
 
 
+def test_pii_thresholds_count_every_distinct_text(spark):
+    rng = random.Random(7)
+    number = lambda: f"({rng.randrange(200, 999)}) {rng.randrange(100, 999)}-{rng.randrange(1000, 9999)}"
+    ips = [f"at {'.'.join(str(rng.randrange(256)) for _ in range(4))} up" for _ in range(9_000)]
+    phones = [f"call +1 {number()} now" for _ in range(300)]
+    once = pii.fit(spark.createDataFrame([(t,) for t in phones + ips], "text string"), sample_candidates=800)
+    assert "phone" in once.thresholds  # rare beside the other kind, and beyond the sample's bound
+    copies = spark.createDataFrame([(t,) for t in phones + ips + [ips[0]] * 2000], "text string")
+    assert pii.fit(copies, sample_candidates=800).thresholds == once.thresholds
+    few = [f"call +1 {number()} now" for _ in range(8)]  # too few texts, however often they are repeated
+    assert "phone" not in pii.fit(spark.createDataFrame([(t,) for t in few * 60 + ips[:800]], "text string")).thresholds
+
+
+def test_pii_threshold_needs_the_precision():
+    top = len(pii.EDGES) - 1
+    assert pii.threshold({top: (400, 0), 5: (100, 0), 3: (10, 400)}) == pii.EDGES[5]
+    assert pii.threshold({top: (20, 0)}) is None and pii.threshold({top: (10**8, 10**7)}) is None
+    assert pii.threshold({top: (10**9, 10**6), -1: (5, 10**9)}) == pii.EDGES[top]
+    for k, n in ((0, 60), (3, 100), (12, 200)):
+        assert pii._at_most(k, n, 0.05) == pytest.approx(sum(math.comb(n, i) * 0.05**i * 0.95**(n - i) for i in range(k + 1)))
+
+
 def test_language_accuracy_on_held_out_texts(spark, odd):
     df = spark.read.parquet(SF_SMALL.replace("0.001", "0.01") + "/documents.parquet")
     lang = {r.doc_id: r.lang for r in df.collect()}
