@@ -5,7 +5,8 @@ patterns (national phone numbers, other separators, spelt-out addresses).
 Spans of the base patterns always stand. Every other candidate is scored by
 gradient-boosted trees over format and context features. Base spans are the positives and the
 candidates that overlap none of their kind the negatives; the base pattern's own marker (the plus
-sign of a phone number) is no feature, so that the trees can carry over. Candidates of equal
+sign of a phone number, the @ and dots of an address, which are read like spelt-out ones) is no
+feature, so that the trees can carry over. Candidates of equal
 texts count once. The trees learn from the texts with odd hashes, of which a threshold on a
 hash of the candidate leaves a bounded number per kind and side. The thresholds come from all texts with
 even hashes, which the trees never saw: Spark counts right and wrong ones per kind and
@@ -49,6 +50,8 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
+_AT = re.compile(r" ?[(\[]at[)\]] ?| at ", re.I)
+_DOT = re.compile(r" ?[(\[]dot[)\]] ?| dot ", re.I)
 _HAS = re.compile(r"[0-9@]|\bat\b", re.I)
 
 
@@ -112,6 +115,8 @@ FEATURES = 15
 def features(text: str, span: Span) -> list[float]:
     lo, hi, kind = span
     body = text[lo:hi].lstrip("+")
+    if kind == "email":
+        body = _DOT.sub(".", _AT.sub("@", body))
     digits = _NOT_DIGIT.sub("", body)
     groups = [g for g in re.split(r"[^0-9]+", body) if g]
     before, after = text[max(0, lo - 24):lo], text[hi:hi + 12]

@@ -196,6 +196,15 @@ def test_pii_thresholds_count_every_distinct_text(spark):
     assert "phone" not in pii.fit(spark.createDataFrame([(t,) for t in few * 60 + ips[:800]], "text string")).thresholds
 
 
+def test_pii_adds_spelt_out_addresses(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randrange(4, 9)))
+    texts = [f"mail {word()}@{word()}.org today" for _ in range(1500)] + [f"they look at {word()} dot com now" for _ in range(300)]
+    model = pii.fit(spark.createDataFrame([(t,) for t in texts], "text string"))
+    df = spark.createDataFrame([("mail gadeb (at) bachef (dot) org today",), ("they look at bachef dot com now",)], "text string")
+    assert [r.text for r in pii.redact(df, model).collect()] == ["mail [EMAIL] today", "they look at bachef dot com now"]
+
+
 def test_pii_threshold_needs_the_precision():
     top = len(pii.EDGES) - 1
     assert pii.threshold({top: (400, 0), 5: (100, 0), 3: (10, 400)}) == pii.EDGES[5]
