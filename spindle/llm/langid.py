@@ -4,8 +4,8 @@ A text's letters, lower-cased and with other characters as one space, give
 byte n-grams of lengths 1 to 4, hashed to ``DIMS`` slots. Its vector is
 (1 + ln tf) * idf, of length one. Document frequencies cover every training
 text: each task sends one count per slot. The centroids are fitted by spherical
-k-means on at most ``SAMPLE`` training texts per language, the ones with the
-smallest seeded hash. A text takes the language of the centroid with the
+k-means on at most ``SAMPLE`` distinct training texts per language, the ones with the
+smallest seeded hash, so that copies neither crowd out other texts nor count twice. A text takes the language of the centroid with the
 greatest cosine; ``rejected`` says that the cosine is below the one that
 all but ``REJECT`` of that centroid's sample reach.
 
@@ -117,11 +117,14 @@ def fit(rows: DataFrame, dims: int = DIMS, sample: int = SAMPLE, clusters: int =
         return Model(np.ones(dims), np.zeros((dims, 0), np.float32), [], np.zeros(0))
     idf = np.log((1 + seen[-1]) / (1 + np.array([seen[i] for i in range(dims)]))) + 1
 
-    # A threshold on the seeded hash leaves a few rows per language, whatever its size.
-    key = F.pmod(F.xxhash64(F.lit(7), "text"), F.lit(1 << 30)) / F.lit(1 << 30)
-    size = rows.groupBy("lang").agg(F.count("*").alias("size"))
-    some = (rows.withColumn("key", key).join(F.broadcast(size) if _few(size) else size, "lang")
-            .where(F.col("key") * F.col("size") <= 2 * sample + 20))
+    # A threshold on the seeded hash leaves a few distinct texts per language, whatever its size and copies.
+    # Only (lang, hash) is dealt, one row per task and distinct text.
+    hashed = rows.withColumn("h", F.xxhash64(F.lit(7), "text"))
+    size = hashed.select("lang", "h").distinct().groupBy("lang").agg(F.count("*").alias("size"))
+    size = scratch_table(size, "sizes")
+    key = F.pmod("h", F.lit(1 << 30)) / F.lit(1 << 30)
+    some = (hashed.withColumn("key", key).join(F.broadcast(size) if _few(size) else size, "lang")
+            .where(F.col("key") * F.col("size") <= 2 * sample + 20).dropDuplicates(["lang", "h"]))
 
     def vectors(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:

@@ -226,6 +226,17 @@ def test_language_accuracy_on_held_out_texts(spark, odd):
     assert {r.lang_pred for r in langid.predict(odd[0].where("false").unionByName(odd[0].withColumn("lang", odd[0].fp))).collect()} == {"und"}
 
 
+def test_language_sample_survives_copies(spark):
+    rng = random.Random(9)
+    text = lambda letters: " ".join("".join(rng.choice(letters) for _ in range(5)) for _ in range(30))
+    few, many = [text("abcdef") for _ in range(3)], [text("uvwxyz") for _ in range(300)]
+    hot = text("ghijkl")
+    rows = [(t, "copied") for t in few for _ in range(4000)] + [(t, "plain") for t in many] + [(hot, "plain")] * 9000
+    model = langid.fit(spark.createDataFrame(rows, "text string, lang string"), sample=100)
+    assert set(model.langs) == {"copied", "plain"}
+    assert model.predict(few[0])[0] == "copied" and all(model.predict(t)[0] == "plain" for t in many)
+
+
 def test_mixing_draws_the_target_rates(spark, odd):
     df, rows = odd
     out = mixing.replicate(df, {"s": 1.0, None: 1.0}, total=4000)
