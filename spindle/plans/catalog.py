@@ -309,7 +309,7 @@ HOUR = 3600
 PS = (0.5, 0.95, 0.99)
 SCAN_START = "2024-01-10 00:00:00"
 SCAN_END = "2024-01-12 00:00:00"
-# Label values whose stats are requested; the last one has no points (mean 0.0).
+# Label values whose stats are requested beside those of the data; the last one has no points (mean 0.0).
 REQUESTED_TYPES = ("click", "error", "purchase", "signup", "view", "refund")
 
 
@@ -346,11 +346,13 @@ def metric_scan(spark, sf):
 
 @register
 def metric_stats(spark, sf):
-    """D3: count and mean per requested series in an interval; 0.0 when empty."""
+    """D3: count and mean per series of the data or requested, in an interval; 0.0 when empty."""
     s = mx.scan(_latency(spark, sf), derived.LATENCY_METRIC, SCAN_START, SCAN_END)
     st = mx.stats(s.withColumn("event_type", F.col("labels")["event_type"]), ["event_type"])
-    req = spark.createDataFrame([(t,) for t in REQUESTED_TYPES], "event_type string")
-    return (req.join(st, "event_type", "left")
+    req = (derived.events(spark, sf).select("event_type")
+           .unionByName(spark.createDataFrame([(t,) for t in REQUESTED_TYPES], "event_type string")).distinct())
+    st = st.withColumnRenamed("event_type", "of")
+    return (req.join(st, F.col("event_type").eqNullSafe(F.col("of")), "left")
             .select("event_type", F.coalesce("n", F.lit(0)).cast("long").alias("n"),
                     _rd(F.coalesce("mean", F.lit(0.0))).alias("mean")))
 

@@ -107,3 +107,15 @@ def test_column_pruning_reaches_the_scan(spark):
     df = queries()["metric_scan"](spark, SF_SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(ts," in plan
+
+
+def test_metric_stats_covers_every_event_type_of_the_data(spark, scratch):
+    from spindle.plans import catalog
+
+    rows = [(1, "chat", 2.0, "2024-01-10 01:00:00"), (2, "chat", 4.0, "2024-01-11 01:00:00"),
+            (3, None, 5.0, "2024-01-10 02:00:00"), (4, "late", 6.0, "2024-02-01 00:00:00")]
+    (spark.createDataFrame(rows, "event_id long, event_type string, value double, ts string")
+     .selectExpr("event_id", "event_id as user_id", "event_type", "value", "cast(ts as timestamp_ntz) as ts", "'{}' as props")
+     .write.parquet(f"{scratch}/events.parquet"))
+    got = {r.event_type: (r.n, r["mean"]) for r in catalog.metric_stats(spark, scratch).collect()}
+    assert (got["chat"], got[None], got["late"], got["refund"]) == ((2, 3.0), (1, 5.0), (0, 0.0), (0, 0.0))
