@@ -30,7 +30,8 @@ def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.replicate(docs).select(*docs.columns)
+    drawn = "copy" + "_" * max(map(len, docs.columns))  # no column of the documents
+    return mixing.replicate(docs, copy=drawn).drop(drawn)
 
 
 def encode_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,7 +10,8 @@ are numbered from 1 and dealt over the cluster by another hash.
 Defined results: a null source is a source of its own; a weight for an absent
 source is ignored, and a source without a given weight gets none of the rows;
 equal rows draw equally; null texts count as empty for the draw and stay null; an empty
-table gives an empty result; all columns are returned as they came, plus ``copy``.
+table gives an empty result; all columns are returned as they came, plus the number of the copy,
+which takes the place of a column of its name (``copy`` unless another is given).
 """
 
 from __future__ import annotations
@@ -52,8 +53,8 @@ def rates(docs: DataFrame, weights: dict[str | None, float] | None = None, total
 
 
 def replicate(docs: DataFrame, weights: dict[str | None, float] | None = None, total: int | None = None,
-              seed: int = SEED) -> DataFrame:
-    """``docs`` with every row as often as it is drawn, plus ``copy``, in an order shuffled over the cluster."""
+              seed: int = SEED, copy: str = "copy") -> DataFrame:
+    """``docs`` with every row as often as it is drawn, plus its number in column ``copy``, in an order shuffled over the cluster."""
     table = (rates(docs, weights, total)
              .withColumn("parts", F.greatest(F.lit(1), F.ceil(F.col("rate") / PART)).cast("int"))
              .withColumn("cdf", poisson_table(F.col("rate") / F.col("parts")))
@@ -75,4 +76,4 @@ def replicate(docs: DataFrame, weights: dict[str | None, float] | None = None, t
         "copy", F.explode(F.sequence(F.lit(1), "copies"))).select("row", "name", "copy")
     dealt = rows.withColumn("place", F.xxhash64(F.lit(seed), "name", "copy"))
     return (dealt.repartition("place").sortWithinPartitions("place")
-            .select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns if c != "copy"], "copy"))
+            .select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns if c != copy], F.col("copy").alias(copy)))

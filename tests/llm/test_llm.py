@@ -254,6 +254,14 @@ def test_mixing_draws_the_target_rates(spark, odd):
         assert abs(copies[k] - p * size) < 5 * math.sqrt(size * p)
 
 
+def test_mixing_leaves_a_copy_column_alone(spark):
+    import corpus_pipeline
+
+    docs = spark.range(200).selectExpr("id as doc_id", "'t' || id as text", "'s' as source", "-7 - id as copy")
+    out = corpus_pipeline.mix_sources(spark, docs, "")
+    assert out.columns == docs.columns and all(r["copy"] == -7 - r.doc_id for r in out.collect())
+
+
 def test_sharding_is_proportional_and_gapless(spark, odd):
     many = spark.range(5000).selectExpr("id as doc_id", "'t' || id as text", "if(id % 3 = 0, 'x', 'y' || id % 50) as source")
     for df, n in ((odd[0], len(odd[1])), (many, 5000)):
