@@ -33,7 +33,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spindle.llm.common import arrow_rows, scratch_path, scratch_table
+from spindle.llm.common import arrow_rows, filled, scratch_path, scratch_table
 
 # Fixed value: the published pre-tokenizer pattern of byte-level BPE.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -293,7 +293,7 @@ def count_words(docs: DataFrame, tokenizer: str, text: str = "text") -> DataFram
         yield pd.DataFrame({"word": list(seen), "n": list(seen.values())})
 
     return (docs.select(F.coalesce(F.col(text).cast("string"), F.lit("")).alias("t"))
-            .mapInPandas(count, "word string, n long")
+            .mapInPandas(filled(count), "word string, n long")
             .groupBy("word").agg(F.sum("n").alias("n")))
 
 
@@ -326,7 +326,7 @@ def build_lexicon(docs: DataFrame, tokenizer: str, words: int = LEXICON_WORDS) -
         for pdf in frames:
             yield pd.DataFrame({"word": pdf["word"], "ids": [merger.merge(w.encode()) for w in pdf["word"]]})
 
-    rows = top.repartition(F.xxhash64("word")).mapInPandas(merge, "word string, ids array<int>").toPandas()
+    rows = top.repartition(F.xxhash64("word")).mapInPandas(filled(merge), "word string, ids array<int>").toPandas()
     return Transducer.compile(sorted((w.encode(), list(ids)) for w, ids in zip(rows["word"], rows["ids"])))
 
 
@@ -372,4 +372,4 @@ def digests(docs: DataFrame, tokenizer: str, words: int = LEXICON_WORDS) -> Data
 
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("t"))
-            .mapInPandas(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"))
+            .mapInPandas(filled(run), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"))

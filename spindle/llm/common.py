@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -61,6 +61,16 @@ def arrow_rows(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
         spark.conf.set(key, str(rows))
 
 
+def filled(make: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]):
+    """A ``mapInPandas`` function that sends no frame without rows: pandas gives empty columns
+    a numeric type, which Arrow does not take for text."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        return (pdf for pdf in make(frames) if len(pdf))
+
+    return run
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for undirected edges (a, b) of long: root is the smallest node reachable.
 

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from spindle.llm.common import arrow_rows
+from spindle.llm.common import arrow_rows, filled
 
 SAMPLES = 64
 SEED = 20_240_601
@@ -195,5 +195,5 @@ def next_likeness(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     edge = edge.select("doc_id", "tail", F.coalesce(
         F.lead("head").over(by_part),
         F.first("head").over(by_part.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))).alias("next"))
-    return ranges.mapInPandas(inner, RESULT).unionByName(
-        edge.repartition(min(n, 8)).mapInPandas(outer, RESULT))
+    return ranges.mapInPandas(filled(inner), RESULT).unionByName(
+        edge.repartition(min(n, 8)).mapInPandas(filled(outer), RESULT))

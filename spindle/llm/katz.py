@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spindle.llm.common import arrow_rows, fold, scratch_table, text_bytes
+from spindle.llm.common import arrow_rows, filled, fold, scratch_table, text_bytes
 
 BLOCK_TOKENS = 2_500_000
 BUCKET_TOKENS = 2_500_000
@@ -197,7 +197,7 @@ def word_table(table: DataFrame, n_buckets: int) -> DataFrame:
         return _frame(rows, "block bucket gid count types n")
 
     asked = table.select("block", "words", "counts").mapInPandas(
-        ask, "bucket long, block long, words binary, counts binary")
+        filled(ask), "bucket long, block long, words binary, counts binary")
     return scratch_table(asked.groupBy("bucket").applyInPandas(
         answer, "block long, bucket long, gid binary, count binary, types long, n array<long>"), "words")
 

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from spindle.llm.common import arrow_rows, fold, scratch_table
+from spindle.llm.common import arrow_rows, filled, fold, scratch_table
 
 DIMS = 1 << 13
 SAMPLE = 400  # documented bound: texts per language from which the centroids are fitted
@@ -139,7 +139,7 @@ def fit(rows: DataFrame, dims: int = DIMS, sample: int = SAMPLE, clusters: int =
             yield pd.DataFrame({"key": [m[0] for m in made], "lang": [m[1] for m in made], "v": dense})
 
     made = scratch_table(some.select("key", "lang", "text")
-                         .mapInPandas(vectors, "key double, lang string, v binary"), "sample")
+                         .mapInPandas(filled(vectors), "key double, lang string, v binary"), "sample")
     best = (made.dropDuplicates(["lang", "key"])
             .withColumn("nth", F.row_number().over(W.partitionBy("lang").orderBy("key")))
             .where(F.col("nth") <= sample).orderBy("lang", "key").toPandas())

@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spindle.llm.common import arrow_rows, scratch_table
+from spindle.llm.common import arrow_rows, filled, scratch_table
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE_CANDIDATES = 50_000  # documented bound of the sample from which the trees learn, shared evenly by kinds and sides
@@ -274,7 +274,7 @@ def fit(docs: DataFrame, sample_candidates: int = SAMPLE_CANDIDATES) -> Boosted:
             yield pd.DataFrame(out, columns=["key", "start", "stop", "kind", "x", "y"])
 
     found = scratch_table(rows.mapInPandas(
-        propose, "key long, start int, stop int, kind string, x array<double>, y boolean"), "candidates")
+        filled(propose), "key long, start int, stop int, kind string, x array<double>, y boolean"), "candidates")
     one, taught = ["key", "start", "stop", "kind"], F.col("key").bitwiseAND(F.lit(1)) == 1
     sizes = {(r["kind"], r["taught"], r["y"]): r["n"] for r in found.select(*one, "y").distinct()
              .groupBy("kind", taught.alias("taught"), "y").agg(F.count("*").alias("n")).collect()}  # 16 rows at most
@@ -328,7 +328,7 @@ def find(docs: DataFrame, model: Boosted | None = None) -> DataFrame:
             yield made
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                       F.col("text").cast("string").alias("text")).mapInPandas(run, RESULT)
+                       F.col("text").cast("string").alias("text")).mapInPandas(filled(run), RESULT)
 
 
 def redact(docs: DataFrame, model: Boosted | None = None) -> DataFrame:
