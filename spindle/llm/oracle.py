@@ -101,8 +101,28 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND NOT ({" OR ".join(f"coalesce({v} > cut_{r}, false)" for r, v in _VALUE.items())}) AS kept
 FROM judged LEFT JOIN wide ON judged.lang IS NOT DISTINCT FROM wide.lang"""
 
+SEARCH = r"""
+WITH cut AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+docs AS (SELECT * FROM cut WHERE len(w) > 0),
+size AS (SELECT count(*) AS n_docs, sum(len(w))::BIGINT AS n_terms FROM docs),
+tf AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM docs) GROUP BY 1, 2),
+df AS (SELECT t, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS weight
+       FROM tf, size GROUP BY t, n_docs),
+items AS (SELECT row_number() OVER () AS i, item_id, unnest(list_distinct(regexp_extract_all(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))) AS t FROM benchmark),
+norm AS (SELECT r, doc_id, 10 + (90 * len(w) * n_docs) // n_terms AS m FROM docs, size),
+scored AS (SELECT i, item_id, r, doc_id, sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+           FROM items JOIN df USING (t) JOIN tf USING (t) JOIN norm USING (r) GROUP BY 1, 2, 3, 4)
+SELECT item_id, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM scored WHERE score > 0
+QUALIFY row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) <= 10"""
+
 ORACLE: dict[str, str] = {
     "op1_license_scans": LICENSES,
     "op4_source_mixing": MIXING,
     "op7_quality_rules": QUALITY,
+    "op11_ranked_search": SEARCH,
 }
