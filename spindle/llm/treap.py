@@ -26,7 +26,6 @@ empty table or no items give an empty result; other columns are ignored.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -39,8 +38,8 @@ from pyspark.sql import Window as W
 from spindle.llm.common import arrow_rows, filled, scratch_table, text_bytes
 
 ROW_GAP = 6
-BLOCK_POINTS = 400_000  # bound of a block's points, beyond its last document
-WIDTH = 8
+BLOCK_TERMS = 1 << 20  # bound of a block's terms with repeats, beyond its last document
+WIDTH = 64
 ITEM_BYTES = 8 << 20  # items that one search job takes at most: bytes of text, and number
 ITEMS = 4096
 K = 10
@@ -257,29 +256,38 @@ INDEX = ("docs long, doc_ids binary, no_id binary, words binary, df binary, heig
          "leaf_row binary, leaf_col binary")
 
 
-def _block(held: list[tuple], docs: int, length: int) -> dict:
-    """One index row from (doc_id or None, counts of its terms)."""
+class _Numbers(dict):
+    """Terms to numbers, in the order of their first use."""
+
+    def __missing__(self, term: bytes) -> int:
+        self[term] = len(self)
+        return self[term]
+
+
+def _block(held: list[tuple], names: _Numbers, docs: int, length: int) -> dict:
+    """One index row from (doc_id or None, numbers of its terms with repeats)."""
     held.sort(key=lambda d: (d[0] is None, d[0] or 0))
-    df = Counter()
-    for _, counts in held:
-        df.update(counts.keys())
-    words = sorted(df, key=lambda t: (-df[t], t))  # rows of like density share cells
-    row_of = {t: i for i, t in enumerate(words)}
-    sizes = [len(c) for _, c in held]
-    row = np.fromiter((row_of[t] for _, c in held for t in c), np.int64, sum(sizes))
-    tf = np.fromiter((n for _, c in held for n in c.values()), np.int64, sum(sizes))
-    m = np.array([length_norm(sum(c.values()), docs, length) for _, c in held], np.int64)
-    treap = Treap.build(row, np.repeat(np.arange(len(held)), sizes), impact(tf, np.repeat(m, sizes)))
+    size = np.array([len(t) for _, t in held], np.int64)
+    point, tf = np.unique(np.repeat(np.arange(len(held)) << 32, size) + np.concatenate([t for _, t in held]),
+                          return_counts=True)
+    term, col = point & 0xFFFFFFFF, point >> 32
+    df = np.bincount(term, minlength=len(names))
+    dense = np.argsort(-df, kind="stable")  # rows of like density share cells
+    row = np.empty(len(names), np.int64)
+    row[dense] = np.arange(len(names))
+    m = np.array([length_norm(n, docs, length) for n in size.tolist()], np.int64)
+    treap = Treap.build(row[term], col, impact(tf, m[col]))
+    words = list(names)
     return {
         "docs": len(held), "doc_ids": np.array([d[0] or 0 for d in held], np.int64).tobytes(),
-        "no_id": np.array([d[0] is None for d in held], np.uint8).tobytes(), "words": b"\n".join(words),
-        "df": np.array([df[t] for t in words], np.int32).tobytes(), "height": treap.height,
-        "mask": treap.mask.tobytes(), "drop": treap.drop.tobytes(),
+        "no_id": np.array([d[0] is None for d in held], np.uint8).tobytes(),
+        "words": b"\n".join([words[i] for i in dense.tolist()]), "df": df[dense].astype(np.int32).tobytes(),
+        "height": treap.height, "mask": treap.mask.tobytes(), "drop": treap.drop.tobytes(),
         "leaf_row": treap.leaf_row.tobytes(), "leaf_col": treap.leaf_col.tobytes(),
     }
 
 
-def build(docs: DataFrame, text: str = "text", block_points: int = BLOCK_POINTS) -> tuple[DataFrame, int, int]:
+def build(docs: DataFrame, text: str = "text", block_terms: int = BLOCK_TERMS) -> tuple[DataFrame, int, int]:
     """(index, documents with a term, their terms): one row per block, stored in the shared folder."""
     n, length = totals(docs, text)
     if not n:
@@ -287,18 +295,19 @@ def build(docs: DataFrame, text: str = "text", block_points: int = BLOCK_POINTS)
     columns = [c.split()[0] for c in INDEX.split(", ")]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, points = [], 0
+        held, names, size = [], _Numbers(), 0
         for pdf in frames:
             for doc_id, data in zip(pdf["doc_id"].astype("Int64"), pdf["data"]):
-                counts = Counter(terms(data))
-                if counts:
-                    held.append((None if doc_id is pd.NA else int(doc_id), counts))
-                    points += len(counts)
-                if points >= block_points:
-                    yield pd.DataFrame([_block(held, n, length)], columns=columns)
-                    held, points = [], 0
+                own = terms(data)
+                if own:
+                    held.append((None if doc_id is pd.NA else int(doc_id),
+                                 np.fromiter(map(names.__getitem__, own), np.int64, len(own))))
+                    size += len(own)
+                if size >= block_terms:
+                    yield pd.DataFrame([_block(held, names, n, length)], columns=columns)
+                    held, names, size = [], _Numbers(), 0
         if held:
-            yield pd.DataFrame([_block(held, n, length)], columns=columns)
+            yield pd.DataFrame([_block(held, names, n, length)], columns=columns)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes(text).alias("data"))
     return scratch_table(rows.mapInPandas(run, INDEX), "k2treap"), n, length
@@ -369,11 +378,11 @@ def _answer(spark: SparkSession, index: DataFrame, docs: int, held: list[tuple],
 
 
 def search(docs: DataFrame, items: DataFrame, k: int = K, item_id: str = "item_id", text: str = "text",
-           block_points: int = BLOCK_POINTS, width: int = WIDTH) -> DataFrame:
+           block_terms: int = BLOCK_TERMS, width: int = WIDTH) -> DataFrame:
     """item_id, rank, doc_id, score of each item's k best documents with a score above 0."""
     spark = docs.sparkSession
     kind = items.schema[item_id].dataType.simpleString()
-    index, n, _ = build(docs, text, block_points)
+    index, n, _ = build(docs, text, block_terms)
     out = None
     for held in _item_blocks(items, item_id, text) if n else ():
         found = _answer(spark, index, n, held, kind, k, width)
