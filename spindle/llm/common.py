@@ -16,6 +16,7 @@ from spindle.session import checkpoint_root
 WORD = r"[^\x20\x09-\x0D]+"
 # Arrow batches handed to Python hold whole texts; this many rows bound their size.
 BATCH_ROWS = 1000
+BATCH_BYTES = 16 << 20
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,10 +56,12 @@ def scratch_table(df: DataFrame, name: str) -> DataFrame:
 
 
 def arrow_rows(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Bound the rows of an Arrow batch, as each may carry a very long text."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key)) > rows or int(spark.conf.get(key)) <= 0:
-        spark.conf.set(key, str(rows))
+    """Bound the rows and bytes of an Arrow batch, as each row may carry a very long text. The
+    settings are the session's and stay; they only ever fall."""
+    for key, most in (("maxRecordsPerBatch", rows), ("maxBytesPerBatch", BATCH_BYTES)):
+        now = int(spark.conf.get(f"spark.sql.execution.arrow.{key}").removesuffix("b"))
+        if now > most or now <= 0:
+            spark.conf.set(f"spark.sql.execution.arrow.{key}", str(most))
 
 
 def filled(make: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]):

@@ -120,9 +120,28 @@ SELECT item_id, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id)::
 FROM scored WHERE score > 0
 QUALIFY row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) <= 10"""
 
+NEGATIVES = """
+WITH whole AS (SELECT row_number() OVER () AS r, vec_id, label::BIGINT AS label, embedding FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x))) = len(embedding)),
+q AS (SELECT r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+             list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS v FROM whole),
+pairs AS (SELECT a.r AS ar, a.vec_id AS anchor_id, b.r, b.vec_id, a.label = b.label AS same,
+                 list_inner_product(a.v, b.v)::BIGINT AS score
+          FROM q a, q b WHERE a.vec_id % 100 = 0 AND a.r <> b.r),
+pos AS (SELECT ar, anchor_id, r AS pr, vec_id AS positive_id, score AS positive_score FROM pairs WHERE same
+        QUALIFY row_number() OVER (PARTITION BY ar ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, positive_id, row_number() OVER best::INTEGER AS rank, n.vec_id AS negative_id, positive_score,
+       n.score AS negative_score
+FROM pos p JOIN pairs n ON p.ar = n.ar AND NOT same
+  AND 30 * positive_score <= 100 * n.score AND 100 * n.score <= 90 * positive_score
+WINDOW best AS (PARTITION BY p.ar, pr ORDER BY n.score DESC, n.vec_id)
+QUALIFY row_number() OVER best <= 10"""
+
 ORACLE: dict[str, str] = {
     "op1_license_scans": LICENSES,
     "op4_source_mixing": MIXING,
     "op7_quality_rules": QUALITY,
     "op11_ranked_search": SEARCH,
+    "op12_hard_negatives": NEGATIVES,
 }

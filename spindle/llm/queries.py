@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spindle.llm import bpe, cws, katz, langid, licenses, mixing, pii, quality, sharding, simhash, treap
+from spindle.llm import bpe, cws, katz, langid, licenses, mixing, packed, pii, prefixtree, quality, sharding, simhash, treap
 from spindle.llm.common import documents
 from spindle.llm.oracle import ORACLE
 
@@ -65,9 +65,17 @@ def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return treap.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed.mine(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op13_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixtree.join(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_license_scans, op2_language_id, op3_simhash_near_dedup, op4_source_mixing, op5_lm_scoring,
         op6_document_fingerprints, op7_quality_rules, op8_pii, op9_sharding, op10_bpe,
-        op11_ranked_search)
+        op11_ranked_search, op12_hard_negatives, op13_ngram_jaccard_join)
 }

@@ -38,7 +38,7 @@ from pyspark.sql import Window as W
 from spindle.llm.common import arrow_rows, filled, scratch_table, text_bytes
 
 ROW_GAP = 6
-BLOCK_TERMS = 1 << 20  # bound of a block's terms with repeats, beyond its last document
+BLOCK_TERMS = 1 << 19  # bound of a block's terms with repeats, beyond its last document
 WIDTH = 64
 ITEM_BYTES = 8 << 20  # items that one search job takes at most: bytes of text, and number
 ITEMS = 4096
@@ -128,15 +128,15 @@ class Treap:
 
     def unfold(self) -> None:
         """What the search reads: first child, maximum, and number among the leaves, of every cell."""
-        n = _COUNT[self.mask].astype(np.int64)
-        self.child = np.cumsum(n) - n + 1
-        self.leaf_no = np.cumsum(self.mask == 0) - (self.mask == 0)
-        self.max = np.zeros(len(self.mask), np.int64)
+        n = _COUNT[self.mask]
+        self.child = np.cumsum(n, dtype=np.int32) - n + 1
+        self.leaf_no = np.cumsum(self.mask == 0, dtype=np.int32) - (self.mask == 0)
+        self.max = np.zeros(len(self.mask), np.int32)
         lo, hi = 0, min(1, len(self.mask))
         if hi:
             self.max[0] = self.drop[0]
         while lo < hi:  # a level at a time
-            to = hi + int(n[lo:hi].sum())
+            to = hi + int(n[lo:hi].sum(dtype=np.int64))
             self.max[hi:to] = np.repeat(self.max[lo:hi], n[lo:hi]) - self.drop[hi:to]
             lo, hi = hi, to
 
@@ -297,11 +297,11 @@ def build(docs: DataFrame, text: str = "text", block_terms: int = BLOCK_TERMS) -
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, names, size = [], _Numbers(), 0
         for pdf in frames:
-            for doc_id, data in zip(pdf["doc_id"].astype("Int64"), pdf["data"]):
+            for doc_id, absent, data in zip(pdf["doc_id"], pdf["absent"], pdf["data"]):
                 own = terms(data)
                 if own:
-                    held.append((None if doc_id is pd.NA else int(doc_id),
-                                 np.fromiter(map(names.__getitem__, own), np.int64, len(own))))
+                    held.append((None if absent else int(doc_id),
+                                 np.fromiter(map(names.__getitem__, own), np.int32, len(own))))
                     size += len(own)
                 if size >= block_terms:
                     yield pd.DataFrame([_block(held, names, n, length)], columns=columns)
@@ -309,7 +309,8 @@ def build(docs: DataFrame, text: str = "text", block_terms: int = BLOCK_TERMS) -
         if held:
             yield pd.DataFrame([_block(held, names, n, length)], columns=columns)
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes(text).alias("data"))
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("doc_id"),
+                       F.col("doc_id").isNull().alias("absent"), text_bytes(text).alias("data"))
     return scratch_table(rows.mapInPandas(run, INDEX), "k2treap"), n, length
 
 
