@@ -178,11 +178,12 @@ def breach_runs(aligned: DataFrame, rules: DataFrame, min_duration: bool = True,
                            MAX_BROADCAST_RULES)
     a = aligned.join(r, "rule")
     filled = (F.col("comparison") == "LT") & (F.col("threshold") > 0) if fill_lt else F.lit(False)
-    if interval is not None:
-        a = a.where(F.unix_seconds("bucket").between(
+    fills = a.where(filled)
+    if interval is not None:  # only what is filled has an interval; other rules keep their edge buckets
+        fills = fills.where(F.unix_seconds("bucket").between(
             F.floor(F.lit(int(interval[0])) / F.col("period_s")) * F.col("period_s"), int(interval[1])))
     runs = _islands(a.where(~filled)).drop("_island", "_last").unionByName(
-        _gaps(a.where(filled), r.where(filled), interval))
+        _gaps(fills, r.where(filled), interval))
     if min_duration:
         runs = runs.where(F.col("buckets") * F.col("period_s") >= F.col("duration_s"))
     return runs.select("rule", "series", "start_time", "end_time", "buckets")

@@ -18,34 +18,52 @@ from spindle.operators.percentiles import approx_percentiles, exact_percentiles
 
 # Metric name prefixes by kind (type path = prefix/name).
 COUNTER, GAUGE, LATENCY, BATCH_SIZE = "counter", "gauge", "latency", "batch_size"
+ERROR, SUCCESS = "counter/errors", "counter/successes"
 RECEIVED = "counter/messages_received"
 PROCESSED = "counter/messages_processed"
 FAILED = "counter/messages_failed"
 E2E_LATENCY = "latency/end_to_end_latency"
+PROCESSING_LATENCY = "latency/processing_latency"
 ERROR_RATE = "ratio/error_rate"
+# Metric kind and value type that each kind of point is written with.
+WRITTEN_AS = {
+    COUNTER: ("CUMULATIVE", "INT64"), GAUGE: ("GAUGE", "DOUBLE"), LATENCY: ("GAUGE", "DOUBLE"),
+    BATCH_SIZE: ("GAUGE", "INT64"), ERROR: ("CUMULATIVE", "INT64"), SUCCESS: ("CUMULATIVE", "INT64"),
+}
 
 
-# Metric catalogue of the monitoring configuration (name, declared kind).
+# Metric catalogue of the monitoring configuration (name, declared kind, description).
 CATALOG = [
-    ("messages_received", "counter"),
-    ("messages_processed", "counter"),
-    ("messages_failed", "counter"),
-    ("processing_latency", "gauge"),
-    ("end_to_end_latency", "gauge"),
-    ("batch_size", "gauge"),
-    ("batch_processing_time", "gauge"),
-    ("parsing_errors", "counter"),
-    ("validation_errors", "counter"),
-    ("processing_errors", "counter"),
-    ("storage_errors", "counter"),
-    ("cpu_usage", "gauge"),
-    ("memory_usage", "gauge"),
-    ("disk_usage", "gauge"),
+    ("messages_received", "counter", "Number of messages received"),
+    ("messages_processed", "counter", "Number of messages successfully processed"),
+    ("messages_failed", "counter", "Number of messages that failed processing"),
+    ("processing_latency", "gauge", "Message processing latency in seconds"),
+    ("end_to_end_latency", "gauge", "End-to-end pipeline latency in seconds"),
+    ("batch_size", "gauge", "Size of message batches"),
+    ("batch_processing_time", "gauge", "Time taken to process each batch"),
+    ("parsing_errors", "counter", "Number of message parsing errors"),
+    ("validation_errors", "counter", "Number of message validation errors"),
+    ("processing_errors", "counter", "Number of message processing errors"),
+    ("storage_errors", "counter", "Number of storage operation errors"),
+    ("cpu_usage", "gauge", "CPU usage percentage"),
+    ("memory_usage", "gauge", "Memory usage percentage"),
+    ("disk_usage", "gauge", "Disk usage percentage"),
 ]
+STAGES = ("parsing", "validation", "processing", "storage")
+# The dashboard's panels (column -> metric type and how a period's points become one value).
+PANELS = {
+    "messages_received": (RECEIVED, "sum"),
+    "messages_processed": (PROCESSED, "sum"),
+    "messages_failed": (FAILED, "sum"),
+    "processing_latency": (PROCESSING_LATENCY, "mean"),
+    "end_to_end_latency": (E2E_LATENCY, "mean"),
+    **{f"{s}_errors": (f"counter/{s}_errors", "sum") for s in STAGES},
+    **{f"{r}_usage": (f"gauge/{r}_usage", "mean") for r in ("cpu", "memory", "disk")},
+}
 
 
 def catalog_frame(spark) -> DataFrame:
-    return spark.createDataFrame(CATALOG, "name string, declared_kind string")
+    return spark.createDataFrame(CATALOG, "name string, declared_kind string, description string")
 
 
 def metric_name(mtype: Column) -> Column:
@@ -67,7 +85,7 @@ def catalog_usage(points: DataFrame, catalog: DataFrame) -> DataFrame:
     per_name = points.groupBy(metric_name(F.col("metric_type")).alias("name")).agg(
         F.count(F.lit(1)).alias("n_points"))
     return (catalog.join(per_name, "name", "left")
-            .select("name", "declared_kind", F.coalesce("n_points", F.lit(0)).alias("n_points")))
+            .select("name", "declared_kind", "description", F.coalesce("n_points", F.lit(0)).alias("n_points")))
 
 
 def metric_type(kind: str, name: str) -> str:
@@ -80,6 +98,37 @@ def _map(d: dict[str, str]) -> Column:
     return F.create_map(*[F.lit(x) for kv in d.items() for x in kv])
 
 
+def typed(value: Column, value_type: str) -> Column:
+    """A point's value as its type writes it: INT64 drops the fraction, BOOL is whether it is not 0."""
+    if value_type == "BOOL":
+        return (value.cast("double") != 0).cast("double")
+    if value_type not in ("INT64", "DOUBLE"):
+        raise ValueError(f"unknown value type {value_type}")
+    return value.cast("double") if value_type == "DOUBLE" else value.cast("bigint").cast("double")
+
+
+def record(df: DataFrame, points: Sequence[tuple[str, str, Column | float]], end_time: Column,
+           labels: Column | None = None, default_labels: dict[str, str] | None = None,
+           resource: dict[str, str] | None = None) -> DataFrame:
+    """Points of many rows at once: per row one for each (kind, name, value) whose value is not NULL.
+
+    Kinds are those of ``WRITTEN_AS``: counters, gauges, latencies, batch sizes, and counted errors and
+    successes by name. ``labels`` (a map column) win over the default labels.
+    """
+    base = _map(default_labels or {})
+    own = base if labels is None else F.map_concat(base, F.coalesce(labels, _map({})))
+    rows = []
+    for kind, name, value in points:
+        if kind not in WRITTEN_AS:
+            raise ValueError(f"unknown kind of point {kind}")
+        metric_kind, value_type = WRITTEN_AS[kind]
+        value = typed(value if isinstance(value, Column) else F.lit(value), value_type)
+        rows.append(F.when(value.isNotNull(), _point(f"{kind}/{name}", metric_kind, value_type, value, own)))
+    return (df.select(F.inline(F.filter(F.array(*rows), lambda p: p.isNotNull())), end_time.alias("end_time"))
+            .withColumn("resource", _map(resource or {"type": "generic_task"}))
+            .select("metric_type", "metric_kind", "value_type", "value", "labels", "resource", "end_time"))
+
+
 def _point(mtype: str | Column, kind: str, vtype: str, value: Column, labels: Column) -> Column:
     return F.struct(
         (F.lit(mtype) if isinstance(mtype, str) else mtype).alias("metric_type"),
@@ -91,9 +140,11 @@ def _point(mtype: str | Column, kind: str, vtype: str, value: Column, labels: Co
 
 
 def outcome_points(outcomes: DataFrame, default_labels: dict[str, str] | None = None,
-                   resource: dict[str, str] | None = None, error_rate: bool = False) -> DataFrame:
-    """Per message, received; on success processed + end-to-end
-    latency; on failure failed + ``counter/errors/<reason>``. With ``error_rate`` every
+                   resource: dict[str, str] | None = None, error_rate: bool = False,
+                   processing_time: Column | None = None) -> DataFrame:
+    """Per message, received; on success processed, end-to-end latency and,
+    where ``processing_time`` is given, processing latency; on failure failed, the counter of the
+    stage that failed (``counter/<stage>_errors``) and ``counter/errors/<reason>``. With ``error_rate`` every
     message also gives a ``ratio/error_rate`` point, 1 if failed, else 0: its mean over a
     period is failed / (processed + failed), found in the same pass.
 
@@ -109,7 +160,11 @@ def outcome_points(outcomes: DataFrame, default_labels: dict[str, str] | None =
         _point(RECEIVED, "CUMULATIVE", "INT64", one, base),
         F.when(ok, _point(PROCESSED, "CUMULATIVE", "INT64", one, base)),
         F.when(ok, _point(E2E_LATENCY, "GAUGE", "DOUBLE", latency, base)),
+        *([F.when(ok, _point(PROCESSING_LATENCY, "GAUGE", "DOUBLE", processing_time, base))]
+          if processing_time is not None else []),
         F.when(~ok, _point(FAILED, "CUMULATIVE", "INT64", one, base)),
+        F.when(~ok, _point(F.concat(F.lit("counter/"), stage_of(reason), F.lit("_errors")), "CUMULATIVE", "INT64", one,
+                           base)),
         F.when(~ok, _point(F.concat(F.lit("counter/errors/"), reason), "CUMULATIVE", "INT64", one,
                            err_labels)),
         *([_point(ERROR_RATE, "GAUGE", "DOUBLE", F.when(ok, 0).otherwise(1), base)] if error_rate else []),

@@ -69,7 +69,7 @@ def publish_envelope(spark, sf):
         payload=F.struct(
             F.concat(F.lit("evt-"), eid.cast("string")).alias("event_id"),
             F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
-            F.struct("user_id", "event_type", "value").alias("data"),
+            F.struct("user_id", "event_type", "value", F.try_parse_json("props").alias("props")).alias("data"),
             F.struct(F.col("event_type").alias("source"), F.lit("1.0").alias("version")).alias("metadata"),
         ),
         message_id=F.concat(F.lit("msg-"), eid.cast("string")),
@@ -85,6 +85,7 @@ def publish_envelope(spark, sf):
         get(doc, ("data", "user_id"), "bigint").alias("user_id"),
         get(doc, ("data", "event_type"), "string").alias("event_type"),
         get(doc, ("data", "value"), "double").alias("value"),
+        get(doc, ("data", "props", "k"), "bigint").alias("props_k"),
         "ordering_key",
         F.col("attributes")["batch_id"].alias("batch_id"),
     )
@@ -396,16 +397,8 @@ def batch_stats(spark, sf):
 def dashboard_rollup(spark, sf):
     """Hourly panel values, one column per panel (explicit pivot values)."""
     pts = _points(spark, sf).unionByName(_latency(spark, sf))
-    d = mx.dashboard(pts, HOUR, {
-        "received": (mx.RECEIVED, "sum"),
-        "processed": (mx.PROCESSED, "sum"),
-        "failed": (mx.FAILED, "sum"),
-        "mean_latency": (derived.LATENCY_METRIC, "mean"),
-        "mean_e2e_latency": (mx.E2E_LATENCY, "mean"),
-    })
-    return d.select(to_naive(F.col("bucket")).alias("bucket"),
-                    *[_rd(F.col(c)).alias(c) for c in
-                      ("received", "processed", "failed", "mean_latency", "mean_e2e_latency")])
+    d = mx.dashboard(pts, HOUR, mx.PANELS)
+    return d.select(to_naive(F.col("bucket")).alias("bucket"), *[_rd(F.col(c)).alias(c) for c in mx.PANELS])
 
 
 @register

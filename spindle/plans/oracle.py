@@ -7,6 +7,8 @@ mistake in the Spark parser cannot hide in both sides.
 
 from __future__ import annotations
 
+from spindle.operators.metrics import CATALOG
+
 EV = """
 ev AS (
   SELECT event_id, ts, user_id, event_type, value,
@@ -49,7 +51,7 @@ def w(body: str) -> str:
 ORACLE: dict[str, str] = {}
 
 ORACLE["publish_envelope"] = w("""
-SELECT message_id, eid AS event_id, user_id, event_type, value,
+SELECT message_id, eid AS event_id, user_id, event_type, value, props_k,
        'user-' || CAST(user_id AS VARCHAR) AS ordering_key, batch_id FROM ev""")
 
 ORACLE["parse_json"] = w("SELECT message_id, parsed_ok FROM cls")
@@ -136,6 +138,10 @@ def bucket(t: str, p: int) -> str:
     return f"make_timestamp((epoch_us({t}) // {p * 1000000}) * {p * 1000000})"
 
 
+STAGE = """CASE WHEN reject_reason IN ('invalid_utf8', 'json_syntax', 'not_object') THEN 'parsing'
+            WHEN reject_reason = 'required_null' THEN 'storage'
+            ELSE 'validation' END"""
+
 PTS = """
 pts AS (
   SELECT 'counter/messages_received' AS metric_type, 'CUMULATIVE' AS metric_kind, 'INT64' AS value_type,
@@ -153,9 +159,12 @@ pts AS (
   SELECT 'counter/errors/' || reject_reason, 'CUMULATIVE', 'INT64', 1.0,
          '{{"environment":"test","reason":"' || reject_reason || '","service":"spindle"}}', publish_time
   FROM cls WHERE reject_reason IS NOT NULL
-)""".format(base=BASE_SERIES)
+  UNION ALL
+  SELECT 'counter/' || {stage} || '_errors', 'CUMULATIVE', 'INT64', 1.0, {base}, publish_time
+  FROM cls WHERE reject_reason IS NOT NULL
+)""".format(base=BASE_SERIES, stage=STAGE)
 
-XP = f"xp AS (SELECT {X_SERIES} AS series, event_type, value, ts AS end_time FROM events)"
+XP = f"xp AS (SELECT {X_SERIES} AS series, event_type, value, ts AS end_time FROM events WHERE event_id % 20 >= 8)"
 
 
 def wm(body: str, ctes: str = "") -> str:
@@ -171,12 +180,13 @@ SELECT series, value, end_time FROM xp
 WHERE end_time BETWEEN TIMESTAMP '2024-01-10 00:00:00' AND TIMESTAMP '2024-01-12 00:00:00'""")
 
 ORACLE["metric_stats"] = "WITH " + EV.strip() + ",\n" + XP + """,
-req AS (SELECT unnest(['click','error','purchase','signup','view','refund']) AS event_type),
+req AS (SELECT event_type FROM events
+        UNION SELECT unnest(['click','error','purchase','signup','view','refund'])),
 st AS (SELECT event_type, count(value) AS n, avg(value) AS mean FROM xp
        WHERE end_time BETWEEN TIMESTAMP '2024-01-10 00:00:00' AND TIMESTAMP '2024-01-12 00:00:00'
        GROUP BY event_type)
 SELECT req.event_type, coalesce(n, 0) AS n, round(coalesce(mean, 0.0), 9) AS mean
-FROM req LEFT JOIN st USING (event_type)"""
+FROM req LEFT JOIN st ON req.event_type IS NOT DISTINCT FROM st.event_type"""
 
 _PCT = """
 , r AS (SELECT series, value, row_number() OVER (PARTITION BY series ORDER BY value) AS rn,
@@ -195,10 +205,8 @@ SELECT {bucket('publish_time', 3600)} AS bucket, count(*) AS received,
        count(*) FILTER (WHERE reject_reason IS NOT NULL) AS failed
 FROM cls GROUP BY 1""")
 
-ORACLE["errors_by_stage"] = w("""
-SELECT CASE WHEN reject_reason IN ('invalid_utf8', 'json_syntax', 'not_object') THEN 'parsing'
-            WHEN reject_reason = 'required_null' THEN 'storage'
-            ELSE 'validation' END AS stage, count(*) AS n
+ORACLE["errors_by_stage"] = w(f"""
+SELECT {STAGE} AS stage, count(*) AS n
 FROM cls WHERE reject_reason IS NOT NULL GROUP BY 1""")
 
 ORACLE["batch_stats"] = w("""
@@ -206,16 +214,21 @@ SELECT batch_id, count(*) AS batch_size,
        round((epoch_us(max(publish_time)) - epoch_us(min(publish_time))) / 1e6, 9) AS span_s
 FROM cls GROUP BY batch_id""")
 
+_PANELS = {
+    **{f"messages_{x}": (f"counter/messages_{x}", "sum") for x in ("received", "processed", "failed")},
+    **{f"{x}_latency": (f"latency/{x}_latency", "avg") for x in ("processing", "end_to_end")},
+    **{f"{x}_errors": (f"counter/{x}_errors", "sum") for x in ("parsing", "validation", "processing", "storage")},
+    **{f"{x}_usage": (f"gauge/{x}_usage", "avg") for x in ("cpu", "memory", "disk")},
+}
+_PANEL_SQL = ",\n  ".join(
+    f"round(coalesce(sum(value) FILTER (WHERE metric_type = '{t}'), 0.0), 9) AS {name}" if how == "sum"
+    else f"round(avg(value) FILTER (WHERE metric_type = '{t}'), 9) AS {name}" for name, (t, how) in _PANELS.items())
+
 ORACLE["dashboard_rollup"] = wm(f"""
 SELECT {bucket('end_time', 3600)} AS bucket,
-  round(coalesce(sum(value) FILTER (WHERE metric_type = 'counter/messages_received'), 0.0), 9) AS received,
-  round(coalesce(sum(value) FILTER (WHERE metric_type = 'counter/messages_processed'), 0.0), 9) AS processed,
-  round(coalesce(sum(value) FILTER (WHERE metric_type = 'counter/messages_failed'), 0.0), 9) AS failed,
-  round(avg(value) FILTER (WHERE metric_type = 'latency/processing_latency'), 9) AS mean_latency,
-  round(avg(value) FILTER (WHERE metric_type = 'latency/end_to_end_latency'), 9) AS mean_e2e_latency
+  {_PANEL_SQL}
 FROM allp
-WHERE metric_type IN ('counter/messages_received', 'counter/messages_processed', 'counter/messages_failed',
-                      'latency/processing_latency', 'latency/end_to_end_latency')
+WHERE metric_type IN ({", ".join(f"'{t}'" for t, _ in _PANELS.values())})
 GROUP BY 1""", ctes="""
 allp AS (SELECT metric_type, value, end_time FROM pts
          UNION ALL SELECT 'latency/processing_latency', value, end_time FROM xp)""")
@@ -313,7 +326,7 @@ rmsg AS (SELECT r.test_name, count(*) AS sent, count(*) FILTER (WHERE c.reject_r
 rlat AS (SELECT r.test_name, e.value,
                 row_number() OVER (PARTITION BY r.test_name ORDER BY e.value) AS rn,
                 count(*) OVER (PARTITION BY r.test_name) AS n
-         FROM runs r JOIN events e ON e.ts >= r.start_time AND e.ts < r.end_time),
+         FROM runs r JOIN events e ON e.ts >= r.start_time AND e.ts < r.end_time AND e.event_id % 20 >= 8),
 rpct AS (SELECT test_name, avg(value) AS avg_latency,
                 max(CASE WHEN rn = floor(n * 0.5::DOUBLE) + 1 THEN value END) AS p50,
                 max(CASE WHEN rn = floor(n * 0.95::DOUBLE) + 1 THEN value END) AS p95,
@@ -383,14 +396,10 @@ ORACLE["alerts_config_rules"] = alert_sql([
 ])
 
 ORACLE["metric_catalog_usage"] = wm("""
-SELECT c.name, c.declared_kind, coalesce(p.n, 0) AS n_points
+SELECT c.name, c.declared_kind, c.description, coalesce(p.n, 0) AS n_points
 FROM cat c LEFT JOIN (
   SELECT regexp_extract(metric_type, '^[^/]+/(.*)$', 1) AS name, count(*) AS n
   FROM (SELECT metric_type FROM pts UNION ALL SELECT 'latency/processing_latency' FROM xp)
   GROUP BY 1) p USING (name)""", ctes="""
 cat AS (SELECT * FROM (VALUES
-  ('messages_received', 'counter'), ('messages_processed', 'counter'), ('messages_failed', 'counter'),
-  ('processing_latency', 'gauge'), ('end_to_end_latency', 'gauge'), ('batch_size', 'gauge'),
-  ('batch_processing_time', 'gauge'), ('parsing_errors', 'counter'), ('validation_errors', 'counter'),
-  ('processing_errors', 'counter'), ('storage_errors', 'counter'), ('cpu_usage', 'gauge'),
-  ('memory_usage', 'gauge'), ('disk_usage', 'gauge')) AS t(name, declared_kind))""")
+  """ + ",\n  ".join(f"('{name}', '{kind}', '{told}')" for name, kind, told in CATALOG) + """) AS t(name, declared_kind, description))""")
