@@ -1,7 +1,13 @@
-"""Warehouse access on the Spark catalog: DDL, append, insert with errors, SQL."""
+"""Warehouse access on the Spark catalog: DDL, append, insert with errors, SQL.
+
+A table's REQUIRED fields are kept with the table (a table property), since file formats and the catalog drop
+nullability. Every append reads them there and checks the rows in its own write plan.
+"""
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,6 +18,10 @@ def create_database(spark: SparkSession, name: str, location: str | None = None)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`{loc}")
 
 
+# Table property with the paths of the REQUIRED fields, a JSON list in schema order.
+REQUIRED = "spindle.required"
+
+
 def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
@@ -28,16 +38,83 @@ def create_table(spark: SparkSession, name: str, schema: T.StructType | None,
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(name)
+    require(spark, name, required_paths(schema))
+
+
+def required_paths(schema: T.StructType, prefix: str = "") -> list[str]:
+    """Paths of the non-nullable fields, in schema order, also inside structs (where the struct is present)."""
+    out = []
+    for f in schema.fields:
+        if not f.nullable:
+            out.append(f"{prefix}{f.name}")
+        if isinstance(f.dataType, T.StructType):
+            out += required_paths(f.dataType, f"{prefix}{f.name}.")
+    return out
+
+
+def require(spark: SparkSession, name: str, paths: list[str]) -> None:
+    """Store the REQUIRED fields with the table; this replaces those that it had."""
+    told = json.dumps(paths).replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{REQUIRED}' = '{told}')")
+
+
+def required_of(spark: SparkSession, name: str) -> list[str]:
+    """The REQUIRED fields of a table; none for tables that were made elsewhere."""
+    for row in spark.sql(f"SHOW TBLPROPERTIES {name}").collect():
+        if row["key"] == REQUIRED:
+            return json.loads(row["value"])
+    return []
+
+
+def missing_required(schema: T.StructType, paths: list[str]) -> F.Column:
+    """The first of ``paths`` that a row of ``schema`` leaves NULL (a JSON null counts), else NULL. A field in a
+    struct that is NULL is only missed where the struct itself is not. A path that the schema lacks is always missed."""
+    checks = []
+    for path in paths:
+        parts, kind, parent = path.split("."), schema, None
+        for i, part in enumerate(parts):
+            if not isinstance(kind, T.StructType) or part not in kind.fieldNames():
+                kind = None
+                break
+            kind = kind[part].dataType
+            if i < len(parts) - 1:
+                here = _column(parts[:i + 1]).isNotNull()
+                parent = here if parent is None else parent & here
+        if kind is None:
+            checks.append(F.lit(path))
+            continue
+        absent = _column(parts).isNull()
+        if isinstance(kind, T.VariantType):
+            absent = absent | F.is_variant_null(_column(parts))
+        checks.append(F.when(absent if parent is None else parent & absent, F.lit(path)))
+    return F.coalesce(*checks, F.lit(None).cast("string"))
+
+
+def _column(parts: list[str]) -> F.Column:
+    return F.col(".".join(f"`{p}`" for p in parts))
+
+
+def checked(df: DataFrame, name: str, paths: list[str]) -> DataFrame:
+    """``df``, whose rows fail the query that reads them where they leave a REQUIRED field of table ``name`` NULL."""
+    if not paths:
+        return df
+    gone = missing_required(df.schema, paths)
+    error = F.raise_error(F.concat(F.lit(f"required field is null in an append to {name}: "), gone))
+    first = df.columns[0]
+    return df.withColumn(first, F.when(gone.isNull(), F.col(f"`{first}`")).otherwise(error.cast(df.schema[first].dataType)))
 
 
 def append(df: DataFrame, name: str, schema: T.StructType | None = None,
            partition_by: list[str] | None = None) -> None:
-    """Append rows, creating the table from ``schema`` when it is missing."""
+    """Append rows, creating the table from ``schema`` when it is missing. A row that leaves a REQUIRED
+    field of the table NULL fails the append as a whole; columns that the rows lack become NULL."""
     spark = df.sparkSession
     if not table_exists(spark, name):
         create_table(spark, name, schema or df.schema, partition_by)
-    cols = spark.table(name).columns
-    df.select(*cols).write.insertInto(name)
+    fields = spark.table(name).schema.fields
+    rows = df.select(*[F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
+                       for f in fields])
+    checked(rows, name, required_of(spark, name)).write.insertInto(name)
 
 
 def required_violation(schema: T.StructType, prefix: str = "") -> F.Column:
@@ -61,7 +138,8 @@ def required_violation(schema: T.StructType, prefix: str = "") -> F.Column:
 
 def insert_rows(df: DataFrame, schema: T.StructType, name: str | None = None
                 ) -> tuple[DataFrame, DataFrame]:
-    """Split rows into (good, errors) by the schema's REQUIRED fields.
+    """Split rows into (good, errors) by the REQUIRED fields: those kept with table ``name`` where it
+    exists, else those of the schema.
 
     ``errors`` carries every input column plus ``error`` and ``error_field``;
     an empty errors frame means the insert was clean. Good rows are appended
@@ -71,7 +149,11 @@ def insert_rows(df: DataFrame, schema: T.StructType, name: str | None = None
     unknown = [c for c in df.columns if c not in schema.fieldNames()]
     if unknown:
         raise ValueError(f"unknown fields for table schema: {unknown}")
-    marked = df.withColumn("error_field", required_violation(schema))
+    if name is not None and table_exists(df.sparkSession, name):
+        violation = missing_required(df.schema, required_of(df.sparkSession, name))
+    else:
+        violation = required_violation(schema)
+    marked = df.withColumn("error_field", violation)
     good = marked.where(F.col("error_field").isNull()).drop("error_field")
     bad = marked.where(F.col("error_field").isNotNull()).withColumn("error", F.lit("required_null"))
     if name is not None:

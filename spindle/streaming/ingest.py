@@ -156,7 +156,12 @@ def start_ingest(messages: DataFrame, landed_path: str, rejects_path: str,
 
 
 def append_stream(df: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
-    """A4 streaming form: append to a catalog table (created if missing)."""
+    """A4 streaming form: append to a catalog table (created if missing); a row that leaves a REQUIRED field of
+    the table NULL fails the query."""
+    spark = df.sparkSession
+    if not tables.table_exists(spark, table):
+        tables.create_table(spark, table, df.schema)
+    df = tables.checked(df, table, tables.required_of(spark, table))
     return (df.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
             .toTable(table))
 

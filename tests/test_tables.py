@@ -168,3 +168,69 @@ def test_files_per_date_bounds_file_count(spark, scratch):
     files = glob.glob(f"{scratch}/l2/date=*/*.parquet")
     assert len(files) <= 2 * len(days)
     assert spark.read.parquet(f"{scratch}/l2").count() == landed.count()
+
+
+def test_required_fields_live_with_the_table(spark, scratch):
+    from pyspark.sql import types as T
+
+    from spindle.schemas import LANDED
+
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS t_req LOCATION '{scratch}/req'")
+    tables.create_table(spark, "t_req.flat", LANDED_FLAT)
+    assert tables.required_of(spark, "t_req.flat") == ["event_id", "timestamp", "data", "processing_timestamp"]
+    assert tables.required_paths(LANDED)[-3:] == ["metadata", "metadata.source", "metadata.version"]
+    shape = "event_id string, timestamp timestamp, data string, processing_timestamp timestamp"
+    good = spark.createDataFrame([("e1", T0, "{}", T0)], shape)
+    bad = spark.createDataFrame([("e2", T0, "{}", T0), ("e3", T0, None, T0)], shape)
+    tables.append(good, "t_req.flat")
+    with pytest.raises(Exception, match="t_req.flat: data"):
+        tables.append(bad, "t_req.flat")
+    with pytest.raises(Exception, match="processing_timestamp"):  # a column that the rows lack
+        tables.append(good.drop("processing_timestamp"), "t_req.flat")
+    assert spark.table("t_req.flat").count() == 1
+    # insert_rows asks the table, not the schema that it is given
+    free = T.StructType([T.StructField(f.name, f.dataType, True) for f in LANDED_FLAT.fields])
+    kept, errors = tables.insert_rows(bad, free, "t_req.flat")
+    assert [(r.event_id, r.error_field) for r in errors.collect()] == [("e3", "data")]
+    assert sorted(r.event_id for r in spark.table("t_req.flat").collect()) == ["e1", "e2"]
+    tables.require(spark, "t_req.flat", ["event_id"])
+    tables.append(spark.createDataFrame([("e4", T0, None, T0)], shape), "t_req.flat")
+    with pytest.raises(Exception, match="event_id"):
+        tables.append(spark.createDataFrame([(None, T0, None, T0)], shape), "t_req.flat")
+
+
+def test_required_fields_inside_structs_and_variants(spark, scratch):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS t_req2 LOCATION '{scratch}/req2'")
+    from spindle.schemas import LANDED
+
+    tables.create_table(spark, "t_req2.landed", LANDED)
+    rows = spark.sql("""SELECT id AS event_id, TIMESTAMP'2024-01-01' AS timestamp, TIMESTAMP'2024-01-01' AS processing_timestamp,
+        parse_json(d) AS data, named_struct('source', s, 'version', '1') AS metadata, CAST(NULL AS MAP<STRING, STRING>) AS attributes
+        FROM VALUES ('a', '{}', 's'), ('b', 'null', 's'), ('c', '{}', CAST(NULL AS STRING)) AS t(id, d, s)""")
+    for event_id, field in (("b", "data"), ("c", "metadata.source")):
+        with pytest.raises(Exception, match=f"landed: {field}"):
+            tables.append(rows.where(F.col("event_id") == event_id), "t_req2.landed")
+    tables.append(rows.where("event_id = 'a'"), "t_req2.landed")
+    assert spark.table("t_req2.landed").count() == 1
+
+
+def test_append_stream_keeps_required_fields(spark, scratch):
+    from spindle.streaming.ingest import append_stream
+
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS t_req3 LOCATION '{scratch}/req3'")
+    tables.create_table(spark, "t_req3.flat", LANDED_FLAT)
+    shape = "event_id string, timestamp timestamp, data string, processing_timestamp timestamp"
+    src = f"{scratch}/src"
+    spark.createDataFrame([("e1", T0, "{}", T0)], shape).write.parquet(src)
+    stream = spark.readStream.schema(shape).parquet(src)
+    q = append_stream(stream, "t_req3.flat", f"{scratch}/ck")
+    try:
+        q.processAllAvailable()
+        assert spark.table("t_req3.flat").count() == 1
+        spark.createDataFrame([("e2", T0, None, T0)], shape).write.mode("append").parquet(src)
+        with pytest.raises(Exception, match="required field is null"):
+            q.processAllAvailable()
+    finally:
+        q.stop()
+    spark.catalog.refreshTable("t_req3.flat")
+    assert spark.table("t_req3.flat").count() == 1
