@@ -20,8 +20,8 @@ from spindle.operators import audit, envelope
 from spindle.operators import metrics as mx
 from spindle.operators import runs as rn
 from spindle.plans import derived
-from spindle.sources import tables
-from spindle.sources.publish import publish
+from spindle.sources import batches, store, tables
+from spindle.sources.publish import publish, publish_bytes
 from spindle.schemas import LANDED
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,6 +91,22 @@ def publish_envelope(spark, sf):
     )
 
 
+# Limits of the publish batches, for messages that come some minutes apart.
+BATCH_LIMITS = batches.Limits(max_messages=25, max_bytes=240, max_latency_us=4 * 3_600_000_000)
+
+
+@register
+def publish_batches(spark, sf):
+    """A3: messages cut into publish batches per ordering key by count, bytes and latency."""
+    ev = derived.events(spark, sf)
+    eid = F.col("event_id")
+    msgs = publish_bytes(ev, F.encode("props", "UTF-8"), message_id=F.lpad(eid.cast("string"), 12, "0"),
+                         publish_time=F.col("ts").cast("timestamp"), ordering_key=F.col("event_type"))
+    sizes = batches.batch_sizes(batches.with_batches(msgs, BATCH_LIMITS))
+    return sizes.select("ordering_key", "batch", "messages", "bytes", to_naive(F.col("first_time")).alias("first_time"),
+                        to_naive(F.col("last_time")).alias("last_time"))
+
+
 def _parsed_ok():
     return envelope.parsed_object()
 
@@ -196,52 +212,47 @@ def nested_lookup(spark, sf):
 # ---------------------------------------------------------------- SQL corpus
 
 
-def _outcome_view(spark, sf):
-    """Landed + rejected rows in one table; processing_timestamp only when landed."""
-    o = derived.outcomes(spark, sf)
-    return o.select(
-        "message_id", "event_id", "timestamp",
-        F.when(F.col("reject_reason").isNull(), F.col("processing_timestamp")).alias("processing_timestamp"),
-        F.col("attributes")["batch_id"].alias("batch_id"),
-        "publish_time", "reject_reason",
-    )
-
-
 _COUNTS_SQL = """
-SELECT count(*) AS sent, count(processing_timestamp) AS processed
+SELECT count(*) AS sent, count_if(processed) AS processed
 FROM {t}
 WHERE timestamp BETWEEN CAST(:start_time AS TIMESTAMP) AND CAST(:end_time AS TIMESTAMP)
+  AND date BETWEEN CAST(CAST(:start_time AS TIMESTAMP) AS DATE) AND CAST(CAST(:end_time AS TIMESTAMP) AS DATE)
+  AND batch_id = :batch_id
 """
 
 
 @register
 def message_counts(spark, sf):
-    """Q5: sent vs processed in a time range, named parameters, one pass."""
-    return spark.sql(_COUNTS_SQL, args={"start_time": WINDOW_START, "end_time": WINDOW_END},
-                     t=_outcome_view(spark, sf))
+    """Q5: sent vs processed in a time range: two sums of the stored minute counts and the two edge minutes."""
+    return store.count_between(spark, derived.store(spark, sf), WINDOW_START, WINDOW_END)
 
 
 @register
 def message_counts_batch(spark, sf):
-    """Q5 with the optional batch conjunct."""
-    return spark.sql(_COUNTS_SQL + " AND batch_id = :batch_id",
-                     args={"start_time": WINDOW_START, "end_time": WINDOW_END, "batch_id": BATCH_ID},
-                     t=_outcome_view(spark, sf))
+    """Q5 with the optional batch conjunct, named parameters, over the stored moments of the dates in range."""
+    return spark.sql(_COUNTS_SQL, args={"start_time": WINDOW_START, "end_time": WINDOW_END, "batch_id": BATCH_ID},
+                     t=store.read(spark, derived.store(spark, sf), store.MOMENTS))
+
+
+@register
+def message_counts_landed(spark, sf):
+    """Q5 over the one landed table: rows in range, and those of them with a processing timestamp."""
+    return rn.message_counts(store.read(spark, derived.store(spark, sf), store.ROWS), WINDOW_START, WINDOW_END)
 
 
 @register
 def recent_count(spark, sf):
-    """Q1: rows in the last minute before a fixed 'now' (lower bound only)."""
-    return spark.sql(
-        "SELECT count(*) AS n FROM {t} WHERE timestamp >= CAST(:now AS TIMESTAMP) - INTERVAL 1 MINUTE",
-        args={"now": NOW}, t=derived.landed(spark, sf))
+    """Q1: rows in the last minute before a fixed 'now' (lower bound only), from the stored counts."""
+    since = F.lit(NOW).cast("timestamp") - F.expr("INTERVAL 1 MINUTE")
+    counted = store.count_between(spark, derived.store(spark, sf), since)
+    return counted.select(F.col("processed").alias("n"))
 
 
 @register
 def point_lookup(spark, sf):
-    """Q2: select by event_id."""
-    ld = derived.landed(spark, sf)
-    return ld.where(F.col("event_id") == LOOKUP_ID).select(
+    """Q2: select by event_id from the sorted store."""
+    ld = store.lookup(spark, derived.store(spark, sf), LOOKUP_ID)
+    return ld.select(
         "event_id", to_naive(F.col("timestamp")).alias("timestamp"),
         to_naive(F.col("processing_timestamp")).alias("processing_timestamp"),
         F.col("metadata.source").alias("source"), F.col("metadata.version").alias("version"),
@@ -250,17 +261,17 @@ def point_lookup(spark, sf):
 
 @register
 def prefix_count(spark, sf):
-    """Q3: LIKE prefix and last minute."""
+    """Q3: LIKE prefix and last minute, over the sorted store (the pattern is a pushed prefix filter)."""
     return spark.sql(
         "SELECT count(*) AS n FROM {t} WHERE event_id LIKE :prefix "
         "AND timestamp >= CAST(:now AS TIMESTAMP) - INTERVAL 1 MINUTE",
-        args={"now": NOW, "prefix": PREFIX}, t=derived.landed(spark, sf))
+        args={"now": NOW, "prefix": PREFIX}, t=store.read(spark, derived.store(spark, sf), store.ROWS))
 
 
 @register
 def sample_rows(spark, sf):
     """Q4: LIMIT 10 (ordered by event_id so the rows are reproducible)."""
-    ld = derived.landed(spark, sf)
+    ld = store.read(spark, derived.store(spark, sf), store.ROWS)
     return ld.orderBy("event_id").limit(10).select(
         "event_id", to_naive(F.col("timestamp")).alias("timestamp"))
 

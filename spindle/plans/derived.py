@@ -11,10 +11,13 @@ Everything scales with ``events``; nothing is sampled.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spindle.operators import envelope
+from spindle.sources import store as store_io
 from spindle.sources.files import read_parquet
 from spindle.sources.publish import publish_bytes
 from spindle.session import configure, materialize
@@ -133,6 +136,24 @@ def outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return envelope.outcomes(messages(spark, sf_dir))
 
 
+_STORES: dict[tuple, str] = {}
+
+
+def store(spark: SparkSession, sf_dir: str) -> str:
+    """Path of the store of landed rows and counts, written by the first query of a session that asks for it."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _STORES:
+        path = store_io.at_path(spark, uuid.uuid4().hex)
+        out = materialize(envelope.sink_columns(outcomes(spark, sf_dir)))
+        store_io.write_rows(envelope.landed(out), path)
+        store_io.write_counts(out.select(
+            "event_id", "timestamp",
+            F.when(F.col("reject_reason").isNull(), F.col("processing_timestamp")).alias("processing_timestamp"),
+            F.col("attributes")["batch_id"].alias("batch_id")), path)
+        _STORES[key] = path
+    return _STORES[key]
+
+
 def landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return envelope.landed(outcomes(spark, sf_dir))
 

@@ -54,6 +54,24 @@ ORACLE["publish_envelope"] = w("""
 SELECT message_id, eid AS event_id, user_id, event_type, value, props_k,
        'user-' || CAST(user_id AS VARCHAR) AS ordering_key, batch_id FROM ev""")
 
+# The next batch begins at the least of three places; from there on the pointers are followed.
+ORACLE["publish_batches"] = """
+WITH RECURSIVE m AS (SELECT event_type AS key, ts, octet_length(encode(props))::BIGINT AS size, event_id,
+    row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS rn FROM events),
+p AS (SELECT *, (sum(size) OVER (PARTITION BY key ORDER BY rn))::BIGINT - size AS s, epoch_us(ts) AS us FROM m),
+r AS (SELECT *, max(rn) OVER (PARTITION BY key ORDER BY s RANGE BETWEEN CURRENT ROW AND 240 FOLLOWING) AS last_fit,
+             1 + max(rn) OVER (PARTITION BY key ORDER BY us RANGE BETWEEN CURRENT ROW AND 14400000000 FOLLOWING) AS by_time FROM p),
+n AS (SELECT r.key, r.rn, greatest(r.rn + 1, least(r.rn + 25, r.by_time,
+             CASE WHEN e.s + e.size - r.s > 240 THEN e.rn ELSE e.rn + 1 END)) AS following
+      FROM r JOIN r e ON r.key IS NOT DISTINCT FROM e.key AND e.rn = r.last_fit),
+starts AS (SELECT key, 1::BIGINT AS rn, 0::BIGINT AS batch FROM m WHERE rn = 1
+           UNION ALL SELECT n.key, n.following, batch + 1 FROM starts JOIN n ON starts.key IS NOT DISTINCT FROM n.key AND starts.rn = n.rn
+           WHERE EXISTS (SELECT 1 FROM m WHERE m.key IS NOT DISTINCT FROM n.key AND m.rn = n.following)),
+spans AS (SELECT *, lead(rn) OVER (PARTITION BY key ORDER BY batch) AS next_rn FROM starts)
+SELECT spans.key AS ordering_key, batch, count(*) AS messages, sum(size)::BIGINT AS bytes, min(ts) AS first_time, max(ts) AS last_time
+FROM spans JOIN m ON spans.key IS NOT DISTINCT FROM m.key AND m.rn >= spans.rn AND (next_rn IS NULL OR m.rn < next_rn)
+GROUP BY 1, 2"""
+
 ORACLE["parse_json"] = w("SELECT message_id, parsed_ok FROM cls")
 
 ORACLE["enrich_processing_ts"] = w(
@@ -96,6 +114,10 @@ ORACLE["message_counts"] = w("""
 SELECT count(*) AS sent, count(processing_timestamp) AS processed FROM outc
 WHERE timestamp BETWEEN TIMESTAMP '2024-01-10 00:00:00' AND TIMESTAMP '2024-01-20 00:00:00'""")
 
+ORACLE["message_counts_landed"] = w("""
+SELECT count(*) AS sent, count(publish_time) AS processed FROM landed
+WHERE ts BETWEEN TIMESTAMP '2024-01-10 00:00:00' AND TIMESTAMP '2024-01-20 00:00:00'""")
+
 ORACLE["message_counts_batch"] = w("""
 SELECT count(*) AS sent, count(processing_timestamp) AS processed FROM outc
 WHERE timestamp BETWEEN TIMESTAMP '2024-01-10 00:00:00' AND TIMESTAMP '2024-01-20 00:00:00'

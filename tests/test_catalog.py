@@ -103,7 +103,7 @@ def test_column_pruning_reaches_the_scan(spark):
     """Only the columns a query uses are read, also after the small-input spread."""
     df = queries()["metric_percentiles"](spark, SF_SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "ReadSchema: struct<event_type:string,value:double>" in plan
+    assert "ReadSchema: struct<event_id:bigint,event_type:string,value:double>" in plan
     df = queries()["metric_scan"](spark, SF_SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(ts," in plan
