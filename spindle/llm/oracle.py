@@ -123,9 +123,9 @@ QUALIFY row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) <= 10"""
 NEGATIVES = """
 WITH whole AS (SELECT row_number() OVER () AS r, vec_id, label::BIGINT AS label, embedding FROM embeddings
   WHERE label IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x))) = len(embedding)),
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
 q AS (SELECT r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-             list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS v FROM whole),
+             list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM whole),
 pairs AS (SELECT a.r AS ar, a.vec_id AS anchor_id, b.r, b.vec_id, a.label = b.label AS same,
                  list_inner_product(a.v, b.v)::BIGINT AS score
           FROM q a, q b WHERE a.vec_id % 100 = 0 AND a.r <> b.r),
