@@ -31,9 +31,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from spindle.llm.common import arrow_rows, filled
+from spindle.llm.common import arrow_rows, filled, scratch_table
 
 SAMPLES = 64
+KEPT_TERMS = 1 << 14  # 256 bytes each at 64 samples
 SEED = 20_240_601
 
 
@@ -74,30 +75,83 @@ def weights(text: str) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, words), dtype=np.uint64), return_counts=True)
 
 
-def fingerprint(text: str, samples: int = SAMPLES, chunk: int = 512) -> np.ndarray:
-    """``samples`` values of 32 bits; zeros if the text has no term."""
-    term, weight = weights(text)
-    out = np.zeros(samples, np.uint32)
-    if not len(term):
-        return out
-    log_w = np.log(weight).astype(np.float32)
+class Drawn:
+    """The draws of a text's terms, made once: ``one`` holds ln a of every (sample, term) at weight 1. Texts of more than
+    ``KEPT_TERMS`` terms keep none."""
+
+    def __init__(self, text: str, samples: int = SAMPLES) -> None:
+        self.term, self.weight = weights(text)
+        keep = len(self.term) <= KEPT_TERMS
+        self.one = np.empty((samples, len(self.term) if keep else 0), np.float32)
+        self.print = _least([(self.term, self.weight, None, self.one if keep else None)], samples)
+
+
+def _least(groups: list[tuple], samples: int, chunk: int = 512) -> np.ndarray:
+    """The signature of terms in groups (terms ascending, weights, ln a at weight 1 where known, where to put
+    it); equal values of a go to the smaller term, so the grouping does not show."""
     best, best_term, best_t = np.full(samples, np.inf, np.float32), np.zeros(samples, np.uint64), np.zeros(samples, np.uint64)
     every = np.arange(samples)
-    for lo in range(0, len(term), chunk):
-        own, lw = term[lo:lo + chunk], log_w[lo:lo + chunk]
-        r, ln_a, b = _draws(own, samples)
-        t = np.floor(lw / r + b) if lw.any() else np.zeros_like(r)  # a single occurrence has t = 0, as b < 1
-        ln_a -= r * (t - b)
+
+    def meet(own: np.ndarray, ln_a: np.ndarray, t: np.ndarray | None) -> None:
         at = ln_a.argmin(axis=1)
-        low = ln_a[every, at]
-        new = low < best
-        best[new], best_term[new], best_t[new] = low[new], own[at][new], t[every, at][new].astype(np.uint64)
+        low, term = ln_a[every, at], own[at]
+        new = (low < best) | (low == best) & (term < best_term)
+        best[new], best_term[new] = low[new], term[new]
+        best_t[new] = 0 if t is None else t[every, at][new].astype(np.uint64)
+
+    some = False
+    for term, weight, known, put in groups:
+        some = some or len(term) > 0
+        if known is not None:
+            if len(term):
+                meet(term, known, None)
+            continue
+        log_w = np.log(weight).astype(np.float32)
+        for lo in range(0, len(term), chunk):
+            own, lw = term[lo:lo + chunk], log_w[lo:lo + chunk]
+            r, c, b = _draws(own, samples)
+            more, t = np.flatnonzero(lw), None
+            if len(more):
+                r2, b2 = r[:, more], b[:, more]
+                t2 = np.floor(lw[more] / r2 + b2)
+                own2 = c[:, more] - r2 * (t2 - b2)
+            r *= b  # a single occurrence has t = 0, as b < 1
+            c += r
+            if put is not None:
+                put[:, lo:lo + chunk] = c
+            if len(more):
+                t = np.zeros(c.shape, np.float32)
+                t[:, more], c[:, more] = t2, own2
+            meet(own, c, t)
+    if not some:
+        return np.zeros(samples, np.uint32)
     mixed = best_term * np.uint64(0x9E3779B97F4A7C15) ^ (best_t + np.uint64(1)) * np.uint64(0xC2B2AE3D27D4EB4F)
     mixed ^= mixed >> np.uint64(29)
     mixed *= np.uint64(0xBF58476D1CE4E5B9)
     return np.maximum((mixed >> np.uint64(32)).astype(np.uint32), 1)
 
 
+def fingerprint(text: str, samples: int = SAMPLES) -> np.ndarray:
+    """``samples`` values of 32 bits; zeros if the text has no term."""
+    term, weight = weights(text)
+    return _least([(term, weight, None, None)], samples)
+
+
+def fingerprint_from(text: str, sources: list[Drawn], samples: int = SAMPLES) -> np.ndarray:
+    """The same, taking draws of terms that occur once from texts that share them."""
+    term, weight = weights(text)
+    left, groups = np.ones(len(term), bool), []
+    once = weight == 1
+    for source in sources:
+        if source.one.shape[1] and len(term):
+            at = np.minimum(np.searchsorted(source.term, term), len(source.term) - 1)
+            has = left & once & (source.term[at] == term)
+            groups.append((term[has], weight[has], source.one[:, at[has]], None))
+            left &= ~has
+    groups.append((term[left], weight[left], None, None))
+    return _least(groups, samples)
+
+
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
     """Estimated generalised Jaccard similarity."""
     return float((a == b).mean())
@@ -129,13 +183,13 @@ RESULT = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string,
 
 
 def _result(rows: list[tuple], samples: int) -> pd.DataFrame:
-    """Rows (doc_id, text, its fingerprint or None, next text, its fingerprint)."""
+    """Rows (doc_id, text, its draws, next text, its draws)."""
     out = []
     for doc_id, text, own, following, next_own in rows:
         changed = edited(text, following)
-        f = fingerprint(changed, samples)
-        out.append((doc_id, len(text), hashlib.sha256(changed.encode("utf-8", "replace")).hexdigest(), text_of(own),
-                    text_of(f), likeness(own, f), likeness(own, next_own)))
+        f = fingerprint_from(changed, [own, next_own], samples)
+        out.append((doc_id, len(text), hashlib.sha256(changed.encode("utf-8", "replace")).hexdigest(), text_of(own.print),
+                    text_of(f), likeness(own.print, f), likeness(own.print, next_own.print)))
     return pd.DataFrame(out, columns=[c.split()[0] for c in RESULT.split(", ")], dtype=object)
 
 
@@ -143,57 +197,55 @@ def next_likeness(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     """Fingerprints of each text and its edited text, compared with each other and with the
     next document's in descending doc_id (null ids last, ties by text hash, then text).
 
-    Texts are dealt once, by range of that order; each task walks its range. The
-    first and last texts of the ranges (one pair per partition) meet in a second,
-    small exchange, where the last row of a range finds its follower.
+    Texts are dealt once, by range of that order; each task walks its range and sends, beside its results, the first
+    and the last text of the range. Both are stored together, so the ranges are read once. The
+    ends then meet in a join by the number of the range that follows.
     """
     spark = docs.sparkSession
     arrow_rows(spark)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                       F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    order = [F.col("doc_id").desc_nulls_last(), F.xxhash64("text"), F.col("text")]
-    ranges = rows.repartitionByRange(n, *order[:2]).sortWithinPartitions(*order)
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("doc_id"),
+                       F.col("doc_id").isNull().alias("absent"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    order = [F.col("absent"), F.col("doc_id").desc(), F.xxhash64("text"), F.col("text")]
+    ranges = rows.repartitionByRange(n, *order[:3]).sortWithinPartitions(*order)
+    ends = ["part", "head", "tail"]
 
-    def pairs(frames: Iterator[pd.DataFrame]) -> Iterator[tuple]:
-        last = None
-        for pdf in frames:
-            for doc_id, text in zip(pdf["doc_id"].astype("Int64"), pdf["text"]):
-                now = (None if doc_id is pd.NA else int(doc_id), text, fingerprint(text, samples))
-                if last:
-                    yield *last, *now[1:]
-                last = now
+    def no_ends(rows: int) -> dict[str, np.ndarray]:
+        return {c: np.full(rows, None, object) for c in ends}
 
-    def inner(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        batch = []
-        for pair in pairs(frames):
-            batch.append(pair)
-            if len(batch) == 500:
-                yield _result(batch, samples)
-                batch = []
-        yield _result(batch, samples)
-
-    def ends(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        head = tail = None
+    def walk(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        batch, last, head = [], None, None
         for pdf in frames:
-            if len(pdf):
-                ids = pdf["doc_id"].astype("Int64")
-                head = pdf["text"].iloc[0] if head is None else head
-                tail = (ids.iloc[-1], pdf["text"].iloc[-1])
-        if tail:
-            yield pd.DataFrame({"part": [TaskContext.get().partitionId()], "head": [head],
-                                "doc_id": pd.array([tail[0]], "Int64"), "tail": [tail[1]]})
+            for doc_id, absent, text in zip(pdf["doc_id"], pdf["absent"], pdf["text"]):
+                now = (None if absent else int(doc_id), text, Drawn(text, samples))
+                if last is None:
+                    head = text
+                else:
+                    batch.append((*last, *now[1:]))
+                last = now
+                if len(batch) == 200:
+                    yield _result(batch, samples).assign(**no_ends(len(batch)))
+                    batch = []
+        if batch:
+            yield _result(batch, samples).assign(**no_ends(len(batch)))
+        if last is not None:
+            row = {"doc_id": last[0], "part": TaskContext.get().partitionId(), "head": head, "tail": last[1]}
+            yield pd.DataFrame([[row.get(c) for c in [*columns, *ends]]], columns=[*columns, *ends], dtype=object)
 
     def outer(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
-            yield _result([(None if i is pd.NA else int(i), a, fingerprint(a, samples), b, fingerprint(b, samples))
-                           for i, a, b in zip(pdf["doc_id"].astype("Int64"), pdf["tail"], pdf["next"])], samples)
-
-    edge = ranges.mapInPandas(ends, "part int, head string, doc_id long, tail string")
-    # One row per range, so the window is as small as the number of partitions.
-    by_part = W.orderBy("part")
-    edge = edge.select("doc_id", "tail", F.coalesce(
-        F.lead("head").over(by_part),
-        F.first("head").over(by_part.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))).alias("next"))
-    return ranges.mapInPandas(filled(inner), RESULT).unionByName(
-        edge.repartition(min(n, 8)).mapInPandas(filled(outer), RESULT))
+            yield _result([(None if absent else int(i), a, Drawn(a, samples), b, Drawn(b, samples))
+                           for i, absent, a, b in zip(pdf["doc_id"], pdf["absent"], pdf["tail"], pdf["next"])], samples)
+
+    columns = [c.split()[0] for c in RESULT.split(", ")]
+    made = scratch_table(ranges.mapInPandas(filled(walk), f"{RESULT}, part int, head string, tail string"), "walked")
+    # One short row per range goes through the window; the texts are joined to it.
+    order_of = W.orderBy("part")
+    parts = made.where("part IS NOT NULL").select("part").withColumn("follows", F.coalesce(
+        F.lead("part").over(order_of), F.first("part").over(order_of.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))))
+    edge = made.where("part IS NOT NULL")
+    pairs = (edge.join(parts, "part").select(F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.col("doc_id").isNull().alias("absent"),
+                                             "tail", F.col("follows").alias("part"))
+             .join(edge.select("part", F.col("head").alias("next")), "part"))
+    return made.where("part IS NULL").select(*columns).unionByName(
+        pairs.repartition(min(n, 8)).mapInPandas(filled(outer), RESULT))

@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import xxhash
 
 from spindle.llm import bpe, cws, katz, langid, licenses, mixing, pii, quality, sharding, simhash
 from spindle.llm.common import components, fold_of
@@ -292,6 +293,34 @@ def test_fingerprints_estimate_generalised_jaccard(spark, odd, small):
     assert abs(np.mean(off)) < 0.02 and np.std(off) < 0.1
 
 
+def _sampled_by_hand(text, samples):
+    """Consistent weighted sampling term by term, from the same draws."""
+    words = text.encode().lower().split()
+    words = [b" ".join(p) for p in zip(words, words[1:])] if len(words) > 1 else words
+    counts = Counter(xxhash.xxh64_intdigest(w) for w in words)
+    best = [(np.inf, 0, 0)] * samples
+    for term, weight in counts.items():
+        r, c, b = cws._draws(np.array([term], np.uint64), samples)  # c: ln c - r
+        t = np.floor(np.float32(np.log(weight)) / r + b) if weight > 1 else np.zeros_like(r)
+        a = c - r * (t - b) if weight > 1 else c + r * b
+        best = [min(x, (float(a[i, 0]), term, int(t[i, 0]))) for i, x in enumerate(best)]
+    mask, out = (1 << 64) - 1, []
+    for _, term, t in best:
+        x = (term * 0x9E3779B97F4A7C15 ^ (t + 1) * 0xC2B2AE3D27D4EB4F & mask) & mask
+        x ^= x >> 29
+        out.append(max(1, (x * 0xBF58476D1CE4E5B9 & mask) >> 32))
+    return np.array(out if counts else [0] * samples, np.uint32)
+
+
+def test_fingerprints_equal_sampling_by_hand(small):
+    texts = [r.text for r in small[1]][:50] + ["", "one", "a a a a a b b", "A a"]
+    for text, following in zip(texts, texts[1:] + texts[:1]):
+        own, other = cws.Drawn(text), cws.Drawn(following)
+        assert (own.print == _sampled_by_hand(text, cws.SAMPLES)).all()
+        changed = cws.edited(text, following)
+        assert (cws.fingerprint_from(changed, [own, other]) == _sampled_by_hand(changed, cws.SAMPLES)).all()
+
+
 def test_fingerprints_of_long_unrelated_texts_differ():
     long = [" ".join(f"{side}{i}" for i in range(200_001)) for side in "ab"]
     a, b = map(cws.fingerprint, long)
