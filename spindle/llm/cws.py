@@ -157,8 +157,12 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     return float((a == b).mean())
 
 
+def bytes_of(a: np.ndarray) -> bytes:
+    return a.astype(">u4").tobytes()
+
+
 def text_of(a: np.ndarray) -> str:
-    return a.astype(">u4").tobytes().hex()
+    return bytes_of(a).hex()
 
 
 def edited(text: str, following: str) -> str:
@@ -178,7 +182,8 @@ def with_fingerprint(df: DataFrame, out: str = "fingerprint", text: str = "text"
     return df.withColumn(out, cws(F.col(text).cast("string")))
 
 
-RESULT = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+# Hashes and signatures stay bytes until the last step, which writes them as hex digits.
+RESULT = ("doc_id long, n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, "
           "near_edited double, near_next double")
 
 
@@ -188,8 +193,8 @@ def _result(rows: list[tuple], samples: int) -> pd.DataFrame:
     for doc_id, text, own, following, next_own in rows:
         changed = edited(text, following)
         f = fingerprint_from(changed, [own, next_own], samples)
-        out.append((doc_id, len(text), hashlib.sha256(changed.encode("utf-8", "replace")).hexdigest(), text_of(own.print),
-                    text_of(f), likeness(own.print, f), likeness(own.print, next_own.print)))
+        out.append((doc_id, len(text), hashlib.sha256(changed.encode("utf-8", "replace")).digest(), bytes_of(own.print),
+                    bytes_of(f), likeness(own.print, f), likeness(own.print, next_own.print)))
     return pd.DataFrame(out, columns=[c.split()[0] for c in RESULT.split(", ")], dtype=object)
 
 
@@ -247,5 +252,6 @@ def next_likeness(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     pairs = (edge.join(parts, "part").select(F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.col("doc_id").isNull().alias("absent"),
                                              "tail", F.col("follows").alias("part"))
              .join(edge.select("part", F.col("head").alias("next")), "part"))
-    return made.where("part IS NULL").select(*columns).unionByName(
+    every = made.where("part IS NULL").select(*columns).unionByName(
         pairs.repartition(min(n, 8)).mapInPandas(filled(outer), RESULT))
+    return every.select(*[F.lower(F.hex(c)).alias(c) if kind == "binary" else F.col(c) for c, kind in every.dtypes])
