@@ -21,12 +21,14 @@ import hashlib
 import json
 import mmap
 import os
+import re
 import uuid
 from array import array
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 from itertools import chain
 
+import numpy as np
 import pandas as pd
 import regex
 from pyspark import SparkFiles
@@ -37,11 +39,15 @@ from spindle.llm.common import arrow_rows, filled, scratch_path, scratch_table
 
 # Fixed value: the published pre-tokenizer pattern of byte-level BPE.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# A space between two other characters that are no white space begins a match, whatever stands around, so the
+# pattern may be applied to what lies between such places. This finds spaces that are not of that kind.
+ODD_SPACE, CUT = re.compile(r" \s|\s |\A | \Z"), re.compile(r"(?<=\S)(?= \S)")
 NO_RANK, ID = 1 << 62, (1 << 32) - 1
 LEXICON_WORDS = 1 << 18  # bound of the lexicon, so of the compiled file
 LEXICON_WORD_BYTES = 64  # longer words are merged each time
-MEMO_WORDS = 800_000  # bound of a worker's memo (some 300 bytes each); it is emptied when full
-COUNT_WORDS = 600_000  # bound of a task's counts, sent on when full
+MEMO_WORDS = 200_000  # bound of a worker's memo (some 300 bytes each), beyond one group of texts; then it is emptied
+GROUP_CHARS = 1 << 20
+COUNT_PIECES = 150_000  # bound of a task's counts, sent on when full
 
 
 def _byte_letters() -> dict[int, str]:
@@ -180,6 +186,9 @@ class Transducer:
             setattr(self, name, view[pos:pos + 4 * n].cast("i"))
             pos += 4 * n
         self.data, self.labels, self.final = data, pos, view[pos + arcs:pos + arcs + states]
+        # state and label of every arc, ascending: made once per worker
+        self.keys = (np.repeat(np.arange(states), np.diff(np.asarray(self.first))) << 8
+                     | np.frombuffer(view[pos:pos + arcs], np.uint8))
         self.words = words
 
     @classmethod
@@ -198,24 +207,50 @@ class Transducer:
             state = target[arc]
         return self.ids[self.at[number]:self.at[number + 1]].tolist() if self.final[state] else None
 
+    def find(self, words: list[bytes]) -> list[list[int] | None]:
+        """``get`` of many words, all walked a byte at a time together."""
+        out: list[list[int] | None] = [None] * len(words)
+        short = [i for i, w in enumerate(words) if 0 < len(w) <= LEXICON_WORD_BYTES]
+        if not short or not len(self.keys):
+            return out
+        size = np.array([len(words[i]) for i in short])
+        order = np.argsort(-size, kind="stable")
+        size = size[order]
+        at = np.r_[0, np.cumsum(size)[:-1]]
+        flat = np.frombuffer(b"".join([words[short[i]] for i in order.tolist()]), np.uint8)
+        state, number = np.full(len(size), self.root, np.int64), np.zeros(len(size), np.int64)
+        target, skip, final = np.asarray(self.target), np.asarray(self.skip), np.asarray(self.final)
+        for depth in range(int(size[0])):
+            n = int(np.searchsorted(-size, -depth, side="left"))  # words longer than this lie first
+            live = np.flatnonzero(state[:n] >= 0)
+            key = state[live] << 8 | flat[at[live] + depth]
+            arc = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            there = self.keys[arc] == key
+            number[live] += np.where(there, skip[arc], 0)
+            state[live] = np.where(there, target[arc], -1)
+        good = np.flatnonzero((state >= 0) & (final[state] == 1))
+        ids, first = np.asarray(self.ids), np.asarray(self.at)
+        for i, lo, hi in zip(order[good].tolist(), first[number[good]].tolist(), first[number[good] + 1].tolist()):
+            out[short[i]] = ids[lo:hi].tolist()
+        return out
 
-class _Memo(dict):
-    """What is known of words, computed at first use; emptied when full, and long words are not kept."""
-
-    def __init__(self, of: Callable, most: int) -> None:
-        self.of, self.most = of, most
 
-    def __missing__(self, word: str):
-        value = self.of(word)
-        if len(self) >= self.most:
-            self.clear()
-        if len(word) <= LEXICON_WORD_BYTES:
-            self[word] = value
-        return value
+def _groups(texts: Iterable[str], chars: int = GROUP_CHARS) -> Iterator[list[str]]:
+    """Consecutive texts, ``chars`` characters or one text at a time."""
+    held, size = [], 0
+    for text in texts:
+        held.append(text)
+        size += len(text)
+        if size >= chars:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
 
 
 class Codec:
-    """Encoder and decoder of one Python worker."""
+    """Encoder and decoder of one Python worker. Texts are coded in groups: the words of a group that are
+    not known yet are looked up in the mapped lexicon together, and what it lacks is merged."""
 
     kept: dict[tuple, Codec] = {}
 
@@ -223,8 +258,8 @@ class Codec:
         self.merger = Merger(tokenizer)
         self.lexicon = Transducer.open(lexicon) if lexicon else None
         self.words = regex.compile(PATTERN).findall
-        self.memo = _Memo(self.word_ids, MEMO_WORDS // 4)
-        self.coded = _Memo(lambda word: self.told(self.word_ids(word)), MEMO_WORDS)
+        self.known: dict[str, array | tuple] = {}  # short words, MEMO_WORDS and one group's at most
+        self.form: Callable | None = None
 
     @classmethod
     def of(cls, tokenizer: str, lexicon: str | None) -> Codec:
@@ -234,12 +269,21 @@ class Codec:
             cls.kept[tokenizer, lexicon] = cls(tokenizer, lexicon)
         return cls.kept[tokenizer, lexicon]
 
-    def word_ids(self, word: str) -> list[int]:
-        data = word.encode()
-        found = self.lexicon.get(data) if self.lexicon and len(data) <= LEXICON_WORD_BYTES else None
-        return self.merger.merge(data) if found is None else found
+    def word_ids(self, words: list[str]) -> list[list[int]]:
+        """The ids of every word: from the lexicon, else merged."""
+        data = [word.encode() for word in words]
+        found = self.lexicon.find(data) if self.lexicon else [None] * len(data)
+        return [self.merger.merge(d) if ids is None else ids for d, ids in zip(data, found)]
 
-    def pieces(self, text: str) -> Iterator[tuple[str, int | None]]:
+    @staticmethod
+    def pieces(text: str) -> list[str]:
+        """The text cut at single spaces, which stay with what follows them: no word of the pattern goes over a cut."""
+        if ODD_SPACE.search(text):
+            return CUT.split(text)
+        first, *rest = text.split(" ")
+        return [first, *[" " + piece for piece in rest]]
+
+    def parts(self, text: str) -> Iterator[tuple[str, int | None]]:
         """The text cut at added tokens: (text, None), or (token, its id)."""
         if not self.merger.split or not any(t in text for t in self.merger.added):
             yield text, None
@@ -248,49 +292,84 @@ class Codec:
             if part:
                 yield part, self.merger.added[part] if i % 2 else None
 
+    def _learn(self, words: set[str], form: Callable) -> dict[str, array | tuple]:
+        """``form(ids)`` of all these words; short ones stay known."""
+        if form != self.form or len(self.known) > MEMO_WORDS:
+            self.known, self.form = {}, form
+        new = list(words.difference(self.known))
+        values = dict(zip(new, map(form, self.word_ids(new))))
+        if all(len(w) <= LEXICON_WORD_BYTES for w in new):
+            self.known.update(values)
+            return self.known
+        self.known.update((w, v) for w, v in values.items() if len(w) <= LEXICON_WORD_BYTES)
+        return {**values, **{w: self.known[w] for w in words.difference(values)}}
+
+    def code(self, texts: Iterable[str], form: Callable) -> Iterator[list]:
+        """For every text the ``form(ids)`` of its words, in order."""
+        for group in _groups(texts):
+            cut = [[(self.words(part), None) if special is None else ((), special) for part, special in self.parts(text)]
+                   for text in group]
+            values = self._learn({w for own in cut for words, _ in own for w in words}, form)
+            for own in cut:
+                out = []
+                for words, special in own:
+                    out += map(values.__getitem__, words) if special is None else [form([special])]
+                yield out
+
+    def encode_all(self, texts: Iterable[str]) -> Iterator[list[int]]:
+        for values in self.code(texts, _as_array):
+            yield list(chain.from_iterable(values))
+
     def encode(self, text: str) -> list[int]:
-        memo, out = self.memo, []
-        for part, special in self.pieces(text):
-            if special is not None:
-                out.append(special)
-                continue
-            out.extend(chain.from_iterable(map(memo.__getitem__, self.words(part))))
-        return out
+        return next(self.encode_all([text]))
 
     def told(self, ids: list[int]) -> tuple[str, bytes]:
         """Ids as decimals joined by commas, and the bytes they stand for."""
         return ",".join(map(str, ids)), b"".join([self.merger.token[i] for i in ids])
 
-    def digest(self, text: str) -> tuple[int, str, str]:
+    def digests(self, texts: Iterable[str]) -> Iterator[tuple[int, str, str]]:
         """Number of ids, SHA-256 of the ids, SHA-256 of the text they decode to; built by words."""
-        parts = []
-        for part, special in self.pieces(text):
-            parts += map(self.coded.__getitem__, self.words(part)) if special is None else [self.told([special])]
-        ids = ",".join([p[0] for p in parts])
-        decoded = b"".join([p[1] for p in parts]).decode("utf-8", "replace")
-        return (ids.count(",") + 1 if ids else 0, hashlib.sha256(ids.encode()).hexdigest(),
-                hashlib.sha256(decoded.encode()).hexdigest())
+        for values in self.code(texts, self.told):
+            ids = ",".join([v[0] for v in values if v[0]])
+            decoded = b"".join([v[1] for v in values]).decode("utf-8", "replace")
+            yield (ids.count(",") + 1 if ids else 0, hashlib.sha256(ids.encode()).hexdigest(),
+                   hashlib.sha256(decoded.encode()).hexdigest())
+
+    def digest(self, text: str) -> tuple[int, str, str]:
+        return next(self.digests([text]))
 
     def decode(self, ids: list[int]) -> str:
         token = self.merger.token
         return b"".join([token[i] for i in ids]).decode("utf-8", "replace")
 
 
+def _as_array(ids: list[int]) -> array:
+    return array("i", ids)
+
+
 def count_words(docs: DataFrame, tokenizer: str, text: str = "text") -> DataFrame:
     """(word, n) over all texts; each task sends a word once."""
     arrow_rows(docs.sparkSession)
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         codec, seen = Codec.of(tokenizer, None), Counter()
+
+        def words() -> pd.DataFrame:
+            out: dict[str, int] = {}
+            for piece, n in seen.items():
+                for word in codec.words(piece):
+                    out[word] = out.get(word, 0) + n
+            seen.clear()
+            return pd.DataFrame({"word": list(out), "n": list(out.values())})
+
         for pdf in frames:
             for t in pdf["t"]:
-                for part, special in codec.pieces(t):
+                for part, special in codec.parts(t):
                     if special is None:
-                        seen.update(codec.words(part))
-            if len(seen) > COUNT_WORDS:
-                yield pd.DataFrame({"word": list(seen), "n": list(seen.values())})
-                seen.clear()
-        yield pd.DataFrame({"word": list(seen), "n": list(seen.values())})
+                        seen.update(codec.pieces(part))
+                if len(seen) > COUNT_PIECES:
+                    yield words()
+        yield words()
 
     return (docs.select(F.coalesce(F.col(text).cast("string"), F.lit("")).alias("t"))
             .mapInPandas(filled(count), "word string, n long")
@@ -351,8 +430,8 @@ def encode_texts(docs: DataFrame, tokenizer: str, lexicon: str, text: str = "tex
     def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         codec = Codec.of(tokenizer, SparkFiles.get(lexicon))
         for texts in batches:
-            yield pd.Series([codec.encode(t or "") for t in texts])
-        codec.memo.clear()  # an idle worker keeps no memory from the stages that follow
+            yield pd.Series(list(codec.encode_all(t or "" for t in texts)))
+        codec.known.clear()  # an idle worker keeps no memory from the stages that follow
 
     return docs.withColumn("ids", ids(F.col(text).cast("string")))
 
@@ -366,7 +445,7 @@ def digests(docs: DataFrame, tokenizer: str, words: int = LEXICON_WORDS) -> Data
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         codec = Codec.of(tokenizer, SparkFiles.get(lexicon))
         for pdf in frames:
-            made = pd.DataFrame([codec.digest(t) for t in pdf["t"]], columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+            made = pd.DataFrame(list(codec.digests(pdf["t"])), columns=["n_tokens", "ids_sha256", "decoded_sha256"])
             made.insert(0, "doc_id", pdf["doc_id"].to_numpy())
             yield made
 
