@@ -45,6 +45,8 @@ REASON_STAGE = {
     "metadata_not_object": "validation",
     "metadata_missing_fields": "validation",
     "required_null": "storage",
+    "cast_failed": "storage",
+    "processing_error": "processing",
 }
 
 _TEXT, _UTF8, _OK, _DOC, _TS, _META = "_text", "_utf8_ok", "_parsed", "_doc", "_ts", "_meta"

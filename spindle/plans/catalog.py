@@ -7,16 +7,19 @@ rounded where a sum order could show) so they compare across engines.
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from spindle.functions.jsonfn import get
 from spindle.functions.labels import series_key
 from spindle.functions.timefmt import seconds_between, to_naive
 from spindle.operators import alerts as al
-from spindle.operators import audit, envelope
+from spindle.operators import audit, envelope, hooks
 from spindle.operators import metrics as mx
 from spindle.operators import runs as rn
 from spindle.plans import derived
@@ -209,6 +212,54 @@ def nested_lookup(spark, sf):
                      .alias("matches"))
 
 
+# ---------------------------------------------------------------- hook and storage
+
+
+def shares(event_type: str | None, user_id: int, value: float):
+    """An example hook: a value split into as many shares as the user's number says, none, one or three; one kind fails."""
+    if user_id % 4 == 3:
+        raise ValueError(f"no shares for user {user_id}")
+    n = (0, 1, 3)[user_id % 4]
+    for i in range(n):
+        yield i, round(value / n, 6), event_type
+
+
+SHARES = T.StructType([T.StructField("share", T.IntegerType()), T.StructField("amount", T.DoubleType()),
+                       T.StructField("kind", T.StringType())])
+
+
+def _expanded(spark, sf):
+    rows = derived.landed(spark, sf).select(
+        "event_id", get(F.col("data"), "event_type", "string").alias("event_type"), *_leaves())
+    return hooks.expand(rows, shares, ["event_type", "user_id", "value"], SHARES)
+
+
+@register
+def hook_rows(spark, sf):
+    """K: a user's generator between validation and the sink, 0, 1 or 3 rows for a message, or an error row."""
+    return _expanded(spark, sf).select("event_id", "share", _rd(F.col("amount")).alias("amount"), "kind", "hook_error")
+
+
+@register
+def errors_all_stages(spark, sf):
+    """Rejects of parsing and validation, of the sink's REQUIRED columns, of the hook, and rows that
+    the stored table's types do not take, by stage."""
+    out = derived.outcomes(spark, sf)
+    good, failed = hooks.split(_expanded(spark, sf))
+    # A table whose amounts have two digits before the point; one per session.
+    name = "shares_" + re.sub(r"\W", "_", spark.sparkContext.applicationId)
+    tables.create_table(spark, name, SHARES_TABLE, path=store.at_path(spark, f"{uuid.uuid4().hex}/{name}"))
+    _, dead = tables.fit_to_table(good.select("event_id", "share", "amount", "kind"), name)
+    rejects = (out.where("reject_reason IS NOT NULL").select("reject_reason")
+               .unionByName(failed.select("reject_reason"))
+               .unionByName(dead.select(F.col("error").alias("reject_reason"))))
+    return mx.errors_by_stage(rejects)
+
+
+SHARES_TABLE = T.StructType([T.StructField("event_id", T.StringType(), False), T.StructField("share", T.IntegerType()),
+                             T.StructField("amount", T.DecimalType(4, 2)), T.StructField("kind", T.StringType())])
+
+
 # ---------------------------------------------------------------- SQL corpus
 
 

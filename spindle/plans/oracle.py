@@ -110,6 +110,25 @@ SELECT ts AS timestamp, 'event_id' AS error_field, 'required_null' AS error FROM
 
 ORACLE["nested_lookup"] = w("SELECT eid AS event_id, event_type = 'purchase' AS matches FROM landed")
 
+SHARES = """
+shared AS (SELECT eid AS event_id, user_id, event_type, value, (user_id % 4) AS u,
+                  unnest(CASE user_id % 4 WHEN 1 THEN [0] WHEN 2 THEN [0, 1, 2] WHEN 3 THEN [NULL]::INTEGER[] ELSE []::INTEGER[] END) AS share
+           FROM landed)"""
+
+ORACLE["hook_rows"] = "WITH " + EV.strip() + "," + SHARES + """
+SELECT event_id, share, round(CASE u WHEN 1 THEN round(value, 6) WHEN 2 THEN round(value / 3, 6) END, 9) AS amount,
+       CASE WHEN u < 3 THEN event_type END AS kind,
+       CASE WHEN u = 3 THEN 'ValueError: no shares for user ' || CAST(user_id AS VARCHAR) END AS hook_error FROM shared"""
+
+ORACLE["errors_all_stages"] = "WITH " + EV.strip() + "," + SHARES + """
+SELECT stage, count(*) AS n FROM (
+  SELECT CASE WHEN reject_reason IN ('invalid_utf8', 'json_syntax', 'not_object') THEN 'parsing'
+              WHEN reject_reason = 'required_null' THEN 'storage' ELSE 'validation' END AS stage
+  FROM cls WHERE reject_reason IS NOT NULL
+  UNION ALL SELECT 'processing' FROM shared WHERE u = 3
+  UNION ALL SELECT 'storage' FROM shared WHERE u IN (1, 2) AND round(round(value / CASE u WHEN 1 THEN 1 ELSE 3 END, 6), 2) >= 100
+) GROUP BY 1"""
+
 ORACLE["message_counts"] = w("""
 SELECT count(*) AS sent, count(processing_timestamp) AS processed FROM outc
 WHERE timestamp BETWEEN TIMESTAMP '2024-01-10 00:00:00' AND TIMESTAMP '2024-01-20 00:00:00'""")

@@ -27,8 +27,8 @@ def table_exists(spark: SparkSession, name: str) -> bool:
 
 
 def create_table(spark: SparkSession, name: str, schema: T.StructType | None,
-                 partition_by: list[str] | None = None, fmt: str = "parquet") -> None:
-    """Create the table from an explicit schema if it does not exist (idempotent)."""
+                 partition_by: list[str] | None = None, fmt: str = "parquet", path: str | None = None) -> None:
+    """Create the table from an explicit schema if it does not exist (idempotent); with ``path`` its files lie there."""
     if schema is None:
         raise ValueError("schema is required to create a table")
     if table_exists(spark, name):
@@ -37,6 +37,8 @@ def create_table(spark: SparkSession, name: str, schema: T.StructType | None,
     writer = empty.write.format(fmt).mode("ignore")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if path:
+        writer = writer.option("path", path)
     writer.saveAsTable(name)
     require(spark, name, required_paths(schema))
 
@@ -161,6 +163,49 @@ def insert_rows(df: DataFrame, schema: T.StructType, name: str | None = None
     return good, bad
 
 
+def fit_to_table(df: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """Split rows by whether the *stored* table takes them: (rows cast to its columns, dead letters).
+
+    A row is a dead letter when a value has no representation in the column's type (``cast_failed``, the value would
+    become NULL), or leaves a REQUIRED field NULL (``required_null``); ``error_field`` is the first such column of
+    the table. Dead letters keep the row as it came, as JSON text in ``row``. Nothing is written.
+    """
+    spark = df.sparkSession
+    fields, required = spark.table(name).schema.fields, required_of(spark, name)
+    given = {c: F.col(f"`{c}`") for c in df.columns}
+    unknown = [c for c in df.columns if c not in {f.name for f in fields}]
+    if unknown:
+        raise ValueError(f"unknown fields for {name}: {unknown}")
+    cast, failed = [], []
+    for f in fields:
+        value = given.get(f.name, F.lit(None))
+        fitted = value if f.name in given and df.schema[f.name].dataType == f.dataType else value.try_cast(f.dataType)
+        cast.append(fitted.alias(f.name))
+        if f.name in given:
+            failed.append(F.when(value.isNotNull() & fitted.isNull(), F.lit(f.name)))
+    row = F.to_json(F.struct(*given.values()))
+    marked = df.select(F.struct(*cast).alias("fitted"), row.alias("row"), F.coalesce(*failed, F.lit(None).cast("string")).alias("cast_field"))
+    fitted = marked.select("fitted.*", "row", "cast_field")
+    gone = missing_required(T.StructType(fields), required)
+    checked_rows = (fitted.withColumn("error_field", F.coalesce("cast_field", gone))
+                    .withColumn("error", F.when(F.col("cast_field").isNotNull(), F.lit("cast_failed"))
+                                .when(F.col("error_field").isNotNull(), F.lit("required_null"))))
+    good = checked_rows.where("error IS NULL").select(*[F.col(f"`{f.name}`") for f in fields])
+    return good, checked_rows.where("error IS NOT NULL").select("row", "error", "error_field")
+
+
+def store_batch(batch: DataFrame, batch_id: int, name: str, path: str, dead_letters: str) -> None:
+    """The sink of a micro-batch (``foreachBatch``): rows that table ``name`` takes go to ``path``, the others to
+    ``dead_letters``, each to the folder of its batch, so that a retried batch rewrites what it wrote."""
+    kept = batch.persist()
+    try:
+        good, bad = fit_to_table(kept, name)
+        good.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        bad.write.mode("overwrite").parquet(f"{dead_letters}/batch_id={batch_id}")
+    finally:
+        kept.unpersist()
+
+
 def query(spark: SparkSession, sql: str, params: dict | None = None) -> DataFrame:
     """Run SQL with named, typed parameters (``:name`` markers)."""
     return spark.sql(sql, args=params or None)

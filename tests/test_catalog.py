@@ -54,11 +54,16 @@ PRE_AGGREGATED = {"reject_reasons", "tumbling_counts", "duplicate_ids", "batch_s
                   "metric_percentiles", "metric_catalog_usage", "run_summary"}
 
 
+# Queries that run a user's Python function, as an Arrow table function.
+USER_CODE = {"hook_rows", "errors_all_stages"}
+
+
 def _check_plan(name, df):
     plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert "CartesianProduct" not in plan, name
-    for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas"):
-        assert node not in plan, (name, node)
+    if name not in USER_CODE:
+        for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas"):
+            assert node not in plan, (name, node)
     if not name.startswith("alerts_"):
         assert "BroadcastNestedLoopJoin" not in plan, name
     if name in MAP_ONLY:
@@ -112,8 +117,10 @@ def test_column_pruning_reaches_the_scan(spark):
 def test_metric_stats_covers_every_event_type_of_the_data(spark, scratch):
     from spindle.plans import catalog
 
-    rows = [(1, "chat", 2.0, "2024-01-10 01:00:00"), (2, "chat", 4.0, "2024-01-11 01:00:00"),
-            (3, None, 5.0, "2024-01-10 02:00:00"), (4, "late", 6.0, "2024-02-01 00:00:00")]
+    # Ids of messages that are processed, and one that fails and so has no latency.
+    rows = [(28, "chat", 2.0, "2024-01-10 01:00:00"), (29, "chat", 4.0, "2024-01-11 01:00:00"),
+            (30, None, 5.0, "2024-01-10 02:00:00"), (31, "late", 6.0, "2024-02-01 00:00:00"),
+            (21, "chat", 9.0, "2024-01-10 01:00:00")]
     (spark.createDataFrame(rows, "event_id long, event_type string, value double, ts string")
      .selectExpr("event_id", "event_id as user_id", "event_type", "value", "cast(ts as timestamp_ntz) as ts", "'{}' as props")
      .write.parquet(f"{scratch}/events.parquet"))
