@@ -38,7 +38,7 @@ from pyspark.sql import Window as W
 from spindle.llm.common import arrow_rows, filled, scratch_table, text_bytes
 
 ROW_GAP = 6
-BLOCK_TERMS = 1 << 19  # bound of a block's terms with repeats, beyond its last document
+BLOCK_TERMS = 1 << 18  # bound of a block's terms with repeats, beyond its last document
 WIDTH = 64
 ITEM_BYTES = 8 << 20  # items that one search job takes at most: bytes of text, and number
 ITEMS = 4096
