@@ -3,16 +3,23 @@
 High-recall generators propose spans of four kinds, looser than the base
 patterns (national phone numbers, other separators, spelt-out addresses).
 Spans of the base patterns always stand. Every other candidate is scored by
-gradient-boosted trees over format and context features. Base spans are the positives and the
-candidates that overlap none of their kind the negatives; the base pattern's own marker (the plus
-sign of a phone number, the @ and dots of an address, which are read like spelt-out ones) is no
-feature, so that the trees can carry over. Candidates of equal
-texts count once. The trees learn from the texts with odd hashes, of which a threshold on a
+gradient-boosted trees over format and context features.
+
+What the trees learn from is certain on both sides; most candidates are neither and stay unlabelled, as a number without
+its plus may well be a phone number:
+
+* right: base spans with the mark that the base pattern needs taken away (the plus of a phone number, and in a second
+  reading its country code; the @ and dots of an address count like spelt-out ones);
+* wrong: candidates that cannot be personal data by a rule (``excluded``: a failed Luhn sum, an address part over 255, the
+  shape of a date, price or version, a span of another kind), and for every base span a
+  ``spoiled`` one in its place, whose digits or ending break such a rule.
+
+Candidates of equal texts count once. The trees learn from the texts with odd hashes, of which a threshold on a
 hash of the candidate leaves a bounded number per kind and side. The thresholds come from all texts with
 even hashes, which the trees never saw: Spark counts right and wrong ones per kind and
 score bin, and a kind takes the lowest bin at which the exact binomial
-lower bound of the precision reaches ``PRECISION``; a kind without enough
-examples of both sides in the whole table keeps its base spans only.
+lower bound of the precision reaches ``PRECISION``; a kind with too few base spans
+in the whole table keeps those only. The model also tells the share of the unseen masked base spans that its thresholds find (``recall``).
 
 Defined results: null and empty texts have no spans; repeated rows get equal
 spans; an empty table gives an empty result; ``redact`` leaves a null text
@@ -24,6 +31,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -109,17 +117,76 @@ def candidates(text: str) -> list[Span]:
     return sorted(found)
 
 
-FEATURES = 15
+FEATURES = 17
+
+_DATE = re.compile(r"(?:[12][0-9]{3}[ ./-]{1,2}[01]?[0-9][ ./-]{1,2}[0-3]?[0-9]|[0-3]?[0-9][ ./-]{1,2}[01]?[0-9][ ./-]{1,2}(?:[12][0-9])?[0-9]{2})\Z")
+_VERSION = re.compile(r"[0-9]+(?:\.[0-9]+){2,}\Z")
+_PRICE = re.compile(r"[0-9]{1,3}(?:[ .][0-9]{3})*[.,][0-9]{2}\Z")
+_NAMED = re.compile(r"(?:\bv|version|release|build|rev)\.? ?\Z", re.I)
+_CONTACT = re.compile(r"mail|contact|write|reach|addr", re.I)
+_COUNTRY = re.compile(r"\+[0-9]{1,3}[ .-]*(?=[(0-9])")
+_PLAIN_AT = re.compile(r" at ", re.I)
+
+
+def _ending(body: str) -> str:
+    return body.rpartition(".")[2]
+
+
+def excluded(text: str, span: Span, base: set[Span], speech: bool = True) -> bool:
+    """Whether a rule says that this candidate is no personal data of its kind. ``speech``: also an "at" without
+    brackets and without a word of contact before it, whose form says nothing."""
+    lo, hi, kind = span
+    body, before, after = text[lo:hi], text[max(0, lo - 24):lo], text[hi:hi + 4]
+    if any(b[2] != kind and lo < b[1] and b[0] < hi for b in base):
+        return True
+    digits = _NOT_DIGIT.sub("", body)
+    if kind == "card":
+        return not (13 <= len(digits) <= 19 and luhn(digits))
+    if kind == "ip":
+        return ("," in body or bool(_NAMED.search(before)) or not all(map(_small, filter(None, _NOT_DIGIT.split(body)))))
+    if kind == "phone":
+        return (not 7 <= len(digits) <= 15 or bool(_DATE.match(body) or _VERSION.match(body) or _PRICE.match(body))
+                or before.rstrip()[-1:] in ("$", "€", "£") or after.lstrip()[:1] in ("%", "€", "$"))
+    ending = _ending(_DOT.sub(".", body))
+    return (not ending.isalpha() or not 2 <= len(ending) <= 10
+            or speech and bool(_PLAIN_AT.search(body)) and not _CONTACT.search(before))
+
+
+def masked(body: str, kind: str) -> list[str]:
+    """A base span without the mark that made it one."""
+    if kind != "phone":
+        return [body]
+    national = _COUNTRY.sub("", body)
+    return [body.lstrip("+")] + ([national] if national != body and len(_NOT_DIGIT.sub("", national)) >= 7 else [])
+
+
+def spoiled(body: str, kind: str) -> str:
+    """A span like a base one that some rule excludes; the same for equal bodies."""
+    n = zlib.crc32(body.encode())
+    if kind == "card":
+        return body[:-1] + str((int(body[-1]) + 1 + n % 9) % 10)
+    if kind == "ip":
+        return f"{256 + n % 744}.{body.split('.', 1)[1]}"
+    if kind == "email":
+        return f"{body.rpartition('.')[0]}.{n % 1000}"
+    a, b, c = n % 28 + 1, n // 28 % 12 + 1, n // 336 % 900 + 100
+    return (f"{1900 + c % 130}-{b:02}-{a:02}", f"{a:02}/{b:02}/{1900 + c % 130}", f"{a} {c}.{b:02}", f"{a}.{10 + b}.{c}",
+            f"{a:02}.{b:02}.{1900 + c % 130}")[n // 302_400 % 5]
 
 
 def features(text: str, span: Span) -> list[float]:
     lo, hi, kind = span
-    body = text[lo:hi].lstrip("+")
+    return _features(kind, text[lo:hi], text[max(0, lo - 24):lo], text[hi:hi + 12])
+
+
+def _features(kind: str, body: str, before: str, after: str) -> list[float]:
+    body, before = body.lstrip("+"), before.rstrip("+")
+    ending = ""
     if kind == "email":
         body = _DOT.sub(".", _AT.sub("@", body))
+        ending = _ending(body)
     digits = _NOT_DIGIT.sub("", body)
     groups = [g for g in re.split(r"[^0-9]+", body) if g]
-    before, after = text[max(0, lo - 24):lo], text[hi:hi + 12]
     longest = max(map(len, groups), default=0)
     return [
         KINDS.index(kind), len(body), len(digits), len(groups), longest,
@@ -128,6 +195,7 @@ def features(text: str, span: Span) -> list[float]:
         body.count("(") + body.count(")"), body.count("-"), body.count("."), body.count(" "), body.count("@"),
         float(before[-1:].isalnum() or before[-1:] in ("#", "$", "=", "/")), float(after[:1].isalnum()),
         float(bool(re.search(r"(?i)mail|contact|phone|tel|call|fax|card|visa|pay|ip|host|addr", before))),
+        float(len(ending) if ending.isalpha() else 0), float(len(groups[0]) if groups else 0),
     ]
 
 
@@ -139,6 +207,7 @@ class Boosted:
     trees: list[list[tuple]] = field(default_factory=list)
     start: float = 0.0
     thresholds: dict[str, float] = field(default_factory=dict)
+    recall: dict[str, float] = field(default_factory=dict)  # of unseen base spans without their mark
 
     def _bins(self, x: np.ndarray) -> np.ndarray:
         return np.stack([np.searchsorted(c, x[:, j], side="right") for j, c in enumerate(self.cuts)], axis=1)
@@ -240,8 +309,9 @@ def spans(text: str | None, model: Boosted) -> tuple[list[Span], list[Span]]:
     base = base_spans(text)
     if not model.thresholds:
         return base, base
-    open_ = [c for c in candidates(text) if c[2] in model.thresholds and c not in base
-             and not any(c[0] < b[1] and b[0] < c[1] for b in base)]
+    own = set(base)
+    open_ = [c for c in candidates(text) if c[2] in model.thresholds and c not in own
+             and not any(c[0] < b[1] and b[0] < c[1] for b in base) and not excluded(text, c, own)]
     added: list[Span] = []
     if open_:
         score = model.score(np.array([features(text, c) for c in open_], float))
@@ -262,20 +332,27 @@ def fit(docs: DataFrame, sample_candidates: int = SAMPLE_CANDIDATES) -> Boosted:
     rows = docs.where(F.col("text").isNotNull()).select(F.col("text").cast("string").alias("text"))
     rows = rows.select(F.xxhash64(F.lit(8), "text").alias("key"), "text")
 
+    def examples(text: str) -> Iterator[tuple]:
+        """(start, stop, kind, variant, features, right) of what is certain in a text."""
+        base = base_spans(text)
+        own = set(base)
+        for lo, hi, kind in base:
+            before, body, after = text[max(0, lo - 24):lo], text[lo:hi], text[hi:hi + 12]
+            for i, m in enumerate(masked(body, kind)):
+                yield lo, hi, kind, i, _features(kind, m, before, after), True
+            yield lo, hi, kind, 9, _features(kind, spoiled(body, kind), before, after), False
+        for c in candidates(text):
+            if c not in own and not any(c[2] == b[2] and c[0] < b[1] and b[0] < c[1] for b in base) and excluded(text, c, own, False):
+                yield *c, 8, features(text, c), False
+
     def propose(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
-            out = []
-            for key, text in zip(pdf["key"], pdf["text"]):
-                if _HAS.search(text):
-                    base = set(base_spans(text))
-                    # a looser reading of a base span is neither an example nor a counterexample
-                    out += [(key, *c, features(text, c), c in base) for c in candidates(text)
-                            if c in base or not any(c[2] == b[2] and c[0] < b[1] and b[0] < c[1] for b in base)]
-            yield pd.DataFrame(out, columns=["key", "start", "stop", "kind", "x", "y"])
-
-    found = scratch_table(rows.mapInPandas(
-        filled(propose), "key long, start int, stop int, kind string, x array<double>, y boolean"), "candidates")
-    one, taught = ["key", "start", "stop", "kind"], F.col("key").bitwiseAND(F.lit(1)) == 1
+            out = [(key, *e) for key, text in zip(pdf["key"], pdf["text"]) if _HAS.search(text) for e in examples(text)]
+            yield pd.DataFrame(out, columns=[*one, "x", "y"])
+
+    one, taught = ["key", "start", "stop", "kind", "variant"], F.col("key").bitwiseAND(F.lit(1)) == 1
+    named = "key long, start int, stop int, kind string, variant int"
+    found = scratch_table(rows.mapInPandas(filled(propose), f"{named}, x array<double>, y boolean"), "candidates")
     sizes = {(r["kind"], r["taught"], r["y"]): r["n"] for r in found.select(*one, "y").distinct()
              .groupBy("kind", taught.alias("taught"), "y").agg(F.count("*").alias("n")).collect()}  # 16 rows at most
 
@@ -297,13 +374,15 @@ def fit(docs: DataFrame, sample_candidates: int = SAMPLE_CANDIDATES) -> Boosted:
 
     counts: dict[str, dict[int, tuple[int, int]]] = {k: {} for k in KINDS}
     right = F.col("y").cast("long")
-    for r in (found.where(~taught).mapInPandas(score, "key long, start int, stop int, kind string, y boolean, bin int").distinct()
+    for r in (found.where(~taught).mapInPandas(filled(score), f"{named}, y boolean, bin int").distinct()
               .groupBy("kind", "bin").agg(F.sum(right).alias("right"), F.sum(1 - right).alias("wrong")).collect()):
         counts[r["kind"]][r["bin"]] = (r["right"], r["wrong"])  # kinds x bins at most
     for k in KINDS:
         if min(sizes.get((k, odd, y), 0) for odd in (False, True) for y in (False, True)) >= LEAST_EXAMPLES:
             if (least := threshold(counts[k])) is not None:
                 model.thresholds[k] = least
+                right = sum(c[0] for c in counts[k].values())
+                model.recall[k] = sum(c[0] for i, c in counts[k].items() if i >= 0 and EDGES[i] >= least) / max(1, right)
     return model
 
 

@@ -206,6 +206,36 @@ def test_pii_adds_spelt_out_addresses(spark):
     assert [r.text for r in pii.redact(df, model).collect()] == ["mail [EMAIL] today", "they look at bachef dot com now"]
 
 
+def test_pii_finds_numbers_without_their_mark(spark):
+    """Half the numbers are national: they are found, and dates, prices, versions, bad sums and other numbers are not."""
+    rng = random.Random(12)
+    d = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    number = lambda: f"({rng.randrange(200, 999)}) {d(3)}-{d(4)}"
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randrange(4, 9)))
+    base = [f"{word()} +1 {number()} {word()}" for _ in range(1500)] + [f"{word()} {word()}@{word()}.org {word()}" for _ in range(600)]
+    hidden = [(f"{word()} {number()} {word()}", True) for _ in range(1500)]
+    others = [(f"{word()} {x} {word()}", False) for _ in range(300) for x in (
+        f"20{d(2)}-0{rng.randrange(1, 9)}-1{d(1)}", f"{rng.randrange(10, 99)} {d(3)}.{d(2)}", f"{d(2)}.{d(2)}.{d(3)}", f"{d(3)} {d(3)}")]
+    others += [(f"they look at {word()} dot com", False) for _ in range(200)]
+    rows = [(t, None) for t in base] + hidden + others
+    model = pii.fit(spark.createDataFrame([(t,) for t, _ in rows], "text string"))
+    assert {"phone", "email"} <= set(model.thresholds) and min(model.recall.values()) >= 0.9
+    found = [(bool(pii.spans(t, model)[1]), truth) for t, truth in hidden + others]
+    hits = sum(f and t for f, t in found)
+    assert hits >= 0.9 * len(hidden) and hits >= 0.95 * sum(f for f, _ in found)
+
+
+@pytest.mark.parametrize("kind,text", [("card", "9436346619525194"), ("ip", "300.1.2.3"), ("ip", "1, 2, 3, 4"), ("phone", "2024-03-15"),
+                                       ("phone", "12 345.67"), ("phone", "10.42.118"), ("email", "look at noon.Then5")])
+def test_pii_rules_exclude(kind, text):
+    assert pii.excluded(f"so {text} it", (3, 3 + len(text), kind), set())
+    for body in ("4952935900253052", "27.148.129.95", "+1 (528) 555-3435", "are.43@mail4.example.com"):
+        own = pii.base_spans(body)[0][2]
+        bad = pii.spoiled(body, own)
+        assert bad == pii.spoiled(body, own) and pii.excluded(bad, (0, len(bad), own), set())
+        assert not any(pii.excluded(m, (0, len(m), own), set()) for m in pii.masked(body, own))
+
+
 def test_pii_threshold_needs_the_precision():
     top = len(pii.EDGES) - 1
     assert pii.threshold({top: (400, 0), 5: (100, 0), 3: (10, 400)}) == pii.EDGES[5]
