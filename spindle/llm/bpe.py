@@ -21,7 +21,6 @@ import hashlib
 import json
 import mmap
 import os
-import re
 import uuid
 from array import array
 from collections import Counter
@@ -39,15 +38,12 @@ from spindle.llm.common import arrow_rows, filled, scratch_path, scratch_table
 
 # Fixed value: the published pre-tokenizer pattern of byte-level BPE.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-# A space between two other characters that are no white space begins a match, whatever stands around, so the
-# pattern may be applied to what lies between such places. This finds spaces that are not of that kind.
-ODD_SPACE, CUT = re.compile(r" \s|\s |\A | \Z"), re.compile(r"(?<=\S)(?= \S)")
 NO_RANK, ID = 1 << 62, (1 << 32) - 1
 LEXICON_WORDS = 1 << 18  # bound of the lexicon, so of the compiled file
 LEXICON_WORD_BYTES = 64  # longer words are merged each time
-MEMO_WORDS = 200_000  # bound of a worker's memo (some 300 bytes each), beyond one group of texts; then it is emptied
+MEMO_WORDS = 300_000  # bound of a worker's memo (some 300 bytes each), beyond one group of texts; then it is emptied
 GROUP_CHARS = 1 << 20
-COUNT_PIECES = 150_000  # bound of a task's counts, sent on when full
+COUNT_WORDS = 300_000  # bound of a task's counts, sent on when full
 
 
 def _byte_letters() -> dict[int, str]:
@@ -75,6 +71,12 @@ class Merger:
         # pair -> its rank above the id that it becomes
         self.rank = {(ids[a], ids[b]): i << 32 | ids[a + b] for i, (a, b) in enumerate(pairs)}
         self.byte_id = [ids[letters[b]] for b in range(256)]
+        # the same as sorted arrays, for many words at once
+        self.byte_ids = np.array(self.byte_id, np.int64)
+        keys = np.fromiter((a << 32 | b for a, b in self.rank), np.int64, len(self.rank))
+        order = np.argsort(keys)
+        self.pairs = keys[order] if len(keys) else np.array([-1])
+        self.pair_rank = np.fromiter(self.rank.values(), np.int64, len(self.rank))[order] if len(keys) else np.array([NO_RANK])
         self.added = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.token = {i: bytes(byte_of[c] for c in s) for s, i in ids.items()}
         self.token |= {i: s.encode() for s, i in self.added.items()}
@@ -98,6 +100,38 @@ class Merger:
                 ranks[i - 1] = get((parts[i - 1], new), NO_RANK)
         return parts
 
+    def merge_all(self, words: list[bytes]) -> list[list[int]]:
+        """``merge`` of many words, all a step at a time together; the last few and very long ones by themselves."""
+        out: list[list[int] | None] = [None] * len(words)
+        own = [i for i, w in enumerate(words) if 1 < len(w) <= 64]
+        flat = self.byte_ids[np.frombuffer(b"".join([words[i] for i in own]), np.uint8)]
+        word = np.repeat(np.array(own, np.int64), [len(words[i]) for i in own])
+        while len(word):
+            left = np.flatnonzero(word[1:] == word[:-1])
+            key = flat[left] << 32 | flat[left + 1]
+            at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+            rank = np.where(self.pairs[at] == key, self.pair_rank[at], NO_RANK)
+            of = word[left]
+            first = np.flatnonzero(np.r_[True, of[1:] != of[:-1]]) if len(of) else np.zeros(0, np.int64)
+            low = np.minimum.reduceat(rank, first) if len(first) else np.zeros(0, np.int64)
+            done = np.ones(len(words), bool)
+            done[of[first[low != NO_RANK]]] = False
+            if (gone := done[word]).any():  # no pair of these can be joined
+                ends = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
+                for lo, hi in zip(ends.tolist(), [*ends[1:].tolist(), len(word)]):
+                    if gone[lo]:
+                        out[word[lo]] = flat[lo:hi].tolist()
+            hit = np.flatnonzero(rank == np.repeat(np.where(low == NO_RANK, -1, low), np.diff(np.r_[first, len(of)])))
+            hit = hit[np.r_[True, of[hit[1:]] != of[hit[:-1]]]] if len(hit) else hit  # the leftmost of each word
+            place = left[hit]
+            flat[place] = rank[hit] & ID
+            keep = ~gone
+            keep[place + 1] = False
+            flat, word = flat[keep], word[keep]
+            if len(place) < 40:
+                break
+        return [self.merge(w) if ids is None else ids for w, ids in zip(words, out)]
+
     def _merge_long(self, parts: list[int]) -> list[int]:
         """The same for very long words: a heap of candidate pairs, leftmost of the lowest rank first."""
         from heapq import heapify, heappop, heappush
@@ -273,15 +307,8 @@ class Codec:
         """The ids of every word: from the lexicon, else merged."""
         data = [word.encode() for word in words]
         found = self.lexicon.find(data) if self.lexicon else [None] * len(data)
-        return [self.merger.merge(d) if ids is None else ids for d, ids in zip(data, found)]
-
-    @staticmethod
-    def pieces(text: str) -> list[str]:
-        """The text cut at single spaces, which stay with what follows them: no word of the pattern goes over a cut."""
-        if ODD_SPACE.search(text):
-            return CUT.split(text)
-        first, *rest = text.split(" ")
-        return [first, *[" " + piece for piece in rest]]
+        rest = iter(self.merger.merge_all([d for d, ids in zip(data, found) if ids is None]))
+        return [next(rest) if ids is None else ids for ids in found]
 
     def parts(self, text: str) -> Iterator[tuple[str, int | None]]:
         """The text cut at added tokens: (text, None), or (token, its id)."""
@@ -354,22 +381,19 @@ def count_words(docs: DataFrame, tokenizer: str, text: str = "text") -> DataFram
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         codec, seen = Codec.of(tokenizer, None), Counter()
 
-        def words() -> pd.DataFrame:
-            out: dict[str, int] = {}
-            for piece, n in seen.items():
-                for word in codec.words(piece):
-                    out[word] = out.get(word, 0) + n
+        def told() -> pd.DataFrame:
+            out = pd.DataFrame({"word": list(seen), "n": list(seen.values())})
             seen.clear()
-            return pd.DataFrame({"word": list(out), "n": list(out.values())})
+            return out
 
         for pdf in frames:
             for t in pdf["t"]:
                 for part, special in codec.parts(t):
                     if special is None:
-                        seen.update(codec.pieces(part))
-                if len(seen) > COUNT_PIECES:
-                    yield words()
-        yield words()
+                        seen.update(codec.words(part))
+                if len(seen) > COUNT_WORDS:
+                    yield told()
+        yield told()
 
     return (docs.select(F.coalesce(F.col(text).cast("string"), F.lit("")).alias("t"))
             .mapInPandas(filled(count), "word string, n long")
@@ -403,7 +427,7 @@ def build_lexicon(docs: DataFrame, tokenizer: str, words: int = LEXICON_WORDS) -
     def merge(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         merger = Codec.of(tokenizer, None).merger
         for pdf in frames:
-            yield pd.DataFrame({"word": pdf["word"], "ids": [merger.merge(w.encode()) for w in pdf["word"]]})
+            yield pd.DataFrame({"word": pdf["word"], "ids": merger.merge_all([w.encode() for w in pdf["word"]])})
 
     rows = top.repartition(F.xxhash64("word")).mapInPandas(filled(merge), "word string, ids array<int>").toPandas()
     return Transducer.compile(sorted((w.encode(), list(ids)) for w, ids in zip(rows["word"], rows["ids"])))
