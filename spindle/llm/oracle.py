@@ -56,7 +56,9 @@ steps AS (SELECT source, parts, m, 0 AS k, exp(-m) AS term, exp(-m) AS s FROM pa
           SELECT source, parts, m, k + 1, term * m / (k + 1), s + term * m / (k + 1) FROM steps
           WHERE k < (m + 12 * sqrt(m) + 30)::INT),
 tables AS (SELECT source AS of, any_value(parts) AS parts, list(s ORDER BY k) AS cdf FROM steps GROUP BY 1),
-named AS (SELECT *, concat_ws('|', coalesce(doc_id::VARCHAR, ''), md5(coalesce(text, ''))) AS name FROM documents),
+named AS (SELECT * EXCLUDE (first_name, nth), first_name || CASE WHEN nth = 0 THEN '' ELSE '|' || nth END AS name
+          FROM (SELECT *, row_number() OVER (PARTITION BY first_name) - 1 AS nth
+                FROM (SELECT *, concat_ws('|', coalesce(doc_id::VARCHAR, ''), md5(coalesce(text, ''))) AS first_name FROM documents))),
 drawn AS (SELECT named.*, (SELECT sum(len(list_filter(cdf, lambda c: c <= u)))
             FROM (SELECT ('0x' || substr(md5(concat_ws('|', '{mixing.SEED}', j::VARCHAR, name)), 1, 13))::BIGINT
                          / 4503599627370496.0 AS u FROM unnest(range(1, parts + 1)) t(j)))::INT AS copies

@@ -285,6 +285,21 @@ def test_mixing_draws_the_target_rates(spark, odd):
         assert abs(copies[k] - p * size) < 5 * math.sqrt(size * p)
 
 
+def test_mixing_draws_for_each_of_equal_rows(spark):
+    """One text and no ids: the copies still follow the distribution and lie in all partitions."""
+    same = spark.range(9000).selectExpr("cast(null as bigint) as doc_id", "'t' as text", "'x' as source", "id % 2 as other")
+    rest = spark.range(9000).selectExpr("id as doc_id", "'t' || id as text", "'y' || id % 40 as source", "id as other")
+    out = mixing.replicate(same.unionByName(rest)).where("source = 'x'")
+    rate = mixing.rates(same.unionByName(rest)).where("source = 'x'").first().rate
+    copies = Counter(r["copy"] for r in out.collect())  # rows with at least k copies
+    for k in (1, 2, 3):
+        p = 1 - sum(math.exp(-rate) * rate**i / math.factorial(i) for i in range(k))
+        assert abs(copies[k] - 9000 * p) < 5 * math.sqrt(9000 * p)
+    assert Counter(r.other for r in out.collect())[0] > 0.4 * out.count()
+    rows = same.selectExpr("struct(*) as row", "source", "'n' as name")
+    assert mixing.numbered(rows).select("name").distinct().count() == 9000  # by which copies are dealt, too
+
+
 def test_mixing_leaves_a_copy_column_alone(spark):
     import corpus_pipeline
 
