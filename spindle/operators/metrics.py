@@ -107,6 +107,39 @@ def typed(value: Column, value_type: str) -> Column:
     return value.cast("double") if value_type == "DOUBLE" else value.cast("bigint").cast("double")
 
 
+# Spark type of each value type.
+VALUE_TYPES = {"INT64": "bigint", "DOUBLE": "double", "BOOL": "boolean"}
+
+
+def typed_points(df: DataFrame, points: Sequence[tuple[str, str, str, Column]], end_time: Column,
+                 labels: dict[str, str] | None = None, resource: dict[str, str] | None = None) -> DataFrame:
+    """Points whose values keep their type: per row one for each (metric type, metric kind, value type, value)
+    whose value is not NULL, as ``schemas.TYPED_METRICS``. INT64 drops a fraction and is exact over all 64 bits,
+    BOOL is whether a number is not 0."""
+    rows = []
+    for mtype, kind, value_type, value in points:
+        if value_type not in VALUE_TYPES:
+            raise ValueError(f"unknown value type {value_type}")
+        value = value.cast(VALUE_TYPES[value_type])
+        rows.append(F.when(value.isNotNull(), F.struct(
+            F.lit(mtype).alias("metric_type"), F.lit(kind).alias("metric_kind"), F.lit(value_type).alias("value_type"),
+            value.cast("variant").alias("value"))))
+    return (df.select(F.inline(F.filter(F.array(*rows), lambda p: p.isNotNull())), end_time.alias("end_time"))
+            .withColumn("labels", _map(labels or {})).withColumn("resource", _map(resource or {"type": "generic_task"}))
+            .select("metric_type", "metric_kind", "value_type", "value", "labels", "resource", "end_time"))
+
+
+def value_as(value_type: str) -> Column:
+    """The value of a typed point, NULL for points of another type."""
+    return F.when(F.col("value_type") == value_type, F.try_variant_get("value", "$", VALUE_TYPES[value_type]))
+
+
+def untyped(points: DataFrame) -> DataFrame:
+    """Typed points -> points with double values, which rollups and alerts take; BOOL is 1 or 0."""
+    value = F.coalesce(value_as("DOUBLE"), value_as("INT64").cast("double"), value_as("BOOL").cast("double"))
+    return points.withColumn("value", value)
+
+
 def record(df: DataFrame, points: Sequence[tuple[str, str, Column | float]], end_time: Column,
            labels: Column | None = None, default_labels: dict[str, str] | None = None,
            resource: dict[str, str] | None = None) -> DataFrame:

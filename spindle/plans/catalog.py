@@ -23,9 +23,10 @@ from spindle.operators import audit, envelope, hooks
 from spindle.operators import metrics as mx
 from spindle.operators import runs as rn
 from spindle.plans import derived
-from spindle.sources import batches, store, tables
+from spindle.sources import batches, results, store, tables
 from spindle.sources.publish import publish, publish_bytes
-from spindle.schemas import LANDED
+from spindle.schemas import LANDED, LANDED_FLAT
+from spindle.streaming import held, ordered
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -195,6 +196,18 @@ def conform_flat(spark, sf):
         to_naive(F.col("processing_timestamp")).alias("processing_timestamp"))
 
 
+@register
+def table_rows(spark, sf):
+    """A table made from an explicit schema, flat rows appended in two parts, read by SQL."""
+    name = f"flat_{uuid.uuid4().hex}"
+    tables.create_table(spark, name, LANDED_FLAT, path=store.at_path(spark, name))
+    flat = envelope.conform_flat(derived.landed(spark, sf))
+    even = F.pmod(F.xxhash64("event_id"), F.lit(2)) == 0
+    for part in (even, ~even):
+        tables.append(flat.where(part), name)
+    return tables.query(spark, f"SELECT event_id, CAST(timestamp AS TIMESTAMP_NTZ) AS timestamp FROM {name}")
+
+
 @register
 def insert_errors(spark, sf):
     """Insert rows into a REQUIRED schema, return the per-row errors."""
@@ -399,6 +412,24 @@ def metrics_points(spark, sf):
                     series_key(F.col("labels")).alias("series"), to_naive(F.col("end_time")).alias("end_time"))
 
 
+@register
+def typed_points(spark, sf):
+    """Points that keep their type, written to the point store by date, scanned back and read by type."""
+    eid = F.col("event_id")
+    points = mx.typed_points(
+        derived.events(spark, sf), [
+            ("counter/offset", "CUMULATIVE", "INT64", eid + F.lit((1 << 53) + 1)),
+            ("gauge/value", "GAUGE", "DOUBLE", F.col("value")),
+            ("gauge/value_whole", "GAUGE", "INT64", F.col("value")),
+            ("gauge/is_error", "GAUGE", "BOOL", F.col("event_type") == "error")],
+        F.col("ts").cast("timestamp"), derived.DEFAULT_LABELS)
+    path = store.at_path(spark, f"{uuid.uuid4().hex}/points")
+    tables.write_points(points, path)
+    back = spark.read.parquet(path)
+    return back.select("metric_type", "metric_kind", "value_type", *[
+        mx.value_as(t).alias(f"{t.lower()}_value") for t in mx.VALUE_TYPES], to_naive(F.col("end_time")).alias("end_time"))
+
+
 @register
 def metric_scan(spark, sf):
     """Exact type and resource type within an inclusive interval, all series."""
@@ -517,6 +548,50 @@ def alerts_multi_rule(spark, sf):
     return _alert_out(al.evaluate(allp, rules, interval=derived.interval(spark, sf)))
 
 
+# ---------------------------------------------------------------- streams
+
+
+def _streamed(spark, df):
+    """``df`` as files, read as a stream that takes them all at once: nothing is late, whatever the files' order."""
+    path = store.at_path(spark, f"{uuid.uuid4().hex}/stream")
+    df.write.parquet(path)
+    return spark.readStream.schema(df.schema).parquet(path), path
+
+
+def _finished(spark, start):
+    """Run a stream to its end; stateful operators get a state store per core, not per shuffle partition of the session."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(min(int(before), spark.sparkContext.defaultParallelism)))
+    try:
+        start().awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+@register
+def stream_alert_events(spark, sf):
+    """H5 on a stream: alerts raised when the duration is full and cleared when the run ends, once each,
+    up to the last watermark."""
+    rules = al.rules_frame(spark, [al.rule("processing_latency", derived.LATENCY_METRIC, "GT", 20.0, 3 * HOUR, HOUR)])
+    stream, path = _streamed(spark, _latency(spark, sf))
+    _finished(spark, lambda: held.start_held_alerts(
+        stream, rules, f"{path}-alerts", checkpoint=f"{path}-checkpoint", lateness="300 seconds", available_now=True))
+    out = spark.read.schema(held.ALERT_EVENTS).parquet(f"{path}-alerts")
+    return out.select("rule", "series", "event", to_naive(F.col("start_time")).alias("start_time"),
+                      to_naive(F.col("at")).alias("at"), "buckets")
+
+
+@register
+def ordered_delivery(spark, sf):
+    """H16 on a stream: every key's messages in publish order, numbered, up to the last watermark."""
+    msgs = derived.messages(spark, sf)
+    stream, path = _streamed(spark, msgs)
+    _finished(spark, lambda: ordered.start_delivery(
+        stream, f"{path}-delivered", checkpoint=f"{path}-checkpoint", lateness="300 seconds", available_now=True))
+    out = spark.read.parquet(f"{path}-delivered")
+    return out.select("ordering_key", "delivery", "message_id", to_naive(F.col("publish_time")).alias("publish_time"))
+
+
 # ---------------------------------------------------------------- runs
 
 
@@ -536,6 +611,16 @@ def run_summary(spark, sf):
         "errors", F.round("throughput", 9).alias("throughput"))
 
 
+@register
+def run_results_loaded(spark, sf):
+    """The run records saved as JSON Lines and loaded again."""
+    path = store.at_path(spark, f"{uuid.uuid4().hex}/runs")
+    results.save_results(_runs(spark, sf), path)
+    r = results.load_results(spark, path)
+    return r.select("test_name", to_naive(F.col("start_time")).alias("start_time"), "messages_sent", "errors",
+                    _rd(F.col("avg_latency")).alias("avg_latency"), "p99_latency")
+
+
 @register
 def run_analysis(spark, sf):
     """Totals, throughput stability, efficiency over all runs."""

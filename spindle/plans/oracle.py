@@ -105,6 +105,8 @@ SELECT eid AS event_id, ts AS timestamp,
        publish_time AS processing_timestamp
 FROM landed""")
 
+ORACLE["table_rows"] = w("SELECT eid AS event_id, ts AS timestamp FROM landed")
+
 ORACLE["insert_errors"] = w("""
 SELECT ts AS timestamp, 'event_id' AS error_field, 'required_null' AS error FROM cls WHERE k = 6""")
 
@@ -216,6 +218,13 @@ def wm(body: str, ctes: str = "") -> str:
 ORACLE["metrics_points"] = wm("""
 SELECT metric_type, metric_kind, value_type, round(value, 9) AS value, series, end_time FROM pts""")
 
+ORACLE["typed_points"] = """
+SELECT 'counter/offset' AS metric_type, 'CUMULATIVE' AS metric_kind, 'INT64' AS value_type, event_id + 9007199254740993 AS int64_value,
+       NULL::DOUBLE AS double_value, NULL::BOOLEAN AS bool_value, ts AS end_time FROM events
+UNION ALL SELECT 'gauge/value', 'GAUGE', 'DOUBLE', NULL, value, NULL, ts FROM events WHERE value IS NOT NULL
+UNION ALL SELECT 'gauge/value_whole', 'GAUGE', 'INT64', trunc(value)::BIGINT, NULL, NULL, ts FROM events WHERE value IS NOT NULL
+UNION ALL SELECT 'gauge/is_error', 'GAUGE', 'BOOL', NULL, NULL, event_type = 'error', ts FROM events WHERE event_type IS NOT NULL"""
+
 ORACLE["metric_scan"] = wm("""
 SELECT series, value, end_time FROM xp
 WHERE end_time BETWEEN TIMESTAMP '2024-01-10 00:00:00' AND TIMESTAMP '2024-01-12 00:00:00'""")
@@ -353,6 +362,23 @@ ORACLE["alerts_multi_rule"] = alert_sql([
             fill=True),
 ])
 
+# A bucket counts when it ends before the last watermark, 300 s behind the last point.
+_CLOSED = f"""SELECT series, bucket, value FROM ({_lat_b()}), (SELECT max(end_time) - INTERVAL 300 SECOND AS mark FROM xp)
+      WHERE bucket + INTERVAL 1 HOUR <= mark"""
+_EVENT_CTES, _ = islands("lat", "processing_latency", _CLOSED, ">", 20.0, 10800, 3600)
+ORACLE["stream_alert_events"] = "WITH " + XP + ",\n" + _EVENT_CTES + """,
+mark AS (SELECT max(end_time) - INTERVAL 300 SECOND AS at FROM xp),
+held AS (SELECT * FROM lat_rr WHERE buckets >= 3)
+SELECT 'processing_latency' AS rule, series, 'raised' AS event, start_time, start_time + INTERVAL 3 HOUR AS at, 3 AS buckets FROM held
+UNION ALL
+SELECT 'processing_latency', series, 'cleared', start_time, end_time, buckets FROM held, mark
+WHERE end_time + INTERVAL 1 HOUR <= mark.at"""
+
+ORACLE["ordered_delivery"] = w("""
+SELECT 'user-' || CAST(user_id AS VARCHAR) AS ordering_key,
+       row_number() OVER (PARTITION BY user_id ORDER BY publish_time, message_id) - 1 AS delivery, message_id, publish_time
+FROM ev WHERE epoch_us(publish_time) <= (SELECT epoch_ms(max(publish_time)) * 1000 - 300000000 FROM ev)""")
+
 # ---------------------------------------------------------------- runs
 
 RUNS = """
@@ -392,6 +418,9 @@ ORACLE["run_summary"] = wr("""
 SELECT test_name, start_time, end_time, messages_sent, messages_processed, round(avg_latency, 9) AS avg_latency,
        p50_latency, p95_latency, p99_latency, errors, round(throughput, 9) AS throughput FROM rs""")
 
+ORACLE["run_results_loaded"] = wr("""
+SELECT test_name, start_time, messages_sent, errors, round(avg_latency, 9) AS avg_latency, p99_latency FROM rs""")
+
 ORACLE["run_analysis"] = wr("""
 SELECT count(*) AS total_tests, CAST(sum(messages_sent) AS BIGINT) AS total_messages_sent,
        CAST(sum(messages_processed) AS BIGINT) AS total_messages_processed,

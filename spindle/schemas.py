@@ -55,6 +55,10 @@ METRICS = T.StructType([
     T.StructField("end_time", T.TimestampType(), False),
 ])
 
+# The same with values in their own type (INT64, DOUBLE, BOOL), as a VARIANT.
+TYPED_METRICS = T.StructType([
+    T.StructField(f.name, T.VariantType() if f.name == "value" else f.dataType, f.nullable) for f in METRICS.fields])
+
 ALERT_RULES = T.StructType([
     T.StructField("rule", T.StringType(), False),
     T.StructField("metric_type", T.StringType(), False),

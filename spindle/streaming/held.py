@@ -30,6 +30,8 @@ from spindle.streaming.state import timed_state
 
 RAISED, CLEARED = "raised", "cleared"
 EVENTS = "rule string, series string, event string, start_s long, at_s long, buckets long"
+#: What is written of an event.
+ALERT_EVENTS = "rule string, series string, event string, start_time timestamp, at timestamp, buckets long"
 #: first: start of the run, or of the time without an unbreached bucket; last: its last bucket.
 STATE = "first long, last long, raised boolean, timer long"
 
