@@ -117,9 +117,9 @@ def fit(rows: DataFrame, dims: int = DIMS, sample: int = SAMPLE, clusters: int =
         return Model(np.ones(dims), np.zeros((dims, 0), np.float32), [], np.zeros(0))
     idf = np.log((1 + seen[-1]) / (1 + np.array([seen[i] for i in range(dims)]))) + 1
 
-    # A threshold on the seeded hash leaves a few distinct texts per language, whatever its size and copies.
+    # Texts without a letter have no vector. A threshold on the seeded hash leaves a few distinct texts per language, whatever its size and copies.
     # Only (lang, hash) is dealt, one row per task and distinct text.
-    hashed = rows.withColumn("h", F.xxhash64(F.lit(7), "text"))
+    hashed = rows.where(F.col("text").rlike(r"\p{L}")).withColumn("h", F.xxhash64(F.lit(7), "text"))
     size = hashed.select("lang", "h").distinct().groupBy("lang").agg(F.count("*").alias("size"))
     size = scratch_table(size, "sizes")
     key = F.pmod("h", F.lit(1 << 30)) / F.lit(1 << 30)
@@ -142,17 +142,22 @@ def fit(rows: DataFrame, dims: int = DIMS, sample: int = SAMPLE, clusters: int =
                          .mapInPandas(filled(vectors), "key double, lang string, v binary"), "sample")
     best = (made.dropDuplicates(["lang", "key"])
             .withColumn("nth", F.row_number().over(W.partitionBy("lang").orderBy("key")))
-            .where(F.col("nth") <= sample).orderBy("lang", "key").toPandas())
-    centers, langs, least = [], [], []
-    for lang, own in best.groupby("lang", sort=True):
+            .where(F.col("nth") <= sample))
+
+    def centroids(own: pd.DataFrame) -> pd.DataFrame:
+        """Of one language: ``sample`` rows at most."""
+        own = own.sort_values("key")
         c, cosine = _cluster(np.frombuffer(b"".join(own["v"]), np.float32).reshape(len(own), dims), clusters)
         mine = cosine.argmax(axis=1)
-        for j in range(len(c)):
-            if (mine == j).any():
-                centers.append(c[j])
-                langs.append(lang)
-                least.append(float(np.quantile(cosine[mine == j, j], REJECT)))
-    return Model(idf, np.ascontiguousarray(np.array(centers, np.float32).T), langs, np.array(least))
+        rows = [(own["lang"].iloc[0], j, c[j].tobytes(), float(np.quantile(cosine[mine == j, j], REJECT)))
+                for j in range(len(c)) if (mine == j).any()]
+        return pd.DataFrame(rows, columns=["lang", "no", "c", "least"])
+
+    # Only centroids come back: ``clusters`` of ``dims`` numbers for each language.
+    fitted = sorted(best.select("key", "lang", "v").groupBy("lang").applyInPandas(
+        centroids, "lang string, no int, c binary, least double").collect(), key=lambda r: (r["lang"], r["no"]))
+    centers = np.array([np.frombuffer(r["c"], np.float32) for r in fitted], np.float32).reshape(len(fitted), dims)
+    return Model(idf, np.ascontiguousarray(centers.T), [r["lang"] for r in fitted], np.array([r["least"] for r in fitted]))
 
 
 def _few(size: DataFrame, most: int = 10_000) -> bool:
