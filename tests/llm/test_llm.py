@@ -5,11 +5,13 @@ import importlib.util
 import math
 import random
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from spindle.llm import bpe, cws, katz, langid, licenses, mixing, pii, quality, sharding, simhash
 from spindle.llm.common import components, fold_of
@@ -308,6 +310,39 @@ def test_mixing_leaves_a_copy_column_alone(spark):
     assert out.columns == docs.columns and all(r["copy"] == -7 - r.doc_id for r in out.collect())
 
 
+@pytest.mark.parametrize("shards,bucket_rows", [(24, 10_000), (5, 3)])
+def test_sharding_equals_a_sort_by_fractional_rank(spark, odd, small, shards, bucket_rows):
+    """The whole order by hand: rank in the source's seeded order, fractional rank, one sort, equal cuts."""
+    for df, rows in (odd, small):
+        got = sharding.assign(df, shards, bucket_rows=bucket_rows).collect()
+        n = len(rows)
+        buckets = max(sharding.LEAST_BUCKETS, -(-n // bucket_rows))
+        of = {r.source: r.h for r in df.select("source", F.xxhash64(F.lit(sharding.SEED), "source").alias("h")).distinct().collect()}
+        plain = {r.source: r.h for r in df.select("source", F.xxhash64("source").alias("h")).distinct().collect()}
+        last = lambda v: (v is not None, v or 0)  # noqa: E731  nulls first, as Spark sorts
+        ties = lambda r: (r.key, last(r.doc_id), r.text_crc32, r.size)
+        by_source = defaultdict(list)
+        for r in got:
+            by_source[r.source].append(r)
+        order = []
+        for source, own in by_source.items():
+            own.sort(key=lambda r: (r.key % buckets, *ties(r)))
+            phase = (of[source] % (1 << 20) + 0.5) / (1 << 20)
+            order += [((i + 1 - phase) / len(own), plain[source], ties(r), r) for i, r in enumerate(own)]
+        order.sort(key=lambda x: x[:3])
+        cuts = Counter()
+        for at, (_, _, tie, r) in enumerate(order):
+            shard = at * shards // n
+            want = (shard, cuts[shard])
+            cuts[shard] += 1
+            if tie == (order[at - 1][2] if at else None) or at + 1 < n and tie == order[at + 1][2]:
+                continue  # equal rows take their places in turn
+            assert (r.shard, r.slot) == want
+        assert Counter(r.shard for r in got) == cuts and max(cuts.values()) - min(cuts.values()) <= 1
+        data = {(r[0], zlib.crc32((r[1] or "").encode())): len((r[1] or "").encode()) + 8 for r in rows}
+        assert all(data[r.doc_id, r.text_crc32] == r.size and r.law == "rows" and r.grown_shard is None for r in got)
+
+
 def test_sharding_is_proportional_and_gapless(spark, odd):
     many = spark.range(5000).selectExpr("id as doc_id", "'t' || id as text", "if(id % 3 = 0, 'x', 'y' || id % 50) as source")
     for df, n in ((odd[0], len(odd[1])), (many, 5000)):
