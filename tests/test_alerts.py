@@ -129,3 +129,19 @@ def test_outage_breaches_low_throughput(spark):
     got = {(x.rule, x.series, x.buckets) for x in al.evaluate(p, r, interval=(EPOCH, EPOCH + 120 * 60 - 1)).collect()}
     assert got == {("low", '{"s":"a"}', 110), ("silent", "{}", 120)}
     assert al.evaluate(p, r).count() == 0
+
+
+def test_an_interval_leaves_the_edge_buckets_of_gt_rules(spark):
+    """The evaluated interval is for what is filled; a breach before or after it still counts."""
+    import datetime as dt
+
+    t0 = dt.datetime(2024, 1, 1)
+    aligned = spark.createDataFrame(
+        [(rule, "s", t0 + dt.timedelta(seconds=60 * i), v) for i in range(6) for rule, v in (("high", 9.0), ("low", 9.0))],
+        "rule string, series string, bucket timestamp, value double")
+    rules = al.rules_frame(spark, [al.rule("high", "m", "GT", 5, duration_s=360, period_s=60),
+                                   al.rule("low", "m", "LT", 5, duration_s=60, period_s=60)])
+    first = int(t0.replace(tzinfo=dt.timezone.utc).timestamp())
+    got = al.breach_runs(aligned, rules, interval=(first + 60, first + 480)).collect()
+    assert sorted((r.rule, r.start_time, r.buckets) for r in got) == [
+        ("high", t0, 6), ("low", t0 + dt.timedelta(seconds=360), 3)]

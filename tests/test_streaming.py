@@ -101,6 +101,7 @@ def test_raw_copy_and_observed_counts(spark, scratch):
          if r.metric_type != "latency/batch_processing_time"}
     assert m == {("counter/messages_received", 2.0), ("counter/messages_processed", 1.0),
                  ("counter/messages_failed", 1.0), ("counter/errors/json_syntax", 1.0),
+                     ("counter/parsing_errors", 1.0),
                  ("batch_size/batch_size", 2.0)}
     raw = spark.read.parquet(f"{scratch}/raw")
     assert raw.count() == 2 and "date" in raw.columns
