@@ -42,8 +42,9 @@ NO_RANK, ID = 1 << 62, (1 << 32) - 1
 LEXICON_WORDS = 1 << 18  # bound of the lexicon, so of the compiled file
 LEXICON_WORD_BYTES = 64  # longer words are merged each time
 MEMO_WORDS = 300_000  # bound of a worker's memo (some 300 bytes each), beyond one group of texts; then it is emptied
+ENCODE_MEMO = 60_000  # the same where whole id lists are made, which need memory themselves
 GROUP_CHARS = 1 << 20
-COUNT_WORDS = 300_000  # bound of a task's counts, sent on when full
+COUNT_WORDS = 150_000  # bound of a task's counts, sent on when full
 
 
 def _byte_letters() -> dict[int, str]:
@@ -288,11 +289,11 @@ class Codec:
 
     kept: dict[tuple, Codec] = {}
 
-    def __init__(self, tokenizer: str, lexicon: str | None) -> None:
-        self.merger = Merger(tokenizer)
+    def __init__(self, tokenizer: str, lexicon: str | None, most: int = MEMO_WORDS) -> None:
+        self.merger, self.most = Merger(tokenizer), most
         self.lexicon = Transducer.open(lexicon) if lexicon else None
         self.words = regex.compile(PATTERN).findall
-        self.known: dict[str, array | tuple] = {}  # short words, MEMO_WORDS and one group's at most
+        self.known: dict[str, array | tuple] = {}  # short words, ``most`` and one group's at most
         self.form: Callable | None = None
 
     @classmethod
@@ -321,7 +322,7 @@ class Codec:
 
     def _learn(self, words: set[str], form: Callable) -> dict[str, array | tuple]:
         """``form(ids)`` of all these words; short ones stay known."""
-        if form != self.form or len(self.known) > MEMO_WORDS:
+        if form != self.form or len(self.known) > self.most:
             self.known, self.form = {}, form
         new = list(words.difference(self.known))
         values = dict(zip(new, map(form, self.word_ids(new))))
@@ -343,12 +344,13 @@ class Codec:
                     out += map(values.__getitem__, words) if special is None else [form([special])]
                 yield out
 
-    def encode_all(self, texts: Iterable[str]) -> Iterator[list[int]]:
+    def encode_all(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
+        """The ids of every text as 32-bit numbers."""
         for values in self.code(texts, _as_array):
-            yield list(chain.from_iterable(values))
+            yield np.frombuffer(b"".join(values), np.int32)
 
     def encode(self, text: str) -> list[int]:
-        return next(self.encode_all([text]))
+        return next(self.encode_all([text])).tolist()
 
     def told(self, ids: list[int]) -> tuple[str, bytes]:
         """Ids as decimals joined by commas, and the bytes they stand for."""
@@ -452,10 +454,10 @@ def encode_texts(docs: DataFrame, tokenizer: str, lexicon: str, text: str = "tex
 
     @F.pandas_udf("array<int>")
     def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        codec = Codec.of(tokenizer, SparkFiles.get(lexicon))
+        codec = Codec(tokenizer, SparkFiles.get(lexicon), ENCODE_MEMO)
         for texts in batches:
-            yield pd.Series(list(codec.encode_all(t or "" for t in texts)))
-        codec.known.clear()  # an idle worker keeps no memory from the stages that follow
+            yield pd.Series(list(codec.encode_all(t or "" for t in texts)), dtype=object)
+        Codec.kept.clear()  # an idle worker keeps no memory from the stages that follow
 
     return docs.withColumn("ids", ids(F.col(text).cast("string")))
 
