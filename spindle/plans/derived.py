@@ -159,9 +159,16 @@ def landed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Latency gauge points of the messages that are processed: one series per event type (label
-    ``event_type``). A message that fails has no processing latency."""
-    ev = events(spark, sf_dir).where(F.col("event_id") % 20 >= FIRST_VALID)
+    """Latency gauge points of all events: one series per event type (label ``event_type``)."""
+    return _latency_points(events(spark, sf_dir))
+
+
+def processed_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latency points of the messages that are processed."""
+    return _latency_points(events(spark, sf_dir).where(F.col("event_id") % 20 >= FIRST_VALID))
+
+
+def _latency_points(ev: DataFrame) -> DataFrame:
     return ev.select(
         F.lit(LATENCY_METRIC).alias("metric_type"),
         F.lit("GAUGE").alias("metric_kind"),

@@ -207,12 +207,14 @@ pts AS (
   FROM cls WHERE reject_reason IS NOT NULL
 )""".format(base=BASE_SERIES, stage=STAGE)
 
+XP_ALL = f"xp AS (SELECT {X_SERIES} AS series, event_type, value, ts AS end_time FROM events)"
+# The points of the messages that are processed.
 XP = f"xp AS (SELECT {X_SERIES} AS series, event_type, value, ts AS end_time FROM events WHERE event_id % 20 >= 8)"
 
 
-def wm(body: str, ctes: str = "") -> str:
+def wm(body: str, ctes: str = "", xp: str = XP) -> str:
     extra = ",\n" + ctes.strip() if ctes else ""
-    return "WITH " + EV.strip() + ",\n" + PTS.strip() + ",\n" + XP + extra + "\n" + body
+    return "WITH " + EV.strip() + ",\n" + PTS.strip() + ",\n" + xp + extra + "\n" + body
 
 
 ORACLE["metrics_points"] = wm("""
@@ -227,7 +229,7 @@ UNION ALL SELECT 'gauge/is_error', 'GAUGE', 'BOOL', NULL, NULL, event_type = 'er
 
 ORACLE["metric_scan"] = wm("""
 SELECT series, value, end_time FROM xp
-WHERE end_time BETWEEN TIMESTAMP '2024-01-10 00:00:00' AND TIMESTAMP '2024-01-12 00:00:00'""")
+WHERE end_time BETWEEN TIMESTAMP '2024-01-10 00:00:00' AND TIMESTAMP '2024-01-12 00:00:00'""", xp=XP_ALL)
 
 ORACLE["metric_stats"] = "WITH " + EV.strip() + ",\n" + XP + """,
 req AS (SELECT event_type FROM events
@@ -331,10 +333,10 @@ def islands(name: str, rule: str, bucketed: str, op: str, th: float, dur: int, p
     return ctes, sel
 
 
-def alert_sql(parts: list[tuple[str, str]]) -> str:
+def alert_sql(parts: list[tuple[str, str]], xp: str = XP) -> str:
     ctes = ",\n".join(c for c, _ in parts)
     sels = "\nUNION ALL\n".join(s for _, s in parts)
-    return "WITH " + EV.strip() + ",\n" + PTS.strip() + ",\n" + XP + ",\n" + ctes + "\n" + sels
+    return "WITH " + EV.strip() + ",\n" + PTS.strip() + ",\n" + xp + ",\n" + ctes + "\n" + sels
 
 
 def _lat_b(p=3600):
@@ -410,8 +412,12 @@ rs AS (SELECT r.test_name, r.start_time, r.end_time,
        FROM runs r LEFT JOIN rmsg m USING (test_name) LEFT JOIN rpct p USING (test_name))"""
 
 
-def wr(body: str) -> str:
-    return "WITH " + EV.strip() + ",\n" + RUNS.strip() + "\n" + body
+# The same with the latency of all events.
+RUNS_ALL = RUNS.replace(" AND e.event_id % 20 >= 8", "")
+
+
+def wr(body: str, runs: str = RUNS) -> str:
+    return "WITH " + EV.strip() + ",\n" + runs.strip() + "\n" + body
 
 
 ORACLE["run_summary"] = wr("""
