@@ -231,7 +231,7 @@ ORACLE["metric_scan"] = wm("""
 SELECT series, value, end_time FROM xp
 WHERE end_time BETWEEN TIMESTAMP '2024-01-10 00:00:00' AND TIMESTAMP '2024-01-12 00:00:00'""", xp=XP_ALL)
 
-ORACLE["metric_stats"] = "WITH " + EV.strip() + ",\n" + XP + """,
+ORACLE["metric_stats"] = "WITH " + EV.strip() + ",\n" + XP_ALL + """,
 req AS (SELECT event_type FROM events
         UNION SELECT unnest(['click','error','purchase','signup','view','refund'])),
 st AS (SELECT event_type, count(value) AS n, avg(value) AS mean FROM xp

@@ -27,3 +27,8 @@ def _rows(spark, table, name, *columns):
 
 def test_metric_scan(spark, table):
     assert [v for v, in _rows(spark, table, "metric_scan", "value")] == [10.0] * 7 + [100.0] * 5 + [400.0]
+
+
+def test_metric_stats(spark, table):
+    got = {r[0]: r[1:] for r in _rows(spark, table, "metric_stats", "event_type", "n", "mean")}
+    assert got["view"] == (13, 74.615384615) and got["refund"] == (0, 0.0)
