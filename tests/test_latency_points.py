@@ -32,3 +32,7 @@ def test_metric_scan(spark, table):
 def test_metric_stats(spark, table):
     got = {r[0]: r[1:] for r in _rows(spark, table, "metric_stats", "event_type", "n", "mean")}
     assert got["view"] == (13, 74.615384615) and got["refund"] == (0, 0.0)
+
+
+def test_metric_percentiles(spark, table):
+    assert _rows(spark, table, "metric_percentiles", "p", "value") == [(0.5, 10.0), (0.95, 400.0), (0.99, 400.0)]
