@@ -247,7 +247,7 @@ ps AS (SELECT unnest([0.5, 0.95, 0.99]::DOUBLE[]) AS p)
 SELECT series, p, value FROM r, ps WHERE rn = floor(n * p) + 1"""
 ORACLE["metric_percentiles"] = "WITH " + XP_ALL + _PCT.replace("\n, r AS", ",\nr AS", 1)
 
-ORACLE["aligned_mean"] = "WITH " + XP + f"""
+ORACLE["aligned_mean"] = "WITH " + XP_ALL + f"""
 SELECT series, {bucket('end_time', 3600)} AS bucket, round(avg(value), 9) AS mean, count(*) AS n
 FROM xp GROUP BY 1, 2"""
 

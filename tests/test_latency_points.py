@@ -36,3 +36,7 @@ def test_metric_stats(spark, table):
 
 def test_metric_percentiles(spark, table):
     assert _rows(spark, table, "metric_percentiles", "p", "value") == [(0.5, 10.0), (0.95, 400.0), (0.99, 400.0)]
+
+
+def test_aligned_mean(spark, table):
+    assert [r[1:] for r in _rows(spark, table, "aligned_mean", "bucket", "mean", "n")] == [*zip(MEANS, [2] * 5 + [3])]
