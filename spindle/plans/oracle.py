@@ -351,7 +351,7 @@ def _pts_b(mtype, agg, p=3600):
 _ERR_B = (f"SELECT {BASE_SERIES} AS series, {bucket('publish_time', 3600)} AS bucket, "
           "avg(CASE WHEN reject_reason IS NOT NULL THEN 1.0 ELSE 0.0 END) AS value FROM cls GROUP BY 1, 2")
 
-ORACLE["alerts_latency"] = alert_sql([islands("lat", "processing_latency", _lat_b(), ">", 30.0, 18000, 3600)])
+ORACLE["alerts_latency"] = alert_sql([islands("lat", "processing_latency", _lat_b(), ">", 30.0, 18000, 3600)], XP_ALL)
 ORACLE["alerts_error_rate"] = alert_sql([islands("er", "error_rate", _ERR_B, ">", 0.4, 10800, 3600)])
 ORACLE["alerts_low_throughput"] = alert_sql([
     islands("lt", "low_throughput", _pts_b("counter/messages_processed", "sum"), "<", 8.0, 10800, 3600,

@@ -40,3 +40,7 @@ def test_metric_percentiles(spark, table):
 
 def test_aligned_mean(spark, table):
     assert [r[1:] for r in _rows(spark, table, "aligned_mean", "bucket", "mean", "n")] == [*zip(MEANS, [2] * 5 + [3])]
+
+
+def test_alerts_latency(spark, table):
+    assert _rows(spark, table, "alerts_latency", "rule", "series", "buckets") == [("processing_latency", VIEW, 6)]
