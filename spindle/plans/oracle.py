@@ -362,7 +362,7 @@ ORACLE["alerts_multi_rule"] = alert_sql([
     islands("er", "error_rate", _ERR_B, ">", 0.45, 7200, 3600),
     islands("lt", "low_throughput", _pts_b("counter/messages_processed", "sum"), "<", 7.0, 7200, 3600,
             fill=True),
-])
+], XP_ALL)
 
 # A bucket counts when it ends before the last watermark, 300 s behind the last point.
 _CLOSED = f"""SELECT series, bucket, value FROM ({_lat_b()}), (SELECT max(end_time) - INTERVAL 300 SECOND AS mark FROM xp)

@@ -44,3 +44,7 @@ def test_aligned_mean(spark, table):
 
 def test_alerts_latency(spark, table):
     assert _rows(spark, table, "alerts_latency", "rule", "series", "buckets") == [("processing_latency", VIEW, 6)]
+
+
+def test_alerts_multi_rule(spark, table):
+    assert ("processing_latency", VIEW, 6) in _rows(spark, table, "alerts_multi_rule", "rule", "series", "buckets")
