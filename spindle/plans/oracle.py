@@ -422,7 +422,7 @@ def wr(body: str, runs: str = RUNS) -> str:
 
 ORACLE["run_summary"] = wr("""
 SELECT test_name, start_time, end_time, messages_sent, messages_processed, round(avg_latency, 9) AS avg_latency,
-       p50_latency, p95_latency, p99_latency, errors, round(throughput, 9) AS throughput FROM rs""")
+       p50_latency, p95_latency, p99_latency, errors, round(throughput, 9) AS throughput FROM rs""", RUNS_ALL)
 
 ORACLE["run_results_loaded"] = wr("""
 SELECT test_name, start_time, messages_sent, errors, round(avg_latency, 9) AS avg_latency, p99_latency FROM rs""")

@@ -48,3 +48,8 @@ def test_alerts_latency(spark, table):
 
 def test_alerts_multi_rule(spark, table):
     assert ("processing_latency", VIEW, 6) in _rows(spark, table, "alerts_multi_rule", "rule", "series", "buckets")
+
+
+def test_run_summary(spark, table):
+    got = _rows(spark, table, "run_summary", "start_time", "avg_latency", "p50_latency", "p95_latency", "p99_latency")
+    assert [r[1:] for r in got] == [(55.0, 100.0, 100.0, 100.0)] * 5 + [(140.0, 10.0, 400.0, 400.0)]
