@@ -438,7 +438,7 @@ SELECT count(*) AS total_tests, CAST(sum(messages_sent) AS BIGINT) AS total_mess
        round(stddev_pop(throughput), 9) AS throughput_std,
        round(CASE WHEN avg(throughput) > 0 THEN stddev_pop(throughput) / avg(throughput) ELSE 0.0 END, 9)
          AS throughput_cv
-FROM rs""")
+FROM rs""", RUNS_ALL)
 
 ORACLE["run_correlation"] = wr("""
 SELECT round(covar_pop(throughput, avg_latency)

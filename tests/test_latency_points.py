@@ -53,3 +53,7 @@ def test_alerts_multi_rule(spark, table):
 def test_run_summary(spark, table):
     got = _rows(spark, table, "run_summary", "start_time", "avg_latency", "p50_latency", "p95_latency", "p99_latency")
     assert [r[1:] for r in got] == [(55.0, 100.0, 100.0, 100.0)] * 5 + [(140.0, 10.0, 400.0, 400.0)]
+
+
+def test_run_analysis(spark, table):
+    assert _rows(spark, table, "run_analysis", "total_tests", "avg_latency") == [(6, 69.166666667)]
