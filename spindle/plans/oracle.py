@@ -442,7 +442,7 @@ FROM rs""", RUNS_ALL)
 
 ORACLE["run_correlation"] = wr("""
 SELECT round(covar_pop(throughput, avg_latency)
-             / nullif(stddev_pop(throughput) * stddev_pop(avg_latency), 0), 9) AS correlation FROM rs""")
+             / nullif(stddev_pop(throughput) * stddev_pop(avg_latency), 0), 9) AS correlation FROM rs""", RUNS_ALL)
 
 ORACLE["high_error_runs"] = wr("SELECT test_name FROM rs WHERE errors > 0")
 

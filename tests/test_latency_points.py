@@ -57,3 +57,7 @@ def test_run_summary(spark, table):
 
 def test_run_analysis(spark, table):
     assert _rows(spark, table, "run_analysis", "total_tests", "avg_latency") == [(6, 69.166666667)]
+
+
+def test_run_correlation(spark, table):
+    assert _rows(spark, table, "run_correlation", "correlation") == [(1.0,)]
