@@ -448,7 +448,7 @@ ORACLE["high_error_runs"] = wr("SELECT test_name FROM rs WHERE errors > 0")
 
 ORACLE["high_latency_runs"] = wr("""
 SELECT test_name FROM rs
-WHERE avg_latency > (SELECT avg(avg_latency) + stddev_pop(avg_latency) FROM rs)""")
+WHERE avg_latency > (SELECT avg(avg_latency) + stddev_pop(avg_latency) FROM rs)""", RUNS_ALL)
 
 ORACLE["latency_long"] = wr("""
 SELECT test_name, 'P50' AS percentile, p50_latency AS latency FROM rs

@@ -61,3 +61,7 @@ def test_run_analysis(spark, table):
 
 def test_run_correlation(spark, table):
     assert _rows(spark, table, "run_correlation", "correlation") == [(1.0,)]
+
+
+def test_high_latency_runs(spark, table):
+    assert _rows(spark, table, "high_latency_runs", "test_name") == [("run-2024011005",)]
