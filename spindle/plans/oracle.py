@@ -453,7 +453,7 @@ WHERE avg_latency > (SELECT avg(avg_latency) + stddev_pop(avg_latency) FROM rs)"
 ORACLE["latency_long"] = wr("""
 SELECT test_name, 'P50' AS percentile, p50_latency AS latency FROM rs
 UNION ALL SELECT test_name, 'P95', p95_latency FROM rs
-UNION ALL SELECT test_name, 'P99', p99_latency FROM rs""")
+UNION ALL SELECT test_name, 'P99', p99_latency FROM rs""", RUNS_ALL)
 
 ORACLE["efficiency_long"] = wr("""
 SELECT test_name, 'Sent' AS kind, messages_sent AS count FROM rs

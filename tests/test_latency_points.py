@@ -65,3 +65,9 @@ def test_run_correlation(spark, table):
 
 def test_high_latency_runs(spark, table):
     assert _rows(spark, table, "high_latency_runs", "test_name") == [("run-2024011005",)]
+
+
+def test_latency_long(spark, table):
+    got = _rows(spark, table, "latency_long", "percentile", "latency")
+    assert got == [("P50", 10.0)] + [("P50", 100.0)] * 5 + [("P95", 100.0)] * 5 + [("P95", 400.0)] \
+        + [("P99", 100.0)] * 5 + [("P99", 400.0)]
