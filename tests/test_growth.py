@@ -23,3 +23,11 @@ def test_more_rows_are_read_by_more_tasks(spark, scratch):
     spread = read_parquet(spark, f"{scratch}/t", task_rows=50)
     held = [n for n, in spread.groupBy(F.spark_partition_id()).count().select("count").collect()]
     assert len(held) == 20 and max(held) <= 60 and sum(held) == 1_000
+
+
+def test_hook_is_called_on_batches_and_sends_many_rows_in_pieces(spark):
+    out = T.StructType([T.StructField("i", T.IntegerType())])
+    df = spark.range(3).select("id", F.parse_json(F.lit('{"a":1}')).alias("data"))
+    many = hooks.expand(df, lambda n: ((i,) for i in range(n * 12_000)), ["id"], out)
+    assert "MapInArrow" in _plan(many)
+    assert sorted(tuple(r) for r in many.groupBy("id").agg(F.count("i"), F.max("i")).collect()) == [(1, 12_000, 11_999), (2, 24_000, 23_999)]
