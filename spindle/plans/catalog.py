@@ -241,24 +241,36 @@ SHARES = T.StructType([T.StructField("share", T.IntegerType()), T.StructField("a
                        T.StructField("kind", T.StringType())])
 
 
-def _expanded(spark, sf):
-    rows = derived.landed(spark, sf).select(
-        "event_id", get(F.col("data"), "event_type", "string").alias("event_type"), *_leaves())
+def _hook_inputs() -> list:
+    return ["event_id", get(F.col("data"), "event_type", "string").alias("event_type"), *_leaves()]
+
+
+def _expanded(rows):
     return hooks.expand(rows, shares, ["event_type", "user_id", "value"], SHARES)
 
 
+def _stored(spark, df, name):
+    """``df`` written once to the shared folder, for the branches that read it."""
+    path = store.at_path(spark, f"{uuid.uuid4().hex}/{name}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 @register
 def hook_rows(spark, sf):
     """K: a user's generator between validation and the sink, 0, 1 or 3 rows for a message, or an error row."""
-    return _expanded(spark, sf).select("event_id", "share", _rd(F.col("amount")).alias("amount"), "kind", "hook_error")
+    rows = _expanded(derived.landed(spark, sf).select(*_hook_inputs()))
+    return rows.select("event_id", "share", _rd(F.col("amount")).alias("amount"), "kind", "hook_error")
 
 
 @register
 def errors_all_stages(spark, sf):
     """Rejects of parsing and validation, of the sink's REQUIRED columns, of the hook, and rows that
     the stored table's types do not take, by stage."""
-    out = derived.outcomes(spark, sf)
-    good, failed = hooks.split(_expanded(spark, sf))
+    # Messages are parsed once and the hook runs once; rejects, errors and rows are read from what they gave.
+    out = _stored(spark, derived.outcomes(spark, sf).select("reject_reason", *_hook_inputs()), "outcomes")
+    landed = out.where("reject_reason IS NULL").drop("reject_reason")
+    good, failed = hooks.split(_stored(spark, _expanded(landed), "expanded"))
     # A table whose amounts have two digits before the point; one per session.
     name = "shares_" + re.sub(r"\W", "_", spark.sparkContext.applicationId)
     tables.create_table(spark, name, SHARES_TABLE, path=store.at_path(spark, f"{uuid.uuid4().hex}/{name}"))

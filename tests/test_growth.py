@@ -31,3 +31,8 @@ def test_hook_is_called_on_batches_and_sends_many_rows_in_pieces(spark):
     many = hooks.expand(df, lambda n: ((i,) for i in range(n * 12_000)), ["id"], out)
     assert "MapInArrow" in _plan(many)
     assert sorted(tuple(r) for r in many.groupBy("id").agg(F.count("i"), F.max("i")).collect()) == [(1, 12_000, 11_999), (2, 24_000, 23_999)]
+
+
+def test_errors_of_all_stages_parse_once_and_call_the_hook_once(spark):
+    plan = _plan(REGISTRY["errors_all_stages"](spark, SF_SMALL))
+    assert "events.parquet" not in plan and "MapInArrow" not in plan and "PythonUDTF" not in plan
