@@ -22,6 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from spindle.functions.labels import series_key
 from spindle.operators import alerts as al
+from spindle.operators.joins import broadcast_if_small
 from spindle.session import stream_checkpoint
 
 ALIGNED_SCHEMA = "rule string, series string, bucket timestamp, value double"
@@ -36,7 +37,9 @@ def closed_buckets(points: DataFrame, rules: DataFrame, lateness: str) -> DataFr
         raise ValueError("no alert rules")
     def of_period(period: int) -> DataFrame:
         # A watermark of its own: state behind a shared node is only closed in one branch of the union.
-        joined = al.match_rules(points.withWatermark("end_time", lateness), rules.where(F.col("period_s") == period))
+        # Few metric types hold all points: joined by shuffle, a type's points would meet in one task.
+        few = broadcast_if_small(rules.where(F.col("period_s") == period), al.MAX_BROADCAST_RULES)
+        joined = al.match_rules(points.withWatermark("end_time", lateness), few)
         return (joined.groupBy("rule", "aligner", "period_s", series_key(F.col("labels")).alias("series"),
                                F.window("end_time", f"{period} seconds").alias("w"))
                 .agg(al.aligned_value().alias("value"))

@@ -36,3 +36,16 @@ def test_hook_is_called_on_batches_and_sends_many_rows_in_pieces(spark):
 def test_errors_of_all_stages_parse_once_and_call_the_hook_once(spark):
     plan = _plan(REGISTRY["errors_all_stages"](spark, SF_SMALL))
     assert "events.parquet" not in plan and "MapInArrow" not in plan and "PythonUDTF" not in plan
+
+
+def test_points_of_one_metric_type_do_not_meet_in_one_task(spark, scratch):
+    derived.metrics(spark, SF_SMALL).write.parquet(f"{scratch}/points")
+    rules = al.rules_frame(spark, [al.rule("r", derived.LATENCY_METRIC, "GT", 1.0)])
+    with_size = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(with_size)
+    spark.conf.set(with_size, "-1")  # as on a stream, where the rules' size is not known
+    try:
+        plan = _plan(alerting.closed_buckets(spark.read.parquet(f"{scratch}/points"), rules, "300 seconds"))
+    finally:
+        spark.conf.set(with_size, before)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
