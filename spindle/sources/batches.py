@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from spindle.session import materialize
 
-PART_ROWS = 500_000
+PART_ROWS = 100_000  # a part is held by a Python worker, with the copies that sorting makes
 FAN = 64
 
 #: The open batch after some messages: its key, messages, bytes, first time, and number within the key.

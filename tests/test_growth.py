@@ -49,3 +49,12 @@ def test_points_of_one_metric_type_do_not_meet_in_one_task(spark, scratch):
     finally:
         spark.conf.set(with_size, before)
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_publish_batches_are_cut_from_small_parts(spark):
+    assert batches.PART_ROWS <= 100_000
+    rows = spark.range(250_000).select(
+        F.lit("k").alias("key"), F.col("id").alias("at_us"), F.col("id").cast("string").alias("id"),
+        F.lit(1).cast("long").alias("size"), F.col("id").alias("row"))
+    got = batches.cut(rows, batches.Limits(max_messages=1_000)).groupBy("batch").count().collect()
+    assert sorted(tuple(r) for r in got) == [(b, 1_000) for b in range(250)]
