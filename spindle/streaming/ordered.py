@@ -2,7 +2,7 @@
 
 A message is held until the watermark of the publish time has passed it; nothing earlier can then
 still be on its way (but for late rows). Each key has a list of held messages and one
-timer at its earliest one. When the timer fires, all messages up to the watermark leave in the order
+timer at its earliest one; the list's elements are chunks of messages. When the timer fires, all messages up to the watermark leave in the order
 of (publish time, message id), each with the next delivery number of its key, and the others stay. A key's state
 is what it published within the lateness, however long the stream runs. Messages without an ordering key
 need no order and are no part of this.
@@ -15,7 +15,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Row
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -25,30 +27,50 @@ from spindle.streaming.state import timed_state
 
 HELD = "at_us long, message_id string, value binary, attributes map<string,string>"
 DELIVERED = f"ordering_key string, delivery long, {HELD}"
+CHUNK_ROWS = 5_000
+ARROW_HELD = pa.schema([("at_us", pa.int64()), ("message_id", pa.string()), ("value", pa.binary()),
+                        ("attributes", pa.map_(pa.string(), pa.string()))])
+
+
+def pack(messages: list[tuple]) -> list[tuple[bytes]]:
+    """Held messages as elements of the list state, each an Arrow batch: the state is asked per chunk, not per message."""
+    out = []
+    for i in range(0, len(messages), CHUNK_ROWS):
+        at, ids, values, attributes = zip(*messages[i:i + CHUNK_ROWS])
+        attributes = [[*a.items()] if isinstance(a, dict) else a for a in attributes]
+        batch = pa.record_batch([pa.array(c, f.type) for c, f in zip((at, ids, values, attributes), ARROW_HELD)], schema=ARROW_HELD)
+        out.append((batch.serialize().to_pybytes(),))
+    return out
+
+
+def unpack(chunk: bytes) -> list[tuple]:
+    batch = pa.ipc.read_record_batch(pa.py_buffer(bytes(chunk)), ARROW_HELD)
+    return [*zip(*(c.to_pylist() for c in batch.columns))]
 
 
 class Reorder(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.held = handle.getListState("held", HELD)
+        self.held = handle.getListState("held", "chunk binary")
         self.sent = handle.getValueState("sent", "delivery long, timer long")
 
-    def _turn(self, key: tuple, new: list[tuple], watermark_ms: int) -> Iterator[Row]:
+    def _turn(self, key: tuple, new: list[tuple], watermark_ms: int) -> Iterator[pd.DataFrame]:
         row = self.sent.get()
         delivery, timer = (0, None) if row is None else (row[0], row[1])
         if timer is not None and timer > watermark_ms and (not new or min(n[0] for n in new) > watermark_ms * 1000):
             # nothing is due: the new ones are only added
-            self.held.appendList(new)
+            if new:
+                self.held.appendList(pack(new))
             due, rest = [], None
             earliest = min([timer, *(-(-n[0] // 1000) for n in new)])
         else:
-            every = sorted([*map(tuple, self.held.get()), *new], key=lambda m: (m[0], m[1] or ""))
+            every = sorted([*(m for row in self.held.get() for m in unpack(row[0])), *new], key=lambda m: (m[0], m[1] or ""))
             cut = sum(m[0] <= watermark_ms * 1000 for m in every)
             due, rest = every[:cut], every[cut:]
             earliest = -(-rest[0][0] // 1000) if rest else None
         if rest is not None:
             if rest:
-                self.held.put(rest)
+                self.held.put(pack(rest))
             else:
                 self.held.clear()
         if earliest != timer:
@@ -57,15 +79,18 @@ class Reorder(StatefulProcessor):
             if earliest is not None:
                 self.handle.registerTimer(earliest)
         self.sent.update((delivery + len(due), earliest))
-        for i, (at_us, message_id, value, attributes) in enumerate(due):
-            yield Row(ordering_key=key[0], delivery=delivery + i, at_us=at_us, message_id=message_id, value=value,
-                      attributes=attributes)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        new = [(r["at_us"], r["message_id"], r["value"], r["attributes"]) for r in rows]
+        for i in range(0, len(due), CHUNK_ROWS):
+            at_us, ids, values, attributes = zip(*due[i:i + CHUNK_ROWS])
+            attributes = [None if a is None else dict(a) for a in attributes]
+            first = delivery + i
+            yield pd.DataFrame({"ordering_key": key[0], "delivery": range(first, first + len(ids)), "at_us": at_us, "message_id": ids,
+                                "value": values, "attributes": pd.Series(attributes, dtype=object)})
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        new = [m for pdf in rows for m in zip(*(pdf[c].tolist() for c in ARROW_HELD.names))]
         yield from self._turn(key, new, timerValues.getCurrentWatermarkInMs())
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         yield from self._turn(key, [], timerValues.getCurrentWatermarkInMs())
 
 
@@ -74,7 +99,7 @@ def in_order(messages: DataFrame, lateness: str) -> DataFrame:
     held = (messages.where("ordering_key IS NOT NULL").withWatermark("publish_time", lateness)
             .withColumn("at_us", F.unix_micros("publish_time"))
             .select("ordering_key", "publish_time", "at_us", "message_id", "value", "attributes"))
-    out = held.groupBy("ordering_key").transformWithState(Reorder(), DELIVERED, "append", "eventTime")
+    out = held.groupBy("ordering_key").transformWithStateInPandas(Reorder(), DELIVERED, "append", "eventTime")
     return out.select("ordering_key", "delivery", "message_id", "value", "attributes",
                       F.timestamp_micros("at_us").alias("publish_time"))
 

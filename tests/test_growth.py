@@ -58,3 +58,9 @@ def test_publish_batches_are_cut_from_small_parts(spark):
         F.lit(1).cast("long").alias("size"), F.col("id").alias("row"))
     got = batches.cut(rows, batches.Limits(max_messages=1_000)).groupBy("batch").count().collect()
     assert sorted(tuple(r) for r in got) == [(b, 1_000) for b in range(250)]
+
+
+def test_held_messages_are_stored_in_chunks():
+    messages = [(i, f"m{i}" if i % 3 else None, b"v", [("k", "v")] if i % 2 else None) for i in range(12_000)]
+    chunks = ordered.pack(messages)
+    assert len(chunks) == 3 and [m for c, in chunks for m in ordered.unpack(c)] == messages
