@@ -144,7 +144,10 @@ def store(spark: SparkSession, sf_dir: str) -> str:
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     if key not in _STORES:
         path = store_io.at_path(spark, uuid.uuid4().hex)
-        out = materialize(envelope.sink_columns(outcomes(spark, sf_dir)))
+        # Parsed once, kept in columns: sorting and counting by id and time then read little of the payload.
+        keep = [*envelope.LANDED_COLUMNS, "reject_reason"]
+        outcomes(spark, sf_dir).select(*keep).write.parquet(f"{path}/outcomes")
+        out = store_io.read(spark, path, "outcomes")
         store_io.write_rows(envelope.landed(out), path)
         store_io.write_counts(out.select(
             "event_id", "timestamp",

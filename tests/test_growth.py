@@ -64,3 +64,8 @@ def test_held_messages_are_stored_in_chunks():
     messages = [(i, f"m{i}" if i % 3 else None, b"v", [("k", "v")] if i % 2 else None) for i in range(12_000)]
     chunks = ordered.pack(messages)
     assert len(chunks) == 3 and [m for c, in chunks for m in ordered.unpack(c)] == messages
+
+
+def test_store_keeps_no_message_text(spark):
+    kept = store.read(spark, derived.store(spark, SF_SMALL), "outcomes")
+    assert set(kept.columns) == {"event_id", "timestamp", "processing_timestamp", "data", "metadata", "attributes", "reject_reason"}
