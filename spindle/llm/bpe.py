@@ -21,11 +21,12 @@ import hashlib
 import json
 import mmap
 import os
+import re
 import uuid
 from array import array
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
-from itertools import chain
+from itertools import compress
 
 import numpy as np
 import pandas as pd
@@ -36,12 +37,14 @@ from pyspark.sql import functions as F
 
 from spindle.llm.common import arrow_rows, filled, scratch_path, scratch_table
 
-# Fixed value: the published pre-tokenizer pattern of byte-level BPE.
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# Fixed value: the published pre-tokenizer pattern of byte-level BPE, its classes of letters, numbers and spaces left open.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?[{L}]+| ?[{N}]+| ?[^{S}{L}{N}]+|[{S}]+(?![^{S}])|[{S}]+"
+CLASSES = {"L": r"\p{L}", "N": r"\p{N}", "S": r"\s"}
 NO_RANK, ID = 1 << 62, (1 << 32) - 1
+UNRANKED = (1 << 31) - 1
 LEXICON_WORDS = 1 << 18  # bound of the lexicon, so of the compiled file
 LEXICON_WORD_BYTES = 64  # longer words are merged each time
-MEMO_WORDS = 300_000  # bound of a worker's memo (some 300 bytes each), beyond one group of texts; then it is emptied
+MEMO_WORDS = 300_000  # bound of a worker's memo (some 300 bytes each), beyond the groups of texts; then its older half goes
 ENCODE_MEMO = 60_000  # the same where whole id lists are made, which need memory themselves
 GROUP_CHARS = 1 << 20
 COUNT_WORDS = 150_000  # bound of a task's counts, sent on when full
@@ -55,6 +58,55 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(0x100 + i) for i, b in enumerate(rest)}
 
 
+def _splitter() -> Callable[[str], list[str]]:
+    """``findall`` of the pattern. ``regex`` knows its classes; written out up to U+FFFF the same pattern runs
+    in ``re``, which takes less than half the time. Texts with characters beyond that stay with ``regex``."""
+    plane = "".join(map(chr, range(1 << 16)))
+    spans = {k: "".join(f"\\u{ord(run[0]):04x}-\\u{ord(run[-1]):04x}" for run in regex.findall(c + "+", plane))
+             for k, c in CLASSES.items()}
+    words, wide = re.compile(PATTERN.format(**spans)).findall, regex.compile(PATTERN.format(**CLASSES)).findall
+    beyond = re.compile("[\U00010000-\U0010ffff]").search
+    return lambda text: words(text) if text.isascii() or not beyond(text) else wide(text)
+
+
+class Lookup:
+    """32-bit values of distinct keys from 0 on, asked for many at once: a table with three free places for
+    every key at least; a key whose place is taken lies in the next free one."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray, none: int) -> None:
+        bits = max(4, (4 * len(keys)).bit_length())
+        self.shift, self.mask, self.none = np.uint64(64 - bits), (1 << bits) - 1, none
+        self.keys, self.values = np.full(1 << bits, -1, np.int64), np.full(1 << bits, none, np.int32)
+        left, place = np.arange(len(keys), dtype=np.int32), self._place(keys)
+        while len(left):
+            free = self.keys[place] < 0
+            self.values[place[free]] = left[free]  # of several, one stays
+            self.keys[place[free]] = keys[self.values[place[free]]]
+            lost = self.keys[place] != keys[left]
+            left, place = left[lost], (place[lost] + 1) & self.mask
+        used = self.keys >= 0
+        self.values[used] = values[self.values[used]]
+
+    def _place(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        place = self._place(keys)
+        held, out = self.keys[place], self.values[place]
+        other = np.flatnonzero(held != keys)
+        out[other] = self.none
+        other = other[held[other] >= 0]
+        place = place[other]
+        while len(other):
+            place = (place + 1) & self.mask
+            held = self.keys[place]
+            same = held == keys[other]
+            out[other[same]] = self.values[place[same]]
+            on = ~same & (held >= 0)
+            other, place = other[on], place[on]
+        return out
+
+
 class Merger:
     """Exact merging by rank, and the way back from ids to bytes."""
 
@@ -72,15 +124,17 @@ class Merger:
         # pair -> its rank above the id that it becomes
         self.rank = {(ids[a], ids[b]): i << 32 | ids[a + b] for i, (a, b) in enumerate(pairs)}
         self.byte_id = [ids[letters[b]] for b in range(256)]
-        # the same as sorted arrays, for many words at once
-        self.byte_ids = np.array(self.byte_id, np.int64)
+        # the same as arrays, for many words at once: rank of a pair, id of a rank
+        self.byte_ids = np.array(self.byte_id, np.int32)
         keys = np.fromiter((a << 32 | b for a, b in self.rank), np.int64, len(self.rank))
-        order = np.argsort(keys)
-        self.pairs = keys[order] if len(keys) else np.array([-1])
-        self.pair_rank = np.fromiter(self.rank.values(), np.int64, len(self.rank))[order] if len(keys) else np.array([NO_RANK])
+        merged = np.fromiter(self.rank.values(), np.int64, len(self.rank))
+        self.pairs = Lookup(keys, merged >> 32, UNRANKED)
+        self.merged = np.zeros(int(merged.max(initial=0) >> 32) + 1, np.int32)
+        self.merged[merged >> 32] = merged & ID
         self.added = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.token = {i: bytes(byte_of[c] for c in s) for s, i in ids.items()}
         self.token |= {i: s.encode() for s, i in self.added.items()}
+        self.decimal = {i: str(i) for i in self.token}
         longest = sorted(self.added, key=len, reverse=True)
         self.split = regex.compile("(" + "|".join(map(regex.escape, longest)) + ")") if longest else None
 
@@ -102,36 +156,56 @@ class Merger:
         return parts
 
     def merge_all(self, words: list[bytes]) -> list[list[int]]:
-        """``merge`` of many words, all a step at a time together; the last few and very long ones by themselves."""
-        out: list[list[int] | None] = [None] * len(words)
+        """``merge`` of many words."""
+        out: list[list[int]] = [[]] * len(words)
+        for i, ids in self.merged_words(words):
+            out[i] = ids
+        return out
+
+    def merged_words(self, words: list[bytes]) -> Iterator[tuple[int, list[int]]]:
+        """Number and ids of every word, in the order in which they are done: all are merged a step at a time
+        together, the last few and very long ones by themselves."""
+        yield from ((i, self.merge(w)) for i, w in enumerate(words) if not 1 < len(w) <= 64)
         own = [i for i, w in enumerate(words) if 1 < len(w) <= 64]
+        size = np.array([len(words[i]) for i in own], np.int64)
         flat = self.byte_ids[np.frombuffer(b"".join([words[i] for i in own]), np.uint8)]
-        word = np.repeat(np.array(own, np.int64), [len(words[i]) for i in own])
+        word, rank = np.array(own, np.int64), np.full(len(flat), UNRANKED, np.int32)
+        left = np.ones(len(flat), bool)
+        left[np.cumsum(size) - 1] = False
+        left = np.flatnonzero(left)  # all but the last part of each word
+        rank[left] = self._ranks(flat, left)
         while len(word):
-            left = np.flatnonzero(word[1:] == word[:-1])
-            key = flat[left] << 32 | flat[left + 1]
-            at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
-            rank = np.where(self.pairs[at] == key, self.pair_rank[at], NO_RANK)
-            of = word[left]
-            first = np.flatnonzero(np.r_[True, of[1:] != of[:-1]]) if len(of) else np.zeros(0, np.int64)
-            low = np.minimum.reduceat(rank, first) if len(first) else np.zeros(0, np.int64)
-            done = np.ones(len(words), bool)
-            done[of[first[low != NO_RANK]]] = False
-            if (gone := done[word]).any():  # no pair of these can be joined
-                ends = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
-                for lo, hi in zip(ends.tolist(), [*ends[1:].tolist(), len(word)]):
-                    if gone[lo]:
-                        out[word[lo]] = flat[lo:hi].tolist()
-            hit = np.flatnonzero(rank == np.repeat(np.where(low == NO_RANK, -1, low), np.diff(np.r_[first, len(of)])))
-            hit = hit[np.r_[True, of[hit[1:]] != of[hit[:-1]]]] if len(hit) else hit  # the leftmost of each word
-            place = left[hit]
-            flat[place] = rank[hit] & ID
-            keep = ~gone
-            keep[place + 1] = False
-            flat, word = flat[keep], word[keep]
-            if len(place) < 40:
+            first = np.cumsum(size) - size
+            low = np.minimum.reduceat(rank, first)
+            gone = low == UNRANKED
+            if gone.any():  # no pair of these can be joined
+                parts = np.repeat(gone, size)
+                yield from zip(word[gone].tolist(), _cut(flat[parts], size[gone]))
+                flat, rank = flat[~parts], rank[~parts]
+                word, size, low = word[~gone], size[~gone], low[~gone]
+                first = np.cumsum(size) - size
+            if len(word) < 40:
                 break
-        return [self.merge(w) if ids is None else ids for w, ids in zip(words, out)]
+            hit = np.flatnonzero(rank == np.repeat(low, size))
+            of = np.searchsorted(first, hit, side="right")
+            place = hit[np.r_[True, of[1:] != of[:-1]]]  # the leftmost of each word
+            flat[place] = self.merged[low]
+            keep = np.ones(len(flat), bool)
+            keep[place + 1] = False
+            flat, rank = flat[keep], rank[keep]
+            place -= np.arange(len(place))  # as many parts went before it
+            size = size - 1
+            first = np.cumsum(size) - size
+            inner = place < first + size - 1
+            rank[place] = UNRANKED
+            rank[place[inner]] = self._ranks(flat, place[inner])
+            before = place[place > first] - 1
+            rank[before] = self._ranks(flat, before)
+        yield from ((i, self.merge(words[i])) for i in word.tolist())
+
+    def _ranks(self, flat: np.ndarray, left: np.ndarray) -> np.ndarray:
+        """The ranks of the pairs that begin at ``left``."""
+        return self.pairs.get(flat[left].astype(np.int64) << 32 | flat[left + 1])
 
     def _merge_long(self, parts: list[int]) -> list[int]:
         """The same for very long words: a heap of candidate pairs, leftmost of the lowest rank first."""
@@ -157,6 +231,12 @@ class Merger:
         return [p for p in parts if p >= 0]
 
 
+def _cut(flat: np.ndarray, size: np.ndarray) -> Iterator[list[int]]:
+    """Consecutive parts of these sizes, as lists."""
+    ids, end = flat.tolist(), np.cumsum(size)
+    return (ids[lo:hi] for lo, hi in zip((end - size).tolist(), end.tolist()))
+
+
 _ONE = [bytes([b]) for b in range(256)]
 
 
@@ -221,10 +301,10 @@ class Transducer:
             setattr(self, name, view[pos:pos + 4 * n].cast("i"))
             pos += 4 * n
         self.data, self.labels, self.final = data, pos, view[pos + arcs:pos + arcs + states]
-        # state and label of every arc, ascending: made once per worker
-        self.keys = (np.repeat(np.arange(states), np.diff(np.asarray(self.first))) << 8
-                     | np.frombuffer(view[pos:pos + arcs], np.uint8))
-        self.words = words
+        # state and label of every arc: made once per worker
+        keys = (np.repeat(np.arange(states), np.diff(np.asarray(self.first))) << 8
+                | np.frombuffer(view[pos:pos + arcs], np.uint8))
+        self.arcs, self.words = Lookup(keys, np.arange(arcs, dtype=np.int32), -1), words
 
     @classmethod
     def open(cls, path: str) -> Transducer:
@@ -242,32 +322,35 @@ class Transducer:
             state = target[arc]
         return self.ids[self.at[number]:self.at[number + 1]].tolist() if self.final[state] else None
 
-    def find(self, words: list[bytes]) -> list[list[int] | None]:
-        """``get`` of many words, all walked a byte at a time together."""
-        out: list[list[int] | None] = [None] * len(words)
+    def find(self, words: list[bytes]) -> Iterator[tuple[int, list[int]]]:
+        """Number and ids of the words that are held, without the empty one: ``get`` of many, all walked a
+        byte at a time together."""
         short = [i for i, w in enumerate(words) if 0 < len(w) <= LEXICON_WORD_BYTES]
-        if not short or not len(self.keys):
-            return out
+        if not short or not len(self.target):
+            return
         size = np.array([len(words[i]) for i in short])
         order = np.argsort(-size, kind="stable")
         size = size[order]
         at = np.r_[0, np.cumsum(size)[:-1]]
         flat = np.frombuffer(b"".join([words[short[i]] for i in order.tolist()]), np.uint8)
-        state, number = np.full(len(size), self.root, np.int64), np.zeros(len(size), np.int64)
         target, skip, final = np.asarray(self.target), np.asarray(self.skip), np.asarray(self.final)
-        for depth in range(int(size[0])):
-            n = int(np.searchsorted(-size, -depth, side="left"))  # words longer than this lie first
-            live = np.flatnonzero(state[:n] >= 0)
-            key = state[live] << 8 | flat[at[live] + depth]
-            arc = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            there = self.keys[arc] == key
-            number[live] += np.where(there, skip[arc], 0)
-            state[live] = np.where(there, target[arc], -1)
-        good = np.flatnonzero((state >= 0) & (final[state] == 1))
+        live = np.arange(len(size))  # words still on the way, their states and numbers
+        state, number = np.full(len(size), self.root, np.int64), np.zeros(len(size), np.int64)
+        good: list[tuple[np.ndarray, np.ndarray]] = []
+        for depth in range(int(size[0]) + 1):
+            n = int(np.searchsorted(-size[live], -depth, side="left"))  # longer words lie first
+            end = final[state[n:]] == 1
+            good.append((live[n:][end], number[n:][end]))
+            live, state, number = live[:n], state[:n], number[:n]
+            arc = self.arcs.get(state << 8 | flat[at[live] + depth])
+            there = arc >= 0
+            arc = arc[there]
+            live, state, number = live[there], target[arc].astype(np.int64), number[there] + skip[arc]
+        found, number = (np.concatenate(x) for x in zip(*good))
         ids, first = np.asarray(self.ids), np.asarray(self.at)
-        for i, lo, hi in zip(order[good].tolist(), first[number[good]].tolist(), first[number[good] + 1].tolist()):
-            out[short[i]] = ids[lo:hi].tolist()
-        return out
+        n_ids = first[number + 1] - first[number]
+        each = np.arange(n_ids.sum()) + np.repeat(first[number] - (np.cumsum(n_ids) - n_ids), n_ids)
+        yield from zip(map(short.__getitem__, order[found].tolist()), _cut(ids[each], n_ids))
 
 
 def _groups(texts: Iterable[str], chars: int = GROUP_CHARS) -> Iterator[list[str]]:
@@ -292,8 +375,9 @@ class Codec:
     def __init__(self, tokenizer: str, lexicon: str | None, most: int = MEMO_WORDS) -> None:
         self.merger, self.most = Merger(tokenizer), most
         self.lexicon = Transducer.open(lexicon) if lexicon else None
-        self.words = regex.compile(PATTERN).findall
-        self.known: dict[str, array | tuple] = {}  # short words, ``most`` and one group's at most
+        self.words = _splitter()
+        self.known: dict[str, array | tuple] = {}  # short words, with the older ones ``most`` and two groups' at most
+        self.older: dict[str, array | tuple] = {}
         self.form: Callable | None = None
 
     @classmethod
@@ -304,12 +388,15 @@ class Codec:
             cls.kept[tokenizer, lexicon] = cls(tokenizer, lexicon)
         return cls.kept[tokenizer, lexicon]
 
-    def word_ids(self, words: list[str]) -> list[list[int]]:
-        """The ids of every word: from the lexicon, else merged."""
-        data = [word.encode() for word in words]
-        found = self.lexicon.find(data) if self.lexicon else [None] * len(data)
-        rest = iter(self.merger.merge_all([d for d, ids in zip(data, found) if ids is None]))
-        return [next(rest) if ids is None else ids for ids in found]
+    def word_ids(self, words: list[str]) -> Iterator[tuple[str, list[int]]]:
+        """Every word with its ids, from the lexicon, else merged; not in order."""
+        data, rest = [word.encode() for word in words], bytearray(b"\1") * len(words)
+        for i, ids in self.lexicon.find(data) if self.lexicon else ():
+            rest[i] = 0
+            yield words[i], ids
+        words, data = list(compress(words, rest)), list(compress(data, rest))
+        for i, ids in self.merger.merged_words(data):
+            yield words[i], ids
 
     def parts(self, text: str) -> Iterator[tuple[str, int | None]]:
         """The text cut at added tokens: (text, None), or (token, its id)."""
@@ -321,12 +408,18 @@ class Codec:
                 yield part, self.merger.added[part] if i % 2 else None
 
     def _learn(self, words: set[str], form: Callable) -> dict[str, array | tuple]:
-        """``form(ids)`` of all these words; short ones stay known."""
-        if form != self.form or len(self.known) > self.most:
-            self.known, self.form = {}, form
-        new = list(words.difference(self.known))
-        values = dict(zip(new, map(form, self.word_ids(new))))
-        if all(len(w) <= LEXICON_WORD_BYTES for w in new):
+        """``form(ids)`` of all these words; short ones stay known. A full memo becomes the older one, out of
+        which words still in use come back, so that the frequent ones are not learned again."""
+        if form != self.form:
+            self.known, self.older, self.form = {}, {}, form
+        elif len(self.known) > self.most // 2:
+            self.known, self.older = {}, self.known
+        new = words.difference(self.known)
+        again = {w: self.older[w] for w in new if w in self.older}
+        self.known.update(again)
+        new = list(new.difference(again))
+        values = {w: form(ids) for w, ids in self.word_ids(new)}
+        if max(map(len, new), default=0) <= LEXICON_WORD_BYTES:
             self.known.update(values)
             return self.known
         self.known.update((w, v) for w, v in values.items() if len(w) <= LEXICON_WORD_BYTES)
@@ -337,7 +430,7 @@ class Codec:
         for group in _groups(texts):
             cut = [[(self.words(part), None) if special is None else ((), special) for part, special in self.parts(text)]
                    for text in group]
-            values = self._learn({w for own in cut for words, _ in own for w in words}, form)
+            values = self._learn(set().union(*(words for own in cut for words, _ in own)), form)
             for own in cut:
                 out = []
                 for words, special in own:
@@ -354,12 +447,13 @@ class Codec:
 
     def told(self, ids: list[int]) -> tuple[str, bytes]:
         """Ids as decimals joined by commas, and the bytes they stand for."""
-        return ",".join(map(str, ids)), b"".join([self.merger.token[i] for i in ids])
+        decimal, token = self.merger.decimal, self.merger.token
+        return ",".join([decimal[i] for i in ids]), b"".join([token[i] for i in ids])
 
     def digests(self, texts: Iterable[str]) -> Iterator[tuple[int, str, str]]:
         """Number of ids, SHA-256 of the ids, SHA-256 of the text they decode to; built by words."""
         for values in self.code(texts, self.told):
-            ids = ",".join([v[0] for v in values if v[0]])
+            ids = ",".join([v[0] for v in values])
             decoded = b"".join([v[1] for v in values]).decode("utf-8", "replace")
             yield (ids.count(",") + 1 if ids else 0, hashlib.sha256(ids.encode()).hexdigest(),
                    hashlib.sha256(decoded.encode()).hexdigest())
