@@ -44,6 +44,13 @@ ITEM_BYTES = 8 << 20  # items that one search job takes at most: bytes of text,
 ITEMS = 4096
 K = 10
 
+POINTS = 1 << 20  # points that items searched at once may have in a block
+
+#: An index row has megabytes. Spark holds a row group's values of a column at once, so each row gets a group of its
+#: own; dictionaries and statistics would keep copies of the values until a file ends.
+STORED = {"parquet.block.row.count.limit": "1", "parquet.enable.dictionary": "false",
+          "parquet.column.statistics.enabled": "false"}
+
 #: Bytes of a term stay, A-Z become small, others become blanks.
 _TABLE = bytes(c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
 
@@ -234,6 +241,27 @@ class Search:
                 own, level, start, bound, size = own[~done], level[~done], start[~done], bound[~done], size[~done]
                 node, row, w = node[paths], row[paths], w[paths]
 
+    def run_parts(self, treap: Treap, items: int, item: np.ndarray, row: np.ndarray, w: np.ndarray,
+                  doc: np.ndarray, no_id: np.ndarray, df: np.ndarray, most: int = POINTS) -> None:
+        """``run`` for some items after others; ``df`` has the points of each row. A cell of up to ``1 << ROW_GAP`` columns
+        belongs to one row, so a term has no more open paths than points and such ranges of columns: items with ``most``
+        of them in all, or a single one, are searched at once."""
+        paths = np.bincount(item, weights=df[row] + (len(doc) >> ROW_GAP) + 1, minlength=items)
+        ends, bounds = np.cumsum(paths), [0]
+        while bounds[-1] < items:
+            lo = bounds[-1]
+            bounds.append(max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + most, side="right"))))
+        found = []
+        for lo, hi in zip(bounds, bounds[1:]):
+            held, own = (slice(*np.searchsorted(x, (lo, hi))) for x in (self.item, item))
+            part = Search(self.k, self.width)
+            part.item, part.score, part.doc, part.no_id = self.item[held] - lo, self.score[held], self.doc[held], self.no_id[held]
+            part.run(treap, hi - lo, item[own] - lo, row[own], w[own], doc, no_id)
+            self.opened += part.opened
+            found.append((part.item + lo, part.score, part.doc, part.no_id))
+        if found:
+            self.item, self.score, self.doc, self.no_id = map(np.concatenate, zip(*found))
+
 
 def totals(docs: DataFrame, text: str = "text") -> tuple[int, int]:
     """(documents with a term, their terms with repeats) over the whole table."""
@@ -311,7 +339,7 @@ def build(docs: DataFrame, text: str = "text", block_terms: int = BLOCK_TERMS) -
 
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("doc_id"),
                        F.col("doc_id").isNull().alias("absent"), text_bytes(text).alias("data"))
-    return scratch_table(rows.mapInPandas(run, INDEX), "k2treap"), n, length
+    return scratch_table(rows.mapInPandas(run, INDEX), "k2treap", **STORED), n, length
 
 
 def _item_blocks(items: DataFrame, item_id: str, text: str) -> Iterator[list[tuple]]:
@@ -362,8 +390,8 @@ def _answer(spark: SparkSession, index: DataFrame, docs: int, held: list[tuple],
                 of = lambda data, kind: np.frombuffer(data, kind)
                 treap = Treap(b.height, of(b.mask, np.uint8), of(b.drop, np.int32), of(b.leaf_row, np.int32), of(b.leaf_col, np.int32))
                 treap.unfold()
-                result.run(treap, items, item[has], row[has], w[term][has], of(b.doc_ids, np.int64),
-                           of(b.no_id, np.uint8).astype(bool))
+                result.run_parts(treap, items, item[has], row[has], w[term][has], of(b.doc_ids, np.int64),
+                                 of(b.no_id, np.uint8).astype(bool), of(b.df, np.int32))
         yield pd.DataFrame({"item": result.item, "score": result.score, "opened": result.opened,
                             "doc_id": pd.Series(result.doc).astype("Int64").mask(result.no_id)})
 

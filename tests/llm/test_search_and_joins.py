@@ -2,9 +2,11 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 
 from spindle.llm import packed, prefixtree, treap
@@ -96,6 +98,46 @@ def test_search_opens_few_ranges():
     assert sorted(d % 997 for d in search.doc) == [0] * 5 and search.opened < 400
 
 
+def test_index_rows_have_row_groups_of_their_own(spark, odd):
+    """Spark reads one block at a time, however many a file has."""
+    index, _, _ = treap.build(odd[0], block_terms=400)
+    files = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in index.inputFiles()]
+    groups = [m.row_group(i) for m in files for i in range(m.num_row_groups)]
+    assert len(groups) == index.count() > 3 * len(files)
+    assert not any(g.column(i).has_dictionary_page or g.column(i).is_stats_set for g in groups for i in range(g.num_columns))
+
+
+def test_search_in_parts_holds_less_memory():
+    """Many items at once, and the same ones in parts: the same finds with a share of the memory."""
+    rng = np.random.default_rng(7)
+    names, docs = treap._Numbers(), []
+    for i in range(1500):
+        own = [b"t%d" % t for t in rng.integers(0, 300, 40)]
+        docs.append((i, np.fromiter(map(names.__getitem__, own), np.int64, len(own))))
+    b = treap._block(docs, names, 1500, 60_000)
+    of = lambda k, t: np.frombuffer(b[k], t)
+    tree = treap.Treap(b["height"], of("mask", np.uint8), of("drop", np.int32), of("leaf_row", np.int32), of("leaf_col", np.int32))
+    tree.unfold()
+    items, terms = 300, 10
+    item = np.repeat(np.arange(items), terms)
+    item[-terms:] = items - 2  # the last one has no term here
+    row, w = rng.integers(0, 300, len(item)), rng.integers(1, 5000, len(item))
+    ids, no_id = of("doc_ids", np.int64), of("no_id", np.uint8).astype(bool)
+    found, most = [], []
+    for run in (lambda s: s.run(tree, items, item, row, w, ids, no_id),
+                lambda s: s.run_parts(tree, items, item, row, w, ids, no_id, of("df", np.int32), 20_000),
+                lambda s: s.run_parts(tree, items, item, row, w, ids, no_id, of("df", np.int32), 1)):
+        search = treap.Search(5)
+        tracemalloc.start()
+        run(search)
+        most.append(tracemalloc.get_traced_memory()[1])
+        run(search)  # the next block, with finds already held
+        tracemalloc.stop()
+        found.append([*zip(search.item.tolist(), search.score.tolist(), search.doc.tolist())])
+    assert found[0] == found[1] == found[2] and len(found[0]) == 5 * (items - 1)
+    assert most[0] > 4 * most[1] > 4 * most[2]
+
+
 def negatives(rows, every=100):
     q = []
     for vec_id, label, v in rows:
